@@ -12,6 +12,7 @@ third of all pieces share is numbered by many tasks.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 
@@ -25,7 +26,7 @@ from .common import stored, table, with_columns_from
 
 CAPACITY, END_ID, SALTS = 4096, 1, 256
 #: Blank-separated parts whose ids a worker keeps.
-KEPT_PARTS = 500_000
+KEPT_PARTS = 600_000
 PIECES = {"pieces": "array<long>", "crcs": "array<long>"}
 
 
@@ -49,31 +50,29 @@ class PartIds:
         self.tokenizer = _tokenizer(path)
         self.keep: dict[bytes, bytes] = {}
 
-    def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        encoded = self.tokenizer.encode_batch([p.decode() for p in parts], add_special_tokens=False)
-        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(parts, encoded, strict=True)}
-
     def __call__(self, texts: list[str]) -> list[bytes]:
         raw = [x.encode() for x in texts]
         split = [(x if b"<|" in x else x.lower()).split() for x in raw]
-        keep = self.keep
-        whole, cut = [], []
-        for p in {p for t in split for p in t}.difference(keep):
-            head = p.rstrip(self.TAIL)
-            apart = len(head) < len(p) and head and (chr(head[-1]).isalnum() if head[-1] < 128 else head.decode()[-1].isalpha())
-            if apart:
-                cut.append((p, head, p[len(head) :]))
-            else:
-                whole.append(p)
-        more = {x for _, head, tail in cut for x in (head, tail)}.difference(keep, whole)
-        new = self._encode([*whole, *more])
-        for p, head, tail in cut:
-            new[p] = (keep.get(head) or new[head]) + (keep.get(tail) or new[tail])
-        if len(keep) < KEPT_PARTS:
-            keep.update({k: v for k, v in new.items() if len(k) < 40})
-            if len(keep) < KEPT_PARTS:
-                new = {k: v for k, v in new.items() if len(k) >= 40}
-        return [b"".join([keep[p] if p in keep else new[p] for p in t]) for t in split]
+        keep, tail_marks = self.keep, self.TAIL
+        new = set().union(*split).difference(keep)
+        cut = []
+        for p in new:
+            if p[-1] in tail_marks:
+                head = p.rstrip(tail_marks)
+                if head and (chr(head[-1]).isalnum() if head[-1] < 128 else head.decode()[-1].isalpha()):
+                    cut.append((p, head))
+        whole = new.difference([p for p, _ in cut])
+        whole.update([head for _, head in cut if head not in keep], [t for p, head in cut if (t := p[len(head) :]) not in keep])
+        order = list(whole)
+        for p, e in zip(order, self.tokenizer.encode_batch([p.decode() for p in order], add_special_tokens=False), strict=True):
+            keep[p] = array("I", e.ids).tobytes()
+        for p, head in cut:
+            keep[p] = keep[head] + keep[p[len(head) :]]
+        out = [b"".join(map(keep.__getitem__, t)) for t in split]
+        if len(keep) > KEPT_PARTS:
+            for p in new.union(whole):
+                del keep[p]
+        return out
 
 
 _WORKER: dict[str, PartIds] = {}
@@ -93,7 +92,7 @@ def _piece_maker(path: str, capacity: int, end_id: int):
         if path not in _WORKER:
             _WORKER[path] = PartIds(path)
         ids_of = _WORKER[path]
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = array("I", [end_id]).tobytes()
 
         def compute(column: pa.Array):
             lengths, crcs = [], []

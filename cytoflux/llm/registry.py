@@ -5,12 +5,14 @@ from __future__ import annotations
 from .host_rules import OP8_SQL, op8_host_rules
 from .language_id import op1_language_id
 from .license_scan import OP6_SQL, op6_license_scan
+from .near_dup import op5_dart_minhash
 from .packing import op10_best_fit_packing
 from .piece_codec import op4_piece_codec
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_piece_codec": op4_piece_codec,
+    "op5_dart_minhash": op5_dart_minhash,
     "op6_license_scan": op6_license_scan,
     "op8_host_rules": op8_host_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
