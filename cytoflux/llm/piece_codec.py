@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +28,9 @@ from .common import table, with_columns_from
 
 MARK = "▁"
 #: Parts that a worker keeps encoded.
-KEPT_PARTS = 500_000
+KEPT_PARTS = 300_000
+#: Where a part ends in such marks, they may be encoded on their own.
+PUNCTUATION = ".,!#*$%&|\"'?;:)"
 OUTPUTS = {"ids": "array<int>"}
 
 
@@ -67,6 +71,7 @@ class PieceTable:
             self.bytes_of.append(shown)
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id_of):
             raise ValueError("a piece has a blank mark inside")
+        self.joined = {p[i : i + 2] for p in self.id_of for i in range(len(p) - 1)}
         inside = {c for p in self.id_of if len(p) > 1 for c in p}
         alone = "" if "\n" in inside else "\n"
         self.parts = re.compile(f"{alone}|{MARK}*[^{MARK}{alone}]+|{MARK}+") if alone else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -80,7 +85,7 @@ class PieceTable:
                 self.automaton.add_word(p, (len(p), p))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.part_ids: dict[str, tuple[int, ...]] = {}
+        self.part_ids: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Plain merging: the best pair first, the leftmost of equals; O(n log n)."""
@@ -152,7 +157,7 @@ class PieceTable:
                     end, i = x[i][2], i + 1
                 else:
                     start, j = y[j][1], j + 1
-        if len(self.pairs) > 500_000:
+        if len(self.pairs) > 250_000:
             self.pairs.clear()
         self.pairs[key] = found
         return found
@@ -182,29 +187,40 @@ class PieceTable:
             n -= len(out[-1])
         return out[::-1]
 
-    def encode_part(self, part: str) -> tuple[int, ...]:
-        ids: list[int] = []
+    def encode_part(self, part: str) -> bytes:
+        ids = array("i")
         for t in self.tokens(part):
             i = self.id_of.get(t)
             if i is None:
-                ids += [self.byte_id[b] for b in t.encode()]
+                ids.extend([self.byte_id[b] for b in t.encode()])
             else:
                 ids.append(i)
-        return tuple(ids)
+        return ids.tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit numbers."""
+        keep, joined = self.part_ids, self.joined
+        split = [self.parts.findall(self.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
+        new = set().union(*split).difference(keep)
+        added = set(new)
+        for part in new:
+            head = part.rstrip(PUNCTUATION)
+            if head and len(head) < len(part) and part[len(head) - 1 : len(head) + 1] not in joined:
+                tail = part[len(head) :]  # no piece spans this place, so no merge does
+                for x in (head, tail):
+                    if x not in keep:
+                        keep[x] = self.encode_part(x)
+                        added.add(x)
+                keep[part] = keep[head] + keep[tail]
+            else:
+                keep[part] = self.encode_part(part)
+        raw = [b"".join(map(keep.__getitem__, parts)) for parts in split]
+        for part in added if len(keep) > KEPT_PARTS else [p for p in added if len(p) >= 40]:
+            del keep[part]
+        return raw
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        ids: list[int] = []
-        keep = self.part_ids
-        for part in self.parts.findall(self.prefix + text.replace(" ", MARK)):
-            found = keep.get(part)
-            if found is None:
-                found = self.encode_part(part)
-                if len(keep) < KEPT_PARTS and len(part) < 40:
-                    keep[part] = found
-            ids += found
-        return ids
+        return array("i", self.encode_all([text])[0]).tolist()
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.bytes_of.__getitem__, ids))
@@ -223,15 +239,30 @@ def piece_table(path: str) -> PieceTable:
     return _TABLES[path]
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """Append ``ids``, the encoding of each whole text, without begin and end ids; null text as an empty one."""
+def _id_lists(raw: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, raw)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(raw), np.int32)))
+
+
+def encode(docs: DataFrame, text: str = "text", path: str | None = None, decoded: bool = False) -> DataFrame:
+    """Append ``ids``, the encoding of each whole text, without begin and end ids; a null text counts as empty.
+
+    With ``decoded`` the same pass appends the text that the ids decode to.  Rows are independent; an input
+    column that has an output's name is replaced.
+    """
     path = path or model_path()
 
     def make():
         t = piece_table(path)
-        return lambda column: [[t.encode(x or "") for x in column.to_pylist()]]
 
-    return with_columns_from(docs, [text], OUTPUTS, make)
+        def compute(column: pa.Array):
+            raw = t.encode_all([x or "" for x in column.to_pylist()])
+            back = [[t.decode(array("i", r).tolist()) for r in raw]] if decoded else []
+            return [_id_lists(raw), *back]
+
+        return compute
+
+    return with_columns_from(docs, [text], OUTPUTS | ({"decoded": "string"} if decoded else {}), make)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -257,7 +288,7 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
 
 def op4_piece_codec(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs).select("doc_id", "ids"))
+    both = encode(docs, decoded=True)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
