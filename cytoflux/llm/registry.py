@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .embedding_dup import op9_collision_counting
+from .hmm_lm import op7_hmm_lm
 from .host_rules import OP8_SQL, op8_host_rules
 from .language_id import op1_language_id
 from .license_scan import OP6_SQL, op6_license_scan
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_piece_codec": op4_piece_codec,
     "op5_dart_minhash": op5_dart_minhash,
     "op6_license_scan": op6_license_scan,
+    "op7_hmm_lm": op7_hmm_lm,
     "op8_host_rules": op8_host_rules,
     "op9_collision_counting": op9_collision_counting,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -22,5 +24,6 @@ QUERIES = {
 
 ORACLES = {
     "op6_license_scan": OP6_SQL,
+    "op7_hmm_lm": op7_hmm_lm,
     "op8_host_rules": OP8_SQL,
 }
