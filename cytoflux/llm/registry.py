@@ -10,9 +10,11 @@ from .license_scan import OP6_SQL, op6_license_scan
 from .near_dup import op5_dart_minhash
 from .packing import op10_best_fit_packing
 from .piece_codec import op4_piece_codec
+from .quality_rules_model import op3_rule_ensemble
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_rule_ensemble": op3_rule_ensemble,
     "op4_piece_codec": op4_piece_codec,
     "op5_dart_minhash": op5_dart_minhash,
     "op6_license_scan": op6_license_scan,
