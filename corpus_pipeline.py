@@ -1,11 +1,53 @@
-"""A corpus pipeline over documents: its stages follow as their operators are written."""
+"""A corpus pipeline over documents.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept: quality rules and language ID
+drop rejected documents, near-dedup keeps one document of each group, personal data get pseudonyms, and
+what is left is packed into training sequences.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cytoflux.llm import host_rules, language_id, near_dup, packing, pseudonyms
+from cytoflux.llm.common import stored, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return host_rules.kept_documents(docs)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language_id.known_language(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.without_near_duplicates(docs)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("pii", replace_personal_data),
+    ("packing", pack_sequences),
+]
+
+#: SQL expresses neither near-dedup by signatures nor the tokenizer; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again before the next stage."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

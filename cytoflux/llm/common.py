@@ -66,6 +66,20 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def rows_where(docs: DataFrame, outputs: list[str], operator: Callable[[DataFrame], DataFrame], condition: Column) -> DataFrame:
+    """Rows of ``docs`` for which ``condition`` holds over columns that ``operator`` appends; the columns of ``docs``.
+
+    Columns of ``docs`` that have an output's name stand aside meanwhile.
+    """
+    aside: dict[str, str] = {}
+    frame = docs
+    for c in [c for c in docs.columns if c in outputs]:
+        aside[c] = unused(frame, f"{c}_input")
+        frame = frame.withColumnRenamed(c, aside[c])
+    found = operator(frame).where(condition)
+    return found.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def id_class(column: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus

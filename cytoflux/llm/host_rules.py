@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, with_columns_from
+from .common import rows_where, stored, with_columns_from
 
 #: A host goes when its shrunk failure rate is above this.
 HOST_LIMIT = 0.5
@@ -114,6 +114,14 @@ def judge(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT, keys
     return joined.select(*keys, *COUNTS, "base_failed", failed.alias("host_failed"), (~F.col("base_failed") & ~failed).alias("kept"))
 
 
+def kept_documents(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with the columns of ``docs``; the same verdicts as ``judge``."""
+    counted = document_counts(docs.select(host, "text")).select(host, "base_failed")
+    failed = stored(host_verdicts(counted, host, limit).where("host_failed").select(F.col("host").alias("failed_host")))
+    fine = rows_where(docs, [*COUNTS, "base_failed"], document_counts, ~F.col("base_failed"))
+    return fine.join(failed, fine[host].eqNullSafe(failed["failed_host"]), "left_anti")
+
+
 def op8_host_rules(spark, sf_dir):
     from .common import table
 

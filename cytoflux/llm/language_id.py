@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_class, table, with_columns_from
+from .common import id_class, rows_where, table, with_columns_from
 
 DIMENSIONS, CENTROIDS, ROUNDS, BLOCK = 4096, 4, 8, 256
 #: Labelled texts per language that centroids are fitted to; document frequencies use all.
@@ -178,6 +178,12 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     return with_columns_from(docs, [text], OUTPUTS, make)
 
 
+def known_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language is not rejected by a model of all their labelled rows; the columns of ``docs``."""
+    model = fit(docs, F.lit(True))
+    return rows_where(docs, list(OUTPUTS), lambda d: predict(d, model), ~F.col("rejected"))
+
+
 def op1_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     held_out = id_class(F.col("doc_id"), 3) == 1

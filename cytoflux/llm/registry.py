@@ -10,10 +10,12 @@ from .license_scan import OP6_SQL, op6_license_scan
 from .near_dup import op5_dart_minhash
 from .packing import op10_best_fit_packing
 from .piece_codec import op4_piece_codec
+from .pseudonyms import op2_feistel_pseudonyms
 from .quality_rules_model import op3_rule_ensemble
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
     "op3_rule_ensemble": op3_rule_ensemble,
     "op4_piece_codec": op4_piece_codec,
     "op5_dart_minhash": op5_dart_minhash,
@@ -26,6 +28,5 @@ QUERIES = {
 
 ORACLES = {
     "op6_license_scan": OP6_SQL,
-    "op7_hmm_lm": op7_hmm_lm,
     "op8_host_rules": OP8_SQL,
 }
