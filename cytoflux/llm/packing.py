@@ -51,28 +51,35 @@ class PartIds:
         self.keep: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        raw = [x.encode() for x in texts]
-        split = [(x if b"<|" in x else x.lower()).split() for x in raw]
         keep, tail_marks = self.keep, self.TAIL
-        new = set().union(*split).difference(keep)
-        cut = []
+        values, holes = [], []
+        for x in texts:
+            raw = x.encode()
+            parts = (raw if b"<|" in raw else raw.lower()).split()
+            found = list(map(keep.get, parts))
+            values.append(found)
+            if None in found:
+                holes.append((found, [(i, parts[i]) for i, v in enumerate(found) if v is None]))
+        new = {p for _, missing in holes for _, p in missing}
+        cut, whole = {}, set()
         for p in new:
-            if p[-1] in tail_marks:
-                head = p.rstrip(tail_marks)
-                if head and (chr(head[-1]).isalnum() if head[-1] < 128 else head.decode()[-1].isalpha()):
-                    cut.append((p, head))
-        whole = new.difference([p for p, _ in cut])
-        whole.update([head for _, head in cut if head not in keep], [t for p, head in cut if (t := p[len(head) :]) not in keep])
+            head = p.rstrip(tail_marks) if p[-1] in tail_marks else p
+            if len(head) < len(p) and head and (chr(head[-1]).isalnum() if head[-1] < 128 else head.decode()[-1].isalpha()):
+                cut[p] = (head, p[len(head) :])
+                whole.update(x for x in cut[p] if x not in keep)
+            else:
+                whole.add(p)
         order = list(whole)
-        for p, e in zip(order, self.tokenizer.encode_batch([p.decode() for p in order], add_special_tokens=False), strict=True):
-            keep[p] = array("I", e.ids).tobytes()
-        for p, head in cut:
-            keep[p] = keep[head] + keep[p[len(head) :]]
-        out = [b"".join(map(keep.__getitem__, t)) for t in split]
-        if len(keep) > KEPT_PARTS:
-            for p in new.union(whole):
-                del keep[p]
-        return out
+        coded = self.tokenizer.encode_batch_fast([p.decode() for p in order], add_special_tokens=False)
+        fresh = {p: array("I", e.ids).tobytes() for p, e in zip(order, coded, strict=True)}
+        for p, (head, tail) in cut.items():
+            fresh[p] = (fresh[head] if head in fresh else keep[head]) + (fresh[tail] if tail in fresh else keep[tail])
+        for found, missing in holes:
+            for i, p in missing:
+                found[i] = fresh[p]
+        if len(keep) < KEPT_PARTS:
+            keep.update(fresh)
+        return [b"".join(v) for v in values]
 
 
 _WORKER: dict[str, PartIds] = {}
