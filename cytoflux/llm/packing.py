@@ -94,11 +94,16 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def part_ids(path: str) -> PartIds:
+    """The parts of a worker process; a function of the module, so that tasks of a worker share them."""
+    if path not in _WORKER:
+        _WORKER[path] = PartIds(path)
+    return _WORKER[path]
+
+
 def _piece_maker(path: str, capacity: int, end_id: int):
     def make():
-        if path not in _WORKER:
-            _WORKER[path] = PartIds(path)
-        ids_of = _WORKER[path]
+        ids_of = part_ids(path)
         end = array("I", [end_id]).tobytes()
 
         def compute(column: pa.Array):
