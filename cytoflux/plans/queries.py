@@ -1,12 +1,473 @@
-"""The registered queries, and DuckDB SQL for them."""
+"""The registered queries over the test tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from ..functions import names as N
+from ..operators import adapters, contacts, fragments, intervals, phasing, qc, rna, structure
+from ..streaming import sessions
+from .fixtures import view
+from .oracle import ORACLES
 
+TIES = ("price", "ln", "cell", "base", "phase")
+ORDER = ["q", "ln", "price", "start", "end", "cell", "strand"]
 
-def fragment_bin_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = view(spark, sf_dir, "alignments").where(fragments.mapped(10))
+    return fragments.unclipped(fragments.select_best(a, ties=TIES))
+
+
+def fragment_bin_counts(spark, sf_dir):
+    """Select, de-duplicate, make distinct and count per 100-base bin and cell."""
+    s = _selected(spark, sf_dir).withColumnRenamed("qname", "q")
+    kept = fragments.dedup_endpoints(s, ["cell", "chrom"], ORDER)
+    return intervals.bin_counts(fragments.cohort_fragments(kept), ["cell", "chrom"], 100).select("cell", "chrom", "bin", "n")
+
+
+def select_best_per_qname(spark, sf_dir):
+    return _selected(spark, sf_dir).select("qname", "chrom", "start", "end", "strand", "mapq", "flag", "price")
+
+
+def select_with_fallback_phase(spark, sf_dir):
+    a = view(spark, sf_dir, "alignments").where(fragments.mapped(10))
+    t = fragments.with_fallback_phase(fragments.unclipped(fragments.select_best(a, ties=TIES)), a, TIES)
+    return t.select("qname", "chrom", "start", "phase", "final_phase", "phase_source", "r1_informative", "r1_conflict", "conflict")
+
+
+def fragment_selection_counters(spark, sf_dir):
+    a = view(spark, sf_dir, "alignments").where(fragments.mapped(10))
+    best = fragments.select_best(a, ties=TIES)
+    t = fragments.with_fallback_phase(best, a, TIES)
+    keep = F.col("q_start") == 0
+    return t.groupBy("cell").agg(
+        F.count("*").alias("selected"), F.count_if(~keep).alias("clipped"), F.count_if(keep).alias("written"), F.count_if(keep & (F.col("final_phase") != ".")).alias("phased"), F.count_if(keep & (F.col("phase_source") == "R1")).alias("by_r1"), F.count_if(keep & F.col("conflict")).alias("conflicts")
+    )
+
+
+def _dedup(keys: list[str], both: bool):
+    def query(spark, sf_dir):
+        f = view(spark, sf_dir, "fragments")
+        return fragments.dedup_endpoints(f, keys, ORDER, 1, both).select("chrom", "start", "end", "strand", "cell", "q", "ln", "price")
+
+    return query
+
+
+def dup_rate_by_cell(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments")
+    return fragments.duplication_rate(f, fragments.dedup_endpoints(f, ["cell", "chrom"], ORDER), "cell")
+
+
+def cohort_fragments_distinct_sorted(spark, sf_dir):
+    return fragments.cohort_fragments(view(spark, sf_dir, "fragments")).orderBy("chrom", "start", "end", "cell")
+
+
+def bin_counts_5k(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments")
+    return intervals.bin_counts(f, ["cell", "chrom"], 5000)
+
+
+def overlap_join_points(spark, sf_dir):
+    hits = intervals.point_join(view(spark, sf_dir, "fragments"), view(spark, sf_dir, "snps"), ["chrom"], width=512)
+    return hits.select(F.col("l_chrom").alias("chrom"), F.col("l_q").alias("q"), F.col("l_ln").alias("ln"), F.col("l_start").alias("start"), F.col("r_pos").alias("pos"), F.col("r_a0").alias("a0"))
+
+
+def overlap_join_intervals(spark, sf_dir):
+    """Fragments and shared bases per gene."""
+    hits = intervals.overlap_join(view(spark, sf_dir, "fragments").select("chrom", "start", "end"), view(spark, sf_dir, "genes").select("chrom", "gene", "start", "end"), ["chrom"], 512)
+    shared = F.least("l_end", "r_end") - F.greatest("l_start", "r_start")
+    return hits.groupBy(F.col("r_gene").alias("gene")).agg(F.count("*").alias("n"), F.sum(shared).alias("bases"))
+
+
+def overlap_anti(spark, sf_dir):
+    g = view(spark, sf_dir, "genes").where("gene % 4 = 0")
+    f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end")
+    return intervals.overlap_anti(f, g, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 512)
+
+
+def overlap_semi_counts(spark, sf_dir):
+    """Fragments in TSS windows and windows hit, per chromosome."""
+    t = view(spark, sf_dir, "tss").where("pos % 5 = 0").select("chrom", "pos", (F.col("pos") - 20).alias("start"), (F.col("pos") + 20).alias("end"))
+    hits = intervals.overlap_join(view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end"), t, ["chrom"], 512)
+    return hits.groupBy(F.col("l_chrom").alias("chrom")).agg(F.count("*").alias("hits"), F.count_distinct("r_pos").alias("windows"))
+
+
+def overlap_fraction_filter(spark, sf_dir):
+    regions = intervals.merged_intervals(view(spark, sf_dir, "genes").where("gene % 3 = 0").select("chrom", "start", (F.col("end") + 25).alias("end")), ["chrom"])
+    f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end").distinct()
+    return intervals.covered_fraction_filter(f, regions, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 30, 0.5, 512)
+
+
+def interval_union_components(spark, sf_dir):
+    g = view(spark, sf_dir, "genes")
+    return intervals.union_components(g, ["chrom"], ["end", "gene"], 0).select("chrom", "gene", "start", "end", "component")
+
+
+def cluster_best_mapq(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments").where("mapq > 20")
+    best = [F.col("mapq").desc(), *[F.col(c) for c in ("start", "end", "q", "ln", "price", "strand")]]
+    return intervals.cluster_best(f, ["cell", "chrom"], 10, best, ["end", "q", "ln", "price"]).select("cell", "chrom", "start", "end", "mapq", "q", "ln", "price")
+
+
+def cluster_then_filter(spark, sf_dir):
+    """Clusters over all fragments first, quality after; distinct reads."""
+    f = view(spark, sf_dir, "fragments")
+    c = intervals.union_components(f, ["cell", "chrom"], ["end", "q", "ln", "price"], 10).where("mapq >= 20")
+    order = [F.col("mapq").desc(), *[F.col(x) for x in ("start", "end", "q", "ln", "price", "strand")]]
+    return rna.first_row(c, ["cell", "chrom", "component"], order).select("q").distinct()
+
+
+def coverage_steps(spark, sf_dir):
+    return intervals.coverage_steps(view(spark, sf_dir, "fragments"), ["chrom"], segment_width=4096)
+
+
+def coverage_cpm(spark, sf_dir):
+    """Coverage per million fragments of its chromosome."""
+    f = view(spark, sf_dir, "fragments")
+    n = f.groupBy("chrom").agg(F.count("*").alias("n"))
+    t = intervals.coverage_steps(f, ["chrom"], segment_width=4096).join(n, "chrom")
+    return t.select("chrom", "start", "end", F.round(F.col("depth") * 1e6 / F.col("n"), 6).alias("cpm"))
+
+
+def binned_rpkm(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments")
+    n = f.groupBy("cell").agg(F.count("*").alias("total"))
+    t = intervals.bin_counts(f, ["cell", "chrom"], 100).join(n, "cell")
+    return t.select("cell", "chrom", "bin", F.round(F.col("n") * 1e9 / (F.col("total") * 100), 6).alias("rpkm"))
+
+
+def snp_vote_phase(spark, sf_dir):
+    ids = ["qname", "ln", "price", "chrom", "start", "end"]
+    a = view(spark, sf_dir, "alignments").select(*ids, "base").distinct()
+    return phasing.snp_votes(a, view(spark, sf_dir, "snps"), [*ids, "base"])
+
+
+def flag_mapq_counts(spark, sf_dir):
+    a = view(spark, sf_dir, "alignments").withColumn("chrom", F.when(F.col("chrom") == 0, "chrY").when(F.col("chrom") < 4, "chrX").otherwise("chr1"))
+    return qc.flag_counts(a, ["cell"], 10, 20)
+
+
+def sex_call_state(spark, sf_dir):
+    t = qc.sex_call(flag_mapq_counts(spark, sf_dir), "0.3")
+    return t.select("cell", "state", "sex_state", F.col("ratio").cast("double").alias("ratio"), "sex")
+
+
+def compat_classes_rollup(spark, sf_dir):
+    t = _read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("q"), (F.col("l_suppkey") % 50).alias("cell"), (F.col("l_linenumber") % 2).alias("mate"), F.when(F.col("l_returnflag") != "R", F.concat(F.lit("G"), (F.col("l_partkey") % 40).cast("string"))).alias("gene"), (F.col("l_partkey") % 8).alias("token"), F.col("l_quantity").alias("mapq")
+    )
+    side = lambda k, what: F.collect_set(F.when((F.col("mate") == k) & F.col("gene").isNotNull(), F.col(what)))
+    pairs = t.groupBy("q").agg(F.min("cell").alias("cell"), side(1, "gene").alias("g1"), side(0, "gene").alias("g2"), side(1, "token").alias("t1"), side(0, "token").alias("t2"), F.coalesce(F.max(F.when(F.col("mate") == 0, F.col("mapq"))) >= 25, F.lit(False)).alias("r2_mapped"))
+    return rna.compatibility_counts(pairs.withColumn("category", rna.compatibility()))
+
+
+def gene_component_tokens(spark, sf_dir):
+    g = view(spark, sf_dir, "genes")
+    gtf = g.select("chrom", (F.col("gene") % 2000).alias("gene_id"), F.col("start").alias("start1"), F.col("end").alias("end1"))
+    t = rna.gene_components(rna.gene_spans(gtf))
+    return t.select("gene_id", F.array_join("tokens", ",").alias("tokens"))
+
+
+def feature_assignment(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments").where("mapq >= 30").select("q", "ln", "price", "chrom", "start", "end", "strand").distinct()
+    g = view(spark, sf_dir, "genes").select("chrom", F.col("gene").cast("string").alias("gene"), "start", "end", "strand")
+    return rna.assign_features(f, g, ["q", "ln", "price", "chrom", "start", "end", "strand"])
+
+
+def umi_unique_counts(spark, sf_dir):
+    return rna.unique_umis(view(spark, sf_dir, "umis"), ["cell", "gene"])
+
+
+def umi_matrix_pivot(spark, sf_dir):
+    counts = rna.unique_umis(view(spark, sf_dir, "umis"), ["cell", "gene"])
+    wide = rna.wide_matrix(counts, [0, 1, 2, 3, 777])
+    return wide.select("gene", *[F.col(f"`{k}`").alias(f"cell_{k}") for k in (0, 1, 2, 3, 777)])
+
+
+def fraction_split_sum(spark, sf_dir):
+    counts = rna.unique_umis(view(spark, sf_dir, "umis"), ["cell", "gene"])
+    return rna.split_multigene(counts, ["cell"]).select("cell", "gene", F.round("n", 6).alias("n"))
+
+
+def matrix_mode_summary(spark, sf_dir):
+    u = view(spark, sf_dir, "umis")
+    modes = {"all": u, "single": u.where(~F.col("gene").contains(","))}
+    out = [rna.matrix_summary(rna.matrix_per_cell(rna.unique_umis(d, ["cell", "gene"]))).select(F.lit(k).alias("mode"), "*") for k, d in modes.items()]
+    return out[0].union(out[1])
+
+
+def directional_umi(spark, sf_dir):
+    bases = F.translate(F.substring(F.conv((F.col("l_orderkey") % 4096).cast("string"), 10, 4), 1, 6), "0123", "ACGT")
+    r = _read(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 50).alias("cell"), (F.col("l_partkey") % 5).alias("gene"), F.lpad(bases, 6, "A").alias("umi"))
+    return rna.directional_umis(r, ["cell", "gene"])
+
+
+def cell_qc_metadata(spark, sf_dir):
+    li = view(spark, sf_dir, "contacts").join(_read(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 50).alias("c")).distinct(), F.col("cell") == F.col("c"), "left_semi")
+    reads = li.groupBy("cell").agg(F.count("*").alias("dna_reads"))
+    both = contacts.interchromosomal(li.where("ln > 2"), "cell").select("cell", "pairs", F.col("inter").alias("inter_pairs"))
+    rna_reads = view(spark, sf_dir, "umis").where("cell % 3 = 0").groupBy("cell").agg(F.count("*").alias("rna_reads"))
+    cells = view(spark, sf_dir, "cells").select("cell")
+    t = qc.metadata_ratios(qc.left_join_all(cells, [reads, both, rna_reads], "cell"))
+    t = t.withColumn("gigabases", N.gigabases(F.col("dna_reads")))
+    out = qc.filled(t)
+    return out.select("cell", "dna_reads", "pairs", "inter_pairs", "rna_reads", *[F.round(c, 9).alias(c) for c in ("rna_reads_ratio", "pairs_per_read", "inter_pairs_ratio", "gigabases")])
+
+
+def split_read_totals(spark, sf_dir):
+    """Reads per split, outer-joined over splits."""
+    c = view(spark, sf_dir, "contacts")
+    parts = [c.where(f"ln % 3 = {k} and price % 5 <> {k}").groupBy("q").agg(F.count("*").alias(f"reads_{k}")) for k in range(3)]
+    return qc.full_join_all(parts, "q")
+
+
+def cohort_set_diff(spark, sf_dir):
+    found = _read(spark, sf_dir, "lineitem").where("l_quantity > 49 and l_suppkey % 7 <> 0").select((F.col("l_suppkey") + 3).alias("cell"))
+    return qc.set_differences(view(spark, sf_dir, "cells"), found, "cell")
+
+
+def contract_field_diff(spark, sf_dir):
+    s = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("cell"), "s_name", F.col("s_nationkey"))
+    live = s.where("cell % 10 <> 3").withColumn("s_nationkey", F.when(F.col("cell") % 4 == 0, F.col("s_nationkey") + 1).otherwise(F.col("s_nationkey")))
+    return qc.field_differences(s, live, "cell", ["s_name", "s_nationkey"])
+
+
+def expected_missing(spark, sf_dir):
+    grid = qc.expected_grid(view(spark, sf_dir, "cells").select("cell"), ["20k", "50k", "100k"], "resolution")
+    there = _read(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_suppkey").alias("cell"), F.when(F.col("l_linenumber") < 3, "20k").when(F.col("l_linenumber") < 5, "50k").otherwise("1m").alias("resolution")).distinct()
+    return grid.join(there, ["cell", "resolution"], "left_anti")
+
+
+def cell_codes(spark, sf_dir):
+    return view(spark, sf_dir, "cells").select("cell", "sample_name", N.cell_code(F.col("sample_name")).alias("code"))
+
+
+def inter_chrom_counts(spark, sf_dir):
+    return contacts.interchromosomal(view(spark, sf_dir, "contacts"), "cell")
+
+
+def pair_dedup(spark, sf_dir):
+    c = view(spark, sf_dir, "contacts")
+    return contacts.dedup_pairs(c, ["chr1", "chr2", "strand1", "strand2"], ["pos2", "q", "ln", "price", "cell"], 500).select("chr1", "pos1", "chr2", "pos2", "strand1", "strand2", "q", "ln", "price")
+
+
+def chrom_whitelist_pairs(spark, sf_dir):
+    return contacts.standard_pairs(view(spark, sf_dir, "contacts")).groupBy("chr1", "chr2").agg(F.count("*").alias("n"))
+
+
+def segment_merge(spark, sf_dir):
+    t = contacts.merge_hits(view(spark, sf_dir, "hits"), ("ln", "price", "start", "chrom", "strand", "phase"))
+    return t.select("qname", F.col("segment").cast("long").alias("segment"), "chrom", "start", "end", "strand", "phase", "mapq", "n_hits")
+
+
+def adjacent_segment_pairs(spark, sf_dir):
+    t = contacts.adjacent_pairs(contacts.resolve_reads(view(spark, sf_dir, "hits"), ("ln", "price", "start", "chrom", "strand", "phase")))
+    return t.select("qname", F.col("i").cast("long").alias("i"), "chr1", "pos1", "chr2", "pos2", "strand1", "strand2", "phase1", "phase2")
+
+
+def segments_to_bed(spark, sf_dir):
+    return contacts.segments_to_bed(contacts.resolve_reads(view(spark, sf_dir, "hits"), ("ln", "price", "start", "chrom", "strand", "phase")))
+
+
+def clean_crowded_legs(spark, sf_dir):
+    c = view(spark, sf_dir, "contacts").select("cell", "q", "ln", "price", "chr1", "pos1", "chr2", "pos2").distinct()
+    return contacts.clean_legs(c, ["cell", "q", "ln", "price"], 20_000, 12).select("cell", "q", "ln", "price")
+
+
+def clean_isolated_contacts(spark, sf_dir):
+    c = view(spark, sf_dir, "contacts").select("cell", "q", "ln", "price", "chr1", "pos1", "chr2", "pos2").distinct()
+    return contacts.clean_isolated(c, ["cell", "q", "ln", "price"], 400_000, 2).select("cell", "q", "ln", "price")
+
+
+def clean_spliced_contacts(spark, sf_dir):
+    c = view(spark, sf_dir, "contacts").select("cell", "q", "ln", "price", "chr1", "pos1", "chr2", "pos2").distinct()
+    exons = _read(spark, sf_dir, "part").select(F.concat(F.lit("chr"), (F.col("p_partkey") % 23).cast("string")).alias("chrom"), (F.col("p_partkey") * 900).alias("start"), (F.col("p_partkey") * 900 + 40_000).alias("end"), (F.col("p_partkey") % 200).alias("gene"))
+    return contacts.clean_splicing(c, ["cell", "q", "ln", "price"], exons).select("cell", "q", "ln", "price")
+
+
+def library_complexity(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments").select("chrom", F.floor(F.col("start") / 700).alias("start"), "strand", "mapq")
+    t = fragments.library_complexity(f, ["chrom", "start", "strand", "mapq"])
+    return t.select("total", "distinct", "singletons", "doubletons", *[F.round(c, 9).alias(c) for c in ("nrf", "pbc1", "pbc2")])
+
+
+def contamination_regex(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select("source", F.col("text").alias("seq"))
+    return qc.contamination(d, ["source"], pattern="th[aeiou][a-z]{2} [aeo]").select("source", "reads", "hits", F.round("percent", 9).alias("percent"))
+
+
+def adapter_argmax(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("seq"))
+    return qc.adapter_counts(d, "doc_id", 500, {"a": "thing", "b": "ation", "c": "queue"})
+
+
+def adapter_match(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.upper(F.substring("text", 1, 60)).alias("seq"))
+    return adapters.match_prefix(d, "THERNTION", 0.25, 4).select("doc_id", "matched", "trimmed")
+
+
+def demultiplex_prefix(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.upper("text").alias("seq"))
+    return adapters.demultiplex(d, {"x": ("NNTH", 3), "y": ("QUEN", 2), "z": ("LENA", 2)}).groupBy("split").agg(F.count("*").alias("n"))
+
+
+def umi_extraction(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select("doc_id", N.umi_of(F.col("text")).alias("umi"), N.cell_code(F.col("source")).alias("code"))
+    return d.groupBy("code").agg(F.count("*").alias("reads"), F.count_distinct("umi").alias("umis"))
+
+
+def tss_profile_score(spark, sf_dir):
+    sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
+    pile = qc.tss_pileup(sites, view(spark, sf_dir, "tss").where("pos % 3 = 0"), 1000)
+    cells = view(spark, sf_dir, "fragments").select("cell").distinct()
+    return qc.tss_score(pile, cells).select("cell", "insertions", F.round("tss_score", 9).alias("tss_score"))
+
+
+def bulk_tss_signal(spark, sf_dir):
+    sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
+    return qc.bulk_tss_profile(sites, view(spark, sf_dir, "tss").where("pos % 3 = 0")).select("bin", "n", F.round("signal", 9).alias("signal"))
+
+
+def tn5_shift_extend(spark, sf_dir):
+    return fragments.insertion_sites(view(spark, sf_dir, "fragments"), extension=75).groupBy("chrom", "strand").agg(F.sum("start").alias("starts"), F.sum("end").alias("ends"), F.min("site").alias("least"))
+
+
+def mark_duplicates(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments").withColumn("five", fragments.five_prime())
+    t = fragments.mark_duplicates(f, ["chrom", "strand", "five"], [F.col("mapq").desc(), *[F.col(c) for c in ("q", "ln", "price", "cell", "end")]])
+    return t.groupBy("chrom").agg(F.count("*").alias("n"), F.count_if("duplicate").alias("duplicates"))
+
+
+def insert_size_histogram(spark, sf_dir):
+    return fragments.insert_sizes(view(spark, sf_dir, "fragments"), F.col("start") - F.col("end"))
+
+
+def sample_summary(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments")
+    t = f.groupBy("cell").agg(F.count("*").alias("reads"), F.count_if(F.col("chrom") == 3).alias("mt_reads"), F.count_if(F.col("mapq") >= 30).alias("final_reads"))
+    return t.select("cell", "reads", "mt_reads", "final_reads", N.truncated(F.col("mt_reads") / F.col("reads")).alias("mt_rate"), N.truncated(F.col("final_reads") / F.col("reads")).alias("final_rate"))
+
+
+def common_particles(spark, sf_dir):
+    t = structure.common_particles(view(spark, sf_dir, "particles"), 3)
+    return t.select("chrom", "pos").distinct()
+
+
+def compartment_score(spark, sf_dir):
+    cpg = _read(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 20).alias("chrom"), (F.col("p_partkey") % 50).alias("bin")).agg((F.max("p_size") / 100).alias("cpg"))
+    return structure.compartment_score(view(spark, sf_dir, "pairs_bins"), cpg).select("chrom", "bin1", F.round("score", 9).alias("score"))
+
+
+def cpg_windows(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select(F.col("source").alias("chrom"), F.col("doc_id").alias("start"), (F.col("doc_id") + 1).alias("end"), F.col("text").alias("seq"))
+    return structure.cpg_density(d).select("chrom", "start", F.col("cpg").cast("long").alias("cpg"), F.col("valid").cast("long").alias("valid"), F.round("density", 9).alias("density"))
+
+
+def next_positions(spark, sf_dir):
+    p = view(spark, sf_dir, "particles").select("chrom", "pos").distinct()
+    return structure.next_position(p, "chrom", F.col("pos"))
+
+
+def rmsd_best3(spark, sf_dir):
+    e = _read(spark, sf_dir, "embeddings")
+    p = e.select((F.col("label") % 3).alias("cell"), (F.col("vec_id") % 5).cast("int").alias("structure"), F.lit("chr1").alias("chrom"), F.floor(F.col("vec_id") / 5).alias("pos"), *[F.get("embedding", F.lit(k)).cast("double").alias(n) for k, n in enumerate("xyz")])
+    p = p.groupBy("structure", "chrom", "pos").agg(*[F.avg(n).alias(n) for n in "xyz"]).withColumn("cell", F.lit(1))
+    return structure.structure_summary(structure.pair_rmsd(p))
+
+
+def rmsd_pivot(spark, sf_dir):
+    t = _read(spark, sf_dir, "orders").select((F.col("o_custkey") % 100).alias("cell"), F.when(F.col("o_orderkey") % 3 == 0, "20k").when(F.col("o_orderkey") % 3 == 1, "50k").otherwise("100k").alias("resolution"), F.col("o_totalprice").alias("rmsd"))
+    t = t.groupBy("cell", "resolution").agg(F.max("rmsd").alias("rmsd"))
+    return structure.pivot_resolutions(t, ["20k", "50k"])
+
+
+def one_hot_phases(spark, sf_dir):
+    t = view(spark, sf_dir, "contacts").select("cell", N.one_hot_phase((F.col("q") % 5).cast("int")).alias("p"))
+    return t.groupBy("cell").agg(*[F.sum(F.get("p", F.lit(k))).alias(f"p{k}") for k in range(4)])
+
+
+def session_gap_events(spark, sf_dir):
+    t = sessions.gap_sessions(_read(spark, sf_dir, "events"))
+    return t.select("user_id", "n", "first_ts", "last_ts")
+
+
+def windowed_event_counts(spark, sf_dir):
+    return sessions.windowed_counts(_read(spark, sf_dir, "events"), ["event_type"])
+
+
+QUERIES = {
+    "fragment_bin_counts": fragment_bin_counts,
+    "select_best_per_qname": select_best_per_qname,
+    "select_with_fallback_phase": select_with_fallback_phase,
+    "fragment_selection_counters": fragment_selection_counters,
+    "dedup_islands_one_pass": _dedup(["chrom"], False),
+    "dedup_islands_two_pass": _dedup(["chrom"], True),
+    "dedup_islands_splitpool": _dedup(["cell", "chrom"], True),
+    "dup_rate_by_cell": dup_rate_by_cell,
+    "cohort_fragments_distinct_sorted": cohort_fragments_distinct_sorted,
+    "bin_counts_5k": bin_counts_5k,
+    "overlap_join_points": overlap_join_points,
+    "overlap_join_intervals": overlap_join_intervals,
+    "overlap_anti": overlap_anti,
+    "overlap_semi_counts": overlap_semi_counts,
+    "overlap_fraction_filter": overlap_fraction_filter,
+    "interval_union_components": interval_union_components,
+    "cluster_best_mapq": cluster_best_mapq,
+    "cluster_then_filter": cluster_then_filter,
+    "coverage_steps": coverage_steps,
+    "coverage_cpm": coverage_cpm,
+    "binned_rpkm": binned_rpkm,
+    "snp_vote_phase": snp_vote_phase,
+    "flag_mapq_counts": flag_mapq_counts,
+    "sex_call_state": sex_call_state,
+    "compat_classes_rollup": compat_classes_rollup,
+    "gene_component_tokens": gene_component_tokens,
+    "feature_assignment": feature_assignment,
+    "umi_unique_counts": umi_unique_counts,
+    "umi_matrix_pivot": umi_matrix_pivot,
+    "fraction_split_sum": fraction_split_sum,
+    "matrix_mode_summary": matrix_mode_summary,
+    "directional_umi": directional_umi,
+    "cell_qc_metadata": cell_qc_metadata,
+    "split_read_totals": split_read_totals,
+    "cohort_set_diff": cohort_set_diff,
+    "contract_field_diff": contract_field_diff,
+    "expected_missing": expected_missing,
+    "cell_codes": cell_codes,
+    "inter_chrom_counts": inter_chrom_counts,
+    "pair_dedup": pair_dedup,
+    "chrom_whitelist_pairs": chrom_whitelist_pairs,
+    "segment_merge": segment_merge,
+    "adjacent_segment_pairs": adjacent_segment_pairs,
+    "segments_to_bed": segments_to_bed,
+    "clean_crowded_legs": clean_crowded_legs,
+    "clean_isolated_contacts": clean_isolated_contacts,
+    "clean_spliced_contacts": clean_spliced_contacts,
+    "library_complexity": library_complexity,
+    "contamination_regex": contamination_regex,
+    "adapter_argmax": adapter_argmax,
+    "adapter_match": adapter_match,
+    "demultiplex_prefix": demultiplex_prefix,
+    "umi_extraction": umi_extraction,
+    "tss_profile_score": tss_profile_score,
+    "bulk_tss_signal": bulk_tss_signal,
+    "tn5_shift_extend": tn5_shift_extend,
+    "mark_duplicates": mark_duplicates,
+    "insert_size_histogram": insert_size_histogram,
+    "sample_summary": sample_summary,
+    "common_particles": common_particles,
+    "compartment_score": compartment_score,
+    "cpg_windows": cpg_windows,
+    "next_positions": next_positions,
+    "rmsd_best3": rmsd_best3,
+    "rmsd_pivot": rmsd_pivot,
+    "one_hot_phases": one_hot_phases,
+    "session_gap_events": session_gap_events,
+    "windowed_event_counts": windowed_event_counts,
+}
