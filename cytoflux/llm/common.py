@@ -80,6 +80,17 @@ def rows_where(docs: DataFrame, outputs: list[str], operator: Callable[[DataFram
     return found.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, build: Callable[[], object]):
+    """What the tasks of a Python worker share, such as a cache; a worker holds that of one operator at a time."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = build()
+    return _KEPT[name]
+
+
 def id_class(column: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, table, unused, with_columns_from
+from .common import kept, stored, table, unused, with_columns_from
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -44,12 +44,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)
-        if len(self) < 300_000:
+        if len(self) < 200_000:
             self[word] = value
         return value
 
 
-_WORDS = _Words()
 
 
 def strips(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,7 +58,7 @@ def strips(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """
     words = [(t or "").lower().encode("utf-8", "surrogatepass").split() for t in texts]
     sizes = np.array([len(w) for w in words], dtype=np.int64)
-    flat = np.fromiter(map(_WORDS.__getitem__, [w for ws in words for w in ws]), _U, int(sizes.sum()))
+    flat = np.fromiter(map(kept("words", _Words).__getitem__, [w for ws in words for w in ws]), _U, int(sizes.sum()))
     row = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
     h, at = np.zeros(0, _U), np.zeros(0, np.int64)
     if len(flat) >= SHINGLE:

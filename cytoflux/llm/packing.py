@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, table, with_columns_from
+from .common import kept, stored, table, with_columns_from
 
 CAPACITY, END_ID, SALTS = 4096, 1, 256
 #: Blank-separated parts whose ids a worker keeps.
-KEPT_PARTS = 600_000
+KEPT_PARTS = 400_000
 PIECES = {"pieces": "array<long>", "crcs": "array<long>"}
 
 
@@ -82,9 +82,6 @@ class PartIds:
         return [b"".join(v) for v in values]
 
 
-_WORKER: dict[str, PartIds] = {}
-
-
 def _tokenizer(path: str):
     import os
 
@@ -96,9 +93,7 @@ def _tokenizer(path: str):
 
 def part_ids(path: str) -> PartIds:
     """The parts of a worker process; a function of the module, so that tasks of a worker share them."""
-    if path not in _WORKER:
-        _WORKER[path] = PartIds(path)
-    return _WORKER[path]
+    return kept(f"parts {path}", lambda: PartIds(path))
 
 
 def _piece_maker(path: str, capacity: int, end_id: int):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, with_columns_from
+from .common import kept, table, with_columns_from
 
 MARK = "▁"
 #: Parts that a worker keeps encoded.
@@ -229,14 +229,9 @@ class PieceTable:
         return raw.decode("utf-8", errors="replace")
 
 
-_TABLES: dict[str, PieceTable] = {}
-
-
 def piece_table(path: str) -> PieceTable:
     """The table of a worker process, built once."""
-    if path not in _TABLES:
-        _TABLES[path] = PieceTable(path)
-    return _TABLES[path]
+    return kept(f"pieces {path}", lambda: PieceTable(path))
 
 
 def _id_lists(raw: list[bytes]) -> pa.Array:
