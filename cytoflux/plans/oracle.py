@@ -260,7 +260,7 @@ SELECT cell, n AS insertions, CASE WHEN n > 0 THEN round(k / 1001 / nullif(CASE
     "bulk_tss_signal": cte("fragments", "tss")
     + _pile(2000)
     + """, b AS (SELECT floor((off + 2000) / 10)::BIGINT AS bin, count(*) AS n FROM pile WHERE off < 2000 GROUP BY 1), z AS (SELECT sum(CASE WHEN bin < 10 OR bin >= 390 THEN n ELSE 0 END) / 20 AS noise FROM b)
-SELECT bin, n, round(n / noise, 9) AS signal FROM b, z""",
+SELECT bin, n, round(n / nullif(noise, 0), 9) AS signal FROM b, z""",
     "tn5_shift_extend": cte("fragments")
     + """, s AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN start + 4 ELSE "end" - 5 END AS site FROM fragments)
 SELECT chrom, strand, sum(greatest(site - 75, 0))::BIGINT AS starts, sum(site + 76)::BIGINT AS ends, min(site) AS least FROM s GROUP BY ALL""",
