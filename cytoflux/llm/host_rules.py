@@ -38,7 +38,8 @@ def _repeat_words(words: list[list[bytes]]) -> np.ndarray:
     if total >= WINDOW:
         inside = text[: total - WINDOW + 1] == text[WINDOW - 1 :]
         starts = np.flatnonzero(inside)
-        key = text[starts].astype(np.uint64)
+        key = (text[starts].astype(np.uint64) + np.uint64(1)) * np.uint64(0xFF51AFD7ED558CCD)  # texts stay apart
+        key ^= key >> np.uint64(32)
         for k in range(WINDOW):
             key = (key + ids[starts + k]) * _MULTIPLIERS[k]
             key ^= key >> np.uint64(29)
