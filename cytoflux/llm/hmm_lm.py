@@ -76,7 +76,7 @@ def _encoder(shared):
                 flat = [w for ws in words for w in ws]
                 ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
                 row = np.repeat(np.arange(len(words)), sizes)
-                total = lambda x: np.bincount(row, weights=x, minlength=len(words))  # noqa: E731, B023
+                total = lambda x: np.bincount(row, weights=x, minlength=len(words)).astype(np.float64)  # noqa: E731, B023
                 unknown = np.flatnonzero(ids < 0)
                 symbol = np.where((ids >= 0) & (ids < n_symbols), ids, n_symbols).astype("<u2")
                 ends = np.cumsum(sizes)
