@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import island_starts, overlap_join
+from .intervals import island_starts, islands, overlap_join, point_join
 
 STANDARD = r"^(chr)?([0-9]+|[XY])$"
 NO_Y = r"^(chr)?([0-9]+|X)$"
@@ -118,9 +118,7 @@ def dedup_pairs(pairs: DataFrame, keys: list[str], order: list[str], distance: i
 
     ``keys`` hold chromosomes and strands.  Greedy: islands of the first leg are not revised.
     """
-    first = island_starts(pairs, keys, F.col("pos1"), order, distance)
-    w = W.partitionBy(*keys).orderBy("pos1", *order)
-    first = first.withColumn("island", F.sum(F.col("opens").cast("long")).over(w.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("pos", "opens")
+    first = islands(pairs, keys, F.col("pos1"), order, distance).drop("pos")
     return island_starts(first, [*keys, "island"], F.col("pos2"), ["pos1", *order], distance).where("opens").drop("pos", "opens", "island")
 
 
@@ -160,8 +158,6 @@ def clean_isolated(pairs: DataFrame, ids: list[str], distance: int, min_support:
 
 def clean_splicing(pairs: DataFrame, ids: list[str], exons: DataFrame) -> DataFrame:
     """Drop contacts whose two legs fall in exons (chrom, start, end, gene) of one gene."""
-    from .intervals import point_join
-
     hits = point_join(exons, _legs(pairs, ids), ["chrom"])
     genes = hits.groupBy(*[F.col(f"r_{c}").alias(c) for c in ids], F.col("l_gene").alias("gene")).agg(F.count_distinct("r_leg").alias("legs"))
     return pairs.join(genes.where("legs = 2").select(*ids).distinct(), ids, "left_anti")

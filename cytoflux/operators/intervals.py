@@ -96,6 +96,15 @@ def island_starts(df: DataFrame, keys: list[str], pos: Column, order: list[str],
     return d.withColumn("opens", F.coalesce(F.col("pos") - last > gap, F.lit(True))).drop("segment", "last", "carried")
 
 
+def islands(df: DataFrame, keys: list[str], pos: Column, order: list[str], gap: int, segment_width: int = SEGMENT) -> DataFrame:
+    """Append ``pos`` and ``island``, the number of a row's island along its key."""
+    d = island_starts(df, keys, pos, order, gap, segment_width).withColumn("opens", F.col("opens").cast("long")).withColumn("segment", F.floor(F.col("pos") / segment_width))
+    counted = _before(d, keys, "segment", F.sum("opens"), F.sum)
+    within = W.partitionBy(*keys, "segment").orderBy("pos", *order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    d = d.withColumn("local", F.sum("opens").over(within)).join(counted, [*keys, "segment"])
+    return d.withColumn("island", F.col("local") + F.coalesce("carried", F.lit(0))).drop("opens", "segment", "local", "carried")
+
+
 def first_of_islands(df: DataFrame, keys: list[str], pos: Column, order: list[str], gap: int) -> DataFrame:
     return island_starts(df, keys, pos, order, gap).where("opens").drop("opens")
 

@@ -227,3 +227,14 @@ def test_cells_get_their_place(spark):
     cells = d.withColumn("safe_code", N.cell_code(F.col("sample_name")))
     with pytest.raises(Exception, match="unknown cell code"):
         cohort.named(spark.createDataFrame([("Cx", 1)], "cell_code string, n int"), cells).collect()
+
+
+def test_islands_are_numbered_across_segments(spark):
+    random.seed(11)
+    places = sorted(random.randrange(3000) for _ in range(500))
+    d = spark.createDataFrame([("c", p, i) for i, p in enumerate(places)], "chrom string, start long, ord int")
+    n, want = 0, []
+    for i, p in enumerate(places):
+        n += i == 0 or p - places[i - 1] > 3
+        want.append((i, n))
+    assert rows(intervals.islands(d, ["chrom"], F.col("start"), ["ord"], 3, segment_width=16), "ord", "island") == want
