@@ -80,6 +80,25 @@ def rows_where(docs: DataFrame, outputs: list[str], operator: Callable[[DataFram
     return found.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Batches that come sorted by ``keys``, cut so that no group is spread over two tables."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        t = t if rest is None else pa.concat_tables([rest, t])
+        at = t.num_rows - 1
+        last = [t.column(c)[at] for c in keys]
+        while at > 0 and all(t.column(c)[at - 1] == x for c, x in zip(keys, last, strict=True)):
+            at -= 1
+        rest = t.slice(at)
+        if at:
+            yield t.slice(0, at)
+    if rest is not None:
+        yield rest
+
+
 _KEPT: dict[str, object] = {}
 
 

@@ -7,10 +7,11 @@ strips up to a rank that gives it about K ln K + 2 K of them, each dart is sent
 its hash, and the earliest dart of a coordinate is the signature there.  Two documents agree in a coordinate with
 a probability equal to their weighted Jaccard similarity.
 
-Documents that agree in all rows of a band share a bucket.  Buckets are never expanded into pairs: each
-member is compared with the bucket's centre, the member with the most bucket-mates over all bands; then members that
-stay apart are compared with a second centre, and with centres of buckets of two bands.  Candidates are checked
-on whole signatures, then exactly on the shingles.  Links are joined to components.
+Documents that agree in all rows of a band share a bucket.  First each member is compared with its bucket's centre, the
+member with the most bucket-mates over all bands, which joins most of a large group.  Then members that are still outside
+the centre's component are compared with all members of their buckets, block by block, so no link between
+documents that share a bucket is lost and a group that is one component costs no pairs.  Candidates are checked on whole signatures, then
+exactly on the shingles.  Links are joined to components.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import kept, stored, table, unused, with_columns_from
+from .common import kept, stored, table, unused, whole_groups, with_columns_from
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -193,10 +194,77 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     return stored(pairs.join(a, "a").join(b, "b").where(common >= threshold * (F.size("s1") + F.size("s2") - common)).select("a", "b"))
 
 
-def _pairs(members: DataFrame, *key: str, by: str = "mates") -> DataFrame:
-    """Each member with its bucket's centre (greatest ``by``), where their components differ."""
-    centre = stored(members.groupBy(*key).agg(F.max(F.struct(by, -F.col("node"), "component")).alias("c")).select(*key, (-F.col("c.col2")).alias("b"), F.col("c.component").alias("other")))
-    return members.join(centre, list(key)).where("component <> other").select(F.col("node").alias("a"), "b").distinct()
+def _pairs(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Each member with its bucket's centre, where their components differ."""
+    return members.join(centres, "bucket").where("component <> other").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+
+
+def _centres(members: DataFrame) -> DataFrame:
+    """Per bucket the member with the most bucket-mates and its component."""
+    best = members.groupBy("bucket").agg(F.max(F.struct("mates", -F.col("node"), "component")).alias("c"))
+    return stored(best.select("bucket", (-F.col("c.col2")).alias("centre"), F.col("c.component").alias("other")))
+
+
+def _links_of_block(node, component, query, band, bands, signature, sets, threshold: float) -> list[tuple[int, int]]:
+    """Links of the queries of a block to its other rows in other components; a pair counts in its first common bucket."""
+    rows = np.flatnonzero(~query)
+    own_sizes = np.array([len(sets[k]) for k in rows])
+    links = []
+    for q in np.flatnonzero(query):
+        near = (signature[rows] == signature[q]).mean(axis=1) >= LIKELY
+        near &= (component[rows] != component[q]) & ~(bands[rows, :band] == bands[q, :band]).any(axis=1)
+        hits = np.flatnonzero(near)
+        if not len(hits):
+            continue
+        mine, sizes = np.sort(sets[q]), own_sizes[hits]
+        flat = np.concatenate([sets[rows[k]] for k in hits])
+        place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+        common = np.bincount(np.repeat(np.arange(len(hits)), sizes), weights=mine[place] == flat, minlength=len(hits))
+        found = common >= threshold * (sizes + len(mine) - common)
+        links += [(int(node[q]), int(node[rows[k]])) for k in hits[found]]
+    return links
+
+
+def _block_links(threshold: float):
+    keys = ["bucket", "block"]
+
+    def run(batches):
+        for t in whole_groups(batches, keys):
+            value = {c: t.column(c).to_numpy() for c in ("node", "component", "query", "band", *keys)}
+            cuts = np.flatnonzero((value["bucket"][1:] != value["bucket"][:-1]) | (value["block"][1:] != value["block"][:-1])) + 1
+            raw, lists, sets = t.column("signature").to_pylist(), t.column("bands"), t.column("s")
+            links = []
+            for a, b in zip([0, *cuts], [*cuts, t.num_rows], strict=True):
+                own = slice(a, b)
+                signature = np.frombuffer(b"".join(raw[a:b]), np.uint8).reshape(b - a, -1)
+                bands = np.array(lists.slice(a, b - a).to_pylist(), dtype=np.int64)
+                shingles = [np.asarray(x.values) for x in sets.slice(a, b - a)]
+                links += _links_of_block(value["node"][own], value["component"][own], value["query"][own].astype(bool), int(value["band"][a]), bands, signature, shingles, threshold)
+            x = np.array(links, dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], names=["a", "b"])
+
+    return run
+
+
+def _links_across(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """All links within buckets between members of different components.
+
+    In a bucket, members outside the centre's component are queries against all members.  Members are dealt out to blocks of about
+    BLOCK rows, and queries go to every block, so a task holds one block whatever the size of a bucket; members of
+    the centre's component are never compared with each other.
+    """
+    placed = buckets.join(_centres(buckets), "bucket").withColumn("query", F.col("component") != F.col("other"))
+    mixed = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("query").alias("queries")).where("queries > 0")
+    blocks = stored(mixed.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    placed = stored(placed.join(blocks, "bucket").select("node", "component", "bucket", "band", "query", "blocks"))
+    needed = placed.select(F.col("node").alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = with_columns_from(texts, ["text"], {"s": "array<int>"}, _shingle_sets).select(F.col("doc_id").alias("node"), "s")
+    payload = stored(nodes.select("node", "bands", "signature").join(sets, "node"))
+    every = placed.select("node", "component", "bucket", "band", F.lit(False).alias("query"), F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int").alias("block"))
+    asked = placed.where("query").select("node", "component", "bucket", "band", "query", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    rows = every.union(asked).join(payload, "node").repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+    return stored(rows.mapInArrow(_block_links(threshold), "a long, b long"))
 
 
 def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
@@ -214,23 +282,14 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows
     buckets = stored(each.join(stored(shared), "bucket"))
     mates = stored(buckets.groupBy("node").agg(F.sum("n").alias("mates")))
     buckets = stored(buckets.join(mates, "node").select("node", "band", "bucket", "mates", F.col("node").alias("component")))
-    signed_nodes = nodes.where("signature IS NOT NULL").select("node", "signature")
+    signed_nodes = nodes.where("signature IS NOT NULL")
 
-    links = _verified(_alike(_pairs(buckets, "bucket"), signed_nodes), docs, threshold)
+    # Most members of a large group are linked by one comparison with a centre.
+    links = _verified(_alike(_pairs(buckets, _centres(buckets)), signed_nodes), docs, threshold)
     found = stored(components(links))
     buckets = stored(buckets.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    # Members that stayed apart from the bucket's first centre meet a second one.
-    centre = stored(buckets.groupBy("bucket").agg(F.max(F.struct("mates", -F.col("node"), "component")).alias("c")).select("bucket", F.col("c.component").alias("other")))
-    apart = buckets.join(centre, "bucket").where("component <> other").drop("other")
-    again = _pairs(stored(apart), "bucket")
-    # Buckets of two neighbouring bands have centres of their own.
-    following = buckets.select("node", (F.col("band") - 1).alias("band"), F.col("bucket").alias("next"))
-    twice = stored(buckets.join(following, ["node", "band"]))
-    # And each bucket gets a centre by lot.
-    lots = buckets.withColumn("lot", F.xxhash64("node", "bucket"))
-    tried = again.union(_pairs(twice, "bucket", "next")).union(_pairs(lots, "bucket", by="lot")).distinct()
-    more = _verified(_alike(tried, signed_nodes), docs, threshold)
-    return members, links.union(more)
+    # What is still apart is compared with all of its buckets.
+    return members, links.union(_links_across(buckets, signed_nodes, docs, threshold))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
