@@ -248,6 +248,22 @@ def baum_welch(coded: DataFrame, model: dict, rounds: int = ROUNDS) -> dict:
     return model
 
 
+def most_frequent(counts: DataFrame, most: int) -> list:
+    """The tokens from some count on, as many as ``most`` allows, by decreasing count; the driver gets no others.
+
+    The count is found on a histogram of its logarithm, which has a few thousand bins at most, so nothing is sorted.
+    """
+    level = F.floor(F.log2("c") * 64)
+    bins = sorted(((r["b"], r["n"]) for r in counts.groupBy(level.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    total, cut = 0, None
+    for b, n in bins:
+        total += n
+        if total > most:
+            break
+        cut = b
+    return [] if cut is None else sorted(counts.where(level >= cut).collect(), key=lambda r: (-r["c"], r["token"]))
+
+
 def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOLS, lookup: int = LOOKUP) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -262,7 +278,7 @@ def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOL
     ends = training.count()
     whole = counts.agg(F.sum("c"), F.count("*")).first()
     n, v = (whole[0] or 0) + ends, whole[1] + (1 if ends else 0)
-    head = counts.orderBy(F.desc("c"), "token").limit(lookup).collect()  # bounded by the parameter
+    head = most_frequent(counts, lookup)
     c = np.array([r["c"] for r in head], dtype=np.float64)
     k = min(symbols, len(head))
     below = n + v + 1
