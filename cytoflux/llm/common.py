@@ -133,7 +133,7 @@ def with_columns_from(
     inputs: list[str],
     outputs: dict[str, str],
     make: Callable[[], Callable],
-    most_bytes: int = 4 << 20,
+    most_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Append columns that an Arrow function computes row by row; no shuffle.
 

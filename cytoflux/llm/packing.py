@@ -26,7 +26,7 @@ from .common import kept, stored, table, with_columns_from
 
 CAPACITY, END_ID, SALTS = 4096, 1, 256
 #: Blank-separated parts whose ids a worker keeps.
-KEPT_PARTS = 400_000
+KEPT_PARTS = 200_000
 PIECES = {"pieces": "array<long>", "crcs": "array<long>"}
 
 
