@@ -240,11 +240,14 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> dict[int, np.ndarr
 def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
     """Append ``sequence_id`` and ``offset`` to pieces (with ``doc_id``, ``piece``, ``length`` and more).
 
+    Pieces of a length are ranked in ``salts`` groups or more, so that a group stays small when one length holds a third of all pieces.
+
     Null ids, repeated rows and equal pieces each get a place of their own; no piece, no sequence.
     """
     spark = pieces.sparkSession
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     pieces = stored(pieces.select(*columns))
+    salts = max(salts, pieces.count() // 200_000)
     salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")
     counts = stored(pieces.groupBy("length", salt.alias("salt")).agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # an entry per length: capacity at most
