@@ -280,6 +280,13 @@ SELECT *, round(cpg / nullif(valid, 0), 9) AS density FROM c""",
     "next_positions": cte("particles") + " SELECT chrom, pos, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS next_pos FROM (SELECT DISTINCT chrom, pos FROM particles)",
     "rmsd_pivot": """WITH t AS (SELECT o_custkey % 100 AS cell, o_orderkey % 3 AS r, max(o_totalprice) AS v FROM orders GROUP BY ALL) SELECT cell, max(v) FILTER (r = 0) AS rmsd_20k, max(v) FILTER (r = 1) AS rmsd_50k FROM t GROUP BY cell""",
     "one_hot_phases": cte("contacts") + " SELECT cell, " + ", ".join(f"(count(*) FILTER (q % 5 = {k}))::DOUBLE AS p{k}" for k in range(4)) + " FROM contacts GROUP BY cell",
+    "merged_gene_spans": cte("genes") + ", g AS (SELECT chrom, start, \"end\" FROM genes), " + _union("chrom", "g", '"end"', 0) + ' SELECT chrom, min(start) AS start, max("end") AS "end" FROM v GROUP BY chrom, component',
+    "genome_split_counts": cte("alignments") + " SELECT cell, CASE phase WHEN '0' THEN 'genome1' WHEN '1' THEN 'genome2' ELSE 'unassigned' END AS genome, count(*) AS n FROM alignments GROUP BY ALL",
+    "standard_reads": _READS + " SELECT qname, count(*) AS segments FROM segs GROUP BY qname HAVING bool_and(chrom = 'chr0')",
+    "pairs_text": cte("contacts") + " SELECT concat_ws(chr(9), q, chr1, pos1, chr2, pos2, strand1, strand2, CASE WHEN ln > 3 THEN '0' ELSE '.' END) AS value FROM contacts",
+    "ncc_text": cte("contacts") + " SELECT concat_ws(' ', chr1, pos1, pos1, pos1, pos1, strand1, chr2, pos2, pos2, pos2, pos2, strand2) AS value FROM contacts WHERE q % 5 < 4",
+    "read_id_tags": """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'r' || o_orderkey || '_C' || substr(sha256(o_orderpriority), 1, 16) || '_ACGTACGT' END AS tagged,
+CASE WHEN o_orderkey % 3 = 0 THEN 'ACGTACGT' END AS umi FROM orders""",
     "session_gap_events": """WITH o AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS o FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM o)
 SELECT user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM s GROUP BY user_id, k""",
     "windowed_event_counts": "SELECT event_type, date_trunc('hour', ts) AS window_start, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..operators import adapters, contacts, fragments, intervals, phasing, qc, rna, structure
+from ..sources import writers
 from ..streaming import sessions
 from .fixtures import view
 from .oracle import ORACLES
@@ -392,6 +393,37 @@ def one_hot_phases(spark, sf_dir):
     return t.groupBy("cell").agg(*[F.sum(F.get("p", F.lit(k))).alias(f"p{k}") for k in range(4)])
 
 
+def merged_gene_spans(spark, sf_dir):
+    return intervals.merged_intervals(view(spark, sf_dir, "genes").select("chrom", "start", "end"), ["chrom"])
+
+
+def genome_split_counts(spark, sf_dir):
+    return rna.genome_split(view(spark, sf_dir, "alignments")).groupBy("cell", "genome").agg(F.count("*").alias("n"))
+
+
+def standard_reads(spark, sf_dir):
+    """Reads all of whose segments are on one wanted chromosome."""
+    t = contacts.resolve_reads(view(spark, sf_dir, "hits"), ("ln", "price", "start", "chrom", "strand", "phase"))
+    return contacts.standard_reads(t, "^chr0$").select("qname", F.size("segs").cast("long").alias("segments"))
+
+
+def pairs_text(spark, sf_dir):
+    c = view(spark, sf_dir, "contacts").withColumn("read_id", F.col("q")).withColumn("phase1", F.when(F.col("ln") > 3, F.lit("0")))
+    return writers.pairs_lines(c)
+
+
+def ncc_text(spark, sf_dir):
+    c = view(spark, sf_dir, "contacts")
+    p = {f"p{k}": F.when(F.col("q") % 5 == i, 0.9).otherwise(F.lit(0.1)) for i, k in enumerate(("00", "01", "10", "11"))}
+    return writers.ncc_lines(c.withColumns(p), 0.75)
+
+
+def read_id_tags(spark, sf_dir):
+    base = F.concat(F.lit("r"), F.col("o_orderkey").cast("string"), F.lit("_"), F.when(F.col("o_orderkey") % 3 == 0, "ACGTACGT").otherwise("ACG"))
+    t = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), N.tagged_read_id(base, N.cell_code(F.col("o_orderpriority"))).alias("tagged"))
+    return t.withColumn("umi", N.read_id_parts(F.col("tagged"))["umi"])
+
+
 def session_gap_events(spark, sf_dir):
     t = sessions.gap_sessions(_read(spark, sf_dir, "events"))
     return t.select("user_id", "n", "first_ts", "last_ts")
@@ -468,6 +500,12 @@ QUERIES = {
     "rmsd_best3": rmsd_best3,
     "rmsd_pivot": rmsd_pivot,
     "one_hot_phases": one_hot_phases,
+    "merged_gene_spans": merged_gene_spans,
+    "genome_split_counts": genome_split_counts,
+    "standard_reads": standard_reads,
+    "pairs_text": pairs_text,
+    "ncc_text": ncc_text,
+    "read_id_tags": read_id_tags,
     "session_gap_events": session_gap_events,
     "windowed_event_counts": windowed_event_counts,
 }
