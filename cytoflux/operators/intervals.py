@@ -86,14 +86,15 @@ def island_starts(df: DataFrame, keys: list[str], pos: Column, order: list[str],
     """Append ``pos`` and ``opens``: does a row open an island, that is, is the row before it more than ``gap`` away?
 
     Rows are ordered by (pos, order).  An island is a chain of rows each within ``gap`` of the one before, so keeping the
-    rows that open one keeps the first of each cluster.
+    rows that open one keeps the first of each cluster.  One shuffle by (keys, segment): rows within ``gap`` of a segment's
+    end also go to the next one, where they only serve as neighbours.
     """
-    d = df.withColumn("pos", pos).withColumn("segment", F.floor(F.col("pos") / segment_width))
-    carried = _before(d, keys, "segment", F.max("pos"), F.max)
-    within = W.partitionBy(*keys, "segment").orderBy("pos", *order)
-    d = d.withColumn("last", F.lag("pos").over(within)).join(carried, [*keys, "segment"])
-    last = F.coalesce("last", "carried")
-    return d.withColumn("opens", F.coalesce(F.col("pos") - last > gap, F.lit(True))).drop("segment", "last", "carried")
+    width = max(segment_width, gap + 1)
+    place, last = F.floor(F.col("pos") / width), F.floor((F.col("pos") + gap) / width)
+    d = df.withColumn("pos", pos).withColumn("home", place).withColumn("segment", F.explode(F.sequence(place, last)))
+    before = F.lag("pos").over(W.partitionBy(*keys, "segment").orderBy("pos", *order))
+    d = d.withColumn("opens", F.coalesce(F.col("pos") - before > gap, F.lit(True)))
+    return d.where("segment = home").drop("segment", "home")
 
 
 def islands(df: DataFrame, keys: list[str], pos: Column, order: list[str], gap: int, segment_width: int = SEGMENT) -> DataFrame:
@@ -109,11 +110,17 @@ def first_of_islands(df: DataFrame, keys: list[str], pos: Column, order: list[st
     return island_starts(df, keys, pos, order, gap).where("opens").drop("opens")
 
 
-def union_components(df: DataFrame, keys: list[str], order: list[str], distance: int = 0, start: str = "start", end: str = "end", segment_width: int = SEGMENT) -> DataFrame:
+def union_components(df: DataFrame, keys: list[str], order: list[str], distance: int = 0, start: str = "start", end: str = "end", segment_width: int | None = None) -> DataFrame:
     """Append ``component`` (1, 2, ... along each key): a row opens one when start > greatest end so far + ``distance``.
 
-    With closed coordinates, intervals that share a coordinate merge.
+    With closed coordinates, intervals that share a coordinate merge.  By default a key is one window, as fits keys of bounded size (a cell's
+    chromosome, an annotation); with ``segment_width`` windows hold a segment of it, and prefixes over segments are joined.
     """
+    if segment_width is None:
+        w = W.partitionBy(*keys).orderBy(start, *order)
+        top = F.max(end).over(w.rowsBetween(W.unboundedPreceding, -1))
+        d = df.withColumn("opens", F.coalesce((F.col(start) > top + distance).cast("long"), F.lit(1)))
+        return d.withColumn("component", F.sum("opens").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("opens")
     d = df.withColumn("segment", F.floor(F.col(start) / segment_width))
     carried = _before(d, keys, "segment", F.max(end), F.max)
     within = W.partitionBy(*keys, "segment").orderBy(start, *order)
@@ -137,16 +144,20 @@ def cluster_best(df: DataFrame, keys: list[str], distance: int, best: list[Colum
 
 
 def coverage_steps(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", segment_width: int = SEGMENT) -> DataFrame:
-    """Steps of constant positive depth: keys, start, end, depth."""
-    one = [F.lit(1).cast("long").alias("d")]
-    edges = df.select(*keys, F.col(start).alias("pos"), *one).union(df.select(*keys, F.col(end).alias("pos"), (-F.lit(1).cast("long")).alias("d")))
-    steps = edges.groupBy(*keys, "pos").agg(F.sum("d").alias("d")).withColumn("segment", F.floor(F.col("pos") / segment_width))
-    carried = _before(steps, keys, "segment", F.sum("d"), F.sum)
-    first = steps.groupBy(*keys, "segment").agg(F.min("pos").alias("own"))
-    later = first.select(*keys, "segment", F.lead("own").over(W.partitionBy(*keys).orderBy("segment")).alias("following"))
+    """Steps of constant positive depth: keys, start, end, depth.
+
+    Windows hold a segment; the depth at its start and the first position after it come from one small table of segments.
+    """
+    change = lambda c, d: F.struct(F.col(c).alias("pos"), F.lit(d).cast("long").alias("d"))
+    edges = df.select(*keys, F.explode(F.array(change(start, 1), change(end, -1))).alias("e")).select(*keys, F.col("e.pos").alias("pos"), F.col("e.d").alias("d"))
+    edges = edges.withColumn("segment", F.floor(F.col("pos") / segment_width))
+    along = W.partitionBy(*keys).orderBy("segment")
+    each = edges.groupBy(*keys, "segment").agg(F.sum("d").alias("own"), F.min("pos").alias("first"))
+    around = each.select(*keys, "segment", F.sum("own").over(along.rowsBetween(W.unboundedPreceding, -1)).alias("carried"), F.lead("first").over(along).alias("following"))
+    steps = edges.groupBy(*keys, "segment", "pos").agg(F.sum("d").alias("d"))
     within = W.partitionBy(*keys, "segment").orderBy("pos")
     d = steps.withColumn("local", F.sum("d").over(within.rowsBetween(W.unboundedPreceding, W.currentRow))).withColumn("next", F.lead("pos").over(within))
-    d = d.join(carried, [*keys, "segment"]).join(later, [*keys, "segment"])
+    d = d.join(around, [*keys, "segment"])
     depth = F.col("local") + F.coalesce("carried", F.lit(0))
     return d.select(*keys, F.col("pos").alias("start"), F.coalesce("next", "following").alias("end"), depth.alias("depth")).where("depth > 0")
 

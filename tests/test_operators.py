@@ -39,6 +39,7 @@ def test_components_and_coverage_against_plain_python(spark):
     spans = [(i, s, s + random.randrange(1, 60)) for i, s in enumerate(random.randrange(4000) for _ in range(300))]
     d = spark.createDataFrame([("c", *s) for s in spans], "chrom string, id int, start long, end long")
     got = dict(rows(intervals.union_components(d, ["chrom"], ["end", "id"], segment_width=64), "id", "component"))
+    assert got == dict(rows(intervals.union_components(d, ["chrom"], ["end", "id"]), "id", "component"))
     top, n, want = None, 0, {}
     for i, s, e in sorted(spans, key=lambda x: (x[1], x[2], x[0])):
         if top is None or s > top:
