@@ -183,13 +183,9 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose shingles have the similarity; only texts of these pairs are moved."""
-    pairs = stored(pairs)
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
-    sets = stored(with_columns_from(texts, ["text"], {"s": "array<int>"}, _shingle_sets).select("doc_id", "s"))
-    a, b = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("s1")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("s2"))
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose shingles have the similarity."""
+    a, b = sets.select(F.col("node").alias("a"), F.col("s").alias("s1")), sets.select(F.col("node").alias("b"), F.col("s").alias("s2"))
     common = F.size(F.array_intersect("s1", "s2"))
     return stored(pairs.join(a, "a").join(b, "b").where(common >= threshold * (F.size("s1") + F.size("s2") - common)).select("a", "b"))
 
@@ -246,7 +242,7 @@ def _block_links(threshold: float):
     return run
 
 
-def _links_across(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+def _links_across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """All links within buckets between members of different components.
 
     In a bucket, members outside the centre's component are queries against all members.  Members are dealt out to blocks of about
@@ -257,10 +253,8 @@ def _links_across(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, thresho
     mixed = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("query").alias("queries")).where("queries > 0")
     blocks = stored(mixed.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     placed = stored(placed.join(blocks, "bucket").select("node", "component", "bucket", "band", "query", "blocks"))
-    needed = placed.select(F.col("node").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = with_columns_from(texts, ["text"], {"s": "array<int>"}, _shingle_sets).select(F.col("doc_id").alias("node"), "s")
-    payload = stored(nodes.select("node", "bands", "signature").join(sets, "node"))
+    needed = placed.select("node").distinct()
+    payload = stored(nodes.select("node", "bands", "signature").join(sets, "node").join(needed, "node", "left_semi"))
     every = placed.select("node", "component", "bucket", "band", F.lit(False).alias("query"), F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int").alias("block"))
     asked = placed.where("query").select("node", "component", "bucket", "band", "query", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     rows = every.union(asked).join(payload, "node").repartition("bucket", "block").sortWithinPartitions("bucket", "block")
@@ -283,13 +277,16 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows
     mates = stored(buckets.groupBy("node").agg(F.sum("n").alias("mates")))
     buckets = stored(buckets.join(mates, "node").select("node", "band", "bucket", "mates", F.col("node").alias("component")))
     signed_nodes = nodes.where("signature IS NOT NULL")
+    # Only texts with a bucket-mate are moved, once; afterwards their shingles are.
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(mates.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = stored(with_columns_from(texts, ["text"], {"s": "array<int>"}, _shingle_sets).select("node", "s"))
 
     # Most members of a large group are linked by one comparison with a centre.
-    links = _verified(_alike(_pairs(buckets, _centres(buckets)), signed_nodes), docs, threshold)
+    links = _verified(_alike(_pairs(buckets, _centres(buckets)), signed_nodes), sets, threshold)
     found = stored(components(links))
     buckets = stored(buckets.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
     # What is still apart is compared with all of its buckets.
-    return members, links.union(_links_across(buckets, signed_nodes, docs, threshold))
+    return members, links.union(_links_across(buckets, signed_nodes, sets, threshold))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -308,12 +305,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each group, one row of each id, all columns."""
-    kept = near_duplicates(docs, threshold).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    """The rows of ``docs`` that stay: one document of each group, one row of each id, all columns.
+
+    Rows to drop are fewer than rows to keep, so texts are joined with their ids; only rows with a repeated id are ranked.
+    """
+    label = near_duplicates(docs, threshold).where("doc_id IS NOT NULL")
+    dropped = stored(label.where("NOT kept").select("doc_id").distinct())
+    repeated = stored(label.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    left = docs.join(dropped, "doc_id", "left_anti")
     row = unused(docs, "row")
-    numbered = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    one = numbered.withColumn(row, F.row_number().over(W.partitionBy("doc_id").orderBy(F.length("text"), "text"))).where(F.col(row) == 1).drop(row)
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    ranked = left.join(repeated, "doc_id", "left_semi").withColumn(row, F.row_number().over(W.partitionBy("doc_id").orderBy(F.length("text"), "text")))
+    once = ranked.where(F.col(row) == 1).drop(row).select(*docs.columns)
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def op5_dart_minhash(spark, sf_dir):
