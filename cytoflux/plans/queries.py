@@ -86,23 +86,36 @@ def overlap_join_intervals(spark, sf_dir):
     return hits.groupBy(F.col("r_gene").alias("gene")).agg(F.count("*").alias("n"), F.sum(shared).alias("bases"))
 
 
-def overlap_anti(spark, sf_dir):
-    g = view(spark, sf_dir, "genes").where("gene % 4 = 0")
-    f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end")
-    return intervals.overlap_anti(f, g, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 512)
+# Queries that come twice: under the plain name over the rows that their SQL names, under a name with _all over every row.
 
 
-def overlap_semi_counts(spark, sf_dir):
+def _overlap_anti(genes: str = "true"):
+    def query(spark, sf_dir):
+        g = view(spark, sf_dir, "genes").where(genes)
+        f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end")
+        return intervals.overlap_anti(f, g, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 512)
+
+    return query
+
+
+def _overlap_semi_counts(starts: str = "true"):
     """Fragments in TSS windows and windows hit, per chromosome."""
-    t = view(spark, sf_dir, "tss").where("pos % 5 = 0").select("chrom", "pos", (F.col("pos") - 20).alias("start"), (F.col("pos") + 20).alias("end"))
-    hits = intervals.overlap_join(view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end"), t, ["chrom"], 512)
-    return hits.groupBy(F.col("l_chrom").alias("chrom")).agg(F.count("*").alias("hits"), F.count_distinct("r_pos").alias("windows"))
 
+    def query(spark, sf_dir):
+        t = view(spark, sf_dir, "tss").where(starts).select("chrom", "pos", (F.col("pos") - 20).alias("start"), (F.col("pos") + 20).alias("end"))
+        hits = intervals.overlap_join(view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end"), t, ["chrom"], 512)
+        return hits.groupBy(F.col("l_chrom").alias("chrom")).agg(F.count("*").alias("hits"), F.count_distinct("r_pos").alias("windows"))
 
-def overlap_fraction_filter(spark, sf_dir):
-    regions = intervals.merged_intervals(view(spark, sf_dir, "genes").where("gene % 3 = 0").select("chrom", "start", (F.col("end") + 25).alias("end")), ["chrom"])
-    f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end").distinct()
-    return intervals.covered_fraction_filter(f, regions, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 30, 0.5, 512)
+    return query
+
+
+def _overlap_fraction_filter(genes: str = "true"):
+    def query(spark, sf_dir):
+        regions = intervals.merged_intervals(view(spark, sf_dir, "genes").where(genes).select("chrom", "start", (F.col("end") + 25).alias("end")), ["chrom"])
+        f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end").distinct()
+        return intervals.covered_fraction_filter(f, regions, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 30, 0.5, 512)
+
+    return query
 
 
 def interval_union_components(spark, sf_dir):
@@ -209,23 +222,30 @@ def directional_umi(spark, sf_dir):
     return rna.directional_umis(r, ["cell", "gene"])
 
 
-def cell_qc_metadata(spark, sf_dir):
-    li = view(spark, sf_dir, "contacts").join(_read(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 50).alias("c")).distinct(), F.col("cell") == F.col("c"), "left_semi")
-    reads = li.groupBy("cell").agg(F.count("*").alias("dna_reads"))
-    both = contacts.interchromosomal(li.where("ln > 2"), "cell").select("cell", "pairs", F.col("inter").alias("inter_pairs"))
-    rna_reads = view(spark, sf_dir, "umis").where("cell % 3 = 0").groupBy("cell").agg(F.count("*").alias("rna_reads"))
-    cells = view(spark, sf_dir, "cells").select("cell")
-    t = qc.metadata_ratios(qc.left_join_all(cells, [reads, both, rna_reads], "cell"))
-    t = t.withColumn("gigabases", N.gigabases(F.col("dna_reads")))
-    out = qc.filled(t)
-    return out.select("cell", "dna_reads", "pairs", "inter_pairs", "rna_reads", *[F.round(c, 9).alias(c) for c in ("rna_reads_ratio", "pairs_per_read", "inter_pairs_ratio", "gigabases")])
+def _cell_qc_metadata(umis: str = "true", pairs: str = "true"):
+    def query(spark, sf_dir):
+        li = view(spark, sf_dir, "contacts").join(_read(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 50).alias("c")).distinct(), F.col("cell") == F.col("c"), "left_semi")
+        reads = li.groupBy("cell").agg(F.count("*").alias("dna_reads"))
+        both = contacts.interchromosomal(li.where(pairs), "cell").select("cell", "pairs", F.col("inter").alias("inter_pairs"))
+        rna_reads = view(spark, sf_dir, "umis").where(umis).groupBy("cell").agg(F.count("*").alias("rna_reads"))
+        cells = view(spark, sf_dir, "cells").select("cell")
+        t = qc.metadata_ratios(qc.left_join_all(cells, [reads, both, rna_reads], "cell"))
+        t = t.withColumn("gigabases", N.gigabases(F.col("dna_reads")))
+        out = qc.filled(t)
+        return out.select("cell", "dna_reads", "pairs", "inter_pairs", "rna_reads", *[F.round(c, 9).alias(c) for c in ("rna_reads_ratio", "pairs_per_read", "inter_pairs_ratio", "gigabases")])
+
+    return query
+
 
+def _split_read_totals(kept: str = "true"):
+    """Reads per split, outer-joined over splits; ``{k}`` in ``kept`` is the split."""
 
-def split_read_totals(spark, sf_dir):
-    """Reads per split, outer-joined over splits."""
-    c = view(spark, sf_dir, "contacts")
-    parts = [c.where(f"ln % 3 = {k} and price % 5 <> {k}").groupBy("q").agg(F.count("*").alias(f"reads_{k}")) for k in range(3)]
-    return qc.full_join_all(parts, "q")
+    def query(spark, sf_dir):
+        c = view(spark, sf_dir, "contacts")
+        parts = [c.where(f"ln % 3 = {k}").where(kept.format(k=k)).groupBy("q").agg(F.count("*").alias(f"reads_{k}")) for k in range(3)]
+        return qc.full_join_all(parts, "q")
+
+    return query
 
 
 def cohort_set_diff(spark, sf_dir):
@@ -323,16 +343,22 @@ def umi_extraction(spark, sf_dir):
     return d.groupBy("code").agg(F.count("*").alias("reads"), F.count_distinct("umi").alias("umis"))
 
 
-def tss_profile_score(spark, sf_dir):
-    sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
-    pile = qc.tss_pileup(sites, view(spark, sf_dir, "tss").where("pos % 3 = 0"), 1000)
-    cells = view(spark, sf_dir, "fragments").select("cell").distinct()
-    return qc.tss_score(pile, cells).select("cell", "insertions", F.round("tss_score", 9).alias("tss_score"))
+def _tss_profile_score(starts: str = "true"):
+    def query(spark, sf_dir):
+        sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
+        pile = qc.tss_pileup(sites, view(spark, sf_dir, "tss").where(starts), 1000)
+        cells = view(spark, sf_dir, "fragments").select("cell").distinct()
+        return qc.tss_score(pile, cells).select("cell", "insertions", F.round("tss_score", 9).alias("tss_score"))
+
+    return query
 
 
-def bulk_tss_signal(spark, sf_dir):
-    sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
-    return qc.bulk_tss_profile(sites, view(spark, sf_dir, "tss").where("pos % 3 = 0")).select("bin", "n", F.round("signal", 9).alias("signal"))
+def _bulk_tss_signal(starts: str = "true"):
+    def query(spark, sf_dir):
+        sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
+        return qc.bulk_tss_profile(sites, view(spark, sf_dir, "tss").where(starts)).select("bin", "n", F.round("signal", 9).alias("signal"))
+
+    return query
 
 
 def tn5_shift_extend(spark, sf_dir):
@@ -446,9 +472,12 @@ QUERIES = {
     "bin_counts_5k": bin_counts_5k,
     "overlap_join_points": overlap_join_points,
     "overlap_join_intervals": overlap_join_intervals,
-    "overlap_anti": overlap_anti,
-    "overlap_semi_counts": overlap_semi_counts,
-    "overlap_fraction_filter": overlap_fraction_filter,
+    "overlap_anti": _overlap_anti("gene % 4 = 0"),
+    "overlap_anti_all": _overlap_anti(),
+    "overlap_semi_counts": _overlap_semi_counts("pos % 5 = 0"),
+    "overlap_semi_counts_all": _overlap_semi_counts(),
+    "overlap_fraction_filter": _overlap_fraction_filter("gene % 3 = 0"),
+    "overlap_fraction_filter_all": _overlap_fraction_filter(),
     "interval_union_components": interval_union_components,
     "cluster_best_mapq": cluster_best_mapq,
     "cluster_then_filter": cluster_then_filter,
@@ -466,8 +495,10 @@ QUERIES = {
     "fraction_split_sum": fraction_split_sum,
     "matrix_mode_summary": matrix_mode_summary,
     "directional_umi": directional_umi,
-    "cell_qc_metadata": cell_qc_metadata,
-    "split_read_totals": split_read_totals,
+    "cell_qc_metadata": _cell_qc_metadata("cell % 3 = 0", "ln > 2"),
+    "cell_qc_metadata_all": _cell_qc_metadata(),
+    "split_read_totals": _split_read_totals("price % 5 <> {k}"),
+    "split_read_totals_all": _split_read_totals(),
     "cohort_set_diff": cohort_set_diff,
     "contract_field_diff": contract_field_diff,
     "expected_missing": expected_missing,
@@ -487,8 +518,10 @@ QUERIES = {
     "adapter_match": adapter_match,
     "demultiplex_prefix": demultiplex_prefix,
     "umi_extraction": umi_extraction,
-    "tss_profile_score": tss_profile_score,
-    "bulk_tss_signal": bulk_tss_signal,
+    "tss_profile_score": _tss_profile_score("pos % 3 = 0"),
+    "tss_profile_score_all": _tss_profile_score(),
+    "bulk_tss_signal": _bulk_tss_signal("pos % 3 = 0"),
+    "bulk_tss_signal_all": _bulk_tss_signal(),
     "tn5_shift_extend": tn5_shift_extend,
     "mark_duplicates": mark_duplicates,
     "insert_size_histogram": insert_size_histogram,
