@@ -50,8 +50,9 @@ def contamination(reads: DataFrame, key: list[str], seq: str = "seq", pattern: s
 
 def adapter_counts(reads: DataFrame, order: str, limit: int | None = 1_000_000, adapters: dict[str, str] = ADAPTERS, seq: str = "seq") -> DataFrame:
     """How many of the first ``limit`` reads hold each adapter, and which is the most frequent (first name of equals)."""
-    head = reads.orderBy(order).limit(limit) if limit else reads
-    counts = head.agg(*[F.count_if(F.col(seq).contains(a)).alias(k) for k, a in adapters.items()])
+    hits = reads.select(F.col(order).alias("order"), *[F.col(seq).contains(a).alias(k) for k, a in adapters.items()])
+    head = hits.orderBy("order").limit(limit) if limit else hits  # no texts are sorted
+    counts = head.agg(*[F.count_if(k).alias(k) for k in adapters])
     most = F.greatest(*adapters)
     best = reduce(lambda rest, k: F.when(F.col(k) == most, F.lit(k)).otherwise(rest), reversed(sorted(adapters)), F.lit(None).cast("string"))
     return counts.select(*adapters, best.alias("best"))

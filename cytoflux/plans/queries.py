@@ -323,13 +323,16 @@ def contamination_regex(spark, sf_dir):
     return qc.contamination(d, ["source"], pattern="th[aeiou][a-z]{2} [aeo]").select("source", "reads", "hits", F.round("percent", 9).alias("percent"))
 
 
-def adapter_argmax(spark, sf_dir):
-    d = _read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("seq"))
-    return qc.adapter_counts(d, "doc_id", 500, {"a": "thing", "b": "ation", "c": "queue"})
+def _adapter_argmax(**limit):
+    def query(spark, sf_dir):
+        d = _read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("seq"))
+        return qc.adapter_counts(d, "doc_id", adapters={"a": "thing", "b": "ation", "c": "queue"}, **limit)
+
+    return query
 
 
 def adapter_match(spark, sf_dir):
-    d = _read(spark, sf_dir, "documents").select("doc_id", F.upper(F.substring("text", 1, 60)).alias("seq"))
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.upper("text").alias("seq"))
     return adapters.match_prefix(d, "THERNTION", 0.25, 4).select("doc_id", "matched", "trimmed")
 
 
@@ -514,7 +517,8 @@ QUERIES = {
     "clean_spliced_contacts": clean_spliced_contacts,
     "library_complexity": library_complexity,
     "contamination_regex": contamination_regex,
-    "adapter_argmax": adapter_argmax,
+    "adapter_argmax": _adapter_argmax(limit=500),
+    "adapter_argmax_all": _adapter_argmax(),
     "adapter_match": adapter_match,
     "demultiplex_prefix": demultiplex_prefix,
     "umi_extraction": umi_extraction,

@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from cytoflux.operators import adapters
 from cytoflux.plans.fixtures import view
 
 SF = "/root/testdata/sf0.001"
@@ -92,3 +93,20 @@ def test_split_read_totals_all(spark, tables):
     want = pd.crosstab(c["q"], c["ln"] % 3).reset_index()
     got = run(spark, "split_read_totals_all")
     assert rows(got[["q", "reads_0", "reads_1", "reads_2"]].fillna(0).astype(int)) == rows(want.astype(int))
+
+
+def test_adapter_match_keeps_the_whole_text(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet").toPandas().set_index("doc_id")["text"].str.upper()
+    got = run(spark, "adapter_match").set_index("doc_id")
+    assert sorted(got.index) == sorted(d.index) and d.str.len().max() > 60 and got["matched"].any()
+    for k, text in d.items():
+        cut = adapters.prefix_errors(text, "THERNTION", 0.25, 4)
+        assert got.loc[k, "matched"] == (cut is not None) and got.loc[k, "trimmed"] == text[cut or 0 :]
+
+
+def test_adapter_argmax_all(spark):
+    sf = "/root/testdata/sf0.01"  # 1000 documents, more than the 500 of adapter_argmax
+    texts = spark.read.parquet(f"{sf}/documents.parquet").toPandas()["text"]
+    want = {k: int(texts.str.contains(a, regex=False).sum()) for k, a in (("a", "thing"), ("b", "ation"), ("c", "queue"))}
+    got, part = (entry.queries()[n](spark, sf).first().asDict() for n in ("adapter_argmax_all", "adapter_argmax"))
+    assert got == {**want, "best": max(sorted(want), key=want.get)} and got != part
