@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ def match_prefix(reads: DataFrame, adapter: str, rate: float = 0.1, least: int =
     def cut(s: pd.Series) -> pd.Series:
         return s.map(lambda x: prefix_errors(x, adapter, rate, least) if x else None).astype("Int32")
 
-    at = cut(F.col(seq))
+    at = cut(F.substring(seq, 1, len(adapter) + int(rate * len(adapter)) + 1))  # all that prefix_errors looks at
     t = reads.withColumn("cut", at)
     return t.withColumn("matched", F.col("cut").isNotNull()).withColumn("trimmed", F.expr(f"substring({seq}, coalesce(cut, 0) + 1)")).drop("cut")
 
@@ -70,7 +71,54 @@ def trim_homopolymer(seq: Column, base: str, least: int = 10) -> Column:
     return F.regexp_replace(seq, f"{base}{{{least},}}$", "")
 
 
-def demultiplex(reads: DataFrame, splits: dict[str, tuple[str, int]], seq: str = "seq") -> DataFrame:
-    """One row per read and matching split (name to adapter and least overlap), from one scan."""
-    hits = F.array_compact(F.array(*[F.when(has_prefix(F.col(seq), a, n), F.lit(name)) for name, (a, n) in splits.items()]))
-    return reads.withColumn("split", F.explode(hits))
+def prefix_hits(reads: list[str | None], adapter: str, rate: float, least: int) -> np.ndarray:
+    """Whether a suffix of ``adapter``, ``least`` bases at least, is a prefix of each read but for ``rate`` errors a base.
+
+    Edits are substitutions, insertions and deletions.  N fits A, C, G, T and N, and allows no errors of its own.
+    """
+    size = np.array([len(r or "") for r in reads])
+    width = len(adapter) + int(rate * len(adapter)) + 1
+    codes = np.array([(r or "")[:width] for r in reads], dtype=f"U{width}").view(np.uint32).reshape(len(reads), width)
+    is_base = np.isin(codes, [ord(c) for c in "ACGTN"])
+    same = [(is_base if a == "N" else codes == ord(a)).T for a in adapter]
+    hit = np.zeros(len(reads), bool)
+    known = np.array([r is not None for r in reads])
+    for begin in range(len(adapter) - least + 1):
+        tail = adapter[begin:]
+        most = int(rate * (len(tail) - tail.count("N")))
+        todo = np.flatnonzero(known & ~hit & (size >= len(tail) - most))
+        if not len(todo):
+            continue
+        far = np.full(len(todo), most + 1)  # also what lies behind the read's end or off the band
+        before = {j: np.where(size[todo] >= j, j, far) for j in range(most + 1)}
+        for i in range(1, len(tail) + 1):
+            fits, row = same[begin + i - 1], {}
+            for j in range(max(0, i - most), i + most + 1):
+                cost = before.get(j, far) + 1
+                if j:
+                    cost = np.minimum(cost, row.get(j - 1, far) + 1)
+                    cost = np.minimum(cost, before.get(j - 1, far) + ~fits[j - 1, todo])
+                row[j] = np.where(size[todo] >= j, cost, far)
+            before = row
+        hit[todo] = np.min(list(before.values()), axis=0) <= most
+    return hit
+
+
+def demultiplex(reads: DataFrame, splits: dict[str, tuple[str, int]], seq: str = "seq", rate: float = 0.1) -> DataFrame:
+    """One row per read and matching split (name to adapter and least overlap), from one scan.
+
+    Adapters match with ``rate`` errors a base; those too short for an error are compared in Spark, all others in one Python pass.
+    """
+    tolerant = {k: v for k, v in splits.items() if int(rate * (len(v[0]) - v[0].count("N")))}
+    parts = [F.array_compact(F.array(*[F.when(has_prefix(F.col(seq), a, n), F.lit(k)) for k, (a, n) in splits.items() if k not in tolerant]).cast("array<string>"))]
+    if tolerant:
+        width = max(len(a) + int(rate * len(a)) + 1 for a, _ in tolerant.values())
+
+        @F.pandas_udf("array<string>")
+        def found(s: pd.Series) -> pd.Series:
+            texts = s.tolist()
+            hits = {k: prefix_hits(texts, a, rate, n) for k, (a, n) in tolerant.items()}
+            return pd.Series([[k for k in hits if hits[k][i]] for i in range(len(texts))], dtype=object)
+
+        parts.append(found(F.substring(seq, 1, width)))
+    return reads.withColumn("split", F.explode(F.concat(*parts)))

@@ -239,3 +239,37 @@ def test_islands_are_numbered_across_segments(spark):
         n += i == 0 or p - places[i - 1] > 3
         want.append((i, n))
     assert rows(intervals.islands(d, ["chrom"], F.col("start"), ["ord"], 3, segment_width=16), "ord", "island") == want
+
+
+def test_demultiplex_with_errors(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                same = y in "ACGTN" if x == "N" else x == y
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (not same)))
+            row = new
+        return min(row)  # against any prefix of b
+
+    def fits(read, adapter, least):
+        tails = [adapter[k:] for k in range(len(adapter) - least + 1)]
+        return read is not None and any(distance(t, read) <= 0.1 * (len(t) - t.count("N")) for t in tails)
+
+    splits = {"ct": ("GGTTGAGGTAGTGGTATAGCTTCGTGTATAAGAGACAG", 32), "atac": ("GGTTGAGGTAGTAAGTCCTGGATGTGTATAAGAGACAG", 32), "n": ("NNNNNNNNTTTTTTTTTTTTTTT", 18), "short": ("ACGT", 3)}
+    r = random.Random(7)
+    reads = [None, "", "ACGT", "CGTT", "NNACGT"]
+    for adapter, least in list(splits.values())[:3]:
+        adapter = adapter.replace("N", "C")
+        for k in range(200):
+            read = list(adapter[r.randrange(len(adapter) - least + 3) :])
+            for _ in range(k % 6):
+                at, kind = r.randrange(len(read)), r.randrange(3)
+                read[at : at + 1] = [[r.choice("ACGTN")], [], [read[at], r.choice("ACGT")]][kind]
+            reads.append("".join(read) + "".join(r.choice("ACGT") for _ in range(r.choice([0, 5, 60]))))
+    d = spark.createDataFrame(list(enumerate(reads)), "id int, seq string")
+    want = {(i, k) for i, x in enumerate(reads) for k, (a, n) in splits.items() if fits(x, a, n)}
+    got = [(x.id, x.split) for x in adapters.demultiplex(d, splits).collect()]
+    exact = {(x.id, x.split) for x in adapters.demultiplex(d, splits, rate=0.0).collect()}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert exact < want and len(exact) < 0.6 * len(want)
