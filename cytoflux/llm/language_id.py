@@ -23,6 +23,8 @@ DIMENSIONS, CENTROIDS, ROUNDS, BLOCK = 4096, 4, 8, 256
 SAMPLE = 1500
 #: Texts are rejected under this share of the least cosine seen in training, by size class.
 SLACK, SIZE_CLASSES = 0.6, 12
+#: Size classes with fewer training texts are judged together with their neighbours.
+THIN = 20
 UNKNOWN = "und"
 OUTPUTS = {"lang_pred": "string", "score": "double", "rejected": "boolean"}
 
@@ -98,7 +100,7 @@ def _fit_language(idf: np.ndarray):
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("order")
         counts = np.concatenate([gram_counts(rows["text"].tolist()[i : i + BLOCK])[0].astype(np.float32) for i in range(0, len(rows), BLOCK)])
-        sizes, x = _size_class(counts), vectors(counts, idf)
+        x = vectors(counts, idf)
         k = min(CENTROIDS, len(x))
         chosen = [0]
         while len(chosen) < k:  # the text farthest from the chosen ones comes next
@@ -108,18 +110,74 @@ def _fit_language(idf: np.ndarray):
             near = np.argmax(x @ c.T, axis=1)
             c = np.stack([x[near == j].sum(axis=0) if (near == j).any() else c[j] for j in range(k)])
             c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-        best = (x @ c.T).max(axis=1)
-        floor = np.array([SLACK * best[sizes == s].min() if (sizes == s).any() else 0.0 for s in range(SIZE_CLASSES)])
-        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroids": [c.astype(np.float32).tobytes()], "floor": [floor.tolist()]})
+        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroids": [c.astype(np.float32).tobytes()]})
 
     return fit
 
 
+def _least_cosines(shared):
+    """Per task: of each language and size class, the number of training texts with a letter and their least cosine with the language's centroids."""
+
+    def run(batches):
+        m = shared.value
+        at = {lang: i for i, lang in enumerate(m["langs"])}
+        least, n = np.full((len(at), SIZE_CLASSES), np.inf), np.zeros((len(at), SIZE_CLASSES), np.int64)
+        for batch in batches:
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i in range(0, len(texts), BLOCK):
+                counts, some = gram_counts(texts[i : i + BLOCK])
+                own = np.array([at.get(x, -1) for x in langs[i : i + BLOCK]])
+                cos = vectors(counts, m["idf"]) @ m["centroids"].T
+                best = np.where(m["owner"] == own[:, None], cos, -1).max(axis=1)
+                ok = some & (own >= 0)
+                key = own[ok], _size_class(counts)[ok]
+                np.minimum.at(least, key, best[ok])
+                np.add.at(n, key, 1)
+        i, s = np.nonzero(n)
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(s), pa.array(n[i, s]), pa.array(least[i, s])], names=["lang", "size", "n", "least"])
+
+    return run
+
+
+def floors(n: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """The rejection floor of each (language, size class) from the number of training texts and their least cosine.
+
+    From the longest class down, classes are pooled until ``THIN`` texts are together; a rest at the short end joins the last
+    pool.  An unseen class takes the floor of the next shorter one; classes shorter than any seen lose a factor of the square root
+    of 2 a class, as cosines of so few n-grams do.  No class has a higher floor than a longer one.  A language with fewer than ``THIN`` texts takes the
+    least floor of the others, or 0.
+    """
+    found = np.zeros(n.shape)
+    judged = n.sum(axis=1) >= THIN
+    for i in np.flatnonzero(judged):
+        seen = np.flatnonzero(n[i])[::-1]
+        pools, open_ = [], []
+        for s in seen:
+            open_.append(s)
+            if n[i, open_].sum() >= THIN:
+                pools.append(open_)
+                open_ = []
+        pools[-1] = pools[-1] + open_
+        row = np.full(SIZE_CLASSES, np.nan)
+        for pool in pools:
+            row[min(pool) : max(pool) + 1] = SLACK * least[i, pool].min()
+        for k in range(seen[-1] + 1, SIZE_CLASSES):
+            row[k] = row[k - 1] if np.isnan(row[k]) else row[k]
+        row[seen[-1] :] = np.minimum.accumulate(row[seen[-1] :][::-1])[::-1]
+        for k in range(seen[-1] - 1, -1, -1):
+            row[k] = row[k + 1] * 0.5**0.5
+        found[i] = np.maximum(row, 0)
+    if judged.any():
+        found[~judged] = found[judged].min(axis=0)
+    return found
+
+
 def fit(docs: DataFrame, training: Column, sample: int = SAMPLE) -> dict:
     """Learn from the rows where ``training`` holds and text and ``lang`` are there.
 
-    Document frequencies come from all these rows; centroids from about ``sample`` rows of each
-    language, chosen by a hash of id and text.
+    Document frequencies and rejection floors come from all these rows; centroids from about ``sample`` rows
+    of each language, chosen by a hash of id and text.
     """
     rows = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     known = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -131,23 +189,29 @@ def fit(docs: DataFrame, training: Column, sample: int = SAMPLE) -> dict:
     order = F.xxhash64("doc_id", F.length("text"))
     share = F.create_map(*[x for k, n in sorted(known.items()) for x in (F.lit(k), F.lit(min(1.0, sample / n)))])[F.col("lang")]
     chosen = rows.withColumn("order", order).where(F.pmod("order", F.lit(1_000_000)) < share * 1_000_000)
-    models = chosen.groupBy("lang").applyInPandas(_fit_language(idf), "lang string, centroids binary, floor array<double>").collect()
+    models = chosen.groupBy("lang").applyInPandas(_fit_language(idf), "lang string, centroids binary").collect()
     models = sorted(models, key=lambda r: r["lang"])
     c = [np.frombuffer(bytes(r["centroids"]), np.float32).reshape(-1, DIMENSIONS) for r in models]
-    return {
+    model = {
         "langs": [r["lang"] for r in models],
         "idf": idf,
         "centroids": np.concatenate(c) if c else np.zeros((0, DIMENSIONS), np.float32),
         "owner": np.repeat(np.arange(len(c)), [len(x) for x in c]),
-        "floor": np.array([r["floor"] for r in models]),
     }
+    n, least = np.zeros((len(c), SIZE_CLASSES), np.int64), np.full((len(c), SIZE_CLASSES), np.inf)
+    if c:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        parts = rows.select("lang", "text").mapInArrow(_least_cosines(shared), "lang long, size long, n long, least double")
+        for r in parts.groupBy("lang", "size").agg(F.sum("n").alias("n"), F.min("least").alias("least")).collect():
+            n[r["lang"], r["size"]], least[r["lang"], r["size"]] = r["n"], r["least"]
+    return {**model, "floor": floors(n, least)}
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """Append ``lang_pred``, ``score`` (the cosine, 0 to 1) and ``rejected``.
 
-    A null text, or one without a letter, is ``und`` with score 0 and rejected; so is every text under a
-    model without languages.  Rows are independent; an input column named as an output is replaced.
+    A null text, or one without a letter, is ``und`` with score 0 and rejected.  Under a model without
+    languages all others are ``und`` with score 0 too, but kept.  Rows are independent; an input column named as an output is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -159,8 +223,8 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             langs, scores, rejected = [], [], []
             for i in range(0, len(texts), BLOCK):
                 counts, some = gram_counts(texts[i : i + BLOCK])
+                known = some & bool(m["langs"])
                 if not m["langs"]:
-                    some[:] = False
                     best, near = np.zeros(len(some)), np.zeros(len(some), int)
                     floor = best
                 else:
@@ -168,7 +232,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                     at = np.argmax(cos, axis=1)
                     best, near = np.clip(cos[np.arange(len(at)), at], 0, 1), m["owner"][at]
                     floor = m["floor"][near, _size_class(counts)]
-                langs += [m["langs"][k] if ok else UNKNOWN for k, ok in zip(near, some, strict=True)]
+                langs += [m["langs"][k] if ok else UNKNOWN for k, ok in zip(near, known, strict=True)]
                 scores += np.where(some, best, 0.0).astype(float).tolist()
                 rejected += (~some | (best < floor)).tolist()
             return langs, scores, rejected

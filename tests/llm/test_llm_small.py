@@ -1,7 +1,9 @@
 """Each operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,29 @@ def test_language(docs, no_docs):
     assert language_id.known_language(docs).columns == docs.columns and language_id.known_language(no_docs).count() == 0
 
 
+def test_language_floors():
+    n, least = np.zeros((3, language_id.SIZE_CLASSES), int), np.full((3, language_id.SIZE_CLASSES), np.inf)
+    n[0, [4, 6, 8, 9]], least[0, [4, 6, 8, 9]] = [1, 30, 40, 5], [1.0, 0.4, 0.7, 0.9]
+    n[1, [5, 7]], least[1, [5, 7]] = [3, 4], [1.0, 1.0]
+    n[2, [3, 5]], least[2, [3, 5]] = [40, 40], [0.3, 0.2]
+    f = language_id.floors(n, least) / language_id.SLACK
+    assert f[0, 4:].round(6).tolist() == [0.4] * 4 + [0.7] * 4  # the one text of class 4 is its own centroid; 11 is empty
+    assert (f[0, :4].round(6) == [round(0.4 * 0.5 ** (k / 2), 6) for k in (4, 3, 2, 1)]).all()
+    assert f[2, 3:].round(6).tolist() == [0.2] * 9  # monotone
+    assert (f[1] == np.minimum(f[0], f[2])).all() and (np.diff(f, axis=1) >= 0).all()
+    assert not language_id.floors(n[1:2], least[1:2]).any()
+
+
+def test_language_rejects_long_noise(spark, docs, no_docs):
+    r = random.Random(5)
+    noise = [(-1 - k, " ".join("".join(r.choices("bcdfghjklmnpqrstvwxzaeiouy", k=r.randint(3, 9))) for _ in range(k))) for k in (20, 100, 500, 3000)]
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.predict(spark.createDataFrame(noise, "doc_id long, text string"), language_id.fit(table, F.lit(True))).collect()
+    assert all(x.rejected for x in got)
+    kept = language_id.predict(docs, language_id.fit(no_docs, F.lit(True))).collect()  # no model: texts with a letter stay
+    assert {x.rejected for x in kept} == {True, False} and all(x.score == 0 for x in kept)
+
+
 def test_language_held_out(spark):
     from cytoflux.llm.language_id import op1_language_id
 
