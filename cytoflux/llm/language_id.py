@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_class, rows_where, table, with_columns_from
+from .common import id_class, rows_where, slices, table, with_columns_from
 
 DIMENSIONS, CENTROIDS, ROUNDS, BLOCK = 4096, 4, 8, 256
 #: Labelled texts per language that centroids are fitted to; document frequencies use all.
@@ -87,11 +87,12 @@ def _frequencies(batches):
     """Per task: in how many texts each n-gram is; under -1 the number of texts."""
     total, n = np.zeros(DIMENSIONS, np.int64), 0
     for batch in batches:
-        texts = batch.column(0).to_pylist()
-        for i in range(0, len(texts), BLOCK):
-            counts, _ = gram_counts(texts[i : i + BLOCK])
-            total += (counts > 0).sum(axis=0)
-            n += len(counts)
+        for start, stop in slices(batch.column(0), 1 << 20):
+            texts = batch.column(0).slice(start, stop - start).to_pylist()
+            for i in range(0, len(texts), BLOCK):
+                counts, _ = gram_counts(texts[i : i + BLOCK])
+                total += (counts > 0).sum(axis=0)
+                n += len(counts)
     if n:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, DIMENSIONS)), pa.array(np.concatenate([[n], total]))], names=["gram", "n"])
 
@@ -123,16 +124,18 @@ def _least_cosines(shared):
         at = {lang: i for i, lang in enumerate(m["langs"])}
         least, n = np.full((len(at), SIZE_CLASSES), np.inf), np.zeros((len(at), SIZE_CLASSES), np.int64)
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(0, len(texts), BLOCK):
-                counts, some = gram_counts(texts[i : i + BLOCK])
-                own = np.array([at.get(x, -1) for x in langs[i : i + BLOCK]])
-                cos = vectors(counts, m["idf"]) @ m["centroids"].T
-                best = np.where(m["owner"] == own[:, None], cos, -1).max(axis=1)
-                ok = some & (own >= 0)
-                key = own[ok], _size_class(counts)[ok]
-                np.minimum.at(least, key, best[ok])
-                np.add.at(n, key, 1)
+            for start, stop in slices(batch.column(1), 1 << 20):
+                part = batch.slice(start, stop - start)
+                langs, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+                for i in range(0, len(texts), BLOCK):
+                    counts, some = gram_counts(texts[i : i + BLOCK])
+                    own = np.array([at.get(x, -1) for x in langs[i : i + BLOCK]])
+                    cos = vectors(counts, m["idf"]) @ m["centroids"].T
+                    best = np.where(m["owner"] == own[:, None], cos, -1).max(axis=1)
+                    ok = some & (own >= 0)
+                    key = own[ok], _size_class(counts)[ok]
+                    np.minimum.at(least, key, best[ok])
+                    np.add.at(n, key, 1)
         i, s = np.nonzero(n)
         if len(i):
             yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(s), pa.array(n[i, s]), pa.array(least[i, s])], names=["lang", "size", "n", "least"])
