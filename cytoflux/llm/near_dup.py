@@ -9,9 +9,10 @@ a probability equal to their weighted Jaccard similarity.
 
 Documents that agree in all rows of a band share a bucket.  First each member is compared with its bucket's centre, the
 member with the most bucket-mates over all bands, which joins most of a large group.  Then members that are still outside
-the centre's component are compared with all members of their buckets, block by block, so no link between
+the centre's component are compared with all members of their buckets, a block of these with a block of those, so no link between
 documents that share a bucket is lost and a group that is one component costs no pairs.  Candidates are checked on whole signatures, then
-exactly on the shingles.  Links are joined to components.
+by the weighted Jaccard similarity of their whole shingle sets, in which a shingle is a hash of 55 bits.  Links are joined to components.
+A bucket's rows are dealt out by a salt wherever they meet a table of buckets.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,7 +32,8 @@ BANDS, ROWS = 24, 6
 K = BANDS * ROWS
 #: A candidate goes on to the exact check from this share of equal coordinates: 6 deviations below the threshold.
 LIKELY = 0.6
-BLOCK = 512
+#: Texts that are hashed together (at most 512: their number takes 9 bits of a key), rows of a block of a bucket, parts of a bucket in joins.
+BLOCK, MEMBERS, SALTS = 512, 128, 64
 _U = np.uint64
 
 
@@ -53,7 +55,7 @@ class _Words(dict):
 
 
 def strips(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbered strips of all texts: the text of each, its hash, and the number per text.
+    """Numbered strips of up to 512 texts: the text of each, its hash, and the number per text.
 
     A text of one to four words has one shingle, all its words; a text without a word has none.
     """
@@ -79,13 +81,13 @@ def strips(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
                 x = mix(x + w)
             own.append(x)
         h, at = np.concatenate([h, *own]), np.concatenate([at, short])
-    key = np.sort((at.astype(_U) << _U(44)) | (h >> _U(20)))
+    key = np.sort((at.astype(_U) << _U(55)) | (h >> _U(9)))
     first = np.ones(len(key), dtype=bool)
     first[1:] = key[1:] != key[:-1]
     place = np.arange(len(key))
     nth = place - np.maximum.accumulate(np.where(first, place, 0)) if len(key) else place
-    row = (key >> _U(44)).astype(np.int64)
-    strip = mix((key & _U((1 << 44) - 1)) + mix(nth.astype(_U) + _U(0x51ED270B)))
+    row = (key >> _U(55)).astype(np.int64)
+    strip = mix((key & _U((1 << 55) - 1)) + mix(nth.astype(_U) + _U(0x51ED270B)))
     return row, strip, np.bincount(row, minlength=len(texts))
 
 
@@ -156,7 +158,7 @@ def _shingle_sets():
         texts, out = column.to_pylist(), []
         for i in range(0, len(texts), BLOCK):
             row, strip, sizes = strips(texts[i : i + BLOCK])
-            cut = np.split((strip >> _U(32)).astype(np.uint32).view(np.int32), np.cumsum(sizes)[:-1])
+            cut = np.split(strip.view(np.int64), np.cumsum(sizes)[:-1])
             out += [x.tolist() for x in cut]
         return [out]
 
@@ -165,10 +167,19 @@ def _shingle_sets():
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id``, ``copy_key`` (the same for equal texts, null for null), ``bands`` and ``signature``."""
-    keyed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("copy_key"), "text")
+    keyed = docs.select("doc_id", copy_key().alias("copy_key"), "text")
     return with_columns_from(keyed, ["text"], {"bands": "array<long>", "signature": "binary"}, _signed(bands, rows)).drop("text")
 
 
+def copy_key() -> Column:
+    return F.md5(F.col("text").cast("binary"))
+
+
+def node_of(least_id: Column, key: Column) -> Column:
+    """A distinct text as a node: its least id first, so the least node of a component has its least id; then its hash, which tells texts of one id apart."""
+    return F.struct(least_id.alias("id"), F.xxhash64(key).alias("k"))
+
+
 def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose signatures agree in the share LIKELY of coordinates."""
     a = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
@@ -180,7 +191,8 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             keep = pa.array((left == right).mean(axis=1) >= LIKELY) if batch.num_rows else pa.array([], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    node = nodes.schema["node"].dataType.simpleString()
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(check, f"a {node}, b {node}")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -190,133 +202,171 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return stored(pairs.join(a, "a").join(b, "b").where(common >= threshold * (F.size("s1") + F.size("s2") - common)).select("a", "b"))
 
 
-def _pairs(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """Each member with its bucket's centre, where their components differ."""
-    return members.join(centres, "bucket").where("component <> other").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+def _salted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
 
 
-def _centres(members: DataFrame) -> DataFrame:
-    """Per bucket the member with the most bucket-mates and its component."""
-    best = members.groupBy("bucket").agg(F.max(F.struct("mates", -F.col("node"), "component")).alias("c"))
-    return stored(best.select("bucket", (-F.col("c.col2")).alias("centre"), F.col("c.component").alias("other")))
+def _per_salt(members: DataFrame, *more: Column) -> DataFrame:
+    """One row per bucket and salt in it, with the bucket's number of members ``n`` and ``more`` of it.
 
-
-def _links_of_block(node, component, query, band, bands, signature, sets, threshold: float) -> list[tuple[int, int]]:
-    """Links of the queries of a block to its other rows in other components; a pair counts in its first common bucket."""
-    rows = np.flatnonzero(~query)
-    own_sizes = np.array([len(sets[k]) for k in rows])
-    links = []
-    for q in np.flatnonzero(query):
-        near = (signature[rows] == signature[q]).mean(axis=1) >= LIKELY
-        near &= (component[rows] != component[q]) & ~(bands[rows, :band] == bands[q, :band]).any(axis=1)
+    Parts of a bucket are summed up before its own sum, and a bucket has no more than SALTS of them; joining by bucket and salt, no task gets a whole bucket.
+    """
+    parts = members.groupBy("bucket", "salt").agg(F.count("*").alias("n"), *more)
+    sums = [F.max(c).alias(c) for c in parts.columns if c not in ("bucket", "salt", "n")]
+    whole = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts"), *sums)
+    return whole.where("n > 1").withColumn("salt", F.explode("salts")).drop("salts")
+
+
+def _with_centres(members: DataFrame) -> DataFrame:
+    """Members with their bucket's centre, the one with the most bucket-mates (of equals the least node), and its component ``other``."""
+    first = F.max(F.struct("mates", F.bitwise_not("node.id").alias("id"), F.bitwise_not("node.k").alias("k"), "component")).alias("best")
+    centre = F.struct(F.bitwise_not("best.id").alias("id"), F.bitwise_not("best.k").alias("k"))
+    best = stored(_per_salt(members, first).select("bucket", "salt", centre.alias("centre"), F.col("best.component").alias("other")))
+    return members.join(best, ["bucket", "salt"])
+
+
+def _links_of_pair(a: dict, b: dict, band: int, threshold: float) -> list[tuple[int, int]]:
+    """Linked rows of a block of queries and a block of members in other components; a pair counts in its first common bucket."""
+    sizes, links = np.array([len(s) for s in b["s"]]), []
+    for q in range(len(a["s"])):
+        near = (b["signature"] == a["signature"][q]).mean(axis=1) >= LIKELY
+        near &= (b["component"] != a["component"][q]).any(axis=1) & ~(b["bands"][:, :band] == a["bands"][q, :band]).any(axis=1)
         hits = np.flatnonzero(near)
         if not len(hits):
             continue
-        mine, sizes = np.sort(sets[q]), own_sizes[hits]
-        flat = np.concatenate([sets[rows[k]] for k in hits])
+        mine = np.sort(a["s"][q])
+        flat = np.concatenate([b["s"][k] for k in hits])
         place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
-        common = np.bincount(np.repeat(np.arange(len(hits)), sizes), weights=mine[place] == flat, minlength=len(hits))
-        found = common >= threshold * (sizes + len(mine) - common)
-        links += [(int(node[q]), int(node[rows[k]])) for k in hits[found]]
+        common = np.bincount(np.repeat(np.arange(len(hits)), sizes[hits]), weights=mine[place] == flat, minlength=len(hits))
+        found = common >= threshold * (sizes[hits] + len(mine) - common)
+        links += [(q, int(k)) for k in hits[found]]
     return links
 
 
 def _block_links(threshold: float):
-    keys = ["bucket", "block"]
+    keys = ["bucket", "block", "queries"]
 
     def run(batches):
         for t in whole_groups(batches, keys):
-            value = {c: t.column(c).to_numpy() for c in ("node", "component", "query", "band", *keys)}
-            cuts = np.flatnonzero((value["bucket"][1:] != value["bucket"][:-1]) | (value["block"][1:] != value["block"][:-1])) + 1
+            number = {c: t.column(c).to_numpy() for c in ("id", "k", "c_id", "c_k", "query", "band", *keys)}
+            cuts = np.flatnonzero(np.any([number[c][1:] != number[c][:-1] for c in keys], axis=0)) + 1
             raw, lists, sets = t.column("signature").to_pylist(), t.column("bands"), t.column("s")
-            links = []
-            for a, b in zip([0, *cuts], [*cuts, t.num_rows], strict=True):
-                own = slice(a, b)
-                signature = np.frombuffer(b"".join(raw[a:b]), np.uint8).reshape(b - a, -1)
-                bands = np.array(lists.slice(a, b - a).to_pylist(), dtype=np.int64)
-                shingles = [np.asarray(x.values) for x in sets.slice(a, b - a)]
-                links += _links_of_block(value["node"][own], value["component"][own], value["query"][own].astype(bool), int(value["band"][a]), bands, signature, shingles, threshold)
-            x = np.array(links, dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], names=["a", "b"])
+            out = []
+            for start, stop in zip([0, *cuts], [*cuts, t.num_rows], strict=True):
+                sides = []
+                for side in (True, False):
+                    at = start + np.flatnonzero(number["query"][start:stop].astype(bool) == side)
+                    sides.append(
+                        {
+                            "at": at,
+                            "component": np.stack([number["c_id"][at], number["c_k"][at]], axis=1),
+                            "signature": np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(len(at), -1),
+                            "bands": np.array(lists.take(pa.array(at)).to_pylist(), dtype=np.int64).reshape(len(at), -1),
+                            "s": [np.asarray(sets[i].values) for i in at],
+                        }
+                    )
+                if all(len(x["at"]) for x in sides):
+                    out += [(sides[0]["at"][i], sides[1]["at"][j]) for i, j in _links_of_pair(*sides, int(number["band"][start]), threshold)]
+            i, j = np.array(out, dtype=np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(number[c][x]) for x in (i, j) for c in ("id", "k")], names=["a_id", "a_k", "b_id", "b_k"])
 
     return run
 
 
-def _links_across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def _links_across(members: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """All links within buckets between members of different components.
 
-    In a bucket, members outside the centre's component are queries against all members.  Members are dealt out to blocks of about
-    BLOCK rows, and queries go to every block, so a task holds one block whatever the size of a bucket; members of
-    the centre's component are never compared with each other.
+    In a bucket, members outside the centre's component are queries against all members.  Members and queries are each dealt out to blocks of
+    about MEMBERS rows, and each block of queries meets each block of members in a group of its own, so a task holds two blocks
+    whatever the size of a bucket; members of the centre's component are never compared with each other.
     """
-    placed = buckets.join(_centres(buckets), "bucket").withColumn("query", F.col("component") != F.col("other"))
-    mixed = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("query").alias("queries")).where("queries > 0")
-    blocks = stored(mixed.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    placed = stored(placed.join(blocks, "bucket").select("node", "component", "bucket", "band", "query", "blocks"))
-    needed = placed.select("node").distinct()
-    payload = stored(nodes.select("node", "bands", "signature").join(sets, "node").join(needed, "node", "left_semi"))
-    every = placed.select("node", "component", "bucket", "band", F.lit(False).alias("query"), F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int").alias("block"))
-    asked = placed.where("query").select("node", "component", "bucket", "band", "query", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    rows = every.union(asked).join(payload, "node").repartition("bucket", "block").sortWithinPartitions("bucket", "block")
-    return stored(rows.mapInArrow(_block_links(threshold), "a long, b long"))
+    placed = _with_centres(members).withColumn("query", F.col("component") != F.col("other"))
+    asked = F.count_if("query").alias("asked")
+    parts = placed.groupBy("bucket", "salt").agg(F.count("*").alias("n"), asked)
+    whole = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"), F.collect_list("salt").alias("salts")).where("asked > 0")
+    blocks = lambda c: F.ceil(F.col(c) / MEMBERS).cast("int")
+    whole = stored(whole.select("bucket", F.explode("salts").alias("salt"), blocks("n").alias("blocks"), blocks("asked").alias("query_blocks")))
+    placed = stored(placed.join(whole, ["bucket", "salt"]).select("node", "component", "bucket", "band", "query", "blocks", "query_blocks"))
+    payload = nodes.select("node", "bands", "signature").join(sets, "node").join(placed.select("node").distinct(), "node", "left_semi")
+    full = placed.join(stored(payload), "node")
+    own = lambda c, seed: F.pmod(F.xxhash64("node", "bucket", F.lit(seed)), F.col(c)).cast("int")
+    all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    as_member = full.withColumn("query", F.lit(False)).withColumn("block", own("blocks", 1)).withColumn("queries", all_of("query_blocks"))
+    as_query = full.where("query").withColumn("queries", own("query_blocks", 2)).withColumn("block", all_of("blocks"))
+    rows = as_member.unionByName(as_query).select("node.*", F.col("component.id").alias("c_id"), F.col("component.k").alias("c_k"), "query", "band", "bands", "signature", "s", "bucket", "block", "queries")
+    key = ["bucket", "block", "queries"]
+    found = rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_block_links(threshold), "a_id long, a_k long, b_id long, b_k long")
+    pair = lambda x: F.struct(F.col(f"{x}_id").alias("id"), F.col(f"{x}_k").alias("k")).alias(x)
+    return stored(found.select(pair("a"), pair("b")))
 
 
 def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """Members (``doc_id``, ``copy_key``, ``node``) and links (``a``, ``b``) between nodes.
 
-    A node is the least id of a group of equal texts.
+    A node is a group of equal texts, see ``node_of``.
     """
     signed = stored(signatures(docs, bands, rows))
     first = signed.where("copy_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("copy_key")
-    nodes = stored(first.agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("signature").alias("signature")))
-    members = signed.select("doc_id", "copy_key").join(nodes.select("copy_key", "node"), "copy_key", "left").select("doc_id", "node")
+    nodes = first.agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    nodes = stored(nodes.select("copy_key", node_of(F.col("least"), F.col("copy_key")).alias("node"), "bands", "signature"))
+    members = signed.select("doc_id", "copy_key").join(nodes.select("copy_key", "node"), "copy_key", "left")
 
-    each = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    shared = each.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = stored(each.join(stored(shared), "bucket"))
+    each = _salted(nodes.select("node", F.posexplode("bands").alias("band", "bucket")))
+    buckets = stored(each.join(stored(_per_salt(each)), ["bucket", "salt"]))
     mates = stored(buckets.groupBy("node").agg(F.sum("n").alias("mates")))
-    buckets = stored(buckets.join(mates, "node").select("node", "band", "bucket", "mates", F.col("node").alias("component")))
+    buckets = stored(buckets.join(mates, "node").select("node", "band", "bucket", "salt", "mates", F.col("node").alias("component")))
     signed_nodes = nodes.where("signature IS NOT NULL")
     # Only texts with a bucket-mate are moved, once; afterwards their shingles are.
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(mates.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    sets = stored(with_columns_from(texts, ["text"], {"s": "array<int>"}, _shingle_sets).select("node", "s"))
+    wanted = mates.select("node", F.col("node.id").alias("id"), F.col("node.k").alias("k"))
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(copy_key()).alias("k"), "text").join(wanted, ["id", "k"]).groupBy("node").agg(F.first("text").alias("text"))
+    sets = stored(with_columns_from(texts, ["text"], {"s": "array<long>"}, _shingle_sets).select("node", "s"))
 
     # Most members of a large group are linked by one comparison with a centre.
-    links = _verified(_alike(_pairs(buckets, _centres(buckets)), signed_nodes), sets, threshold)
+    central = _with_centres(buckets).where("component <> other").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    links = _verified(_alike(central, signed_nodes), sets, threshold)
     found = stored(components(links))
     buckets = stored(buckets.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
     # What is still apart is compared with all of its buckets.
     return members, links.union(_links_across(buckets, signed_nodes, sets, threshold))
 
 
+def labelled(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``copy_key``, ``component_id`` and ``kept``; see ``near_duplicates``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    members, links = link(docs, threshold)
+    found = stored(components(links)).withColumnRenamed("node", "own")
+    label = members.join(found, members["node"] == found["own"], "left").withColumn("component", F.coalesce("component", "node"))
+    kept_row = (F.col("node") == F.col("component")) & (F.col("doc_id") == F.col("component.id"))
+    return stored(label.select("doc_id", "copy_key", F.coalesce("component.id", "doc_id").alias("component_id"), F.coalesce(kept_row, F.lit(True)).alias("kept")))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``component_id`` (the least id of its group), ``kept``.
 
     Equal texts are one group; texts without a word have no shingle and join only their equals.  A null text or a null id
-    links with nothing and is kept.  Rows with the same id count as one document: each gets the id's group, and
-    ``kept`` is true for each of them if that id stays.  Other columns are not read.
+    links with nothing and is kept.  Rows that share an id but differ in text are documents of their own, so they may be in different groups that have the same
+    ``component_id``; of a group with several texts under its least id the text with the least hash is kept.  Rows that repeat
+    id and text get the same answer.  The result does not depend on the order of rows.  Other columns are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    members, links = link(docs, threshold)
-    members = members.withColumn("node", F.coalesce("node", "doc_id"))
-    found = stored(components(links))
-    label = stored(members.join(found, members["node"] == found["node"], "left").select("doc_id", F.coalesce("component", members["node"]).alias("component_id")))
-    return label.select("doc_id", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return labelled(docs, threshold).select("doc_id", "component_id", "kept")
 
 
 def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each group, one row of each id, all columns.
+    """The rows of ``docs`` that stay: one row of each group; rows with a null id or text stay too.  All columns.
 
-    Rows to drop are fewer than rows to keep, so texts are joined with their ids; only rows with a repeated id are ranked.
+    Rows to drop are fewer than rows to keep, so texts are joined with ids and hashes to drop; only rows that repeat id and text are ranked, and
+    the first by all columns that can be ordered stays.
     """
-    label = near_duplicates(docs, threshold).where("doc_id IS NOT NULL")
-    dropped = stored(label.where("NOT kept").select("doc_id").distinct())
-    repeated = stored(label.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    left = docs.join(dropped, "doc_id", "left_anti")
-    row = unused(docs, "row")
-    ranked = left.join(repeated, "doc_id", "left_semi").withColumn(row, F.row_number().over(W.partitionBy("doc_id").orderBy(F.length("text"), "text")))
-    once = ranked.where(F.col(row) == 1).drop(row).select(*docs.columns)
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    label = labelled(docs, threshold).where("doc_id IS NOT NULL AND copy_key IS NOT NULL")
+    key, row = unused(docs, "copy_key"), unused(docs, "row")
+    label = label.withColumnRenamed("copy_key", key)
+    dropped = stored(label.where("NOT kept").select("doc_id", key).distinct())
+    repeated = stored(label.where("kept").groupBy("doc_id", key).agg(F.count("*").alias("n")).where("n > 1").select("doc_id", key))
+    left = docs.withColumn(key, copy_key()).join(dropped, ["doc_id", key], "left_anti")
+    order = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in ("doc_id", "text") and not f.dataType.typeName().startswith(("map", "variant"))]
+    ranked = left.join(repeated, ["doc_id", key], "left_semi").withColumn(row, F.row_number().over(W.partitionBy("doc_id", key).orderBy(*(order or [F.lit(1)]))))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return left.join(repeated, ["doc_id", key], "left_anti").select(*names).unionByName(ranked.where(F.col(row) == 1).select(*names))
 
 
 def op5_dart_minhash(spark, sf_dir):

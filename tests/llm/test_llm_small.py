@@ -168,6 +168,35 @@ def test_packing(docs, no_docs):
         want += [zlib.crc32(ids[i : i + 4096].tobytes()) for i in range(0, len(ids), 4096)]
     assert sorted(x.ids_crc32 for x in r) == sorted(want)
     check_sequences(r)
+    clashing = packing.tokenized_pieces(docs)
+    for c in ("row", "salt", "rank", "before", "offset"):
+        clashing = clashing.withColumn(c, F.lit("mine"))
+    more = packing.pack(clashing)
+    assert set(more.columns) == set(clashing.columns) | {"sequence_id"} and {x.salt + x.rank for x in more.collect()} == {"minemine"}
+
+
+def test_packing_of_one_id(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(700).cast("long").alias("length"))
+    got = packing.pack(rows, salts=16).collect()
+    assert len(got) == 3000 and check_sequences(got) == 600
+
+
+def test_tokenizer_rules():
+    import json
+
+    from tokenizers import Tokenizer
+
+    rules = json.loads(Tokenizer.from_file(packing.model_path()).to_str())
+    assert packing.cuts(rules) == (True, True)
+    cased = {**rules, "normalizer": None}
+    assert packing.cuts(cased) == (True, False)
+    kept_blanks = {**rules, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False}}
+    assert packing.cuts(kept_blanks) == (False, False)
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = packing.model_path().rsplit("/", 1)[0] + "/" + name
+        texts = ["Two  words, it's 12 and MORE!!\n x", "", "é日 🙂 <|endoftext|> a"]
+        want = [Tokenizer.from_file(path).encode(x, add_special_tokens=False).ids for x in texts]
+        assert [np.frombuffer(x, "u4").tolist() for x in packing.PartIds(path)(texts)] == want
 
 
 def check_sequences(rows):
@@ -233,20 +262,8 @@ def test_near_duplicates_small(docs, no_docs):
     assert left.columns == docs.columns and left.count() == len(TEXTS) - 1 + 1
 
 
-def test_near_duplicates_by_brute_force(spark):
-    import random
-
-    random.seed(8)
-    texts = []
-    for b in range(25):
-        base = [f"{b}w{random.randrange(400)}" for _ in range(random.randrange(6, 150))]
-        texts.append(base)
-        for _ in range(6):
-            w = list(base)
-            for _ in range(random.randrange(0, 4)):
-                w[random.randrange(len(w))] = f"x{random.randrange(10**6)}"
-            texts.append(w)
-    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+def shingle_components(texts):
+    """The least index of each text's group, from all pairs of numbered shingles."""
     sets = []
     for w in texts:
         seen: dict = {}
@@ -268,8 +285,25 @@ def test_near_duplicates_by_brute_force(spark):
             if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
+    return {i: find(i) for i in range(len(texts))}
+
+
+def test_near_duplicates_by_brute_force(spark):
+    import random
+
+    random.seed(8)
+    texts = []
+    for b in range(25):
+        base = [f"{b}w{random.randrange(400)}" for _ in range(random.randrange(6, 150))]
+        texts.append(base)
+        for _ in range(6):
+            w = list(base)
+            for _ in range(random.randrange(0, 4)):
+                w[random.randrange(len(w))] = f"x{random.randrange(10**6)}"
+            texts.append(w)
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
     got = {x.doc_id: x.component_id for x in near_dup.near_duplicates(d).collect()}
-    assert got == {i: find(i) for i in range(len(texts))}
+    assert got == shingle_components(texts)
 
 
 def test_dart_signatures_estimate_the_similarity():
@@ -415,3 +449,34 @@ def test_columns_of_the_input_stand_aside(spark):
     d = spark.createDataFrame([(1, "x", "mine")], "doc_id long, text string, hit string")
     out = rows_where(d, ["hit"], lambda f: f.withColumn("hit", F.lit(True)), F.col("hit"))
     assert [tuple(r) for r in out.collect()] == [(1, "x", "mine")]
+
+
+def test_near_duplicates_do_not_depend_on_the_order_of_rows(spark):
+    words = [f"w{i}" for i in range(60)]
+    near, far = [*words[:-1], "x"], [f"v{i}" for i in range(60)]
+    rows = [(1, words), (2, far), (2, near), (3, far), (3, [*far, "y"]), (4, ["one"] * 9), (2, far)]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    answers = []
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        d = spark.createDataFrame([(*r, "mine") for r in order], "doc_id long, text string, component string")
+        answers.append((sorted(map(tuple, near_dup.near_duplicates(d).collect())), sorted(map(tuple, near_dup.without_near_duplicates(d).collect()))))
+    assert answers[0] == answers[1] == answers[2]
+    labels, left = answers[0]
+    assert [(i, c) for i, c, _ in labels] == [(1, 1), (2, 1), (2, 2), (2, 2), (3, 2), (3, 2), (4, 4)]
+    assert left == [(1, " ".join(words), "mine"), (2, " ".join(far), "mine"), (4, " ".join(["one"] * 9), "mine")]
+
+
+def test_near_duplicates_of_one_large_bucket(spark, monkeypatch):
+    """Chains of texts that share buckets but are not all near each other, cut into many small blocks."""
+    monkeypatch.setattr(near_dup, "MEMBERS", 8)
+    random.seed(12)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for k in range(150):
+        w = list(base)
+        w[k % 40 * 3] = f"x{k}"
+        for _ in range(random.randrange(4)):
+            w[random.randrange(120)] = f"y{random.randrange(10**6)}"
+        texts.append(w)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got == shingle_components(texts)
