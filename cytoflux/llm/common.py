@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
+import re
 import shutil
 import tempfile
 import uuid
@@ -33,11 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset (a
-    session in one process, as in tests) a temporary folder takes its place.
+    A cluster names it in ``spark.checkpoint.dir``.  Only a session in one process, as in
+    tests, may leave that unset and then gets a temporary folder; elsewhere it is an error, as
+    executors would write to disks of their own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="cytoflux-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -105,16 +111,34 @@ _KEPT: dict[str, object] = {}
 def kept(name: str, build: Callable[[], object]):
     """What the tasks of a Python worker share, such as a cache; a worker holds that of one operator at a time."""
     if name not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            _give_back_memory()
         _KEPT[name] = build()
     return _KEPT[name]
 
 
+def _give_back_memory() -> None:
+    """Free pages go back to the system, where the C library can do that; workers live through many stages."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def id_class(column: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def hash_share(column: Column, sample: int, n: int) -> Column:
+    """Whether a 64-bit hash is below the bound that lets ``sample`` of ``n`` rows through on average; all where ``n`` is no more.
+
+    The bound has 62 bits, so a sample neither vanishes nor grows, however many rows there are.
+    """
+    return F.pmod(column, F.lit(1 << 62)) < F.lit(-(-(min(sample, n) << 62) // max(n, 1)))
+
+
 def slices(text: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
     """Row ranges of ``text`` that hold about ``most_bytes`` each, and a row at least."""
     sizes = pc.fill_null(pc.binary_length(text), 0).to_pylist()

@@ -11,6 +11,8 @@ third of all pieces share is numbered by many tasks.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import kept, stored, table, with_columns_from
+from .common import kept, stored, table, unused, with_columns_from
 
 CAPACITY, END_ID, SALTS = 4096, 1, 256
 #: Blank-separated parts whose ids a worker keeps.
@@ -39,23 +41,26 @@ def model_path() -> str:
 class PartIds:
     """Ids of blank-separated parts of a text, as bytes.
 
-    The tokenizer never looks across white space, so each part is encoded once and kept.  It
-    ignores case and takes letters or digits apart from what follows, so a part is first
-    lower-cased and a tail of punctuation marks is encoded on its own.
+    A tokenizer that never looks across white space needs to see each part once only.  One that also
+    ignores case and takes letters or digits apart from what follows sees a part in lower case, and a tail of
+    punctuation marks on its own.  Both are read from the tokenizer's file (``cuts``); without the first, whole texts are encoded.
     """
 
     TAIL = b".,!#*$%&|\""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
+        self.at_blanks, self.at_marks = cuts(json.loads(self.tokenizer.to_str()))
         self.keep: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        keep, tail_marks = self.keep, self.TAIL
+        if not self.at_blanks:
+            return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        keep, tail_marks = self.keep, self.TAIL if self.at_marks else b""
         values, holes = [], []
         for x in texts:
             raw = x.encode()
-            parts = (raw if b"<|" in raw else raw.lower()).split()
+            parts = (raw if b"<|" in raw or not self.at_marks else raw.lower()).split()
             found = list(map(keep.get, parts))
             values.append(found)
             if None in found:
@@ -63,7 +68,7 @@ class PartIds:
         new = {p for _, missing in holes for _, p in missing}
         cut, whole = {}, set()
         for p in new:
-            head = p.rstrip(tail_marks) if p[-1] in tail_marks else p
+            head = p.rstrip(tail_marks) if tail_marks and p[-1] in tail_marks else p
             if len(head) < len(p) and head and (chr(head[-1]).isalnum() if head[-1] < 128 else head.decode()[-1].isalpha()):
                 cut[p] = (head, p[len(head) :])
                 whole.update(x for x in cut[p] if x not in keep)
@@ -82,6 +87,24 @@ class PartIds:
         return [b"".join(v) for v in values]
 
 
+def cuts(rules: dict) -> tuple[bool, bool]:
+    """What a tokenizer's file lets us do with ASCII white space: encode parts alone, and parts in lower case with their tails apart.
+
+    A part stands alone if all normalizers work character by character, and the splitting pattern drops white space and
+    matches none.  Case and tails are free if letters are made lower case and the pattern takes runs of letters, single digits, and runs
+    of neither.
+    """
+    steps = lambda x: x.get("normalizers") or x.get("pretokenizers") or [x] if x else []
+    normal, split = steps(rules.get("normalizer")), steps(rules.get("pre_tokenizer"))
+    pattern = next((x["pattern"].get("Regex", "") for x in split if x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"]), "")
+    harmless = all(x["type"] in ("NFC", "Lowercase") or (x["type"] == "Replace" and x["pattern"].get("Regex") == r"\s+") for x in normal)
+    added = all(not t["lstrip"] and not t["rstrip"] and not t["normalized"] and t["content"].startswith("<|") for t in rules.get("added_tokens") or [])
+    choices = pattern.split("|")
+    alone = bool(pattern) and harmless and added and not rules.get("truncation") and not any(x.get("add_prefix_space") for x in split) and choices[-1] == r"[^\s\p{L}\p{N}]+" and all(re.fullmatch(r"'[a-z]+|\[\\p\{[LN]\}\]\+?", c) for c in choices[:-1])
+    marks = alone and any(x["type"] == "Lowercase" for x in normal) and r"[\p{N}]" in choices and r"[\p{L}]+" in choices
+    return alone, marks
+
+
 def _tokenizer(path: str):
     import os
 
@@ -170,10 +193,9 @@ def reduce_instance(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[l
                 continue
             three = smallest(3, own)
             if len(three) < 3 or sum(three) > room:
-                # {b, c} must be at least as large, piece by piece, as any pair that fits.
+                # Of a pair that fits, the larger piece is at most b; the smaller one, at most half of the room, must be at most c.
                 c = largest(room - b, Counter([a, b]))
-                top = c is not None and largest(room - two[0], Counter([a, two[0]])) == b and all(largest(room - x, Counter([a, x])) in (c, None) for x in (b,))
-                if top and b + c == room and largest(room // 2, own) in (c, None):
+                if c is not None and largest(room // 2, own) == c:
                     need = Counter([a, b, c])
                     take((a, b, c), min(left[x] // n for x, n in need.items()))
                     continue
@@ -242,24 +264,28 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
 
     Pieces of a length are ranked in ``salts`` groups or more, so that a group stays small when one length holds a third of all pieces.
 
-    Null ids, repeated rows and equal pieces each get a place of their own; no piece, no sequence.
+    Groups go by the number of a stored row, so null or repeated ids crowd no group.
+    Null ids, repeated rows and equal pieces each get a place of their own; no piece, no sequence.  Input columns may have any
+    names; ``sequence_id`` and ``offset`` of the input are replaced.
     """
     spark = pieces.sparkSession
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    pieces = stored(pieces.select(*columns))
+    row, group, place_in_length, earlier = (unused(pieces, c) for c in ("row", "salt", "rank", "before"))
+    pieces = stored(pieces.select(*[F.col(f"`{c}`") for c in columns]).withColumn(row, F.monotonically_increasing_id()))
     salts = max(salts, pieces.count() // 200_000)
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")
-    counts = stored(pieces.groupBy("length", salt.alias("salt")).agg(F.count("*").alias("n")))
+    salted = pieces.withColumn(group, F.pmod(F.xxhash64(row), F.lit(salts)).cast("int"))
+    counts = stored(salted.groupBy("length", group).agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # an entry per length: capacity at most
     places = spark.sparkContext.broadcast(plan(histogram, capacity))
-    before = counts.select("length", "salt", (F.sum("n").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1))).alias("before"))
-    within = F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1
-    ranked = pieces.withColumn("salt", salt).withColumn("rank", within).join(before, ["length", "salt"]).withColumn("rank", F.col("rank") + F.coalesce("before", F.lit(0)))
+    before = counts.select("length", group, (F.sum("n").over(W.partitionBy("length").orderBy(group).rowsBetween(W.unboundedPreceding, -1))).alias(earlier))
+    within = F.row_number().over(W.partitionBy("length", group).orderBy(row)) - 1
+    ranked = salted.withColumn(place_in_length, within).join(before, ["length", group])
+    ranked = ranked.withColumn(place_in_length, F.col(place_in_length) + F.coalesce(earlier, F.lit(0)))
     schema = ", ".join([f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in columns] + ["sequence_id long", "offset long"])
 
     def place(batches):
         for batch in batches:
-            length, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "rank"))
+            length, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", place_in_length))
             sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
             for x in np.unique(length):
                 own = np.flatnonzero(length == x)
@@ -268,7 +294,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
                 sequence[own], offset[own] = t[at, 1] + rank[own] - t[at, 0], t[at, 2]
             yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(c)) for c in columns], pa.array(sequence), pa.array(offset)], names=[*columns, "sequence_id", "offset"])
 
-    return ranked.select(*columns, "rank").mapInArrow(place, schema)
+    return ranked.select(*[F.col(f"`{c}`") for c in columns], place_in_length).mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
