@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,6 +87,17 @@ def rows_where(docs: DataFrame, outputs: list[str], operator: Callable[[DataFram
     return found.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
+def group_starts(t: pa.Table, keys: list[str]) -> np.ndarray:
+    """The rows of a table sorted by ``keys`` where a group begins, and the number of rows; no key is null."""
+    if not t.num_rows:
+        return np.zeros(1, np.int64)
+    n, other = t.num_rows, np.zeros(t.num_rows - 1, dtype=bool)
+    for c in keys:
+        column = t.column(c).combine_chunks()
+        other |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False).astype(bool)
+    return np.concatenate([[0], np.flatnonzero(other) + 1, [n]])
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Batches that come sorted by ``keys``, cut so that no group is spread over two tables."""
     rest: pa.Table | None = None
@@ -94,10 +106,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
             continue
         t = pa.Table.from_batches([batch])
         t = t if rest is None else pa.concat_tables([rest, t])
-        at = t.num_rows - 1
-        last = [t.column(c)[at] for c in keys]
-        while at > 0 and all(t.column(c)[at - 1] == x for c, x in zip(keys, last, strict=True)):
-            at -= 1
+        at = int(group_starts(t, keys)[-2])
         rest = t.slice(at)
         if at:
             yield t.slice(0, at)
@@ -105,6 +114,18 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield rest
 
 
+def per_salt(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """One row per group of ``keys`` and salt in it, with the number of the group's rows ``n`` and ``more`` of it, each a greatest value; groups of two or more.
+
+    ``rows`` have a column ``salt`` of few values.  Parts of a group are summed up before the group is.  Joined by keys and salt,
+    no task gets a whole group.
+    """
+    parts = rows.groupBy(*keys, "salt").agg(F.count("*").alias("n"), *more)
+    most = [F.max(c).alias(c) for c in parts.columns if c not in (*keys, "salt", "n")]
+    whole = parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts"), *most)
+    return whole.where("n > 1").withColumn("salt", F.explode("salts")).drop("salts")
+
+
 _KEPT: dict[str, object] = {}
 
 

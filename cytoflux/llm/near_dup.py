@@ -17,6 +17,8 @@ A bucket's rows are dealt out by a salt wherever they meet a table of buckets.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import kept, stored, table, unused, whole_groups, with_columns_from
+from .common import group_starts, kept, per_salt, stored, table, unused, whole_groups, with_columns_from
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -206,22 +208,11 @@ def _salted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
 
 
-def _per_salt(members: DataFrame, *more: Column) -> DataFrame:
-    """One row per bucket and salt in it, with the bucket's number of members ``n`` and ``more`` of it.
-
-    Parts of a bucket are summed up before its own sum, and a bucket has no more than SALTS of them; joining by bucket and salt, no task gets a whole bucket.
-    """
-    parts = members.groupBy("bucket", "salt").agg(F.count("*").alias("n"), *more)
-    sums = [F.max(c).alias(c) for c in parts.columns if c not in ("bucket", "salt", "n")]
-    whole = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts"), *sums)
-    return whole.where("n > 1").withColumn("salt", F.explode("salts")).drop("salts")
-
-
 def _with_centres(members: DataFrame) -> DataFrame:
     """Members with their bucket's centre, the one with the most bucket-mates (of equals the least node), and its component ``other``."""
     first = F.max(F.struct("mates", F.bitwise_not("node.id").alias("id"), F.bitwise_not("node.k").alias("k"), "component")).alias("best")
     centre = F.struct(F.bitwise_not("best.id").alias("id"), F.bitwise_not("best.k").alias("k"))
-    best = stored(_per_salt(members, first).select("bucket", "salt", centre.alias("centre"), F.col("best.component").alias("other")))
+    best = stored(per_salt(members, ["bucket"], first).select("bucket", "salt", centre.alias("centre"), F.col("best.component").alias("other")))
     return members.join(best, ["bucket", "salt"])
 
 
@@ -249,10 +240,10 @@ def _block_links(threshold: float):
     def run(batches):
         for t in whole_groups(batches, keys):
             number = {c: t.column(c).to_numpy() for c in ("id", "k", "c_id", "c_k", "query", "band", *keys)}
-            cuts = np.flatnonzero(np.any([number[c][1:] != number[c][:-1] for c in keys], axis=0)) + 1
+            cuts = group_starts(t, keys)
             raw, lists, sets = t.column("signature").to_pylist(), t.column("bands"), t.column("s")
             out = []
-            for start, stop in zip([0, *cuts], [*cuts, t.num_rows], strict=True):
+            for start, stop in itertools.pairwise(cuts):
                 sides = []
                 for side in (True, False):
                     at = start + np.flatnonzero(number["query"][start:stop].astype(bool) == side)
@@ -312,7 +303,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows
     members = signed.select("doc_id", "copy_key").join(nodes.select("copy_key", "node"), "copy_key", "left")
 
     each = _salted(nodes.select("node", F.posexplode("bands").alias("band", "bucket")))
-    buckets = stored(each.join(stored(_per_salt(each)), ["bucket", "salt"]))
+    buckets = stored(each.join(stored(per_salt(each, ["bucket"])), ["bucket", "salt"]))
     mates = stored(buckets.groupBy("node").agg(F.sum("n").alias("mates")))
     buckets = stored(buckets.join(mates, "node").select("node", "band", "bucket", "salt", "mates", F.col("node").alias("component")))
     signed_nodes = nodes.where("signature IS NOT NULL")

@@ -1,9 +1,11 @@
 """Each operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import math
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -326,6 +328,43 @@ def test_embeddings(spark):
     assert embedding_dup.near_duplicates(d.where("vec_id < 0")).count() == 0
 
 
+def test_embeddings_of_repeated_ids(spark):
+    rows = [(1, [1.0, 0.0], "a"), (1, [0.0, 1.0], "a"), (2, [1.0, 0.01], "a"), (2, [0.01, 1.0], "a"), (3, [5.0, 0.0], "b"), (3, [1.0, 0.0], "b")]
+    for order in (rows, rows[::-1]):
+        r = embedding_dup.near_duplicates(spark.createDataFrame(order, "vec_id int, embedding array<double>, label string")).collect()
+        assert sorted((x.vec_id, x.n_links, x.component_id, x.kept) for x in r) == [(1, 1, 1, True)] * 2 + [(2, 1, 1, False)] * 2 + [(3, 1, 3, True)] * 2
+
+
+def test_embeddings_in_blocks_and_cells(spark, monkeypatch):
+    """Planted pairs close to the threshold among many others, a hot group, windows inside cells, and groups in several blocks."""
+    rng = np.random.default_rng(13)
+    n, d = 52_000, 32
+    x = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for k in range(2000):  # x[2k + 1] at a cosine of 0.98 to 0.99 from x[2k]
+        c = 0.98 + 0.01 * rng.random()
+        side = rng.normal(size=d)
+        side -= side @ x[2 * k] * x[2 * k]
+        x[2 * k + 1] = c * x[2 * k] + math.sqrt(1 - c * c) * side / np.linalg.norm(side)
+    x[5000:8000] = x[5000] + 0.03 * rng.normal(size=(3000, d)) / math.sqrt(d) * rng.random((3000, 1)) * 4
+    x, label = x.astype(np.float32), np.where(np.arange(n) < 30_000, 0, np.arange(n) % 7)
+    vectors = pa.ListArray.from_arrays(pa.array(np.arange(0, n * d + 1, d), pa.int32()), pa.array(x.ravel()))
+    table = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": vectors, "label": label})).repartition(8).cache()
+    want = np.zeros(n, int)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    for k in np.unique(label):
+        own = np.flatnonzero(label == k)
+        for a in range(0, len(own), 4000):
+            want[own[a : a + 4000]] = (u[own[a : a + 4000]] @ u[own].T >= 0.98).sum(axis=1) - 1
+    for most in (8192, 2048):
+        monkeypatch.setattr(embedding_dup, "MOST", most)
+        assert embedding_dup.calibrate(30_000)["depth"] > 0
+        r = embedding_dup.near_duplicates(table).toPandas().sort_values("vec_id")["n_links"].to_numpy()
+        assert (r <= want).all() and want[:4000].sum() >= 4000
+        assert r[:4000].sum() >= 0.998 * want[:4000].sum() and r.sum() >= 0.9995 * want.sum()
+    table.unpersist()
+
+
 def test_embeddings_by_brute_force(spark):
     import numpy as np
 
