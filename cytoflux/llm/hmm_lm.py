@@ -1,15 +1,18 @@
 """A hidden Markov language model.
 
 Counts of all training tokens go through one shuffle.  The most frequent tokens are symbols of their own; every other
-token is emitted as the symbol "rare" and then drawn from the rare tokens' add-one distribution, so each
-text has a proper probability.  Baum-Welch runs over all training tokens: tasks add up expected
+token is emitted as the symbol of its class, one of ``CLASSES`` by hash, and then drawn from the class's tokens by add-one
+counts, with one place for all tokens never seen.  So each state has a distribution over the whole vocabulary, tail included, and each
+text a proper probability.  Baum-Welch runs over all training tokens of whole texts: tasks add up expected
 counts of starts, moves and emissions, Spark sums them, and the driver, which holds only the model, normalises.  Scores
-come from the scaled forward recursion in double precision.  A long text is cut for it, and the pieces' transfer matrices are
-multiplied, which gives the same number.
+come from the scaled forward recursion in double precision.  Long texts are cut, for both, into pieces that are worked on side by side: a piece's
+transfer matrix carries the forward vector into the next piece and the backward vector into the one before, which gives the same numbers
+as one run over the whole text.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -19,10 +22,10 @@ from pyspark.sql import functions as F
 
 from .common import id_class, slices, stored, table
 
-#: Hidden states, rounds of Baum-Welch, symbols, and tokens whose counts every task holds.
-STATES, ROUNDS, SYMBOLS, LOOKUP = 6, 4, 16_384, 131_072
-#: Training sequences are whole texts in pieces of so many tokens; a later piece starts from the mean state distribution.
-PIECE = 128
+#: Hidden states, rounds of Baum-Welch, symbols of frequent tokens and of classes, and tokens whose counts every task holds.
+STATES, ROUNDS, SYMBOLS, CLASSES, LOOKUP = 6, 4, 16_384, 16_384, 131_072
+#: Tokens of a piece, and pieces of one matrix.
+PIECE, TOGETHER = 256, 1024
 #: How much likelier than another state the same state follows at the start.
 STAY = 16.0
 #: Tokens that count as one emission of each state's unigram prior.
@@ -53,19 +56,18 @@ def _count(batches):
         yield rows()
 
 
-class _Numbers(dict):
-    def __missing__(self, token: bytes) -> int:
-        return -1
-
-
 def _encoder(shared):
-    """Symbols of each text, what its known tokens add to the sums, and the other tokens."""
+    """Symbols of each text, what its known tokens add to the sums, and the other tokens.
+
+    A token outside the lookup adds here what does not depend on its count; the rest of its share follows when the counts are joined.
+    """
 
     def run(batches):
         m = shared.value
-        number = _Numbers(zip(m["tokens"], range(len(m["tokens"])), strict=True))
-        base, rare = np.append(m["base"], 0.0), np.append(m["rare"], 0.0)
-        n_symbols = m["symbols"]
+        n_symbols, n_classes, n_known = m["symbols"], m["classes"], len(m["tokens"])
+        number = dict(zip(m["tokens"], range(n_known), strict=True))
+        end = n_symbols + n_classes
+        symbol_of = np.array([k if k < n_symbols else n_symbols + zlib.crc32(t) % n_classes for k, t in enumerate(m["tokens"])], np.int64)
         for batch in batches:
             names = batch.schema.names
             text = batch.column(names.index("text"))
@@ -74,17 +76,24 @@ def _encoder(shared):
                 words = [words_of(t) for t in text.slice(a, b - a).to_pylist()]
                 sizes = np.array([len(w) for w in words], np.int64)
                 flat = [w for ws in words for w in ws]
-                ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+                ids = np.fromiter((number.get(w, -1) for w in flat), np.int64, len(flat))
                 row = np.repeat(np.arange(len(words)), sizes)
                 total = lambda x: np.bincount(row, weights=x, minlength=len(words)).astype(np.float64)  # noqa: E731, B023
                 unknown = np.flatnonzero(ids < 0)
-                symbol = np.where((ids >= 0) & (ids < n_symbols), ids, n_symbols).astype("<u2")
+                symbol, base, rare = np.zeros(len(flat), np.int64), np.full(len(flat), -m["log_below"]), np.zeros(len(flat))
+                known = ids >= 0
+                symbol[known] = symbol_of[ids[known]]
+                symbol[unknown] = [n_symbols + zlib.crc32(flat[i]) % n_classes for i in unknown]
+                base[known] += m["log_count"][ids[known]]
+                in_class = symbol >= n_symbols
+                rare[in_class] = -m["log_class"][symbol[in_class] - n_symbols]
+                rare[in_class & known] += m["log_count"][ids[in_class & known]]
                 ends = np.cumsum(sizes)
-                coded = [np.append(symbol[e - n : e], np.uint16(n_symbols + 1)).astype("<u2").tobytes() for e, n in zip(ends, sizes, strict=True)]
+                coded = [np.append(symbol[e - n : e], end).astype("<u2").tobytes() for e, n in zip(ends, sizes, strict=True)]
                 tail = pa.array([flat[i] for i in unknown], pa.binary()).cast(pa.string())
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row[unknown], minlength=len(words)))])
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(k).slice(a, b - a) for k in others], pa.array(sizes + 1), pa.array(total(ids >= 0).astype(np.int64)), pa.array(total(base[ids]) + m["end_base"]), pa.array(total(rare[ids])), pa.array(coded, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), tail)],
+                    [*[batch.column(k).slice(a, b - a) for k in others], pa.array(sizes + 1), pa.array(total(known).astype(np.int64)), pa.array(total(base) + m["end_base"]), pa.array(total(rare)), pa.array(coded, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), tail)],
                     names=[*[names[k] for k in others], "n_tokens", "known", "base", "rare", "symbols", "tail"],
                 )
 
@@ -100,22 +109,25 @@ def _by_time(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return x, n, np.searchsorted(-n, -np.arange(n[0]), side="left")
 
 
-def expected_counts(pieces: list[np.ndarray], first: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of pieces; ``first`` marks those that begin a text."""
+def expected_counts(pieces: list[np.ndarray], before: np.ndarray, first: np.ndarray, after: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions of pieces.
+
+    ``first`` marks pieces that begin a text; the others go on from the forward vectors ``before``.  ``after`` has the backward vectors at their ends.
+    """
     a, e = model["moves"], model["emissions"]
     order = np.argsort([-len(p) for p in pieces], kind="stable")
-    pieces, first = [pieces[k] for k in order], first[order]
+    pieces, before, first, after = [pieces[k] for k in order], before[order], first[order], after[order]
     x, n, live = _by_time(pieces)
     steps, many, s = len(x), len(pieces), len(a)
     alpha, scale = np.zeros((steps, many, s)), np.ones((steps, many))
     for t in range(steps):
         k = live[t]
-        v = np.where(first[:k, None], model["start"], model["mean"]) if t == 0 else alpha[t - 1, :k] @ a
+        v = np.where(first[:, None], model["start"], before @ a) if t == 0 else alpha[t - 1, :k] @ a
         v = v * e[x[t, :k]]
         scale[t, :k] = v.sum(axis=1)
         alpha[t, :k] = v / scale[t, :k, None]
     moves = np.zeros((s, s))
-    beta = np.ones((many, s))
+    beta = after / (alpha[n - 1, np.arange(many)] * after).sum(axis=1, keepdims=True)  # posteriors at the ends add up to 1
     for t in range(steps - 1, -1, -1):
         k = live[t]
         if t + 1 < steps:
@@ -123,6 +135,9 @@ def expected_counts(pieces: list[np.ndarray], first: np.ndarray, model: dict) ->
             seen = e[x[t + 1, :j]] * beta[:j] / scale[t + 1, :j, None]
             moves += alpha[t, :j].T @ seen
             beta[:j] = seen @ a.T
+        if t == 0:
+            seen = e[x[0]] * beta / scale[0][:, None]
+            moves += before[~first].T @ seen[~first]
         alpha[t, :k] *= beta[:k]  # now the state's posterior
     inside = np.arange(steps)[:, None] < n[None]
     symbol, weight = x[inside], alpha[inside]
@@ -130,39 +145,6 @@ def expected_counts(pieces: list[np.ndarray], first: np.ndarray, model: dict) ->
     return alpha[0][first].sum(axis=0), moves * a, emissions
 
 
-def _expectation(shared, most: int = 2048):
-    def run(batches):
-        m = shared.value
-        s = len(m["moves"])
-        start, moves, emissions = np.zeros(s), np.zeros((s, s)), np.zeros_like(m["emissions"])
-        pieces: list[np.ndarray] = []
-        first: list[bool] = []
-
-        def flush():
-            nonlocal start, moves, emissions
-            x = expected_counts(pieces, np.array(first), m)
-            start, moves, emissions = start + x[0], moves + x[1], emissions + x[2]
-            pieces.clear()
-            first.clear()
-
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                symbols = np.frombuffer(raw, "<u2")
-                for k in range(0, len(symbols), PIECE):
-                    pieces.append(symbols[k : k + PIECE])
-                    first.append(k == 0)
-                    if len(pieces) == most:
-                        flush()
-        if pieces:
-            flush()
-        some = np.flatnonzero(emissions.any(axis=1))
-        key = np.concatenate([[-1], -2 - np.arange(s), some])
-        value = np.concatenate([start[None], moves, emissions[some]])
-        yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), *[pa.array(value[:, k]) for k in range(s)]], names=["k", *[f"s{k}" for k in range(s)]])
-
-    return run
-
-
 def _forward(pieces: list[np.ndarray], v: np.ndarray, model: dict, started: bool) -> tuple[np.ndarray, np.ndarray]:
     """Scaled forward vectors after each piece and their log10 scales, from start vectors ``v``; pieces by decreasing length."""
     a, e = model["moves"], model["emissions"]
@@ -177,28 +159,91 @@ def _forward(pieces: list[np.ndarray], v: np.ndarray, model: dict, started: bool
     return out, log
 
 
-def log_likelihoods(texts: list[np.ndarray], model: dict, piece: int = 4 * PIECE) -> np.ndarray:
-    """log10 of the model's probability of each symbol sequence; exact for any length."""
-    s = len(model["moves"])
+def _ends(texts: list[np.ndarray], model: dict, piece: int) -> tuple[list[list[np.ndarray]], list[list[np.ndarray]], np.ndarray]:
+    """Per text: the forward vector after each piece, the transfer matrix of each later piece (up to a factor), and the log10 probability."""
+    s, vectors, matrices, logs = len(model["moves"]), [[] for _ in texts], [[] for _ in texts], np.zeros(len(texts))
     order = sorted(range(len(texts)), key=lambda k: -min(len(texts[k]), piece))
-    heads = [texts[k][:piece] for k in order]
-    v, log = _forward(heads, np.tile(model["start"], (len(heads), 1)), model, started=False)
-    rest = [(r, texts[k][i : i + piece]) for r, k in enumerate(order) for i in range(piece, len(texts[k]), piece)]
-    for a in range(0, len(rest), 256):
-        block = sorted(range(a, min(a + 256, len(rest))), key=lambda q: -len(rest[q][1]))
-        rows = [rest[q][1] for q in block for _ in range(s)]
-        m, scale = _forward(rows, np.tile(np.eye(s), (len(block), 1)), model, started=True)
-        at = {q: i for i, q in enumerate(block)}
-        for q in range(a, min(a + 256, len(rest))):
-            r, i = rest[q][0], at[q] * s
+    for a in range(0, len(order), TOGETHER):
+        block = order[a : a + TOGETHER]
+        v, log = _forward([texts[k][:piece] for k in block], np.tile(model["start"], (len(block), 1)), model, started=False)
+        logs[block] = log
+        for k, row in zip(block, v, strict=True):
+            vectors[k].append(row)
+    rest = [(k, texts[k][i : i + piece]) for k in range(len(texts)) for i in range(piece, len(texts[k]), piece)]
+    most = max(1, TOGETHER // s)
+    for a in range(0, len(rest), most):
+        block = sorted(range(a, min(a + most, len(rest))), key=lambda q: -len(rest[q][1]))
+        m, scale = _forward([rest[q][1] for q in block for _ in range(s)], np.tile(np.eye(s), (len(block), 1)), model, started=True)
+        at = {q: i * s for i, q in enumerate(block)}
+        for q in range(a, min(a + most, len(rest))):
+            k, i = rest[q][0], at[q]
             top = scale[i : i + s].max()
-            w = v[r] @ (m[i : i + s] * 10.0 ** (scale[i : i + s] - top)[:, None])
+            matrix = m[i : i + s] * 10.0 ** (scale[i : i + s] - top)[:, None]
+            w = vectors[k][-1] @ matrix
             z = w.sum()
-            v[r] = w / z
-            log[r] += top + np.log10(z)
-    found = np.zeros(len(texts))
-    found[order] = log
-    return found
+            vectors[k].append(w / z)
+            matrices[k].append(matrix)
+            logs[k] += top + np.log10(z)
+    return vectors, matrices, logs
+
+
+def log_likelihoods(texts: list[np.ndarray], model: dict, piece: int = 2 * PIECE) -> np.ndarray:
+    """log10 of the model's probability of each symbol sequence; exact for any length."""
+    return _ends(texts, model, piece)[2]
+
+
+def text_counts(texts: list[np.ndarray], model: dict, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions of whole texts, each of any length."""
+    s = len(model["moves"])
+    vectors, matrices, _ = _ends(texts, model, piece)
+    start, moves, emissions = np.zeros(s), np.zeros((s, s)), np.zeros_like(model["emissions"])
+    rows: list[tuple[np.ndarray, np.ndarray, bool, np.ndarray]] = []
+    for k, text in enumerate(texts):
+        after = np.ones(s)
+        for p in range(len(vectors[k]) - 1, -1, -1):
+            rows.append((text[p * piece : (p + 1) * piece], vectors[k][p - 1] if p else after, p == 0, after))
+            if p:
+                after = matrices[k][p - 1] @ after
+                after = after / after.max()
+    rows.sort(key=lambda r: -len(r[0]))  # like lengths go together
+    for a in range(0, len(rows), TOGETHER):
+        pieces, before, first, after = zip(*rows[a : a + TOGETHER], strict=True)
+        x = expected_counts(list(pieces), np.stack(before), np.array(first), np.stack(after), model)
+        start, moves, emissions = start + x[0], moves + x[1], emissions + x[2]
+    return start, moves, emissions
+
+
+def _expectation(shared, most: int = 1 << 19):
+    """Sums of the task, over texts of about ``most`` tokens at a time."""
+
+    def run(batches):
+        m = shared.value
+        s = len(m["moves"])
+        start, moves, emissions = np.zeros(s), np.zeros((s, s)), np.zeros_like(m["emissions"])
+        texts: list[np.ndarray] = []
+        held = 0
+
+        def flush():
+            nonlocal start, moves, emissions, held
+            x = text_counts(texts, m)
+            start, moves, emissions = start + x[0], moves + x[1], emissions + x[2]
+            texts.clear()
+            held = 0
+
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                texts.append(np.frombuffer(raw, "<u2"))
+                held += len(texts[-1])
+                if held >= most:
+                    flush()
+        if texts:
+            flush()
+        some = np.flatnonzero(emissions.any(axis=1))
+        key = np.concatenate([[-1], -2 - np.arange(s), some])
+        value = np.concatenate([start[None], moves, emissions[some]])
+        yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), *[pa.array(value[:, k]) for k in range(s)]], names=["k", *[f"s{k}" for k in range(s)]])
+
+    return run
 
 
 def _scorer(shared):
@@ -220,13 +265,13 @@ def first_model(counts: np.ndarray, states: int = STATES) -> dict:
     e = unigram[:, None] * rng.exponential(1.0, (len(counts), states))
     moves = rng.uniform(0.5, 1.5, (states, states)) + STAY * states * np.eye(states)
     mean = np.full(states, 1 / states)
-    return {"start": mean, "mean": mean, "moves": moves / moves.sum(axis=1, keepdims=True), "emissions": e / e.sum(axis=0), "unigram": unigram}
+    return {"start": mean, "moves": moves / moves.sum(axis=1, keepdims=True), "emissions": e / e.sum(axis=0), "unigram": unigram}
 
 
 def _renewed(model: dict, start: np.ndarray, moves: np.ndarray, emissions: np.ndarray) -> dict:
     e = emissions + PRIOR * model["unigram"][:, None]
-    moves, start, mean = moves + 1.0, start + 1.0, emissions.sum(axis=0) + 1.0
-    return model | {"start": start / start.sum(), "mean": mean / mean.sum(), "moves": moves / moves.sum(axis=1, keepdims=True), "emissions": e / e.sum(axis=0)}
+    moves, start = moves + 1.0, start + 1.0
+    return model | {"start": start / start.sum(), "moves": moves / moves.sum(axis=1, keepdims=True), "emissions": e / e.sum(axis=0)}
 
 
 def baum_welch(coded: DataFrame, model: dict, rounds: int = ROUNDS) -> dict:
@@ -248,29 +293,44 @@ def baum_welch(coded: DataFrame, model: dict, rounds: int = ROUNDS) -> dict:
     return model
 
 
-def most_frequent(counts: DataFrame, most: int) -> list:
-    """The tokens from some count on, as many as ``most`` allows, by decreasing count; the driver gets no others.
+def _filled(bins: list[tuple[int, int]], most: int) -> tuple[list[int], int | None, int]:
+    """Of bins (key, number) in order: the keys that fit into ``most`` together, the first that does not, and what room is left."""
+    room, whole = most, []
+    for key, n in bins:
+        if n > room:
+            return whole, key, room
+        whole.append(key)
+        room -= n
+    return whole, None, room
+
+
+def most_frequent(counts: DataFrame, most: int, fine: int = 65_536) -> list:
+    """The ``most`` most frequent tokens, nearly, by decreasing count; the driver gets no others.
 
-    The count is found on a histogram of its logarithm, which has a few thousand bins at most, so nothing is sorted.
+    They are found on a histogram of the logarithms of counts, which has a few thousand bins at most, so nothing is sorted.  Of the bin at the bound, as
+    many tokens come along as there is room for, in the order of ``fine`` classes by hash, whole classes only.
     """
-    level = F.floor(F.log2("c") * 64)
+    level, spread = F.floor(F.log2("c") * 64), F.pmod(F.xxhash64("token"), F.lit(fine))
     bins = sorted(((r["b"], r["n"]) for r in counts.groupBy(level.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)
-    total, cut = 0, None
-    for b, n in bins:
-        total += n
-        if total > most:
-            break
-        cut = b
-    return [] if cut is None else sorted(counts.where(level >= cut).collect(), key=lambda r: (-r["c"], r["token"]))
+    whole, edge, room = _filled(bins, most)
+    wanted = level > edge if edge is not None else F.lit(True)
+    if edge is not None and room:
+        parts = counts.where(level == edge).groupBy(spread.alias("h")).agg(F.count("*").alias("n"))
+        some, stop, _ = _filled(sorted((r["h"], r["n"]) for r in parts.collect()), room)
+        if some:
+            wanted = wanted | ((level == edge) & (spread < stop))
+    return sorted(counts.where(wanted).collect(), key=lambda r: (-r["c"], r["token"]))
 
 
-def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOLS, lookup: int = LOOKUP) -> DataFrame:
+def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOLS, lookup: int = LOOKUP, classes: int = CLASSES) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows where ``held_out`` is false.  A null or empty text is the end token alone.  Repeated rows are scored one
     by one, a null id keeps its row, an empty table gives an empty result, other columns are not read.  Without a training row all scores
-    come from one unseen token type.
+    come from tokens that were never seen.
     """
+    if symbols + classes >= 1 << 16:
+        raise ValueError("symbols are numbers of 16 bits")
     spark = docs.sparkSession
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     training = rows.where("NOT held_out")
@@ -280,37 +340,45 @@ def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOL
     n, v = (whole[0] or 0) + ends, whole[1] + (1 if ends else 0)
     head = most_frequent(counts, lookup)
     c = np.array([r["c"] for r in head], dtype=np.float64)
+    tokens = [r["token"].encode() for r in head]
     k = min(symbols, len(head))
     below = n + v + 1
-    rare_total = (whole[0] or 0) - c[:k].sum() + (whole[1] - k) + 1
+    # Of each class: tokens in training, and different ones, without those that are symbols.
+    kind = F.pmod(F.crc32(F.col("token").cast("binary")), F.lit(classes)).cast("int")
+    in_class = np.zeros((classes, 2))
+    for r in counts.groupBy(kind.alias("h")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():  # a row per class
+        in_class[r["h"]] = r["c"], r["n"]
+    for t, x in zip(tokens[:k], c[:k], strict=True):
+        in_class[zlib.crc32(t) % classes] -= x, 1
     shared = {
-        "tokens": [r["token"].encode() for r in head],
+        "tokens": tokens,
         "symbols": k,
-        "base": np.log10((c + 1) / below),
-        "rare": np.where(np.arange(len(c)) < k, 0.0, np.log10((c + 1) / rare_total)),
+        "classes": classes,
+        "log_count": np.log10(c + 1),
+        "log_below": float(np.log10(below)),
+        "log_class": np.log10(in_class.sum(axis=1) + 1),
         "end_base": float(np.log10((ends + 1) / below)),
     }
     schema = "doc_id long, held_out boolean, row long, n_tokens long, known long, base double, rare double, symbols binary, tail array<string>"
     numbered = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.monotonically_increasing_id().alias("row"), "text")
     coded = stored(numbered.mapInArrow(_encoder(spark.sparkContext.broadcast(shared)), schema))
 
-    seen = np.append(c[:k], [max(rare_total - 1, 0.0), float(ends)])
+    seen = np.concatenate([c[:k], in_class[:, 0], [float(ends)]])
     model = baum_welch(coded.where("NOT held_out"), first_model(seen), rounds)
 
     tail = coded.select("row", F.explode("tail").alias("token")).join(counts, "token", "left")
-    one = F.coalesce("c", F.lit(0)) + 1.0
-    more = tail.groupBy("row").agg(F.sum(F.log10(one / below)).alias("more_base"), F.sum(F.log10(one / float(rare_total))).alias("more_rare"), F.count("c").alias("more_known"))
+    more = tail.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("more"), F.count("c").alias("more_known"))
     scored = coded.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "rare", "symbols")
     scored = scored.mapInArrow(_scorer(spark.sparkContext.broadcast(model)), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, rare double, log double")
-    zero = F.lit(0.0)
+    more_of_it = F.coalesce("more", F.lit(0.0))
     return scored.join(more, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0)) + (1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"),
-        (F.col("log") + F.col("rare") + F.coalesce("more_rare", zero)).alias("score"),
+        (F.col("base") + more_of_it).alias("base_score"),
+        (F.col("log") + F.col("rare") + more_of_it).alias("score"),
     )
 
 

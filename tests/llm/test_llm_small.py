@@ -411,10 +411,67 @@ def test_forward_and_baum_welch():
     scores = []
     for _ in range(6):
         scores.append(hmm_lm.log_likelihoods(two, m).sum())
-        m = hmm_lm._renewed(m, *hmm_lm.expected_counts(two, np.ones(6, bool), m))
+        m = hmm_lm._renewed(m, *hmm_lm.text_counts(two, m))
     assert scores[-1] > scores[0]
 
 
+def test_expected_counts_of_whole_texts():
+    """Pieces give the counts of a plain forward-backward run over each whole text."""
+    rng = np.random.default_rng(14)
+    m = hmm_lm.first_model(rng.integers(1, 50, 30).astype(float), 3)
+    m["moves"] = rng.dirichlet(np.ones(3), 3)
+    texts = [rng.integers(0, 30, k) for k in (1, 2, 7, 8, 9, 40, 65, 17)]
+    start, moves, emissions = np.zeros(3), np.zeros((3, 3)), np.zeros((30, 3))
+    for x in texts:
+        e = m["emissions"][x]
+        f, b = [m["start"] * e[0]], [np.ones(3)]
+        for t in range(1, len(x)):
+            f.append(f[-1] @ m["moves"] * e[t])
+        for t in range(len(x) - 1, 0, -1):
+            b.append(m["moves"] @ (e[t] * b[-1]))
+        b, z = b[::-1], f[-1].sum()
+        start += f[0] * b[0] / z
+        for t in range(len(x)):
+            emissions[x[t]] += f[t] * b[t] / z
+            if t:
+                moves += m["moves"] * np.outer(f[t - 1], e[t] * b[t]) / z
+    for got, want in zip(hmm_lm.text_counts(texts, m, 8), (start, moves, emissions), strict=True):
+        assert np.abs(got - want).max() < 1e-9
+
+
+def test_language_model_by_brute_force(spark):
+    """Counts, base score and the split of the vocabulary, against plain loops; all one-token texts have a total probability of 1."""
+    random.seed(15)
+    vocabulary = [f"t{i}" for i in range(60)]
+    texts = [" ".join(random.choices(vocabulary, weights=[1 / (i + 1) for i in range(60)], k=random.randrange(1, 12))) for _ in range(80)] + [None, "T1  t1", "unseen t0"]
+    every = [*vocabulary, "unseen"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *every])], "doc_id long, text string")
+    held = (F.col("doc_id") % 4 == 0) | (F.col("doc_id") >= len(texts) - 1)
+    words = [(t or "").lower().split() for t in texts]
+    train = [w for i, w in enumerate(words) if i % 4 and i < len(texts) - 1]
+    c: dict = {}
+    for w in [*train, [0] * len(train)]:
+        for x in w:
+            c[x] = c.get(x, 0) + 1
+    n = sum(c.values())
+    for symbols, lookup in ((5, 20), (1, 1), (100, 100), (0, 0)):
+        r = {x.doc_id: x for x in hmm_lm.score(d, held, rounds=2, symbols=symbols, lookup=lookup, classes=7).collect()}
+        for i, w in enumerate(words):
+            assert (r[i].n_tokens, r[i].n_known, r[i].train_tokens) == (len(w) + 1, sum(x in c for x in w) + 1, n)
+            assert abs(r[i].base_score - sum(math.log10((c.get(x, 0) + 1) / (n + len(c) + 1)) for x in [*w, 0])) < 1e-9
+        # P(t, end) of all different tokens t, with one place for the unseen ones of each of the classes: at most, and nearly, P(length 1) <= 1.
+        assert 0 < sum(10 ** r[len(texts) + k].score for k in range(len(every))) < 1
+
+
+def test_most_frequent_fills_its_bound(spark):
+    even = spark.range(5000).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("token"), F.lit(3).cast("long").alias("c"))
+    got = hmm_lm.most_frequent(even, 1000)
+    assert 990 <= len(got) <= 1000 and got == hmm_lm.most_frequent(even.repartition(7), 1000)
+    top = spark.range(10).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("token"), (F.col("id") + 100).alias("c"))
+    assert [x["c"] for x in hmm_lm.most_frequent(even.union(top), 5)] == [109, 108, 107, 106, 105]
+    assert len(hmm_lm.most_frequent(even.union(top), 10_000)) == 5010 and hmm_lm.most_frequent(even, 0) == []
+
+
 def test_quality(docs, no_docs, spark):
     labels = spark.createDataFrame([(5, 1), (7, 0), (3, 0), (3, 1), (None, 1), (8, None)], "doc_id long, quality int")
     r = quality_rules_model.classify(docs, labels, F.lit(True)).collect()
