@@ -5,7 +5,8 @@ Numbers and dates are permuted within their format by a keyed Feistel network ov
 turns in adding a keyed hash of the other half, modulo the size of their group, which is a permutation whatever the hash
 is.  Where the format has rules, the check digit is computed anew, or the permutation goes on until it meets a valid value
 (cycle walking), so it stays a permutation of the valid values: equal values stay equal in all
-documents, different ones stay different.  E-mail addresses and hexadecimal secrets get a keyed hash in their form.
+documents, different ones stay different.  A number with a foreign or unassigned prefix stays of its kind: those that the
+numbering plan of +1 knows are permuted among themselves, all other international numbers of a length among themselves.  E-mail addresses and hexadecimal secrets get a keyed hash in their form.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import table, unused
 
-KEY = "replace-this-key"
-ROUNDS, WALKS = 8, 64
+#: Steps of cycle walking; half of the values or more are valid in each format, so not to end in them has a chance under 2^-256 and is an error.
+ROUNDS, WALKS = 8, 256
 
 #: Candidates by kind; the order matters where two could start at one place.
 PATTERNS = {
@@ -29,20 +30,25 @@ PATTERNS = {
     "date": r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}|\d{2,4}[ .-]\d{3}[ .-]?\d{4}|\d{7,12})(?!\d)",
+    "local phone": r"(?<![\d+(.-])(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[.-])[2-9]\d{2}[.-]\d{4}(?![\d.-]*\d)",
     "card": r"(?<!\d)(?:\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Countries' codes of one and of two digits; all others have three (fixed values of the international numbering plan).
+ONE_DIGIT_CODES = "1|7"
+TWO_DIGIT_CODES = "2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 
 
-def _hash(key: str, kind: str, turn: Column, value: Column) -> Column:
+def _hash(key: str, kind: Column, turn: Column, value: Column) -> Column:
     """60 bits of SHA-256 of key, kind, turn and value."""
-    text = F.concat(F.lit(f"{key}|{kind}|"), turn.cast("string"), F.lit("|"), value.cast("string"))
+    text = F.concat(F.lit(f"{key}|"), kind, F.lit("|"), turn.cast("string"), F.lit("|"), value.cast("string"))
     return F.conv(F.substring(F.sha2(text.cast("binary"), 256), 1, 15), 16, 10).cast("long")
 
 
-def feistel(key: str, kind: str, a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
+def feistel(key: str, kind: str | Column, a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
     """A keyed permutation of pairs a < size_a, b < size_b: a struct of the new ``a`` and ``b``."""
+    kind = F.lit(kind) if isinstance(kind, str) else kind
 
     def turn(pair: Column, k: Column) -> Column:
         even = k % 2 == 0
@@ -61,21 +67,26 @@ def with_value(value: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def permuted_digits(key: str, kind: str, digits: Column) -> Column:
-    """A keyed permutation of the strings of 2 to 36 digits, by length; the length is part of the kind."""
+    """A keyed permutation of the strings of 2 to 36 digits of each length; lengths have round functions of their own."""
     n = F.length(digits)
+    of_length = F.concat(F.lit(f"{kind}/"), n.cast("string"))
     u = F.floor(n / 2).cast("int")
     size = lambda k: F.rpad(F.lit("1"), k + 1, "0").cast("long")
-    pair = feistel(key, kind, F.substring(digits, F.lit(1), u), F.substring(digits, u + 1, n), size(u), size(n - u))
+    pair = feistel(key, of_length, F.substring(digits, F.lit(1), u), F.substring(digits, u + 1, n), size(u), size(n - u))
     return with_value(pair, lambda p: F.concat(F.lpad(p["a"].cast("string"), u, "0"), F.lpad(p["b"].cast("string"), n - u, "0")))
 
 
-def walked(start: Column, step: Callable[[Column], Column], valid: Callable[[Column], Column]) -> Column:
-    """Steps from ``start``, one at least, until the value is valid."""
+def walked(start: Column, step: Callable[[Column], Column], valid: Callable[[Column], Column], kind: str = "string") -> Column:
+    """Steps from ``start``, one at least, until the value is valid; an error if WALKS steps do not get there."""
 
     def go(state: Column, _: Column) -> Column:
         return F.when(state["done"], state).otherwise(with_value(step(state["v"]), lambda v: F.struct(v.alias("v"), valid(v).alias("done"))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), F.struct(start.alias("v"), F.lit(False).alias("done")), go)["v"]
+    def end(state: Column) -> Column:
+        return F.when(state["done"], state["v"]).otherwise(F.raise_error(F.lit("cycle walking met no valid value")).cast(kind))
+
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), F.struct(start.alias("v"), F.lit(False).alias("done")), go)
+    return with_value(walk, end)
 
 
 def digits_of(text: Column) -> Column:
@@ -112,16 +123,35 @@ def _card(m: Column, key: str) -> Column:
     return with_value(digits_of(m), new)
 
 
+def in_plan(ten: Column) -> Column:
+    """Whether ten digits are a number of the plan of +1: area and exchange begin with 2 to 9 and neither ends in 11."""
+    return ten.rlike("^[2-9](?!11)[0-9]{2}[2-9](?!11)[0-9]{6}$")
+
+
 def _phone(m: Column, key: str) -> Column:
-    """The last ten digits, or all but the first of a shorter number; the country's code stays."""
+    """All digits behind the country's code; the code stays, and so does being in the plan of +1 or not."""
 
     def new(d: Column) -> Column:
-        k = F.least(F.lit(10), F.length(d) - 1)
-        return refilled(m, F.concat(F.substring(d, F.lit(1), F.length(d) - k), permuted_digits(key, "phone", F.substring(d, F.length(d) - k + 1, k))))
+        n = F.when(d.rlike(f"^(?:{ONE_DIGIT_CODES})"), 1).when(d.rlike(f"^(?:{TWO_DIGIT_CODES})"), 2).otherwise(3)
+        code, rest = F.substring(d, F.lit(1), n), F.substring(d, n + 1, F.length(d))
+        # Being in the plan is kept only where the code is 1; other countries have plans of their own.
+        planned = lambda x: (code == "1") & in_plan(x)
+
+        def of_kind(x: Column, kind: str, wanted: bool) -> Column:
+            return walked(x, lambda v: permuted_digits(key, kind, v), lambda v: planned(v) == F.lit(wanted))
+
+        moved = lambda x: F.when(planned(x), of_kind(x, "planned phone", True)).otherwise(of_kind(x, "phone", False))
+        return refilled(m, F.concat(code, with_value(rest, moved)))
 
     return with_value(digits_of(m), lambda d: F.when(F.length(d).between(8, 15), new(d)).otherwise(m))
 
 
+def _local_phone(m: Column, key: str) -> Column:
+    """Ten digits without a country's code, if the plan of +1 has them; the same number with +1 gets the same digits."""
+    new = lambda d: refilled(m, walked(d, lambda v: permuted_digits(key, "planned phone", v), in_plan))
+    return with_value(digits_of(m), lambda d: F.when(in_plan(d), new(d)).otherwise(m))
+
+
 def _ssn(m: Column, key: str) -> Column:
     def valid(d: Column) -> Column:
         area, group, serial = F.substring(d, 1, 3), F.substring(d, 4, 2), F.substring(d, 6, 4)
@@ -151,7 +181,7 @@ def _date(m: Column, key: str) -> Column:
             span = days(F.lit(LAST_DAY).cast("date"))
             inside = lambda v: (v >= 0) & (v <= span)
             step = lambda v: with_value(feistel(key, "date", F.floor(v / sides[1]), v % sides[1], F.lit(sides[0]), F.lit(sides[1])), lambda p: p["a"] * sides[1] + p["b"])
-            shown = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), walked(d, step, inside).cast("int")), form)
+            shown = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), walked(d, step, inside, "long").cast("int")), form)
             return F.when(inside(d), shown)
 
         return with_value(days(F.try_to_date(m, form)), made)
@@ -196,10 +226,10 @@ def _email(m: Column, key: str) -> Column:
     return F.concat(F.lit("user-"), F.substring(_keyed(m, key, "email"), 1, 16), F.lit("@pseudonym.invalid"))
 
 
-MAKERS = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
+MAKERS = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "local phone": _local_phone, "card": _card}
 
 
-def pseudonym(found: Column, key: str = KEY) -> Column:
+def pseudonym(found: Column, key: str) -> Column:
     """The pseudonym of a candidate, or the candidate itself where it is not valid."""
     out = found
     for kind in reversed(list(PATTERNS)):
@@ -207,22 +237,27 @@ def pseudonym(found: Column, key: str = KEY) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, count: str | None = None) -> DataFrame:
-    """Replace personal data in a text column; with ``count``, append how many places changed.
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
+    """Replace personal data in a text column under a secret ``key``; with ``count``, append how many places changed.
 
     A projection: no shuffle, no Python on executors.  A null text stays null (0 places), other columns stay as they are, repeated rows
     and equal values get equal pseudonyms, rows are independent.  An input column named ``count`` is replaced.
     """
     old, new = unused(docs, "pii_old"), unused(docs, "pii_new")
     t = F.col(f"`{text}`")
-    some = t.rlike("[0-9@]") & t.rlike(ANY)
-    marked = docs.withColumn(old, F.when(some, F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
-    marked = marked.withColumn(new, F.when(F.col(old).isNotNull(), F.transform(F.col(old), lambda m: pseudonym(m, key))))
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    marked = docs.withColumn(old, F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
+    marked = marked.withColumn(new, F.when(F.size(old) > 0, F.transform(F.col(old), lambda m: pseudonym(m, key))))
     parts = F.zip_with(F.split(t, ANY, -1), F.concat(F.col(new), F.array(F.lit(""))), lambda a, b: F.concat(a, b))
     changed = F.coalesce(F.size(F.filter(F.zip_with(old, new, lambda a, b: a != b), lambda x: x)), F.lit(0)) if count else None
     columns = [F.when(F.col(new).isNotNull(), F.array_join(parts, "")).otherwise(t).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns if c != count]
     return marked.select(*columns, *([F.greatest(changed, F.lit(0)).cast("long").alias(count)] if count else []))
 
 
+#: The key of the registered query and of the pipeline over the test tables; real data need a secret one.
+TEST_KEY = "a key for the test tables"
+
+
 def op2_feistel_pseudonyms(spark, sf_dir):
-    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_replaced")
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), TEST_KEY, count="n_replaced")

@@ -1,5 +1,6 @@
 """Each operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import hashlib
 import math
 import random
 import zlib
@@ -488,10 +489,10 @@ def test_quality_held_out(spark):
 
 
 def test_pseudonyms_small(docs, no_docs):
-    r = pseudonyms.pseudonymise(docs, count="n_replaced")
+    r = pseudonyms.pseudonymise(docs, "k", count="n_replaced")
     assert r.count() == len(TEXTS) + 2 and {x.n_replaced for x in r.collect()} == {0}
     assert sorted((x.text or "") for x in r.collect()) == sorted((x.text or "") for x in docs.collect())
-    assert pseudonyms.pseudonymise(no_docs).columns == no_docs.columns
+    assert pseudonyms.pseudonymise(no_docs, "k").columns == no_docs.columns
 
 
 def test_pseudonyms_are_valid_and_linked(spark):
@@ -503,7 +504,7 @@ def test_pseudonyms_are_valid_and_linked(spark):
     cards = [c + str((10 - luhn(c + "0")) % 10) for c in cards]
     days = [date.fromordinal(date(1999, 1, 1).toordinal() + k).isoformat() for k in range(200)]
     rows = [(i, f"card {c}, born {d}; again {c}") for i, (c, d) in enumerate(zip(cards, days, strict=True))]
-    out = pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    out = pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id int, text string"), "k").collect()
     new_cards, new_days = set(), set()
     for (_, old), r in zip(rows, sorted(out), strict=True):
         a, d, b = re.fullmatch(r"card (\d{16}), born (\d{4}-\d\d-\d\d); again (\d{16})", r.text).groups()
@@ -512,7 +513,7 @@ def test_pseudonyms_are_valid_and_linked(spark):
         new_cards.add(a)
         new_days.add(d)
     assert len(new_cards) == len(new_days) == 200
-    other = pseudonyms.pseudonymise(spark.createDataFrame(rows[:5], "doc_id int, text string"), key="other").collect()
+    other = pseudonyms.pseudonymise(spark.createDataFrame(rows[:5], "doc_id int, text string"), "other").collect()
     assert all(a.text != b.text for a, b in zip(sorted(out), sorted(other), strict=False))
 
 
@@ -524,6 +525,9 @@ def test_pseudonyms_are_valid_and_linked(spark):
         ("ip 10.20.30.40.", r"ip \d+\.\d+\.\d+\.\d+\."),
         ("31/12/1999 and 01.02.2003", r"\d\d/\d\d/\d{4} and \d\d\.\d\d\.\d{4}"),
         ("+1 (017) 555-7713 1.2.3.4", r"\+1 \(\d{3}\) \d{3}-\d{4} \d+\.\d+\.\d+\.\d+"),
+        ("call (415) 555-0132 or 415-555-0132.", r"call \(([2-9]\d\d)\) ([2-9]\d\d)-(\d{4}) or \1-\2-\3\."),
+        ("+1 415 555 0132", r"\+1 [2-9]\d\d [2-9]\d\d \d{4}"),
+        ("+49 30 123 4567", r"\+49 \d\d \d{3} \d{4}"),
         ("ssn 123-45-6789", r"ssn \d{3}-\d\d-\d{4}"),
         ("GB82 WEST 1234 5698 7654 32", r"GB\d\d WEST \d{4} \d{4} \d{4} \d\d"),
         ("b44e15e09fd311c3cf3163b66d5a9875b883d8ce", "[0-9a-f]{40}"),
@@ -532,13 +536,46 @@ def test_pseudonyms_are_valid_and_linked(spark):
 def test_formats(spark, text, form):
     import re
 
-    r = pseudonyms.pseudonymise(spark.createDataFrame([(text,)], "text string"), count="n").first()
+    r = pseudonyms.pseudonymise(spark.createDataFrame([(text,)], "text string"), "k", count="n").first()
     assert r.n >= 1 and r.text != text and re.fullmatch(form, r.text)
 
 
-@pytest.mark.parametrize("text", ["4111111111111112", "999.1.1.1", "2023-02-30", "000-12-3456", "GB83WEST12345698765432", "version 2.0. 1999", "a@b", "12345678"])
+@pytest.mark.parametrize("text", ["4111111111111112", "999.1.1.1", "2023-02-30", "000-12-3456", "GB83WEST12345698765432", "version 2.0. 1999", "a@b", "12345678", "115-555-0132", "415-911-0132"])
 def test_invalid_values_stay(spark, text):
-    assert pseudonyms.pseudonymise(spark.createDataFrame([(text,)], "text string")).first().text == text
+    assert pseudonyms.pseudonymise(spark.createDataFrame([(text,)], "text string"), "k").first().text == text
+
+
+def feistel_by_hand(key, kind, a, b, size_a, size_b):
+    for k in range(pseudonyms.ROUNDS):
+        value = int(hashlib.sha256(f"{key}|{kind}|{k}|{a if k % 2 else b}".encode()).hexdigest()[:15], 16)
+        a, b = (a, (b + value) % size_b) if k % 2 else ((a + value) % size_a, b)
+    return a, b
+
+
+def test_permutations_by_brute_force(spark):
+    """All strings of three and four digits, all days, a block of phone and social security numbers: one to one, and equal to a second version."""
+    for n in (3, 4):
+        u = n // 2
+        d = spark.range(10**n).select(F.lpad(F.col("id").cast("string"), n, "0").alias("x"))
+        got = {r.x: r.y for r in d.select("x", pseudonyms.permuted_digits("k", "card", F.col("x")).alias("y")).collect()}
+        assert len(set(got.values())) == 10**n
+        for x in list(got)[:200]:
+            a, b = feistel_by_hand("k", f"card/{n}", int(x[:u]), int(x[u:]), 10**u, 10 ** (n - u))
+            assert got[x] == f"{a:0{u}d}{b:0{n - u}d}"
+    days = spark.range(73_049).select(F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
+    assert pseudonyms.pseudonymise(days, "k").distinct().count() == 73_049
+    phones = [f"+1 ({a}) {b}-{c:04d}" for a in ("017", "211", "212", "911", "989") for b in ("011", "555", "611") for c in range(200)]
+    out = [r.text for r in pseudonyms.pseudonymise(spark.createDataFrame([(x,) for x in phones], "text string").coalesce(1), "k").collect()]
+    planned = lambda x: x[4] in "23456789" and x[5:7] != "11" and x[9] in "23456789" and x[10:12] != "11"
+    assert len(set(out)) == len(phones) and [planned(x) for x in out] == [planned(x) for x in phones]
+    numbers = [f"{a:03d}-{b:02d}-{c:04d}" for a in (1, 665, 667, 899) for b in (1, 99) for c in (1, 2, 9999)]
+    out = [r.text for r in pseudonyms.pseudonymise(spark.createDataFrame([(x,) for x in numbers], "text string"), "k").collect()]
+    assert len(set(out)) == len(numbers) and all(x[:3] not in ("000", "666") and x[0] != "9" and x[4:6] != "00" and x[7:] != "0000" for x in out)
+
+
+def test_pseudonyms_need_a_key(docs):
+    with pytest.raises(ValueError, match="key"):
+        pseudonyms.pseudonymise(docs, "")
 
 
 def test_columns_of_the_input_stand_aside(spark):
