@@ -26,7 +26,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymise(docs)
+    return pseudonyms.pseudonymise(docs, pseudonyms.TEST_KEY)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
