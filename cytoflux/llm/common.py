@@ -157,7 +157,11 @@ def hash_share(column: Column, sample: int, n: int) -> Column:
 
     The bound has 62 bits, so a sample neither vanishes nor grows, however many rows there are.
     """
-    return F.pmod(column, F.lit(1 << 62)) < F.lit(-(-(min(sample, n) << 62) // max(n, 1)))
+    return F.pmod(column, F.lit(1 << 62)) < F.lit(share_bound(sample, n))
+
+
+def share_bound(sample: int, n: int, bits: int = 62) -> int:
+    return -(-(min(sample, n) << bits) // max(n, 1))
 
 
 def slices(text: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:

@@ -9,6 +9,7 @@ below all that the language's own training texts of like size show.
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_class, rows_where, slices, table, with_columns_from
+from .common import hash_share, id_class, rows_where, slices, table, with_columns_from
 
 DIMENSIONS, CENTROIDS, ROUNDS, BLOCK = 4096, 4, 8, 256
 #: Labelled texts per language that centroids are fitted to; document frequencies use all.
@@ -189,9 +190,9 @@ def fit(docs: DataFrame, training: Column, sample: int = SAMPLE) -> dict:
     grams = rows.select("text").mapInArrow(_frequencies, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     df = {r["gram"]: r["n"] for r in grams.collect()}
     idf = np.array([np.log((1 + df[-1]) / (1 + df.get(g, 0))) + 1 for g in range(DIMENSIONS)], dtype=np.float32)
-    order = F.xxhash64("doc_id", F.length("text"))
-    share = F.create_map(*[x for k, n in sorted(known.items()) for x in (F.lit(k), F.lit(min(1.0, sample / n)))])[F.col("lang")]
-    chosen = rows.withColumn("order", order).where(F.pmod("order", F.lit(1_000_000)) < share * 1_000_000)
+    wanted = reduce(lambda a, b: a | b, [(F.col("lang") == k) & hash_share(F.col("order"), sample, n) for k, n in sorted(known.items())])
+    chosen = rows.withColumn("order", F.xxhash64("doc_id", F.md5(F.col("text").cast("binary")))).where(wanted)
+    chosen = chosen.groupBy("lang", "order").agg(F.first("text").alias("text"))  # rows that repeat id and text count once
     models = chosen.groupBy("lang").applyInPandas(_fit_language(idf), "lang string, centroids binary").collect()
     models = sorted(models, key=lambda r: r["lang"])
     c = [np.frombuffer(bytes(r["centroids"]), np.float32).reshape(-1, DIMENSIONS) for r in models]

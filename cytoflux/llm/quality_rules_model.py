@@ -9,6 +9,7 @@ scoring is a projection.
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -16,10 +17,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_class, stored, table
+from .common import hash_share, id_class, stored, table
 
 TREES, DEPTH, LASSO, SEED = 20, 3, 0.002, 5
-#: Labelled rows the ensemble is fitted to at most, chosen by a hash of the id; statistics cover all rows.
+#: Labelled rows the ensemble is fitted to, on average, chosen by a hash of the id (all if there are no more); statistics cover all rows.
 SAMPLE = 20_000
 CUT = 0.3
 
@@ -30,6 +31,7 @@ def statistics(text: Column) -> dict[str, Column]:
     """Statistics of a whole text; a null text counts as empty.  Shares are 0 where there is nothing to share."""
     text = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
     chars = F.greatest(F.length(text), F.lit(1))
     n = F.greatest(F.size(words), F.lit(1))
 
@@ -47,6 +49,10 @@ def statistics(text: Column) -> dict[str, Column]:
         "stops": share(r"[.,;:?]"),
         "lines": share("\n"),
         "distinct_words": F.size(F.array_distinct(words)) / n,
+        "distinct_lines": F.size(F.array_distinct(lines)) / F.greatest(F.size(lines), F.lit(1)),
+        "long_words": F.size(F.filter(words, lambda w: F.length(w) > 12)) / n,
+        "brackets": share(r"[()\[\]{}]"),
+        "links": F.regexp_count(text, F.lit("https?://|www[.]")) / n,
     }
 
 
@@ -59,14 +65,20 @@ def condition(rule: Rule) -> Column:
     return reduce(lambda a, b: a & b, parts)
 
 
-def paths(node, names: list[str], path: Rule = ()) -> list[Rule]:
-    """All paths from the root of a tree, to inner nodes and to leaves."""
-    found = [path] if path else []
-    if node.subtreeDepth():
-        split = node.split()
-        k, v = names[split.featureIndex()], float(split.threshold())
-        found += paths(node.leftChild(), names, (*path, (k, "<=", v)))
-        found += paths(node.rightChild(), names, (*path, (k, ">", v)))
+_BRANCH = re.compile(r"( *)(?:If|Else) \(feature (\d+) (<=|>) ([-+.\dEeNaInfity]+)\)")
+
+
+def paths(tree: str, names: list[str]) -> list[Rule]:
+    """All paths from the root of a tree, to inner nodes and to leaves, from the text that describes it (``toDebugString``)."""
+    found: list[Rule] = []
+    above: list[tuple[int, tuple[str, str, float]]] = []
+    for line in tree.split("\n"):
+        m = _BRANCH.match(line)
+        if m:
+            depth = len(m.group(1))
+            above = [x for x in above if x[0] < depth]
+            above.append((depth, (names[int(m.group(2))], m.group(3), float(m.group(4)))))
+            found.append(tuple(c for _, c in above))
     return found
 
 
@@ -85,18 +97,16 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> dict:
     Without rows, or with one label only, there are no rules and the bias is the label's log odds (add one).
     """
     names = [c for c in rows.columns if c not in ("doc_id", "label")]
-    n = rows.count()
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / max(n, 1))))
+    chosen = rows.where(hash_share(F.xxhash64("doc_id"), sample, rows.count()))
     rows = stored(chosen.withColumn("label", F.col("label").cast("double"))).repartition(4).cache()
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     ones, zeros = counts.get(1.0, 0), counts.get(0.0, 0)
     if not ones or not zeros:
-
-
+        rows.unpersist()
         return {"bias": math.log((ones + 1) / (zeros + 1)), "rules": []}
     features = VectorAssembler(inputCols=names, outputCol="x").transform(rows).select("x", "label")
     forest = RandomForestClassifier(featuresCol="x", numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="onethird", seed=SEED, minInstancesPerNode=3, maxBins=64).fit(features)
-    rules = sorted({simplified(r) for t in forest.trees for r in paths(t._java_obj.rootNode(), names)})
+    rules = sorted({simplified(r) for t in forest.trees for r in paths(t.toDebugString, names)})
     columns = [condition(r).cast("double").alias(f"r{k}") for k, r in enumerate(rules)]
     marked = VectorAssembler(inputCols=[f"r{k}" for k in range(len(rules))], outputCol="x").transform(rows.select("label", *columns)).select("x", "label")
     lasso = LogisticRegression(featuresCol="x", elasticNetParam=1.0, regParam=LASSO, maxIter=60, standardization=False).fit(marked)

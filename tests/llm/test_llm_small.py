@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -92,6 +93,60 @@ def test_language_rejects_long_noise(spark, docs, no_docs):
     assert {x.rejected for x in kept} == {True, False} and all(x.score == 0 for x in kept)
 
 
+def test_language_by_brute_force(spark):
+    """N-grams, weights, cosines and centroids (each text its own, as there are few) against plain loops."""
+    texts = {"en": ["the cat sat on the mat", "a dog and the cat", "they had tea"], "de": ["der hund und die katze", "die maus ist klein", "das haus"]}
+    rows = [(i, lang, t) for i, (lang, t) in enumerate((k, t) for k, v in texts.items() for t in v)] + [(9, None, "The dog had tea!"), (10, None, "das ist der hund 12"), (11, None, "...")]
+    m32 = (1 << 32) - 1
+
+    def grams(text):
+        found = {}
+        for word in re.findall("[a-z]+", text.lower()):
+            codes = [0, *map(ord, word), 0]
+            for n in (1, 2, 3):
+                for k in range(len(codes) - n + 1):
+                    g = codes[k : k + n]
+                    if g == [0]:
+                        continue
+                    h = n
+                    for c in g:
+                        h = ((h ^ c) * 0x9E3779B1) & m32
+                        h ^= h >> 15
+                    found[h % language_id.DIMENSIONS] = found.get(h % language_id.DIMENSIONS, 0) + 1
+        return found
+
+    train = [(lang, grams(t)) for _, lang, t in rows if lang]
+    weight = lambda g: math.log((1 + len(train)) / (1 + sum(g in x for _, x in train))) + 1
+
+    def vector(x):
+        v = {g: math.log1p(n) * weight(g) for g, n in x.items()}
+        length = math.sqrt(sum(a * a for a in v.values())) or 1
+        return {g: a / length for g, a in v.items()}
+
+    d = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language_id.fit(d, F.lit(True))
+    assert len(model["owner"]) == 6
+    for r in language_id.predict(d.select("doc_id", "text"), model).collect():
+        v = vector(grams(r.text))
+        cosine = {lang: max(sum(a * vector(x).get(g, 0) for g, a in v.items()) for k, x in train if k == lang) for lang in texts}
+        best = max(cosine, key=cosine.get)
+        assert (r.lang_pred, r.rejected) == ((best, False) if v else ("und", True))
+        assert abs(r.score - (cosine[best] if v else 0)) < 1e-5
+
+
+def test_language_rejects_an_unseen_one(spark):
+    """A language, in letters of its own, that the model has not seen."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(table, F.lit(True))
+    r = random.Random(6)
+    words = ["".join(chr(0x3B1 + r.randrange(24)) for _ in range(r.randint(2, 9))) for _ in range(200)]
+    rows = [(k, " ".join(r.choices(words, k=k))) for k in (5, 30, 300, 3000)]
+    got = language_id.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert all(x.rejected and x.lang_pred in model["langs"] for x in got)
+    tied = spark.createDataFrame([(1, "a", "same words"), (1, "a", "same words"), (2, "b", "same words")], "doc_id long, lang string, text string")
+    assert {x.lang_pred for x in language_id.predict(tied.select("text"), language_id.fit(tied, F.lit(True))).collect()} == {"a"}  # a tie: the first by name
+
+
 def test_language_held_out(spark):
     from cytoflux.llm.language_id import op1_language_id
 
@@ -482,6 +537,48 @@ def test_quality(docs, no_docs, spark):
     assert all(x.score > 0.5 for x in one)
 
 
+def test_samples_of_any_size(spark):
+    from cytoflux.llm.common import hash_share, share_bound
+
+    h = spark.range(100_000).select(F.xxhash64("id").alias("h"))
+    for n in (100_000, 10**6, 3 * 10**7):
+        got = h.where(hash_share(F.col("h"), 2000, n)).count()
+        assert abs(got - 2000 * 100_000 / n) < 5 * (2000 * 100_000 / n) ** 0.5 + 1
+    assert h.where(hash_share(F.col("h"), 2000, 2000)).count() == 100_000 and h.where(hash_share(F.col("h"), 2000, 0)).count() == 0
+    assert all(abs(share_bound(20_000, n) * n / 2**62 - 20_000) < 1 for n in (10**6, 2 * 10**10, 10**13))
+
+
+def test_rules_and_compiled_column(spark):
+    """The column is the logistic function of the weights of the rules that hold; trees are read path by path."""
+    tree = "DecisionTree\n  If (feature 1 <= 0.5)\n   If (feature 0 <= -2.0E-4)\n    Predict: 0.0\n   Else (feature 0 > -2.0E-4)\n    Predict: 1.0\n  Else (feature 1 > 0.5)\n   Predict: 1.0\n"
+    low, high = ("b", "<=", 0.5), ("b", ">", 0.5)
+    assert quality_rules_model.paths(tree, ["a", "b"]) == [(low,), (low, ("a", "<=", -2e-4)), (low, ("a", ">", -2e-4)), (high,)]
+    assert quality_rules_model.simplified((("a", ">", 1.0), ("a", ">", 3.0), ("a", "<=", 9.0))) == (("a", "<=", 9.0), ("a", ">", 3.0))
+    random.seed(16)
+    rows = [(i, random.random(), random.random(), int(i % 3 == 0)) for i in range(300)]
+    rows = [(i, a + 0.4 * y, b, y) for i, a, b, y in rows]
+    d = spark.createDataFrame(rows, "doc_id long, a double, b double, label int")
+    model = quality_rules_model.fit(d)
+    assert model["rules"] and model == quality_rules_model.fit(d)
+    for r in d.select("a", "b", quality_rules_model.compiled(model).alias("score")).collect():
+        holds = lambda rule: all(r[k] <= v if op == "<=" else r[k] > v for k, op, v in rule)  # noqa: E731, B023
+        total = model["bias"] + sum(w for rule, w in model["rules"] if holds(rule))
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-9
+
+
+def test_statistics_by_hand(spark):
+    text = "The  cat (sat) on www.mat.org!\n\nThe  cat 12\nextraordinarily # done."
+    r = quality_rules_model.with_statistics(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).orderBy("doc_id").collect()
+    words, n = text.split(), len(text)
+    lines = [x for x in text.split("\n") if x.strip()]
+    want = {
+        "log_chars": math.log1p(n), "mean_word": n / len(words), "symbols": 1 / n, "bars": 0, "capitals": 2 / n, "exclaims": 1 / n, "digits": 2 / n, "stops": 3 / n, "lines": 3 / n,
+        "distinct_words": len(set(words)) / len(words), "distinct_lines": len(set(lines)) / len(lines), "long_words": sum(len(w) > 12 for w in words) / len(words), "brackets": 2 / n, "links": 1 / len(words),
+    }
+    assert {k: round(r[0][k], 9) for k in want} == {k: round(v, 9) for k, v in want.items()} and len(want) == len(r[0]) - 1
+    assert set(r[1].asDict().values()) == {2, 0.0}
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     r = quality_rules_model.op3_rule_ensemble(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
