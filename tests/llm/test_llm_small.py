@@ -50,6 +50,35 @@ def test_bad_host_takes_its_documents(spark):
     assert host_rules.kept_documents(d).count() == 300
 
 
+def test_hosts_of_each_rule(spark):
+    """Good documents of a host go with it, whichever rule it is bad under; a small host and hosts like all others stay."""
+    r = random.Random(17)
+    good = lambda: " ".join(r.choices([f"word{i}" for i in range(300)], k=20))
+    bad = {
+        "symbols": lambda: good() + " ### $$$",
+        "word_length": lambda: " ".join("supercalifragilistic" + str(r.random()) for _ in range(12)),
+        "repeated_lines": lambda: "\n".join([good(), *["ok"] * 4]),
+        "few_words": lambda: "two words",
+        "repeats": lambda: good() + " a b c d e f g" * 3,
+    }
+    rows = [(f"fine{h}", "x", good() if r.random() > 0.05 else bad["symbols"]()) for h in range(12) for _ in range(60)]
+    for rule, text in bad.items():
+        rows += [(rule, rule, text() if k % 5 else good()) for k in range(100)]
+    rows += [("small", "x", bad["symbols"]()), ("small", "x", good()), (None, "x", good())]
+    d = spark.createDataFrame([(i, h, w, t) for i, (h, w, t) in enumerate(rows)], "doc_id long, source string, rule string, text string")
+    got = host_rules.judge(d, keys=("doc_id", "source")).collect()
+    for x in got:
+        assert x.host_rules == (x.source if x.source in bad else "") and x.host_failed == (x.source in bad)
+        assert x.kept == (not x.base_failed and x.source not in bad)
+    assert sum(not x.kept and not x.base_failed for x in got) > 300
+    assert {x.doc_id for x in host_rules.kept_documents(d).collect()} == {x.doc_id for x in got if x.kept}
+
+
+def test_repeat_words_under_equal_hashes(monkeypatch):
+    monkeypatch.setattr(host_rules, "_MULTIPLIERS", np.zeros(5, np.uint64))  # all windows share a hash
+    test_repeat_words_by_brute_force()
+
+
 def test_repeat_words_by_brute_force():
     import random
 
