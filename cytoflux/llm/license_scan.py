@@ -15,27 +15,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import table, with_columns_from
+from .license_templates import TEMPLATES
 
 #: Phrases that are counted, and their labels (fixed values).
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Label: template markup.
-TEMPLATES = {
-    "apache-2.0-notice": "licensed under the apache license [[version]] 2 0 [[the license]]",
-    "bsd-redistribution": "redistribution and use in source and binary forms with or without modification are permitted",
-    "cc-notice": "licensed under [[a]] [[the]] [[creative commons]] cc by [[nc]] [[sa]] [[nd]] {{1,1}} 0 [[international]]",
-    "copyright-line": "copyright [[c]] {{1,8}} all rights reserved",
-    "gnu-notice": "this {{1,3}} is licensed under the gnu [[lesser]] [[affero]] general public license [[version {{1,1}}]]",
-    "mit-notice": "released under the mit license",
-    "mit-permission": "permission is hereby granted free of charge to any person obtaining a copy of this software",
-    "rights-reserved-statement": "all rights reserved [[worldwide]]",
-}
+#: What matched is weighed by its mandatory words: ``score`` is m / (m + HALF) for the longest match of m words.
+HALF = 8
 
 OUTPUTS = {"n_words": "long", "n_base": "long", "first_word": "long", "last_word": "long", "base_labels": "string", "labels": "string", "score": "double"}
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _MARK = re.compile(r"\[\[|\]\]|\{\{(\d+),(\d+)\}\}|[^\s\[\]{}]+")
 
 
+def mandatory(markup: str) -> list[list[str]]:
+    """The mandatory words of a template, by runs that stand together."""
+    runs: list[list[str]] = [[]]
+    depth = 0
+    for m in _MARK.finditer(markup):
+        token = m.group()
+        depth += (token == "[[") - (token == "]]")
+        if token in ("[[", "]]") or m.group(1):
+            runs.append([])
+        elif not depth:
+            runs[-1].append(token)
+    return [r for r in runs if r]
+
+
 class TokenAutomaton:
     """The states of a template: edges on a word or on any word, and free moves."""
 
@@ -69,9 +75,10 @@ class TokenAutomaton:
                 at = self._step(at, word=token.encode())
         self.final = at
         self.closed = [self._closure(s) for s in range(len(self.free))]
+        runs = mandatory(markup)
         #: Mandatory words that stand together: a text without them cannot match.
-        plain = re.sub(r"\[\[.*?\]\]|\{\{.*?\}\}", "\n", re.sub(r"\[\[[^\[\]]*\{\{.*?\}\}[^\[\]]*\]\]", "\n", markup))
-        self.anchor = max((" ".join(x.split()) for x in plain.split("\n")), key=len).encode()
+        self.anchor = max((" ".join(x) for x in runs), key=len).encode()
+        self.weight = sum(map(len, runs))
 
     def _step(self, at: int, word: bytes | None = None, any_word: bool = False, free: bool = False) -> int:
         new = len(self.free)
@@ -114,6 +121,8 @@ def _scanner(base: dict[str, str], templates: dict[str, str]):
     def make():
         phrase = re.compile(b"(?<= )(?:" + b"|".join(re.escape(p.encode()) for p in base) + b")(?= )")
         automata = [(label, TokenAutomaton(markup)) for label, markup in sorted(templates.items())]
+        weight = {label: a.weight for label, a in automata}
+        phrase_words = {label: len(p.split()) for p, label in base.items()}
 
         def one(text: bytes):
             words = _WORD.findall(text.lower())
@@ -123,7 +132,8 @@ def _scanner(base: dict[str, str], templates: dict[str, str]):
                 places.append(line.count(b" ", 0, m.start()) - 1)
                 labels.add(base[m.group().decode()])
             more = {label for label, a in automata if a.anchor in line and a.accepts(words)}
-            score = 1.0 if more else 0.5 if labels else 0.0
+            longest = max([weight[label] for label in more] + [phrase_words[label] for label in labels], default=0)
+            score = longest / (longest + HALF)
             first, last = (min(places), max(places)) if places else (None, None)
             return len(words), len(places), first, last, ",".join(sorted(labels)), ",".join(sorted(labels | more)), score
 
@@ -139,7 +149,8 @@ def _scanner(base: dict[str, str], templates: dict[str, str]):
 def scan(docs: DataFrame, text: str = "text", base: dict[str, str] = BASE, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """Append word count, places of base phrases, labels and score to each row.
 
-    ``score`` is 1 where a template is accepted, 0.5 where only a base phrase stands, else 0.
+    ``score`` grows with the mandatory words of the longest template or phrase that matched: m / (m + 8), so 0 without a match, 0.2 to 0.3 for a
+    phrase alone, near 1 for a whole licence text.
     A null or empty text has no words, null ``first_word`` and ``last_word``, empty labels.
     Rows are independent: repeated rows, other columns and empty tables need no care; an
     input column that has an output's name is replaced.
@@ -170,7 +181,10 @@ def template_regex(markup: str) -> str:
 def _sql() -> str:
     phrases = {p: label for p, label in BASE.items()}
     places = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label, i - 1 AS place FROM s WHERE array_to_string(ws[i : i + {len(p.split()) - 1}], ' ') = '{p}'" for p, label in phrases.items())
-    more = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label FROM d WHERE regexp_matches(line, '{template_regex(markup)}')" for label, markup in TEMPLATES.items())
+    anchor = lambda markup: max((" ".join(x) for x in mandatory(markup)), key=len)
+    more = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label FROM d WHERE contains(line, '{anchor(markup)}') AND regexp_matches(line, '{template_regex(markup)}')" for label, markup in TEMPLATES.items())
+    words = {**{label: len(p.split()) for p, label in BASE.items()}, **{label: sum(map(len, mandatory(markup))) for label, markup in TEMPLATES.items()}}
+    weights = ", ".join(f"('{label}', {n})" for label, n in words.items())
     return rf"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -182,10 +196,11 @@ base AS (
   SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id
 ), more AS ({more}),
 both_kinds AS (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM more),
-joined AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM both_kinds GROUP BY doc_id)
+weights AS (SELECT * FROM (VALUES {weights}) AS v(label, words)),
+joined AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels, max(words) AS longest FROM both_kinds JOIN weights USING (label) GROUP BY doc_id)
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.a::BIGINT AS first_word, base.z::BIGINT AS last_word,
        coalesce(base.labels, '') AS base_labels, coalesce(joined.labels, '') AS labels,
-       CASE WHEN d.doc_id IN (SELECT doc_id FROM more) THEN 1.0::DOUBLE WHEN base.n > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+       coalesce(longest / (longest + {HALF}), 0.0)::DOUBLE AS score
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN joined USING (doc_id)
 """
 

@@ -196,7 +196,7 @@ def test_licenses(docs, no_docs):
         ("Licensed under CC BY-NC 4.0.", "cc-by,cc-notice", 2),
         ("This work is licensed under the GNU General Public License, version 3.", "gnu-notice,gpl", 7),
         ("This is licensed under the GNU General Public License", "gpl", 6),
-        ("Copyright (c) 2020 Some One. ALL RIGHTS RESERVED", "copyright-line,reserved,rights-reserved-statement", 5),
+        ("Copyright (c) 2020 Some One. ALL RIGHTS RESERVED", "copyright-line,reserved", 5),
         ("Licensed under the Apache License, Version 2.0", "apache-2.0-notice", None),
         ("Licensed under some Apache License, Version 2.0", "", None),
     ],
@@ -206,6 +206,32 @@ def test_templates(spark, text, labels, first):
     assert (r.labels, r.first_word) == (labels, first)
 
 
+MIT = """Copyright (c) 2021 A. N. Author and others
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS
+FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER
+IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+GPL = """This file is part of Thing. Thing is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+Thing is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+
+
+def test_whole_licences(spark):
+    """Whole texts match with names, years and options replaced; a changed mandatory word does not."""
+    texts = [MIT, "Words before. " + MIT.replace("AUTHORS OR COPYRIGHT HOLDERS", "X CONSORTIUM") + " and after", MIT.replace("sublicense", "lease"), GPL, GPL.replace("GNU General", "GNU Lesser General"), GPL.replace("useful", "used")]
+    r = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()
+    assert [x.labels for x in r] == ["mit,mit-permission"] * 2 + ["mit-permission", "gpl,gpl-header", "gpl,lgpl-header", "gpl"]
+    assert r[0].score > 0.9 > r[2].score > r[5].score > 0.2 and r[3].base_labels == "gpl"
+
+
 def test_automata_equal_regular_expressions():
     import random
     import re
@@ -216,7 +242,7 @@ def test_automata_equal_regular_expressions():
         words = [w for w in re.sub(r"[\[\]{}0-9,]", " ", markup).split()] + ["x", "2", "0"]
         base = re.sub(r"\{\{.*?\}\}", "x", markup.replace("[[", "").replace("]]", "")).split()
         for _ in range(150):
-            w = [x for x in base if random.random() < 0.93]
+            w = [x for x in base if random.random() > random.choice((0, 1 / len(base), 0.07))]
             if random.random() < 0.3:
                 w.insert(random.randrange(len(w) + 1), random.choice(words))
             assert a.accepts([x.encode() for x in w]) == bool(p.search(" " + " ".join(w) + " "))
