@@ -14,22 +14,42 @@ from cytoflux.llm.common import stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that neither their own rules nor their host's verdict rejects.
+
+    A null or empty text has no word and goes; a null host is one host; a null id keeps its row; repeated rows are judged one by
+    one; no row in, no row out.
+    """
     return host_rules.kept_documents(docs)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose language the model of their labelled rows does not reject.
+
+    A null text, or one without a letter, goes; a tie goes to the first language by name; repeated rows are judged one by one; without a
+    labelled row all texts with a letter stay.
+    """
     return language_id.known_language(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near-duplicates, that with the least id.
+
+    Rows with a null id or text stay; rows that repeat id and text count once; rows that share an id but differ in text are documents of
+    their own.
+    """
     return near_dup.without_near_duplicates(docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with pseudonyms in the text.  A null text stays null; equal values get equal pseudonyms in all rows."""
     return pseudonyms.pseudonymise(docs, pseudonyms.TEST_KEY)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all rows with their places in sequences.
+
+    A null or empty text is one piece with the end id alone; null or repeated ids keep their rows; pieces of equal length take places in any order.
+    """
     return packing.pack_documents(docs)
 
 
