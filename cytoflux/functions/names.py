@@ -54,5 +54,11 @@ def truncated(value: Column, digits: int = 4) -> Column:
     return F.floor(value * 10**digits) / 10**digits
 
 
+def plain_number(value: Column, digits: int = 10) -> Column:
+    """A number with at most ``digits`` decimals, without trailing zeros; ``0`` for zero."""
+    shown = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits}f", value.cast("double")), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return F.when(value.isNotNull(), shown)
+
+
 def one_hot_phase(p: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(i == p, 1.0).otherwise(0.0))

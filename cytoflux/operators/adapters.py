@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def written_out(adapter: str) -> tuple[str, int | None]:
+    """An adapter in short form, as its bases and the least overlap: ``T{15}`` repeats a base, a leading X (which anchors) goes, ``;o=18`` is the overlap."""
+    body, *settings = adapter.split(";")
+    least = next((int(x[2:]) for x in settings if x.startswith("o=")), None)
+    return re.sub(r"([A-Z])\{(\d+)\}", lambda m: m.group(1) * int(m.group(2)), body.removeprefix("X")), least
+
+
 def wildcard_pattern(adapter: str) -> str:
-    """An adapter as a regular expression: N is any base, ``X{n}`` repeats."""
-    return adapter.replace("N", "[ACGTN]")
+    """An adapter as a regular expression: N is any base, ``T{15}`` repeats."""
+    return written_out(adapter)[0].replace("N", "[ACGTN]")
 
 
 def has_prefix(seq: Column, adapter: str, least: int) -> Column:
@@ -47,16 +56,54 @@ def prefix_errors(read: str, adapter: str, rate: float, least: int) -> int | Non
     return best[1] if best else None
 
 
+def cuts_of(reads: list[str | None], adapter: str, rate: float, least: int) -> np.ndarray:
+    """``prefix_errors`` of all reads at once, -1 for None: the same table, filled a column of reads at a time.
+
+    A cell holds errors and the place in the adapter where the match begins, as one number, so the least number has the fewest errors.
+    """
+    n = len(adapter)
+    width, unit = n + int(rate * n) + 1, n + 1
+    texts = [(r or "")[:width] for r in reads]
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    codes = np.array(texts, dtype=f"U{width}").view(np.uint32).reshape(len(reads), width) if reads else np.zeros((0, width), np.uint32)
+    before = [np.full(len(reads), j * unit) for j in range(width + 1)]
+    for i, base in enumerate(adapter, 1):
+        row = [np.full(len(reads), i)]
+        for j in range(1, width + 1):
+            wrong = 0 if base == "N" else (codes[:, j - 1] != ord(base)) * unit
+            row.append(np.minimum(np.minimum(before[j - 1] + wrong, before[j] + unit), row[j - 1] + unit))
+        before = row
+    best, cut = np.full(len(reads), -1), np.full(len(reads), -1)
+    for j in range(1, width + 1):
+        errors, covered = before[j] // unit, n - before[j] % unit
+        fine = (size >= j) & (covered >= least) & (errors <= rate * covered)
+        key = np.where(fine, covered * unit * 4 + (unit * 4 - 1 - errors), -1)  # the longest first, then the fewest errors, then the shortest read
+        better = key > best
+        best, cut = np.where(better, key, best), np.where(better, j, cut)
+    return cut
+
+
 def match_prefix(reads: DataFrame, adapter: str, rate: float = 0.1, least: int = 10, seq: str = "seq") -> DataFrame:
     """Append ``trimmed`` (the read behind the adapter) and ``matched``; unmatched reads stay whole."""
 
     @F.pandas_udf("int")
     def cut(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: prefix_errors(x, adapter, rate, least) if x else None).astype("Int32")
+        return pd.Series(cuts_of(s.tolist(), adapter, rate, least).astype(np.int32))
 
-    at = cut(F.substring(seq, 1, len(adapter) + int(rate * len(adapter)) + 1))  # all that prefix_errors looks at
+    at = cut(F.substring(seq, 1, len(adapter) + int(rate * len(adapter)) + 1))  # all that a match looks at
     t = reads.withColumn("cut", at)
-    return t.withColumn("matched", F.col("cut").isNotNull()).withColumn("trimmed", F.expr(f"substring({seq}, coalesce(cut, 0) + 1)")).drop("cut")
+    return t.withColumn("matched", F.col("cut") >= 0).withColumn("trimmed", F.expr(f"substring({seq}, greatest(cut, 0) + 1)")).drop("cut")
+
+
+def with_adapter(reads: DataFrame, adapter: str, rate: float = 0.1, seq: str = "seq") -> DataFrame:
+    """Reads that begin with an adapter in short form (see ``written_out``), untrimmed; all others go."""
+    bases, least = written_out(adapter)
+
+    @F.pandas_udf("boolean")
+    def there(s: pd.Series) -> pd.Series:
+        return pd.Series(prefix_hits(s.tolist(), bases, rate, least or len(bases)))
+
+    return reads.where(there(F.substring(seq, 1, len(bases) + int(rate * len(bases)) + 1)))
 
 
 def trim_tail(seq: Column, adapter: str, least: int = 3) -> Column:

@@ -12,20 +12,30 @@ NAME = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
 
 def discover(spark: SparkSession, folder: str) -> DataFrame:
-    """Cells below ``folder``: one sub-folder each with one R1 and one R2 file; columns sample_name, safe_code, r1, r2, ord.
+    """Cells below ``folder``: one sub-folder each with the files ``<cell>_1.fq.gz`` and ``<cell>_2.fq.gz``, or ``_R1`` and ``_R2``; columns sample_name, safe_code, r1, r2, ord.
 
-    Only the listing is read, not the files.  A cell without exactly one of each, a bad name or two cells of one code is an error.
+    Only the listing is read, not the files; names that begin with a dot do not count.  An error: a FASTQ file of another name, not one pair, both schemes in a folder, a
+    bad name, two folders of one name, two cells of one code.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.f*q.gz").load(folder).select("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
     part = F.split("path", "/")
-    files = files.select("path", F.element_at(part, -2).alias("sample_name"), F.regexp_extract(F.element_at(part, -1), r"[._]R?([12])[._]", 1).alias("mate"))
-    cells = files.groupBy("sample_name").agg(
-        F.count_if(F.col("mate") == "1").alias("n1"), F.count_if(F.col("mate") == "2").alias("n2"), F.max(F.when(F.col("mate") == "1", F.col("path"))).alias("r1"), F.max(F.when(F.col("mate") == "2", F.col("path"))).alias("r2")
+    files = files.select("path", F.element_at(part, -2).alias("sample_name"), F.element_at(part, -1).alias("file"), F.array_join(F.slice(part, F.lit(1), F.size(part) - 1), "/").alias("folder"))
+    files = files.where(F.col("file").rlike(r"[.](fq|fastq)[.]gz$"))
+    ending = F.when(F.startswith("file", "sample_name"), F.expr("substring(file, length(sample_name) + 1)"))
+    files = files.withColumn("mate", F.regexp_extract(F.coalesce(ending, F.lit("")), r"^_(R?[12])[.]fq[.]gz$", 1))
+    path = lambda *mates: F.max(F.when(F.col("mate").isin(*mates), F.col("path")))
+    cells = files.groupBy("folder", "sample_name").agg(F.sort_array(F.collect_set("mate")).alias("mates"), F.count("*").alias("n"), path("1", "R1").alias("r1"), path("2", "R2").alias("r2"))
+    fault = (
+        F.when(~F.array_join("mates", " ").isin("1 2", "R1 R2") | (F.col("n") != 2), "not one pair of files, or names of other files: ")
+        .when(~F.col("sample_name").rlike(NAME), "a bad name: ")
+        .when(F.col("folders") > 1, "two folders of one name: ")
+        .when(F.col("same_code") > 1, "two cells of one code: ")
     )
-    fine = (F.col("n1") == 1) & (F.col("n2") == 1) & F.col("sample_name").rlike(NAME)
-    name = F.when(fine, F.col("sample_name")).otherwise(F.raise_error(F.concat(F.lit("not one R1 and one R2, or a bad name: "), F.col("sample_name"))))
-    cells = cells.select(name.alias("sample_name"), "r1", "r2").withColumn("safe_code", cell_code(F.col("sample_name")))
-    return with_order(cells)
+    cells = cells.withColumn("safe_code", cell_code(F.col("sample_name")))
+    cells = cells.join(cells.groupBy("sample_name").agg(F.count("*").alias("folders")), "sample_name")
+    cells = cells.join(cells.groupBy("safe_code").agg(F.count_distinct("sample_name").alias("same_code")), "safe_code")
+    name = F.when(fault.isNull(), F.col("sample_name")).otherwise(F.raise_error(F.concat(fault, F.col("sample_name"))))
+    return with_order(cells.select(name.alias("sample_name"), "r1", "r2", "safe_code"))
 
 
 def with_order(cells: DataFrame) -> DataFrame:

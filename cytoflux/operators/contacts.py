@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import island_starts, islands, overlap_join, point_join
+from .intervals import SEGMENT, island_starts, islands, overlap_join, point_join
 
+#: Wanted chromosomes (fixed values).
 STANDARD = r"^(chr)?([0-9]+|[XY])$"
 NO_Y = r"^(chr)?([0-9]+|X)$"
 
@@ -101,6 +104,17 @@ def without_regions(reads: DataFrame, regions: DataFrame, min_length: int = 30,
     return reads.join(bad, "qname", "left_anti")
 
 
+def collapsed_strands(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Lines of segments without strands: every ``-`` of a line, in names too, becomes ``+``."""
+    return lines.withColumn(value, F.translate(F.col(value), "-", "+"))
+
+
+def segment_lines(reads: DataFrame) -> DataFrame:
+    """Reads as lines of segments, ``chrom!start!end!strand!phase!mapq!hits!read`` each."""
+    item = lambda s: F.concat_ws("!", *[s[c].cast("string") for c in ("chrom", "start", "end", "strand", "phase", "mapq", "n_hits", "read_num")])
+    return reads.select(F.concat_ws("\t", F.col("qname").cast("string"), F.array_join(F.transform("segs", item), "\t")).alias("value"))
+
+
 def segments_to_bed(reads: DataFrame, origin: int = 1) -> DataFrame:
     """R2 segments as BED rows; an unphased one takes the first phase of an R1 segment of the read."""
     r1 = F.filter("segs", lambda s: (s["read_num"] != origin) & (s["phase"] != "."))
@@ -123,37 +137,48 @@ def dedup_pairs(pairs: DataFrame, keys: list[str], order: list[str], distance: i
 
 
 def _legs(pairs: DataFrame, ids: list[str]) -> DataFrame:
-    leg = lambda k: pairs.select(*ids, F.col(f"chr{k}").alias("chrom"), F.col(f"pos{k}").alias("pos"), F.lit(k).alias("leg"))
-    return leg(1).union(leg(2))
+    """Both legs of each contact, from one pass over the contacts."""
+    leg = lambda k: F.struct(F.col(f"chr{k}").alias("chrom"), F.col(f"pos{k}").alias("pos"), F.lit(k).alias("leg"))
+    return pairs.select(*ids, F.explode(F.array(leg(1), leg(2))).alias("l")).select(*ids, "l.*")
 
 
-def clean_legs(pairs: DataFrame, ids: list[str], max_distance: int, max_count: int) -> DataFrame:
+def clean_legs(pairs: DataFrame, ids: list[str], max_distance: int, max_count: int, segment_width: int = SEGMENT) -> DataFrame:
     """Drop contacts with a leg that has more than ``max_count`` other legs within ``max_distance``.
 
-    Counts come from a RANGE frame along the chromosome, so a crowded place costs no pairs.
+    Counts come from a RANGE frame, so a crowded place costs no pairs.  Frames run along segments of a chromosome; legs near a segment's border
+    also go to the next one, where they are only counted.
     """
     cell = [c for c in ids if c == "cell"]
-    near = W.partitionBy(*cell, "chrom").orderBy("pos").rangeBetween(-max_distance, max_distance)
-    crowded = _legs(pairs, ids).withColumn("near", F.count("*").over(near) - 1).where(F.col("near") > max_count).select(*ids).distinct()
+    width = max(segment_width, max_distance + 1)
+    place = lambda shift: F.floor((F.col("pos") + shift) / width)
+    legs = _legs(pairs, ids).withColumn("home", place(0)).withColumn("segment", F.explode(F.sequence(place(-max_distance), place(max_distance))))
+    near = W.partitionBy(*cell, "chrom", "segment").orderBy("pos").rangeBetween(-max_distance, max_distance)
+    crowded = legs.withColumn("near", F.count("*").over(near) - 1).where((F.col("segment") == F.col("home")) & (F.col("near") > max_count)).select(*ids).distinct()
     return pairs.join(crowded, ids, "left_anti")
 
 
 def clean_isolated(pairs: DataFrame, ids: list[str], distance: int, min_support: int) -> DataFrame:
-    """Keep contacts with at least ``min_support`` others whose legs are both within ``distance``."""
+    """Keep contacts with at least ``min_support`` others whose legs are both within ``distance``.
+
+    Contacts of one square of the grid with sides of ``distance`` support each other, so those of a square with enough contacts stay without a comparison.
+    Only the few of sparse squares are compared with their neighbourhood, ``min_support`` of a square at most.
+    """
     cell = [c for c in ids if c == "cell"]
-    spot = lambda c: F.floor(F.col(c) / distance)
-    a = pairs.select(*[F.col(c).alias(f"a_{c}") for c in dict.fromkeys([*ids, "chr1", "pos1", "chr2", "pos2"])]).withColumn("x", spot("a_pos1")).withColumn("y", spot("a_pos2"))
+    square = [*cell, "chr1", "chr2", "x", "y"]
+    names = list(dict.fromkeys([*ids, "chr1", "pos1", "chr2", "pos2"]))
+    placed = pairs.select(*names, F.floor(F.col("pos1") / distance).alias("x"), F.floor(F.col("pos2") / distance).alias("y"))
+    sizes = placed.groupBy(*square).agg(F.count("*").alias("n"))
+    sized = placed.join(sizes, square)
+    supported = sized.where(F.col("n") > min_support).select(*ids)
     around = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    b = pairs.select(*[F.col(c).alias(f"b_{c}") for c in dict.fromkeys([*ids, "chr1", "pos1", "chr2", "pos2"])])
-    b = b.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around)).withColumn("x", spot("b_pos1") + F.col("dx")).withColumn("y", spot("b_pos2") + F.col("dy")).drop("dx", "dy")
-    on = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in (*cell, "chr1", "chr2")] + [a["x"] == b["x"], a["y"] == b["y"]]
-    apart = [F.col(f"a_{c}") != F.col(f"b_{c}") for c in ids if c not in cell]
-    other = apart[0]
-    for x in apart[1:]:
-        other = other | x
+    a = sized.where(F.col("n") <= min_support).withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
+    a = a.select(*[F.col(c).alias(f"a_{c}") for c in names], (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"))
+    b = placed.select(*[F.col(c).alias(f"b_{c}") for c in names], F.col("x").alias("bx"), F.col("y").alias("by"))
+    on = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in (*cell, "chr1", "chr2")] + [F.col("x") == F.col("bx"), F.col("y") == F.col("by")]
+    other = reduce(lambda p, q: p | q, [F.col(f"a_{c}") != F.col(f"b_{c}") for c in ids if c not in cell])
     near = (F.abs(F.col("a_pos1") - F.col("b_pos1")) <= distance) & (F.abs(F.col("a_pos2") - F.col("b_pos2")) <= distance)
     support = a.join(b, on).where(near & other).groupBy(*[F.col(f"a_{c}").alias(c) for c in ids]).agg(F.count("*").alias("support"))
-    return pairs.join(support.where(F.col("support") >= min_support).select(*ids), ids, "left_semi")
+    return pairs.join(supported.union(support.where(F.col("support") >= min_support).select(*ids)), ids, "left_semi")
 
 
 def clean_splicing(pairs: DataFrame, ids: list[str], exons: DataFrame) -> DataFrame:

@@ -120,3 +120,54 @@ def mark_duplicates(alignments: DataFrame, key: list[str], order: list[Column])
 
 def insert_sizes(alignments: DataFrame, length: Column) -> DataFrame:
     return alignments.groupBy(F.abs(length).alias("insert_size")).agg(F.count("*").alias("n"))
+
+
+def selection_counters(alignments: DataFrame, keys: list[str], min_mapq: int, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Twelve counters of the selection of fragments per ``keys``, from all alignments of all reads; a read belongs to one key.
+
+    Reads; those with a good alignment, and these alignments; those with a good R2 that is not secondary; selected R2, clipped and written ones; written
+    ones by where their phase is from; conflicts within R1 and between R1 and R2.
+    """
+    is_good = mapped(min_mapq)
+    reads = alignments.groupBy(*keys, "qname").agg(F.count_if(is_good).alias("good"), F.count_if(is_good & (F.col("origin") == "R2") & ~has_flag(SECONDARY)).alias("good_r2"))
+    first = reads.groupBy(*keys).agg(F.count("*").alias("reads"), F.count_if(F.col("good") > 0).alias("reads_with_good"), F.sum("good").alias("good_alignments"), F.count_if(F.col("good_r2") > 0).alias("reads_with_good_r2"))
+    good = alignments.where(is_good)
+    chosen = with_fallback_phase(select_best(good, ties=ties), good, ties)
+    written = F.col("q_start") == 0
+    source = lambda s: F.count_if(written & (F.col("phase_source") == s))
+    rest = chosen.groupBy(*keys).agg(
+        F.count("*").alias("selected"),
+        F.count_if(~written).alias("clipped"),
+        F.count_if(written).alias("written"),
+        source("R2").alias("phased_by_r2"),
+        source("R1").alias("phased_by_r1"),
+        source("none").alias("unphased"),
+        F.count_if(written & F.col("r1_conflict")).alias("r1_conflicts"),
+        F.count_if(written & F.col("conflict")).alias("r1_r2_conflicts"),
+    )
+    t = first.join(rest, keys, "left")
+    return t.na.fill(0, [c for c in rest.columns if c not in keys])
+
+
+def dedup_reads(bed: DataFrame, split_pool: bool = False, gap: int = 1, min_score: int = 0, both_ends: bool = True, order: tuple[str, ...] = ("read_id", "start", "end")) -> DataFrame:
+    """BED rows (chrom, start, end, read_id, score, strand) without duplicates; then those with a score above ``min_score``.
+
+    The score is looked at last, so a bad row can stand for a better one of its island.  A split pool has ``<read>_<cell>`` as read id: cells are kept apart, and reads
+    of the cell ``unmatched`` go first.
+    """
+    keys = ["chrom"]
+    if split_pool:
+        part = F.split("read_id", "_")
+        bed = bed.withColumn("cell", F.get(part, F.lit(1))).withColumn("read_id", F.get(part, F.lit(0))).where("cell <> 'unmatched'")
+        keys = ["cell", "chrom"]
+    return dedup_endpoints(bed, keys, list(order), gap, both_ends).where(F.col("score") > min_score)
+
+
+def without_chromosomes(rows: DataFrame, containing: tuple[str, ...] = ("chrM", "GL", "NC", "chrhs37d5"), chrom: str = "chrom") -> DataFrame:
+    """Rows whose chromosome has none of these in its name: the mitochondrion, scaffolds and decoys (fixed values)."""
+    return rows.where(reduce(lambda a, b: a & b, [~F.col(chrom).contains(x) for x in containing]))
+
+
+def reads_by_id(reads: DataFrame, wanted: DataFrame, key: str = "read_id") -> DataFrame:
+    """A row per wanted id and read of it; an id without a read gives a row of nulls."""
+    return wanted.select(key).join(reads, key, "left")

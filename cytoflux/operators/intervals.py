@@ -110,11 +110,11 @@ def first_of_islands(df: DataFrame, keys: list[str], pos: Column, order: list[st
     return island_starts(df, keys, pos, order, gap).where("opens").drop("opens")
 
 
-def union_components(df: DataFrame, keys: list[str], order: list[str], distance: int = 0, start: str = "start", end: str = "end", segment_width: int | None = None) -> DataFrame:
+def union_components(df: DataFrame, keys: list[str], order: list[str], distance: int = 0, start: str = "start", end: str = "end", segment_width: int | None = SEGMENT) -> DataFrame:
     """Append ``component`` (1, 2, ... along each key): a row opens one when start > greatest end so far + ``distance``.
 
-    With closed coordinates, intervals that share a coordinate merge.  By default a key is one window, as fits keys of bounded size (a cell's
-    chromosome, an annotation); with ``segment_width`` windows hold a segment of it, and prefixes over segments are joined.
+    With closed coordinates, intervals that share a coordinate merge.  Windows hold a segment of a key, and prefixes over its segments are
+    joined; without ``segment_width`` a key is one window, as fits keys of bounded size (a cell's chromosome).
     """
     if segment_width is None:
         w = W.partitionBy(*keys).orderBy(start, *order)

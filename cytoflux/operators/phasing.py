@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.alignment import aligned_blocks, base_at, cigar_ops, phase_verdict, quality_at
+from ..functions.alignment import aligned_blocks, base_at, cigar_ops, leading_clip, phase_verdict, quality_at, query_length, query_start, reference_length, trailing_clip
+from .fragments import FIRST, REVERSE, SECOND, has_flag, mapped
 from .intervals import point_join
 
+#: Bins of the range join: a few reads long.
+WIDTH = 512
 
-def snp_votes(alignments: DataFrame, snps: DataFrame, ids: list[str], base: str = "base") -> DataFrame:
+
+def snp_votes(alignments: DataFrame, snps: DataFrame, ids: list[str], base: str = "base", width: int = WIDTH) -> DataFrame:
     """Votes per alignment with one observed base: SNPs (chrom, pos, a0, a1) inside [start, end)."""
-    hits = point_join(alignments, snps, ["chrom"])
+    hits = point_join(alignments, snps, ["chrom"], width=width)
     seen = [F.col(f"l_{c}").alias(c) for c in dict.fromkeys([*ids, base])]
     return votes(hits.select(*seen, F.col("r_a0").alias("a0"), F.col("r_a1").alias("a1")), ids, base)
 
@@ -26,16 +30,47 @@ def votes(observed: DataFrame, ids: list[str], base: str = "base") -> DataFrame:
     return counted.withColumn("phase", phase_verdict(F.col("n0"), F.col("n1")))
 
 
-def phase_alignments(alignments: DataFrame, snps: DataFrame, min_quality: int = 20) -> DataFrame:
+def phase_alignments(alignments: DataFrame, snps: DataFrame, min_quality: int = 20, width: int = WIDTH) -> DataFrame:
     """Phase of each alignment (id, chrom, start, cigar, seq, qual) from the bases in its aligned blocks.
 
-    A base counts from ``min_quality`` on, or if the read has no qualities (``*``).  Alignments without a vote are unphased.
+    A base counts from ``min_quality`` on, or if the read does not have a quality for each base (``*``).  Alignments without a vote are unphased.
     """
     blocks = alignments.select("id", "chrom", "seq", "qual", F.explode(aligned_blocks(cigar_ops(F.col("cigar")), F.col("start"))).alias("b"))
     blocks = blocks.select("id", "chrom", "seq", "qual", F.col("b.ref_start").alias("start"), (F.col("b.ref_start") + F.col("b.n")).alias("end"), F.col("b.query_start").alias("q"))
-    hits = point_join(blocks, snps, ["chrom"])
+    hits = point_join(blocks, snps, ["chrom"], width=width)
     at = (F.col("l_q") + F.col("r_pos") - F.col("l_start")).cast("int")
-    good = (F.col("l_qual") == "*") | (quality_at(F.col("l_qual"), at) >= min_quality)
+    good = (F.length("l_qual") != F.length("l_seq")) | (quality_at(F.col("l_qual"), at) >= min_quality)
     seen = hits.where(good).select(F.col("l_id").alias("id"), base_at(F.col("l_seq"), at).alias("base"), F.col("r_a0").alias("a0"), F.col("r_a1").alias("a1"))
     zero = F.lit(0).cast("long")
     return alignments.join(votes(seen, ["id"]), "id", "left").select(*alignments.columns, *[F.coalesce(c, zero).alias(c) for c in ("n0", "n1", "other")], F.coalesce("phase", F.lit(".")).alias("phase"))
+
+
+def annotated(alignments: DataFrame, snps: DataFrame, min_mapq: int = 20, min_quality: int = 20) -> DataFrame:
+    """One row of 15 columns per mapped alignment (id, qname, flag, chrom, start, mapq, cigar, seq, qual) that is good enough: place, geometry on the read and SNP votes.
+
+    ``strand`` is that of the DNA strand that was read, so it turns for second reads; ``q_start`` and ``q_end`` count from the read's 5' end.
+    """
+    good = alignments.where(mapped(min_mapq))
+    t = phase_alignments(good, snps, min_quality).withColumn("ops", cigar_ops(F.col("cigar")))
+    reverse, origin = has_flag(REVERSE), F.when(has_flag(FIRST), "R1").when(has_flag(SECOND), "R2").otherwise(".")
+    ops = F.col("ops")
+    begin, used = query_start(ops, reverse), query_length(ops)
+    whole = leading_clip(ops) + used + trailing_clip(ops)
+    end = whole - F.when(reverse, leading_clip(ops)).otherwise(trailing_clip(ops))
+    return t.select(
+        "qname",
+        origin.alias("origin"),
+        "flag",
+        "chrom",
+        "start",
+        (F.col("start") + reference_length(ops)).alias("end"),
+        F.when(reverse != (origin == "R2"), "-").otherwise("+").alias("strand"),
+        "mapq",
+        begin.alias("q_start"),
+        end.alias("q_end"),
+        used.alias("aligned_query_length"),
+        "phase",
+        F.col("n0").alias("phase0_count"),
+        F.col("n1").alias("phase1_count"),
+        F.col("other").alias("other_allele_count"),
+    )

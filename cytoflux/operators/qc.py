@@ -48,14 +48,17 @@ def contamination(reads: DataFrame, key: list[str], seq: str = "seq", pattern: s
     return t.withColumn("percent", F.try_divide(F.col("hits"), F.col("reads")) * 100)
 
 
-def adapter_counts(reads: DataFrame, order: str, limit: int | None = 1_000_000, adapters: dict[str, str] = ADAPTERS, seq: str = "seq") -> DataFrame:
-    """How many of the first ``limit`` reads hold each adapter, and which is the most frequent (first name of equals)."""
-    hits = reads.select(F.col(order).alias("order"), *[F.col(seq).contains(a).alias(k) for k, a in adapters.items()])
-    head = hits.orderBy("order").limit(limit) if limit else hits  # no texts are sorted
-    counts = head.agg(*[F.count_if(k).alias(k) for k in adapters])
-    most = F.greatest(*adapters)
-    best = reduce(lambda rest, k: F.when(F.col(k) == most, F.lit(k)).otherwise(rest), reversed(sorted(adapters)), F.lit(None).cast("string"))
-    return counts.select(*adapters, best.alias("best"))
+def adapter_counts(reads: DataFrame, order: str, lines: int | None = 1_000_000, adapters: dict[str, str] = ADAPTERS, seq: str = "seq") -> DataFrame:
+    """How many of the reads in the first ``lines`` lines of a FASTQ file hold each adapter, and which is the most frequent.
+
+    ``order`` is a read's number in its file, from 0, so the reads are a filter and nothing is sorted.  Of equals the first name is the most frequent; it is
+    empty if no read has an adapter.
+    """
+    hits = reads.where(F.col(order) < -(-lines // 4)) if lines is not None else reads
+    counts = hits.agg(*[F.count_if(F.col(seq).contains(a)).alias(k) for k, a in adapters.items()])
+    most = F.greatest(*adapters) if len(adapters) > 1 else F.col(next(iter(adapters)))
+    best = reduce(lambda rest, k: F.when(F.col(k) == most, F.lit(k)).otherwise(rest), reversed(sorted(adapters)), F.lit(""))
+    return counts.select(*adapters, F.when(most == 0, "").otherwise(best).alias("best"))
 
 
 def tss_pileup(sites: DataFrame, tss: DataFrame, flank: int = 1000) -> DataFrame:
@@ -155,10 +158,35 @@ def unsorted_rows(df: DataFrame, keys: list[str], order: str, value: str) -> Dat
     return df.withColumn("before", F.lag(value).over(W.partitionBy(*keys).orderBy(order))).where(F.col(value) < F.col("before"))
 
 
-def contract_hash(cells: DataFrame) -> DataFrame:
-    """One SHA-256 over the cohort in its order."""
-    rows = F.sort_array(F.collect_list(F.struct("ord", "sample_name", "safe_code")))
-    return cells.agg(F.sha2(F.to_json(rows).cast("binary"), 256).alias("sha256"))
+def contract_hash(cells: DataFrame, fan: int = 4096) -> DataFrame:
+    """One SHA-256 over the cohort in its order (``ord``, from 0): of blocks of ``fan`` cells, of blocks of blocks, and of all of these.
+
+    No task holds more than ``fan`` rows up to ``fan`` cubed cells.
+    """
+    shown = cells.select(F.col("ord").cast("long").alias("k"), F.to_json(F.struct("ord", "sample_name", "safe_code")).alias("text"))
+    of = lambda text: F.sha2(text.cast("binary"), 256)
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "text"))), lambda x: x["text"]), "\n")
+    for _ in range(2):
+        shown = shown.groupBy(F.floor(F.col("k") / fan).alias("next")).agg(of(joined).alias("text")).select(F.col("next").alias("k"), "text")
+    return shown.agg(of(joined).alias("sha256"))
+
+
+def exact_cohort(stats: DataFrame, cells: DataFrame, name: str = "sample_name", values: tuple[str, ...] = ("n",)) -> DataFrame:
+    """Faults of a table of counts that must list the cohort in order (``ord`` on both sides), each cell once, with whole numbers that are not negative.
+
+    Rows: the cell's place, what both sides have there, and the fault.
+    """
+    side = stats.select("ord", F.col(name).alias("found"), *values)
+    both = cells.select("ord", F.col(name).alias("expected")).join(side, "ord", "full")
+    bad = reduce(lambda a, b: a | b, [F.col(v).isNull() | (F.col(v) < 0) | (F.col(v) != F.floor(v)) for v in values])
+    fault = F.when(F.col("found").isNull(), "missing").when(F.col("expected").isNull(), "unexpected").when(F.col("found") != F.col("expected"), "out of order").when(bad, "bad count")
+    return both.select("ord", "expected", "found", fault.alias("fault")).where("fault IS NOT NULL")
+
+
+def audit(checks: dict[str, DataFrame]) -> DataFrame:
+    """One row per named table of faults: check, faults, status."""
+    rows = [d.agg(F.count("*").alias("faults")).select(F.lit(k).alias("check"), "faults", F.when(F.col("faults") == 0, "pass").otherwise("fail").alias("status")) for k, d in checks.items()]
+    return reduce(DataFrame.union, rows)
 
 
 def expected_grid(cells: DataFrame, values: list[str], name: str) -> DataFrame:

@@ -131,3 +131,16 @@ def genome_split(phased: DataFrame) -> DataFrame:
 
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("rank = 1").drop("rank")
+
+
+def compatibility_counters(classified: DataFrame, cell: str = "cell", category: str = "category") -> DataFrame:
+    """Per cell and under ``ALL``: reads, informative R1, informative R2, well mapped R2 (these overlap), classes, and shares of the informative R1 reads.
+
+    Rows have gene sets ``g1`` and ``g2`` and the flag ``r2_mapped``.  A share without informative reads is null.
+    """
+    overlapping = [F.count("*").alias("reads"), F.count_if(F.size("g1") > 0).alias("r1_informative"), F.count_if(F.size("g2") > 0).alias("r2_informative"), F.count_if("r2_mapped").alias("r2_well_mapped")]
+    t = classified.rollup(cell).agg(F.grouping(cell).alias("whole"), *overlapping, *[F.count_if(F.col(category) == c).alias(c) for c in CLASSES])
+    share = lambda c: F.try_divide(F.col(c), F.col("r1_informative")).alias(f"{c}_share")
+    name = F.when(F.col("whole") == 1, "ALL").otherwise(F.col(cell).cast("string"))
+    kept = F.col("reads") - F.col("r2_genome_only") - F.col("incompatible")
+    return t.select(name.alias("cell"), "reads", "r1_informative", "r2_informative", "r2_well_mapped", *CLASSES, kept.alias("r1_compatible"), *[share(c) for c in ("r2_genome_only", "incompatible", "concordant")])

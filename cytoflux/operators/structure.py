@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
+
+from .intervals import overlap_join
 
 
 def common_particles(particles: DataFrame, structures: int) -> DataFrame:
@@ -17,69 +18,92 @@ def common_particles(particles: DataFrame, structures: int) -> DataFrame:
     return particles.join(keys.select("chrom", "pos"), ["chrom", "pos"], "left_semi")
 
 
-def superposed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``b`` moved, rotated and, if that fits better, mirrored onto ``a`` (centred), by singular values."""
-    x, y = a - a.mean(axis=0), b - b.mean(axis=0)
-    u, _, v = np.linalg.svd(y.T @ x)
-    return y @ (u @ v)
+def _complete(particles: DataFrame, cell: str) -> DataFrame:
+    """Particles with finite coordinates that all structures of their cell have."""
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) for c in "xyz"]
+    good = particles.select(cell, "structure", "chrom", "pos", *[F.col(c).cast("double").alias(c) for c in "xyz"]).where(finite[0] & finite[1] & finite[2])
+    size = particles.groupBy(cell).agg(F.count_distinct("structure").alias("structures"))
+    there = good.groupBy(cell, "chrom", "pos").agg(F.count_distinct("structure").alias("n")).join(size, cell).where("n = structures")
+    return good.join(there.select(cell, "chrom", "pos"), [cell, "chrom", "pos"], "left_semi")
+
+
+def _centred(common: DataFrame, cell: str) -> tuple[DataFrame, DataFrame]:
+    """Common particles relative to their structure's centroid, and the centroids."""
+    centre = common.groupBy(cell, "structure").agg(*[F.avg(c).alias(f"c{c}") for c in "xyz"])
+    moved = common.join(centre, [cell, "structure"])
+    return moved.select(cell, "structure", "chrom", "pos", *[(F.col(c) - F.col(f"c{c}")).alias(c) for c in "xyz"]), centre
+
+
+@F.pandas_udf(ArrayType(DoubleType()))
+def best_rotation(sums: pd.Series) -> pd.Series:
+    """From the nine sums of b's coordinates times a's: the orthogonal matrix, row by row, that turns b onto a best; mirrored if that fits better."""
+    m = np.array(sums.tolist(), dtype=float).reshape(-1, 3, 3)
+    u, _, v = np.linalg.svd(m)
+    return pd.Series(list((u @ v).reshape(-1, 9)))
 
 
-def pair_rmsd(particles: DataFrame, cell: str = "cell") -> DataFrame:
-    """Per cell and pair of structures: RMSD and median deviation over common particles.
+def rotations(particles: DataFrame, cell: str = "cell") -> tuple[DataFrame, DataFrame]:
+    """Of each pair i < j of a cell's structures: both common particles side by side (centred), and the rotation of j onto i.
 
-    Each pair of structures of a cell is one group of work: rows (cell, structure, chrom, pos, x, y, z) go to
-    the pairs of their structure, so the largest group is two structures, whatever the number of cells.
+    Nine sums per pair are aggregated by Spark; the singular values of nine numbers are all that Python sees.
     """
-    names = particles.select(cell, "structure").distinct()
-    other = names.select(cell, F.col("structure").alias("other"))
-    pairs = names.join(other, cell).where(F.col("structure") < F.col("other")).select(cell, F.col("structure").alias("i"), F.col("other").alias("j"))
-    ends = pairs.select(cell, "i", "j", F.explode(F.array("i", "j")).alias("structure"))
-    rows = particles.join(ends, [cell, "structure"])
-
-    def deviation(group: pd.DataFrame) -> pd.DataFrame:
-        i, j = group["i"].iloc[0], group["j"].iloc[0]
-        both = group[group["structure"] == i].merge(group[group["structure"] == j], on=["chrom", "pos"], suffixes=("_i", "_j")).sort_values(["chrom", "pos"])
-        a, b = both[["x_i", "y_i", "z_i"]].to_numpy(float), both[["x_j", "y_j", "z_j"]].to_numpy(float)
-        found = pd.DataFrame({cell: [group[cell].iloc[0]], "i": [i], "j": [j], "particles": [len(both)], "rmsd": [None], "median": [None]})
-        if len(both):
-            d = ((a - a.mean(axis=0) - superposed(a, b)) ** 2).sum(axis=1)
-            found["rmsd"], found["median"] = float(np.sqrt(d.mean())), float(np.median(np.sqrt(d)))
-        return found
-
-    kind = particles.schema[cell].dataType.simpleString()
-    which = particles.schema["structure"].dataType.simpleString()
-    return rows.groupBy(cell, "i", "j").applyInPandas(deviation, f"{cell} {kind}, i {which}, j {which}, particles long, rmsd double, median double")
-
-
-def structure_summary(pairs: DataFrame, cell: str = "cell") -> DataFrame:
-    """Per cell: RMS of pair RMSDs, their median, and the same for the three structures that agree best.
-
-    The best three have the least sum of pair medians; of equals the last triple in order wins.  Null with fewer than three structures.
+    moved, _ = _centred(_complete(particles, cell), cell)
+    a = moved.select(cell, "chrom", "pos", F.col("structure").alias("i"), *[F.col(c).alias(f"a{c}") for c in "xyz"])
+    b = moved.select(cell, "chrom", "pos", F.col("structure").alias("j"), *[F.col(c).alias(f"b{c}") for c in "xyz"])
+    both = a.join(b, [cell, "chrom", "pos"]).where("i < j")
+    sums = both.groupBy(cell, "i", "j").agg(F.array(*[F.sum(F.col(f"b{p}") * F.col(f"a{q}")) for p in "xyz" for q in "xyz"]).alias("sums"))
+    return both, sums.select(cell, "i", "j", best_rotation("sums").alias("r"))
+
+
+def deviations(particles: DataFrame, cell: str = "cell") -> DataFrame:
+    """Per cell, pair i < j and common particle: the distance ``d`` after superposition."""
+    both, turns = rotations(particles, cell)
+    turned = [sum((F.col(f"b{p}") * F.get("r", F.lit(3 * k + q)) for k, p in enumerate("xyz")), F.lit(0.0)) - F.col(f"a{c}") for q, c in enumerate("xyz")]
+    return both.join(turns, [cell, "i", "j"]).select(cell, "chrom", "pos", "i", "j", F.sqrt(sum((t * t for t in turned), F.lit(0.0))).alias("d"))
+
+
+def pair_rmsd(deviation: DataFrame, cell: str = "cell") -> DataFrame:
+    """Per cell and pair of structures, from ``deviations``: RMSD and median deviation over the particles that all structures of the cell have."""
+    return deviation.groupBy(cell, "i", "j").agg(F.count("*").alias("particles"), F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("rmsd"), F.median("d").alias("median"))
+
+
+def locus_rmsd(deviation: DataFrame, cell: str = "cell") -> DataFrame:
+    """Per cell and particle, from ``deviations``: the RMS over all pairs of structures."""
+    return deviation.groupBy(cell, "chrom", "pos").agg(F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("rmsd"))
+
+
+def structure_summary(particles: DataFrame, cell: str = "cell") -> DataFrame:
+    """Per cell: its structures and common particles, the RMS and the median of the particles' RMSDs, and RMS and median RMSD of the three structures that agree best.
+
+    The best three have the least sum of pair medians; of equals the last triple in order wins.  Values are null where there is no common particle, or
+    fewer than two (for the best three, three) structures.
     """
-    kind = pairs.schema[cell].dataType.simpleString()
-
-    def summary(group: pd.DataFrame) -> pd.DataFrame:
-        value = {(r.i, r.j): (r.rmsd, r.median) for r in group.itertuples()}
-        names = sorted({x for k in value for x in k})
-        rmsd = np.array([v[0] for v in value.values()], dtype=float)
-        best, triple = None, None
-        for t in itertools.combinations(names, 3):
-            s = sum(value[p][1] for p in itertools.combinations(t, 2))
-            if best is None or s <= best:
-                best, triple = s, t
-        top = np.array([value[p][0] for p in itertools.combinations(triple, 2)], dtype=float) if triple else None
-        return pd.DataFrame(
-            {
-                cell: [group[cell].iloc[0]],
-                "structures": [len(names)],
-                "rmsd": [float(np.sqrt((rmsd**2).mean()))],
-                "median_rmsd": [float(np.median(rmsd))],
-                "top3_rmsd": [float(np.sqrt((top**2).mean())) if triple else None],
-                "top3_median_rmsd": [float(np.median(top)) if triple else None],
-            }
-        )
-
-    return pairs.groupBy(cell).applyInPandas(summary, f"{cell} {kind}, structures int, rmsd double, median_rmsd double, top3_rmsd double, top3_median_rmsd double")
+    d = deviations(particles, cell)
+    cells = particles.groupBy(cell).agg(F.count_distinct("structure").cast("int").alias("structures"))
+    loci = locus_rmsd(d, cell).groupBy(cell).agg(F.count("*").alias("particles"), F.sqrt(F.avg(F.col("rmsd") * F.col("rmsd"))).alias("rmsd"), F.median("rmsd").alias("median_rmsd"))
+    pairs = pair_rmsd(d, cell)
+    side = lambda i, j, k: pairs.select(cell, F.col("i").alias(i), F.col("j").alias(j), F.col("rmsd").alias(f"rmsd{k}"), F.col("median").alias(f"median{k}"))
+    triples = side("a", "b", 1).join(side("b", "c", 2), [cell, "b"]).join(side("a", "c", 3), [cell, "a", "c"])
+    total = F.col("median1") + F.col("median2") + F.col("median3")
+    order = W.partitionBy(cell).orderBy(total, F.col("a").desc(), F.col("b").desc(), F.col("c").desc())
+    best = triples.withColumn("rank", F.row_number().over(order)).where("rank = 1")
+    three = F.array_sort(F.array("rmsd1", "rmsd2", "rmsd3"))
+    squares = F.col("rmsd1") * F.col("rmsd1") + F.col("rmsd2") * F.col("rmsd2") + F.col("rmsd3") * F.col("rmsd3")
+    best = best.select(cell, F.sqrt(squares / 3).alias("top3_rmsd"), F.get(three, F.lit(1)).alias("top3_median_rmsd"))
+    return cells.join(loci, cell, "left").join(best, cell, "left").na.fill(0, ["particles"])
+
+
+def aligned(particles: DataFrame, cell: str = "cell") -> DataFrame:
+    """Every structure ``other`` of a cell, with all its particles, turned onto every structure ``structure`` of it: cell, structure, other, chrom, pos, x, y, z."""
+    _, centre = _centred(_complete(particles, cell), cell)
+    _, turns = rotations(particles, cell)
+    back = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda k: F.get("r", ((k % 3) * 3 + F.floor(k / 3)).cast("int")))
+    turns = turns.select(cell, F.col("i").alias("structure"), F.col("j").alias("other"), "r").union(turns.select(cell, F.col("j"), F.col("i"), back))
+    at = lambda which, tag: centre.select(cell, F.col("structure").alias(which), *[F.col(f"c{c}").alias(f"{tag}{c}") for c in "xyz"])
+    turns = turns.join(at("structure", "to_"), [cell, "structure"]).join(at("other", "from_"), [cell, "other"])
+    rows = particles.select(cell, F.col("structure").alias("other"), "chrom", "pos", "x", "y", "z").join(turns, [cell, "other"])
+    moved = [sum(((F.col(p) - F.col(f"from_{p}")) * F.get("r", F.lit(3 * k + q)) for k, p in enumerate("xyz")), F.lit(0.0)) + F.col(f"to_{c}") for q, c in enumerate("xyz")]
+    return rows.select(cell, "structure", "other", "chrom", "pos", *[m.alias(c) for m, c in zip(moved, "xyz", strict=True)])
 
 
 def compartment_score(contacts: DataFrame, cpg: DataFrame) -> DataFrame:
@@ -97,6 +121,32 @@ def cpg_density(windows: DataFrame, seq: str = "seq") -> DataFrame:
     return windows.select("chrom", "start", "end", F.regexp_count(s, F.lit("CG")).alias("cpg"), valid.alias("valid"), F.try_divide(F.regexp_count(s, F.lit("CG")), valid).alias("density"))
 
 
+def padded_windows(windows: DataFrame, sizes: DataFrame, least: int = 100_000) -> DataFrame:
+    """Windows (chrom, start, end) shorter than ``least`` grow to it, half on each side, cut at the ends of the chromosome (chrom, size)."""
+    half = F.floor(F.greatest(F.lit(least) - (F.col("end") - F.col("start")), F.lit(0)) / 2)
+    t = windows.join(sizes, "chrom")
+    return t.select("chrom", "start", "end", F.greatest(F.col("start") - half, F.lit(0)).alias("from"), F.least(F.col("end") + half, F.col("size")).alias("until"))
+
+
+def window_cpg(lines: DataFrame, windows: DataFrame, width: int = 16_384) -> DataFrame:
+    """CpGs over valid bases in [from, until) of each window (chrom, start, end, from, until), from lines of sequence (name, ord, line, start).
+
+    A line sees the first base of the next, so no sequence is put together.
+    """
+    following = F.lead(F.substring("line", 1, 1)).over(W.partitionBy("name", F.floor(F.col("start") / width)).orderBy("ord"))
+    first = lines.groupBy("name", F.floor(F.col("start") / width).alias("part")).agg(F.min_by(F.substring("line", 1, 1), "ord").alias("next_first"))
+    first = first.select("name", (F.col("part") - 1).alias("part"), "next_first")
+    t = lines.withColumn("following", following).withColumn("part", F.floor(F.col("start") / width)).join(first, ["name", "part"], "left")
+    t = t.select(F.col("name").alias("chrom"), "start", (F.col("start") + F.length("line")).alias("end"), F.upper("line").alias("line"), F.upper(F.coalesce("following", "next_first", F.lit(""))).alias("following"))
+    w = windows.select("chrom", F.col("start").alias("s"), F.col("end").alias("e"), F.col("from").alias("start"), F.col("until").alias("end"))
+    hits = overlap_join(w, t, ["chrom"], width)
+    low, high = F.greatest("l_start", "r_start"), F.least("l_end", "r_end")
+    part = F.substring(F.col("r_line"), (low - F.col("r_start") + 1).cast("int"), (high - low).cast("int"))
+    over = F.when(high < F.col("l_end"), F.when(high < F.col("r_end"), F.substring(F.col("r_line"), (high - F.col("r_start") + 1).cast("int"), F.lit(1))).otherwise(F.col("r_following"))).otherwise("")
+    sums = hits.groupBy(F.col("l_chrom").alias("chrom"), F.col("l_s").alias("start"), F.col("l_e").alias("end")).agg(F.sum(F.regexp_count(F.concat(part, over), F.lit("CG"))).alias("cpg"), F.sum(F.length(F.regexp_replace(part, "[^ACGT]", ""))).alias("valid"))
+    return sums.withColumn("density", F.coalesce(F.round(F.try_divide("cpg", "valid"), 6), F.lit(0.0)))
+
+
 def next_position(rows: DataFrame, key: str, order: Column, pos: str = "pos") -> DataFrame:
     """Append ``next_pos``, the position of the next row of the key."""
     return rows.withColumn("next_pos", F.lead(pos).over(W.partitionBy(key).orderBy(order)))

@@ -19,8 +19,7 @@ _R1 = """, r1 AS (
 ), s1 AS (SELECT qname, max(CASE WHEN rk1 = 1 THEN phase END) AS p1, count(*) AS n1, count(DISTINCT phase) > 1 AS c1 FROM r1 GROUP BY qname)"""
 
 
-def _dedup_sql(keys: str, source: str, columns: str, both: bool = True) -> str:
-    tie = "q, ln, price, start, \"end\", cell, strand"
+def _dedup_sql(keys: str, source: str, columns: str, both: bool = True, tie: str = 'q, ln, price, start, "end", cell, strand') -> str:
     sql = f"""p1 AS (
   SELECT *, CASE WHEN strand = '+' THEN start ELSE "end" - 1 END AS pos1 FROM {source}
 ), c1 AS (
@@ -86,7 +85,7 @@ def _pile(flank: int) -> str:
         _SITES
         + f""", pile AS (
   SELECT s.cell, CASE WHEN t.strand = '-' THEN t.pos - s.site ELSE s.site - t.pos END AS off
-  FROM tss t JOIN sites s ON s.chrom = t.chrom AND s.site BETWEEN t.pos - {flank} AND t.pos + {flank} WHERE t.pos % 3 = 0
+  FROM tss t JOIN sites s ON s.chrom = t.chrom AND s.site BETWEEN t.pos - {flank} AND t.pos + {flank}
 )"""
     )
 
@@ -133,10 +132,10 @@ count(*) FILTER (q_start = 0 AND phase <> '.' AND phase <> p1) AS conflicts FROM
     "overlap_join_points": cte("fragments", "snps") + ' SELECT f.chrom, f.q, f.ln, f.start, s.pos, s.a0 FROM fragments f JOIN snps s ON s.chrom = f.chrom AND s.pos >= f.start AND s.pos < f."end"',
     "overlap_join_intervals": cte("fragments", "genes")
     + ' SELECT g.gene, count(*) AS n, sum(least(f."end", g."end") - greatest(f.start, g.start))::BIGINT AS bases FROM fragments f JOIN genes g ON f.chrom = g.chrom AND f.start < g."end" AND g.start < f."end" GROUP BY g.gene',
-    "overlap_anti": cte("fragments", "genes") + ' SELECT q, ln, price, chrom, start, "end" FROM fragments f WHERE NOT EXISTS (SELECT 1 FROM genes g WHERE g.gene % 4 = 0 AND f.chrom = g.chrom AND f.start < g."end" AND g.start < f."end")',
-    "overlap_semi_counts": cte("fragments", "tss") + ' SELECT f.chrom, count(*) AS hits, count(DISTINCT t.pos) AS windows FROM fragments f JOIN tss t ON f.chrom = t.chrom AND t.pos % 5 = 0 AND f.start < t.pos + 20 AND t.pos - 20 < f."end" GROUP BY f.chrom',
+    "overlap_anti": cte("fragments", "genes") + ' SELECT q, ln, price, chrom, start, "end" FROM fragments f WHERE NOT EXISTS (SELECT 1 FROM genes g WHERE f.chrom = g.chrom AND f.start < g."end" AND g.start < f."end")',
+    "overlap_semi_counts": cte("fragments", "tss") + ' SELECT f.chrom, count(*) AS hits, count(DISTINCT t.pos) AS windows FROM fragments f JOIN tss t ON f.chrom = t.chrom AND f.start < t.pos + 20 AND t.pos - 20 < f."end" GROUP BY f.chrom',
     "overlap_fraction_filter": cte("fragments", "genes")
-    + ', g AS (SELECT chrom, start, "end" + 25 AS "end" FROM genes WHERE gene % 3 = 0), '
+    + ', g AS (SELECT chrom, start, "end" + 25 AS "end" FROM genes), '
     + _union("chrom", "g", '"end"', 0)
     + """, r AS (SELECT chrom, component, min(start) AS start, max("end") AS "end" FROM v GROUP BY ALL),
 f AS (SELECT DISTINCT q, ln, price, chrom, start, "end" FROM fragments),
@@ -192,25 +191,25 @@ CASE WHEN x = 0 AND y = 0 THEN 'XX' WHEN x = 0 OR r > 0.3 THEN 'XY' ELSE 'XX' EN
 SELECT f.q, f.ln, f.price, f.chrom, f.start, f."end", f.strand, string_agg(DISTINCT g.gene::VARCHAR, ',' ORDER BY g.gene::VARCHAR) AS genes
 FROM f JOIN genes g ON f.chrom = g.chrom AND f.strand = g.strand AND f.start < g."end" AND g.start < f."end" GROUP BY ALL""",
     "umi_unique_counts": _UMI_COUNTS + " SELECT * FROM c",
-    "umi_matrix_pivot": _UMI_COUNTS + " SELECT gene, " + ", ".join(f"coalesce(sum(n) FILTER (cell = {k}), 0)::BIGINT AS cell_{k}" for k in (0, 1, 2, 3, 777)) + " FROM c GROUP BY gene",
+    "umi_matrix_pivot": _UMI_COUNTS + " SELECT gene, " + ", ".join(f"coalesce(sum(n) FILTER (cell = {k}), 0)::BIGINT AS cell_{k}" for k in (*range(50), 777)) + " FROM c GROUP BY gene",
     "fraction_split_sum": _UMI_COUNTS + " SELECT cell, g AS gene, round(sum(n / len(string_split(gene, ','))), 6) AS n FROM (SELECT *, unnest(string_split(gene, ',')) AS g FROM c) GROUP BY cell, g",
     "matrix_mode_summary": _UMI_COUNTS
     + """, m AS (SELECT 'all' AS mode, * FROM c UNION ALL SELECT 'single', * FROM c WHERE gene NOT LIKE '%,%'), p AS (SELECT mode, cell, sum(n)::BIGINT AS umis, count(*) FILTER (n <> 0) AS features FROM m GROUP BY ALL)
 SELECT mode, count(*) AS cells, sum(umis)::BIGINT AS total, median(umis) AS median, min(umis) AS least, max(umis) AS most, sum(features)::BIGINT AS cell_features FROM p GROUP BY mode""",
     "cell_qc_metadata": cte("contacts", "umis")
     + """, li AS (SELECT * FROM contacts WHERE cell IN (SELECT s_suppkey % 50 FROM supplier)), d AS (SELECT cell, count(*) AS dna_reads FROM li GROUP BY cell),
-b AS (SELECT cell, count(*) AS pairs, count(*) FILTER (chr1 <> chr2) AS inter_pairs FROM li WHERE ln > 2 GROUP BY cell), r AS (SELECT cell, count(*) AS rna_reads FROM umis WHERE cell % 3 = 0 GROUP BY cell)
+b AS (SELECT cell, count(*) AS pairs, count(*) FILTER (chr1 <> chr2) AS inter_pairs FROM li GROUP BY cell), r AS (SELECT cell, count(*) AS rna_reads FROM umis GROUP BY cell)
 SELECT s_suppkey AS cell, coalesce(dna_reads, 0) AS dna_reads, coalesce(pairs, 0) AS pairs, coalesce(inter_pairs, 0) AS inter_pairs, coalesce(rna_reads, 0) AS rna_reads,
 round(coalesce(rna_reads / dna_reads, 0), 9) AS rna_reads_ratio, round(coalesce(pairs / dna_reads, 0), 9) AS pairs_per_read, round(coalesce(inter_pairs / pairs, 0), 9) AS inter_pairs_ratio, round(coalesce(dna_reads / 2 * 300 / 1e9::DOUBLE, 0), 9) AS gigabases
 FROM supplier LEFT JOIN d ON d.cell = s_suppkey LEFT JOIN b ON b.cell = s_suppkey LEFT JOIN r ON r.cell = s_suppkey""",
     "split_read_totals": cte("contacts")
     + ", "
-    + ", ".join(f"p{k} AS (SELECT q, count(*) AS reads_{k} FROM contacts WHERE ln % 3 = {k} AND price % 5 <> {k} GROUP BY q)" for k in range(3))
+    + ", ".join(f"p{k} AS (SELECT q, count(*) AS reads_{k} FROM contacts WHERE ln % 3 = {k} GROUP BY q)" for k in range(3))
     + " SELECT q, reads_0, reads_1, reads_2 FROM p0 FULL JOIN p1 USING (q) FULL JOIN p2 USING (q)",
-    "cohort_set_diff": """WITH e AS (SELECT DISTINCT s_suppkey AS cell FROM supplier), f AS (SELECT DISTINCT l_suppkey + 3 AS cell FROM lineitem WHERE l_quantity > 49 AND l_suppkey % 7 <> 0)
+    "cohort_set_diff": """WITH e AS (SELECT DISTINCT s_suppkey AS cell FROM supplier), f AS (SELECT DISTINCT l_suppkey + 3 AS cell FROM lineitem WHERE l_quantity > 49)
 SELECT cell, 'missing' AS status FROM (SELECT * FROM e EXCEPT SELECT * FROM f) UNION ALL SELECT cell, 'unexpected' FROM (SELECT * FROM f EXCEPT SELECT * FROM e)""",
-    "contract_field_diff": """WITH s AS (SELECT s_suppkey AS cell, s_name, s_nationkey::VARCHAR AS s_nationkey FROM supplier), l AS (SELECT s_suppkey AS cell, s_name, (s_nationkey + CASE WHEN s_suppkey % 4 = 0 THEN 1 ELSE 0 END)::VARCHAR AS s_nationkey FROM supplier WHERE s_suppkey % 10 <> 3),
-a AS (SELECT cell, 's_name' AS field, s_name AS v FROM s UNION ALL SELECT cell, 's_nationkey', s_nationkey FROM s), b AS (SELECT cell, 's_name' AS field, s_name AS v FROM l UNION ALL SELECT cell, 's_nationkey', s_nationkey FROM l)
+    "contract_field_diff": """WITH a AS (SELECT s_suppkey AS cell, 'name' AS field, s_name AS v FROM supplier UNION ALL SELECT s_suppkey, 'nation', s_nationkey::VARCHAR FROM supplier),
+b AS (SELECT c_custkey AS cell, 'name' AS field, c_name AS v FROM customer UNION ALL SELECT c_custkey, 'nation', c_nationkey::VARCHAR FROM customer)
 SELECT cell, field, a.v AS stored, b.v AS live FROM a FULL JOIN b USING (cell, field) WHERE a.v IS DISTINCT FROM b.v""",
     "expected_missing": """WITH g AS (SELECT s_suppkey AS cell, resolution FROM supplier, (VALUES ('20k'), ('50k'), ('100k')) AS r(resolution)),
 t AS (SELECT DISTINCT l_suppkey AS cell, CASE WHEN l_linenumber < 3 THEN '20k' WHEN l_linenumber < 5 THEN '50k' ELSE '1m' END AS resolution FROM lineitem WHERE l_quantity > 45) SELECT * FROM g EXCEPT SELECT * FROM t""",
@@ -246,8 +245,8 @@ SELECT cell, q, ln, price FROM c ANTI JOIN (SELECT DISTINCT cell, q, ln, price F
     + """, e AS (SELECT chrom, start // 700 AS start, strand, mapq, count(*) AS n FROM fragments GROUP BY ALL), s AS (SELECT sum(n)::BIGINT AS total, count(*) AS distinct_, count(*) FILTER (n = 1) AS s1, count(*) FILTER (n = 2) AS s2 FROM e)
 SELECT total, distinct_ AS "distinct", s1 AS singletons, s2 AS doubletons, round(distinct_ / total, 9) AS nrf, round(s1 / distinct_, 9) AS pbc1, round(CASE WHEN s2 > 0 THEN s1 / s2 ELSE -1.0 END, 9) AS pbc2 FROM s""",
     "contamination_regex": "SELECT source, count(*) AS reads, count(*) FILTER (regexp_matches(text, 'th[aeiou][a-z]{2} [aeo]')) AS hits, round(count(*) FILTER (regexp_matches(text, 'th[aeiou][a-z]{2} [aeo]')) / count(*) * 100, 9) AS percent FROM documents GROUP BY source",
-    "adapter_argmax": """WITH h AS (SELECT text FROM documents ORDER BY doc_id LIMIT 500), c AS (SELECT count(*) FILTER (contains(text, 'thing')) AS a, count(*) FILTER (contains(text, 'ation')) AS b, count(*) FILTER (contains(text, 'queue')) AS c FROM h)
-SELECT a, b, c, CASE WHEN a = greatest(a, b, c) THEN 'a' WHEN b = greatest(a, b, c) THEN 'b' ELSE 'c' END AS best FROM c""",
+    "adapter_argmax": """WITH h AS (SELECT text FROM documents WHERE doc_id < 250000), c AS (SELECT count(*) FILTER (contains(text, 'thing')) AS a, count(*) FILTER (contains(text, 'ation')) AS b, count(*) FILTER (contains(text, 'queue')) AS c FROM h)
+SELECT a, b, c, CASE WHEN greatest(a, b, c) = 0 THEN '' WHEN a = greatest(a, b, c) THEN 'a' WHEN b = greatest(a, b, c) THEN 'b' ELSE 'c' END AS best FROM c""",
     "demultiplex_prefix": """WITH d AS (SELECT upper(text) AS s FROM documents) SELECT split, count(*) AS n FROM (
 SELECT 'x' AS split FROM d WHERE regexp_matches(s, '^[ACGTN][ACGTN]TH') OR regexp_matches(s, '^[ACGTN]TH') UNION ALL
 SELECT 'y' FROM d WHERE regexp_matches(s, '^QUE[ACGTN]|^UE[ACGTN]|^E[ACGTN]') UNION ALL SELECT 'z' FROM d WHERE regexp_matches(s, '^LE[ACGTN]A|^E[ACGTN]A|^[ACGTN]A')) GROUP BY split""",
@@ -287,6 +286,39 @@ SELECT *, round(cpg / nullif(valid, 0), 9) AS density FROM c""",
     "ncc_text": cte("contacts") + " SELECT concat_ws(' ', chr1, pos1, pos1, pos1, pos1, strand1, chr2, pos2, pos2, pos2, pos2, strand2) AS value FROM contacts WHERE q % 5 < 4",
     "read_id_tags": """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'r' || o_orderkey || '_C' || substr(sha256(o_orderpriority), 1, 16) || '_ACGTACGT' END AS tagged,
 CASE WHEN o_orderkey % 3 = 0 THEN 'ACGTACGT' END AS umi FROM orders""",
+    "fragment_selection_all_counters": cte("alignments")
+    + """, al AS (SELECT * REPLACE (qname % 50 AS cell) FROM alignments), good AS (SELECT *, (flag & 4) = 0 AND mapq >= 10 AS ok FROM al),
+reads AS (SELECT cell, qname, count(*) FILTER (ok) AS g, count(*) FILTER (ok AND origin = 'R2' AND (flag & 256) = 0) AS g2 FROM good GROUP BY ALL),
+f AS (SELECT cell, count(*) AS reads, count(*) FILTER (g > 0) AS reads_with_good, sum(g)::BIGINT AS good_alignments, count(*) FILTER (g2 > 0) AS reads_with_good_r2 FROM reads GROUP BY cell), """
+    + (_BEST.split(", a AS", 1)[1].replace("FROM alignments WHERE", "FROM al WHERE") + _R1).replace(" (SELECT", "a AS (SELECT", 1)
+    + """, c AS (SELECT chosen.cell, count(*) AS selected, count(*) FILTER (q_start <> 0) AS clipped, count(*) FILTER (q_start = 0) AS written, count(*) FILTER (q_start = 0 AND phase <> '.') AS phased_by_r2,
+count(*) FILTER (q_start = 0 AND phase = '.' AND p1 IS NOT NULL) AS phased_by_r1, count(*) FILTER (q_start = 0 AND phase = '.' AND p1 IS NULL) AS unphased, count(*) FILTER (q_start = 0 AND coalesce(c1, false)) AS r1_conflicts,
+count(*) FILTER (q_start = 0 AND phase <> '.' AND phase <> p1) AS r1_r2_conflicts FROM chosen LEFT JOIN s1 USING (qname) GROUP BY chosen.cell)
+SELECT cell, reads, reads_with_good, good_alignments, reads_with_good_r2, """
+    + ", ".join(f"coalesce({c}, 0) AS {c}" for c in ("selected", "clipped", "written", "phased_by_r2", "phased_by_r1", "unphased", "r1_conflicts", "r1_r2_conflicts"))
+    + " FROM f LEFT JOIN c USING (cell)",
+    "dedup_then_score": cte("fragments")
+    + """, bed AS (SELECT chrom, start, "end", q::VARCHAR AS read_id, mapq AS score, strand, 'c' || cell AS cell, ln, price FROM fragments WHERE cell >= 5), kept AS (WITH """
+    + _dedup_sql("cell, chrom", "bed", "*", tie='read_id, ln, price, start, "end", strand')
+    + ') SELECT chrom, start, "end", read_id, score, strand, cell, ln, price FROM kept WHERE score > 20',
+    "strand_collapse": _READS
+    + """ SELECT replace(qname || chr(9) || string_agg(concat_ws('!', chrom, start, "end", strand, phase, mapq, n_hits, read_num), chr(9) ORDER BY segment), '-', '+') AS value FROM segs GROUP BY qname""",
+    "chromosome_exclusions": cte("contacts") + " SELECT chr2 AS chrom, count(*) AS n FROM contacts WHERE NOT contains(chr2, 'chrUn') AND NOT contains(chr2, 'X') AND NOT contains(chr2, 'chr1') GROUP BY chr2",
+    "compat_counters_rollup": """WITH t AS (
+  SELECT l_orderkey AS q, l_suppkey % 50 AS cell, l_linenumber % 2 AS mate, CASE WHEN l_returnflag <> 'R' THEN 'G' || (l_partkey % 40) END AS gene, l_partkey % 8 AS token, l_quantity AS mapq FROM lineitem
+), p AS (
+  SELECT q, min(cell) AS cell, coalesce(list(DISTINCT gene) FILTER (mate = 1 AND gene IS NOT NULL), []) AS g1, coalesce(list(DISTINCT gene) FILTER (mate = 0 AND gene IS NOT NULL), []) AS g2,
+    coalesce(list(DISTINCT token) FILTER (mate = 1 AND gene IS NOT NULL), []) AS t1, coalesce(list(DISTINCT token) FILTER (mate = 0 AND gene IS NOT NULL), []) AS t2,
+    coalesce(max(mapq) FILTER (mate = 0) >= 25, false) AS r2 FROM t GROUP BY q
+), c AS (
+  SELECT *, CASE WHEN len(g1) = 0 THEN 'a' WHEN NOT r2 THEN 'b' WHEN len(g2) = 0 THEN 'c' WHEN list_has_any(g1, g2) OR list_has_any(t1, t2) THEN 'd' ELSE 'e' END AS k FROM p
+), s AS (
+  SELECT CASE WHEN grouping(cell) = 1 THEN 'ALL' ELSE cell::VARCHAR END AS cell, count(*) AS reads, count(*) FILTER (len(g1) > 0) AS r1_informative, count(*) FILTER (len(g2) > 0) AS r2_informative, count(*) FILTER (r2) AS r2_well_mapped,
+    count(*) FILTER (k = 'a') AS r1_uninformative, count(*) FILTER (k = 'b') AS r2_uninformative, count(*) FILTER (k = 'c') AS r2_genome_only, count(*) FILTER (k = 'd') AS concordant, count(*) FILTER (k = 'e') AS incompatible FROM c GROUP BY ROLLUP (cell)
+) SELECT *, reads - r2_genome_only - incompatible AS r1_compatible, r2_genome_only / nullif(r1_informative, 0) AS r2_genome_only_share, incompatible / nullif(r1_informative, 0) AS incompatible_share, concordant / nullif(r1_informative, 0) AS concordant_share FROM s""",
+    "reads_by_id": "SELECT c_custkey * 3 AS read_id, l_linenumber AS ln FROM customer LEFT JOIN lineitem ON l_orderkey = c_custkey * 3",
+    "plain_numbers": r"SELECT o_orderkey AS k, regexp_replace(regexp_replace(printf('%.10f', o_totalprice / 8), '0+$', ''), '\.$', '') AS shown, (o_orderkey * 100)::VARCHAR AS whole FROM orders",
+    "presence_of_adapter": "SELECT doc_id FROM documents WHERE regexp_matches(translate(upper(text), ' ', 'T'), '^([ACGTN]{4}T[ACGTN]{2}|[ACGTN]{3}T[ACGTN]{2}|[ACGTN]{2}T[ACGTN]{2}|[ACGTN]T[ACGTN]{2})')",
     "session_gap_events": """WITH o AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS o FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM o)
 SELECT user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM s GROUP BY user_id, k""",
     "windowed_event_counts": "SELECT event_type, date_trunc('hour', ts) AS window_start, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL",

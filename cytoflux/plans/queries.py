@@ -86,36 +86,22 @@ def overlap_join_intervals(spark, sf_dir):
     return hits.groupBy(F.col("r_gene").alias("gene")).agg(F.count("*").alias("n"), F.sum(shared).alias("bases"))
 
 
-# Queries that come twice: under the plain name over the rows that their SQL names, under a name with _all over every row.
+def overlap_anti(spark, sf_dir):
+    f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end")
+    return intervals.overlap_anti(f, view(spark, sf_dir, "genes"), ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 512)
 
 
-def _overlap_anti(genes: str = "true"):
-    def query(spark, sf_dir):
-        g = view(spark, sf_dir, "genes").where(genes)
-        f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end")
-        return intervals.overlap_anti(f, g, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 512)
-
-    return query
-
-
-def _overlap_semi_counts(starts: str = "true"):
+def overlap_semi_counts(spark, sf_dir):
     """Fragments in TSS windows and windows hit, per chromosome."""
+    t = view(spark, sf_dir, "tss").select("chrom", "pos", (F.col("pos") - 20).alias("start"), (F.col("pos") + 20).alias("end"))
+    hits = intervals.overlap_join(view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end"), t, ["chrom"], 512)
+    return hits.groupBy(F.col("l_chrom").alias("chrom")).agg(F.count("*").alias("hits"), F.count_distinct("r_pos").alias("windows"))
 
-    def query(spark, sf_dir):
-        t = view(spark, sf_dir, "tss").where(starts).select("chrom", "pos", (F.col("pos") - 20).alias("start"), (F.col("pos") + 20).alias("end"))
-        hits = intervals.overlap_join(view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end"), t, ["chrom"], 512)
-        return hits.groupBy(F.col("l_chrom").alias("chrom")).agg(F.count("*").alias("hits"), F.count_distinct("r_pos").alias("windows"))
 
-    return query
-
-
-def _overlap_fraction_filter(genes: str = "true"):
-    def query(spark, sf_dir):
-        regions = intervals.merged_intervals(view(spark, sf_dir, "genes").where(genes).select("chrom", "start", (F.col("end") + 25).alias("end")), ["chrom"])
-        f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end").distinct()
-        return intervals.covered_fraction_filter(f, regions, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 30, 0.5, 512)
-
-    return query
+def overlap_fraction_filter(spark, sf_dir):
+    regions = intervals.merged_intervals(view(spark, sf_dir, "genes").select("chrom", "start", (F.col("end") + 25).alias("end")), ["chrom"])
+    f = view(spark, sf_dir, "fragments").select("q", "ln", "price", "chrom", "start", "end").distinct()
+    return intervals.covered_fraction_filter(f, regions, ["chrom"], ["q", "ln", "price", "chrom", "start", "end"], 30, 0.5, 512)
 
 
 def interval_union_components(spark, sf_dir):
@@ -172,13 +158,17 @@ def sex_call_state(spark, sf_dir):
     return t.select("cell", "state", "sex_state", F.col("ratio").cast("double").alias("ratio"), "sex")
 
 
-def compat_classes_rollup(spark, sf_dir):
+def _classified(spark, sf_dir):
     t = _read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("q"), (F.col("l_suppkey") % 50).alias("cell"), (F.col("l_linenumber") % 2).alias("mate"), F.when(F.col("l_returnflag") != "R", F.concat(F.lit("G"), (F.col("l_partkey") % 40).cast("string"))).alias("gene"), (F.col("l_partkey") % 8).alias("token"), F.col("l_quantity").alias("mapq")
     )
     side = lambda k, what: F.collect_set(F.when((F.col("mate") == k) & F.col("gene").isNotNull(), F.col(what)))
     pairs = t.groupBy("q").agg(F.min("cell").alias("cell"), side(1, "gene").alias("g1"), side(0, "gene").alias("g2"), side(1, "token").alias("t1"), side(0, "token").alias("t2"), F.coalesce(F.max(F.when(F.col("mate") == 0, F.col("mapq"))) >= 25, F.lit(False)).alias("r2_mapped"))
-    return rna.compatibility_counts(pairs.withColumn("category", rna.compatibility()))
+    return pairs.withColumn("category", rna.compatibility())
+
+
+def compat_classes_rollup(spark, sf_dir):
+    return rna.compatibility_counts(_classified(spark, sf_dir))
 
 
 def gene_component_tokens(spark, sf_dir):
@@ -200,8 +190,9 @@ def umi_unique_counts(spark, sf_dir):
 
 def umi_matrix_pivot(spark, sf_dir):
     counts = rna.unique_umis(view(spark, sf_dir, "umis"), ["cell", "gene"])
-    wide = rna.wide_matrix(counts, [0, 1, 2, 3, 777])
-    return wide.select("gene", *[F.col(f"`{k}`").alias(f"cell_{k}") for k in (0, 1, 2, 3, 777)])
+    cells = [*range(50), 777]  # the whole cohort and a cell without a read
+    wide = rna.wide_matrix(counts, cells)
+    return wide.select("gene", *[F.col(f"`{k}`").alias(f"cell_{k}") for k in cells])
 
 
 def fraction_split_sum(spark, sf_dir):
@@ -217,46 +208,40 @@ def matrix_mode_summary(spark, sf_dir):
 
 
 def directional_umi(spark, sf_dir):
-    bases = F.translate(F.substring(F.conv((F.col("l_orderkey") % 4096).cast("string"), 10, 4), 1, 6), "0123", "ACGT")
-    r = _read(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 50).alias("cell"), (F.col("l_partkey") % 5).alias("gene"), F.lpad(bases, 6, "A").alias("umi"))
+    bases = F.translate(F.conv(F.col("l_orderkey").cast("string"), 10, 4), "0123", "ACGT")
+    r = _read(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 50).alias("cell"), (F.col("l_partkey") % 5).alias("gene"), F.lpad(bases, 12, "A").alias("umi"))
     return rna.directional_umis(r, ["cell", "gene"])
 
 
-def _cell_qc_metadata(umis: str = "true", pairs: str = "true"):
-    def query(spark, sf_dir):
-        li = view(spark, sf_dir, "contacts").join(_read(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 50).alias("c")).distinct(), F.col("cell") == F.col("c"), "left_semi")
-        reads = li.groupBy("cell").agg(F.count("*").alias("dna_reads"))
-        both = contacts.interchromosomal(li.where(pairs), "cell").select("cell", "pairs", F.col("inter").alias("inter_pairs"))
-        rna_reads = view(spark, sf_dir, "umis").where(umis).groupBy("cell").agg(F.count("*").alias("rna_reads"))
-        cells = view(spark, sf_dir, "cells").select("cell")
-        t = qc.metadata_ratios(qc.left_join_all(cells, [reads, both, rna_reads], "cell"))
-        t = t.withColumn("gigabases", N.gigabases(F.col("dna_reads")))
-        out = qc.filled(t)
-        return out.select("cell", "dna_reads", "pairs", "inter_pairs", "rna_reads", *[F.round(c, 9).alias(c) for c in ("rna_reads_ratio", "pairs_per_read", "inter_pairs_ratio", "gigabases")])
-
-    return query
+def cell_qc_metadata(spark, sf_dir):
+    li = view(spark, sf_dir, "contacts").join(_read(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 50).alias("c")).distinct(), F.col("cell") == F.col("c"), "left_semi")
+    reads = li.groupBy("cell").agg(F.count("*").alias("dna_reads"))
+    both = contacts.interchromosomal(li, "cell").select("cell", "pairs", F.col("inter").alias("inter_pairs"))
+    rna_reads = view(spark, sf_dir, "umis").groupBy("cell").agg(F.count("*").alias("rna_reads"))
+    cells = view(spark, sf_dir, "cells").select("cell")
+    t = qc.metadata_ratios(qc.left_join_all(cells, [reads, both, rna_reads], "cell"))
+    t = t.withColumn("gigabases", N.gigabases(F.col("dna_reads")))
+    out = qc.filled(t)
+    return out.select("cell", "dna_reads", "pairs", "inter_pairs", "rna_reads", *[F.round(c, 9).alias(c) for c in ("rna_reads_ratio", "pairs_per_read", "inter_pairs_ratio", "gigabases")])
 
 
-def _split_read_totals(kept: str = "true"):
-    """Reads per split, outer-joined over splits; ``{k}`` in ``kept`` is the split."""
-
-    def query(spark, sf_dir):
-        c = view(spark, sf_dir, "contacts")
-        parts = [c.where(f"ln % 3 = {k}").where(kept.format(k=k)).groupBy("q").agg(F.count("*").alias(f"reads_{k}")) for k in range(3)]
-        return qc.full_join_all(parts, "q")
-
-    return query
+def split_read_totals(spark, sf_dir):
+    """Reads per split, outer-joined over splits."""
+    c = view(spark, sf_dir, "contacts").groupBy("q", (F.col("ln") % 3).alias("split")).agg(F.count("*").alias("n"))
+    return qc.full_join_all([c.where(f"split = {k}").select("q", F.col("n").alias(f"reads_{k}")) for k in range(3)], "q")
 
 
 def cohort_set_diff(spark, sf_dir):
-    found = _read(spark, sf_dir, "lineitem").where("l_quantity > 49 and l_suppkey % 7 <> 0").select((F.col("l_suppkey") + 3).alias("cell"))
+    """The cohort against the cells of large orders, under a shifted code."""
+    found = _read(spark, sf_dir, "lineitem").where("l_quantity > 49").select((F.col("l_suppkey") + 3).alias("cell"))
     return qc.set_differences(view(spark, sf_dir, "cells"), found, "cell")
 
 
 def contract_field_diff(spark, sf_dir):
-    s = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("cell"), "s_name", F.col("s_nationkey"))
-    live = s.where("cell % 10 <> 3").withColumn("s_nationkey", F.when(F.col("cell") % 4 == 0, F.col("s_nationkey") + 1).otherwise(F.col("s_nationkey")))
-    return qc.field_differences(s, live, "cell", ["s_name", "s_nationkey"])
+    """Suppliers as stored against the customers of the same numbers: names all differ, nations here and there, most customers are new."""
+    s = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("cell"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+    live = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cell"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    return qc.field_differences(s, live, "cell", ["name", "nation"])
 
 
 def expected_missing(spark, sf_dir):
@@ -323,12 +308,9 @@ def contamination_regex(spark, sf_dir):
     return qc.contamination(d, ["source"], pattern="th[aeiou][a-z]{2} [aeo]").select("source", "reads", "hits", F.round("percent", 9).alias("percent"))
 
 
-def _adapter_argmax(**limit):
-    def query(spark, sf_dir):
-        d = _read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("seq"))
-        return qc.adapter_counts(d, "doc_id", adapters={"a": "thing", "b": "ation", "c": "queue"}, **limit)
-
-    return query
+def adapter_argmax(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("seq"))
+    return qc.adapter_counts(d, "doc_id", adapters={"a": "thing", "b": "ation", "c": "queue"})
 
 
 def adapter_match(spark, sf_dir):
@@ -346,22 +328,16 @@ def umi_extraction(spark, sf_dir):
     return d.groupBy("code").agg(F.count("*").alias("reads"), F.count_distinct("umi").alias("umis"))
 
 
-def _tss_profile_score(starts: str = "true"):
-    def query(spark, sf_dir):
-        sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
-        pile = qc.tss_pileup(sites, view(spark, sf_dir, "tss").where(starts), 1000)
-        cells = view(spark, sf_dir, "fragments").select("cell").distinct()
-        return qc.tss_score(pile, cells).select("cell", "insertions", F.round("tss_score", 9).alias("tss_score"))
+def tss_profile_score(spark, sf_dir):
+    sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
+    pile = qc.tss_pileup(sites, view(spark, sf_dir, "tss"), 1000)
+    cells = view(spark, sf_dir, "fragments").select("cell").distinct()
+    return qc.tss_score(pile, cells).select("cell", "insertions", F.round("tss_score", 9).alias("tss_score"))
 
-    return query
 
-
-def _bulk_tss_signal(starts: str = "true"):
-    def query(spark, sf_dir):
-        sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
-        return qc.bulk_tss_profile(sites, view(spark, sf_dir, "tss").where(starts)).select("bin", "n", F.round("signal", 9).alias("signal"))
-
-    return query
+def bulk_tss_signal(spark, sf_dir):
+    sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
+    return qc.bulk_tss_profile(sites, view(spark, sf_dir, "tss")).select("bin", "n", F.round("signal", 9).alias("signal"))
 
 
 def tn5_shift_extend(spark, sf_dir):
@@ -404,11 +380,24 @@ def next_positions(spark, sf_dir):
     return structure.next_position(p, "chrom", F.col("pos"))
 
 
-def rmsd_best3(spark, sf_dir):
+def _structures(spark, sf_dir):
+    """Five structures of each of three cells: a particle per embedding, three of its numbers as place, near a place that its locus has in all structures."""
     e = _read(spark, sf_dir, "embeddings")
-    p = e.select((F.col("label") % 3).alias("cell"), (F.col("vec_id") % 5).cast("int").alias("structure"), F.lit("chr1").alias("chrom"), F.floor(F.col("vec_id") / 5).alias("pos"), *[F.get("embedding", F.lit(k)).cast("double").alias(n) for k, n in enumerate("xyz")])
-    p = p.groupBy("structure", "chrom", "pos").agg(*[F.avg(n).alias(n) for n in "xyz"]).withColumn("cell", F.lit(1))
-    return structure.structure_summary(structure.pair_rmsd(p))
+    locus = F.floor(F.col("vec_id") / 15)
+    places = [(F.get("embedding", F.lit(k)).cast("double") + 3 * F.sin(locus * (k + 1))).alias(n) for k, n in enumerate("xyz")]
+    return e.select((F.floor(F.col("vec_id") / 5) % 3).alias("cell"), (F.col("vec_id") % 5).cast("int").alias("structure"), F.concat(F.lit("chr"), (locus % 4).cast("string")).alias("chrom"), locus.alias("pos"), *places)
+
+
+def rmsd_best3(spark, sf_dir):
+    return structure.structure_summary(_structures(spark, sf_dir))
+
+
+def rmsd_per_locus(spark, sf_dir):
+    return structure.locus_rmsd(structure.deviations(_structures(spark, sf_dir))).select("cell", "chrom", "pos", F.round("rmsd", 9).alias("rmsd"))
+
+
+def aligned_structures(spark, sf_dir):
+    return structure.aligned(_structures(spark, sf_dir))
 
 
 def rmsd_pivot(spark, sf_dir):
@@ -453,6 +442,48 @@ def read_id_tags(spark, sf_dir):
     return t.withColumn("umi", N.read_id_parts(F.col("tagged"))["umi"])
 
 
+def fragment_selection_all_counters(spark, sf_dir):
+    return fragments.selection_counters(view(spark, sf_dir, "alignments").withColumn("cell", F.col("qname") % 50), ["cell"], 10, TIES)
+
+
+def dedup_then_score(spark, sf_dir):
+    """De-duplication of a split pool with unmatched reads, then a strict bound of the score."""
+    f = view(spark, sf_dir, "fragments")
+    name = F.when(F.col("cell") < 5, "unmatched").otherwise(F.concat(F.lit("c"), F.col("cell").cast("string")))
+    bed = f.select("chrom", "start", "end", F.concat_ws("_", F.col("q").cast("string"), name, F.lit("x")).alias("read_id"), F.col("mapq").alias("score"), "strand", "ln", "price")
+    return fragments.dedup_reads(bed, True, 1, 20, True, ("read_id", "ln", "price", "start", "end", "strand")).select("chrom", "start", "end", "read_id", "score", "strand", "cell", "ln", "price")
+
+
+def strand_collapse(spark, sf_dir):
+    reads = contacts.resolve_reads(view(spark, sf_dir, "hits"), ("ln", "price", "start", "chrom", "strand", "phase"))
+    return contacts.collapsed_strands(contacts.segment_lines(reads))
+
+
+def chromosome_exclusions(spark, sf_dir):
+    c = view(spark, sf_dir, "contacts").select(F.col("chr2").alias("chrom"), "cell")
+    return fragments.without_chromosomes(c, ("chrUn", "X", "chr1")).groupBy("chrom").agg(F.count("*").alias("n"))
+
+
+def compat_counters_rollup(spark, sf_dir):
+    return rna.compatibility_counters(_classified(spark, sf_dir))
+
+
+def reads_by_id(spark, sf_dir):
+    """Line items of wanted orders; a third of the wanted numbers is no order's."""
+    reads = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("read_id"), F.col("l_linenumber").alias("ln"))
+    wanted = _read(spark, sf_dir, "customer").select((F.col("c_custkey") * 3).alias("read_id"))
+    return fragments.reads_by_id(reads, wanted)
+
+
+def plain_numbers(spark, sf_dir):
+    return _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), N.plain_number(F.col("o_totalprice") / 8).alias("shown"), N.plain_number(F.col("o_orderkey") * 100).alias("whole"))
+
+
+def presence_of_adapter(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.translate(F.upper("text"), " ", "T").alias("seq"))
+    return adapters.with_adapter(d, "XNNNNT{1}NN;o=4", 0.1).select("doc_id")
+
+
 def session_gap_events(spark, sf_dir):
     t = sessions.gap_sessions(_read(spark, sf_dir, "events"))
     return t.select("user_id", "n", "first_ts", "last_ts")
@@ -475,12 +506,9 @@ QUERIES = {
     "bin_counts_5k": bin_counts_5k,
     "overlap_join_points": overlap_join_points,
     "overlap_join_intervals": overlap_join_intervals,
-    "overlap_anti": _overlap_anti("gene % 4 = 0"),
-    "overlap_anti_all": _overlap_anti(),
-    "overlap_semi_counts": _overlap_semi_counts("pos % 5 = 0"),
-    "overlap_semi_counts_all": _overlap_semi_counts(),
-    "overlap_fraction_filter": _overlap_fraction_filter("gene % 3 = 0"),
-    "overlap_fraction_filter_all": _overlap_fraction_filter(),
+    "overlap_anti": overlap_anti,
+    "overlap_semi_counts": overlap_semi_counts,
+    "overlap_fraction_filter": overlap_fraction_filter,
     "interval_union_components": interval_union_components,
     "cluster_best_mapq": cluster_best_mapq,
     "cluster_then_filter": cluster_then_filter,
@@ -498,10 +526,8 @@ QUERIES = {
     "fraction_split_sum": fraction_split_sum,
     "matrix_mode_summary": matrix_mode_summary,
     "directional_umi": directional_umi,
-    "cell_qc_metadata": _cell_qc_metadata("cell % 3 = 0", "ln > 2"),
-    "cell_qc_metadata_all": _cell_qc_metadata(),
-    "split_read_totals": _split_read_totals("price % 5 <> {k}"),
-    "split_read_totals_all": _split_read_totals(),
+    "cell_qc_metadata": cell_qc_metadata,
+    "split_read_totals": split_read_totals,
     "cohort_set_diff": cohort_set_diff,
     "contract_field_diff": contract_field_diff,
     "expected_missing": expected_missing,
@@ -517,15 +543,12 @@ QUERIES = {
     "clean_spliced_contacts": clean_spliced_contacts,
     "library_complexity": library_complexity,
     "contamination_regex": contamination_regex,
-    "adapter_argmax": _adapter_argmax(limit=500),
-    "adapter_argmax_all": _adapter_argmax(),
+    "adapter_argmax": adapter_argmax,
     "adapter_match": adapter_match,
     "demultiplex_prefix": demultiplex_prefix,
     "umi_extraction": umi_extraction,
-    "tss_profile_score": _tss_profile_score("pos % 3 = 0"),
-    "tss_profile_score_all": _tss_profile_score(),
-    "bulk_tss_signal": _bulk_tss_signal("pos % 3 = 0"),
-    "bulk_tss_signal_all": _bulk_tss_signal(),
+    "tss_profile_score": tss_profile_score,
+    "bulk_tss_signal": bulk_tss_signal,
     "tn5_shift_extend": tn5_shift_extend,
     "mark_duplicates": mark_duplicates,
     "insert_size_histogram": insert_size_histogram,
@@ -543,6 +566,16 @@ QUERIES = {
     "pairs_text": pairs_text,
     "ncc_text": ncc_text,
     "read_id_tags": read_id_tags,
+    "fragment_selection_all_counters": fragment_selection_all_counters,
+    "dedup_then_score": dedup_then_score,
+    "strand_collapse": strand_collapse,
+    "chromosome_exclusions": chromosome_exclusions,
+    "compat_counters_rollup": compat_counters_rollup,
+    "reads_by_id": reads_by_id,
+    "plain_numbers": plain_numbers,
+    "presence_of_adapter": presence_of_adapter,
+    "rmsd_per_locus": rmsd_per_locus,
+    "aligned_structures": aligned_structures,
     "session_gap_events": session_gap_events,
     "windowed_event_counts": windowed_event_counts,
 }

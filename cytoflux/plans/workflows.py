@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import contacts, fragments, intervals, phasing, qc, rna
 
+#: Names that users give and read (fixed values), like those of the modes in ``rna_plan``.
 EXPERIMENTS = ("atac", "cuttag", "hic", "rna")
 
 
@@ -41,17 +43,44 @@ def overlaid(base: dict, over: dict) -> dict:
     return {k: overlaid(base[k], over[k]) if isinstance(base.get(k), dict) and isinstance(over.get(k), dict) else over.get(k, base.get(k)) for k in {**base, **over}}
 
 
+def with_values(base: dict, entries: list[str]) -> dict:
+    """Settings with ``KEY=VALUE`` entries in place of their values; a value is JSON where it can be read so, else a text."""
+    out = dict(base)
+    for entry in entries:
+        key, equals, value = entry.partition("=")
+        if not equals or not key.isidentifier():
+            raise ValueError(f"not KEY=VALUE with a name as key: {entry!r}")
+        try:
+            out[key] = json.loads(value)
+        except ValueError:
+            out[key] = value
+    return out
+
+
+def settings_of(base: dict, *overlays: dict, entries: list[str] | None = None) -> Settings:
+    """Settings from nested dictionaries, laid over one another in order, then ``KEY=VALUE`` entries; an unknown name is an error."""
+    for over in overlays:
+        base = overlaid(base, over)
+    values = with_values(base, entries or [])
+    unknown = set(values) - {f.name for f in fields(Settings)}
+    if unknown:
+        raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
+    return Settings(**{k: tuple(v) if isinstance(v, list) else v for k, v in values.items()})
+
+
 def fragment_plan(alignments: DataFrame, snps: DataFrame, s: Settings, ties: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Alignments (qname, origin, flag, mapq, q_start, chrom, start, end, strand, cell, cigar, seq, qual) to fragments.
 
-    Only alignments of reads whose chosen R2 is not clipped are phased, so the range join sees no others.
+    Only alignments of reads whose chosen R2 is not clipped are phased, so the range join sees no others.  An alignment is known by all of
+    its columns, so two that differ in any have votes of their own; rows that are equal in all have the same votes.
     """
     good = alignments.where(fragments.mapped(s.min_mapq))
+    good = good.withColumn("id", F.md5(F.to_json(F.struct(*alignments.columns)).cast("binary")))
     chosen = fragments.unclipped(fragments.select_best(good, ties=ties))
-    wanted = good.join(chosen.select("qname"), "qname", "left_semi").withColumn("id", F.struct("qname", "origin", "flag", "chrom", "start", "end", "strand"))
-    phased = phasing.phase_alignments(wanted, snps, s.min_base_quality).drop("id", "n0", "n1", "other")
-    key = ["qname", "origin", "flag", "chrom", "start", "end", "strand"]
-    selected = chosen.join(phased.select(*key, "phase").distinct(), key)
+    wanted = good.join(chosen.select("qname"), "qname", "left_semi").dropDuplicates(["id"])
+    phased = phasing.phase_alignments(wanted, snps, s.min_base_quality).drop("n0", "n1", "other")
+    selected = chosen.join(phased.select("id", "phase"), "id").drop("id")
+    phased = phased.drop("id")
     table = fragments.with_fallback_phase(selected, phased, ties)
     kept = fragments.dedup_endpoints(selected, ["cell", "chrom"], ["qname", "start", "end"], s.fragment_gap, s.both_ends)
     cohort = fragments.cohort_fragments(kept)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 GTF = "seqname string, source string, feature string, start1 bigint, end1 bigint, score string, strand string, frame string, attributes string"
@@ -28,7 +32,8 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignments of SAM text, header lines left out; optional fields as a map."""
     rows = _wide(_lines(spark, path, "@"), 11, "SAM")
     f = F.split("value", "\t")
-    tags = F.map_from_entries(F.transform(F.filter(F.slice(f, 12, 1_000), lambda x: x.rlike("^..:.:")), lambda x: F.struct(F.substring(x, 1, 2), F.substring(x, 6, 1_000_000))))
+    optional = F.slice(f, F.lit(12), F.greatest(F.size(f) - 11, F.lit(0)))
+    tags = F.map_from_entries(F.transform(F.filter(optional, lambda x: x.rlike("^..:.:")), lambda x: F.struct(F.substring(x, 1, 2), F.substring(x, F.lit(6), F.length(x)))))
     return rows.select(
         _field(1).alias("qname"),
         _field(2, "int").alias("flag"),
@@ -83,7 +88,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
             at(1).alias("chrom"), at(2).cast("bigint").alias("start"), at(3).cast("bigint").alias("end"), at(4).alias("strand"), at(5).alias("phase"), at(6).cast("int").alias("mapq"), at(7).cast("int").alias("n_hits"), F.get(p, F.lit(7)).cast("int").alias("read_num")
         )
 
-    return _lines(spark, path).select(F.element_at(f, 1).alias("qname"), F.transform(F.filter(F.slice(f, 2, 1_000_000), lambda x: x != ""), item).alias("segs"))
+    return _lines(spark, path).select(F.element_at(f, 1).alias("qname"), F.transform(F.filter(F.slice(f, F.lit(2), F.size(f)), lambda x: x != ""), item).alias("segs"))
 
 
 def read_phased_snps(spark: SparkSession, path: str) -> DataFrame:
@@ -93,6 +98,30 @@ def read_phased_snps(spark: SparkSession, path: str) -> DataFrame:
     return t.where((F.length("a0") == 1) & (F.length("a1") == 1))
 
 
+def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their place: ``file``, ``block`` (where the split of the file begins) and ``ord``, which grows within a block."""
+    t = spark.read.option("lineSep", "\n").text(path)
+    return t.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("ord"))
+
+
+def snp_table_faults(spark: SparkSession, path: str) -> DataFrame:
+    """Counts over SNP tables: rows, rows skipped for alleles of more than one base, rows out of order, chromosomes that come in several blocks.
+
+    A row's predecessor is looked up within a split; across splits it comes from a small table of their last rows.
+    """
+    t = _wide(ordered_lines(spark, path).where((F.trim("value") != "") & ~F.col("value").startswith("#")), 4, "SNP table")
+    t = t.select("file", "block", "ord", F.struct(_field(1).alias("chrom"), _field(2, "bigint").alias("pos")).alias("at"), ((F.length(_field(3)) != 1) | (F.length(_field(4)) != 1)).alias("skipped"))
+    good = t.where("NOT skipped")
+    ends = good.groupBy("file", "block").agg(F.max_by("at", "ord").alias("last"))
+    ends = ends.select("file", "block", F.lag("last").over(W.partitionBy("file").orderBy("block")).alias("carried"))
+    own = F.lag("at").over(W.partitionBy("file", "block").orderBy("ord"))
+    rows = good.withColumn("own", own).join(ends, ["file", "block"]).select("file", "at", F.coalesce("own", "carried").alias("before"))
+    opens = F.coalesce(F.col("at.chrom") != F.col("before.chrom"), F.lit(True))
+    runs = rows.where(opens).groupBy("file", "at.chrom").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("split_chromosomes"))
+    unsorted = rows.agg(F.count_if(~opens & (F.col("at.pos") < F.col("before.pos"))).alias("unsorted_rows"))
+    return t.agg(F.count("*").alias("rows"), F.count_if("skipped").alias("skipped_rows")).join(unsorted).join(runs)  # one row each
+
+
 def read_vcf_phased(spark: SparkSession, path: str, indels: bool = False) -> DataFrame:
     """Phased heterozygous variants of the first sample that pass: chrom, pos1, a0, a1."""
     rows = _wide(_lines(spark, path), 10, "VCF").where(_field(7).isin(".", "PASS"))
@@ -132,11 +161,79 @@ def read_stat(spark: SparkSession, path: str, names: str = "path string, n bigin
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """Sequences as lines with their place: name, ord, line.  Files are read a record at a time."""
-    t = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
-    lines = F.split("value", "\n")
-    name = F.element_at(F.split(F.element_at(lines, 1), r"\s+"), 1)
-    return t.select(name.alias("name"), F.posexplode(F.slice(lines, 2, 2_000_000_000)).alias("ord", "line")).where("line <> ''")
+    """Sequences as lines with their place: name, ord, line, start (bases before the line).
+
+    Lines are numbered within a split of the file; what a split carries over from the ones before it (the open record's name, lines and bases) comes from a
+    small table of splits.
+    """
+    t = ordered_lines(spark, path).withColumn("value", F.rtrim("value"))
+    head = F.col("value").startswith(">")
+    along = W.partitionBy("file", "block").orderBy("ord")
+    here = along.rowsBetween(W.unboundedPreceding, W.currentRow)
+    t = t.where("value <> ''").withColumn("name", F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1))).withColumn("record", F.count("name").over(here))
+    splits = t.groupBy("file", "block").agg(F.max("record").alias("records"), F.max_by("name", F.when(head, F.col("ord"))).alias("open_name"))
+    after = t.join(splits, ["file", "block"]).where((F.col("record") == F.col("records")) & ~head).groupBy("file", "block").agg(F.count("*").alias("lines"), F.sum(F.length("value")).alias("bases"))
+    splits = splits.join(after, ["file", "block"], "left").na.fill(0, ["lines", "bases"])
+    by_split = W.partitionBy("file").orderBy("block")
+    splits = splits.withColumn("run", F.count_if(F.col("records") > 0).over(by_split.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    in_run = W.partitionBy("file", "run").orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)
+    splits = splits.withColumn("all_lines", F.sum("lines").over(in_run)).withColumn("all_bases", F.sum("bases").over(in_run))
+    carried = [F.lag(c).over(by_split).alias(c) for c in ("all_lines", "all_bases")]
+    splits = splits.select("file", "block", F.last("open_name", ignorenulls=True).over(by_split.rowsBetween(W.unboundedPreceding, -1)).alias("carried_name"), *carried)
+    within = W.partitionBy("file", "block", "record").orderBy("ord")
+    t = t.withColumn("own_name", F.last("name", ignorenulls=True).over(here)).where(~head)
+    t = t.withColumn("n", F.row_number().over(within) - 1).withColumn("bases", F.coalesce(F.sum(F.length("value")).over(within.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    t = t.join(splits, ["file", "block"])
+    more = lambda c: F.when(F.col("record") == 0, F.coalesce(c, F.lit(0))).otherwise(0)
+    return t.select(F.coalesce("own_name", "carried_name").alias("name"), (F.col("n") + more("all_lines")).cast("int").alias("ord"), F.col("value").alias("line"), (F.col("bases") + more("all_bases")).alias("start"))
+
+
+def read_tabfastq(spark: SparkSession, path: str) -> DataFrame:
+    """Reads as one line each: read_id, index, seq, qual."""
+    return spark.read.schema("read_id string, index string, seq string, qual string").csv(path, sep="\t", quote="")
+
+
+def first_records(spark: SparkSession, path: str) -> DataFrame:
+    """The SHA-256 of the first FASTQ record of each file, its four lines with their line ends; a bad record is an error.
+
+    Only the first split of a file is ranked.  A file without a line gives no row.
+    """
+    t = ordered_lines(spark, path).where("block = 0")
+    t = t.withColumn("k", F.row_number().over(W.partitionBy("file").orderBy("ord"))).where("k <= 4")
+    t = t.groupBy("file").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "value"))), lambda x: x["value"]).alias("l"))
+    bare = lambda k: F.regexp_replace(F.get("l", F.lit(k)), "\r$", "")
+    fault = (
+        F.when(F.size("l") < 4, "truncated first record")
+        .when(~F.get("l", F.lit(0)).startswith("@") | ~F.get("l", F.lit(2)).startswith("+"), "invalid first record")
+        .when(bare(1) == "", "empty sequence in the first record")
+        .when(F.length(bare(1)) != F.length(bare(3)), "sequence and quality of the first record differ in length")
+    )
+    digest = F.sha2(F.concat(F.array_join("l", "\n"), F.lit("\n")).cast("binary"), 256)
+    return t.select("file", F.when(fault.isNotNull(), F.raise_error(F.concat(fault, F.lit(": "), F.col("file"))).cast("string")).otherwise(digest).alias("sha256"))
+
+
+def read_contract(spark: SparkSession, path: str, version: int, digest: str = "contract_sha256") -> DataFrame:
+    """Samples (sample_name, safe_code, ord) of a cohort's contract, a JSON document with ``schema_version``, its own checksum and ``samples``.
+
+    The checksum is that of the document without it, with sorted keys and no blanks.  Another version, another checksum, no sample, names out of order or
+    repeated, and bad or repeated codes are errors.
+    """
+    text = spark.read.text(path, wholetext=True).first()
+    contract = json.loads(text["value"]) if text else {}
+    core = {k: v for k, v in contract.items() if k != digest}
+    found = hashlib.sha256(json.dumps(core, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    samples = contract.get("samples") or []
+    names, codes = [s.get("sample_name") for s in samples], [s.get("safe_code") for s in samples]
+    for fault, what in (
+        (contract.get("schema_version") != version, "an unknown version"),
+        (contract.get(digest) != found, "a wrong checksum"),
+        (not samples, "no samples"),
+        (not all(isinstance(n, str) for n in names) or names != sorted(set(names)), "names that are out of order or repeated"),
+        (len(set(codes)) < len(codes) or not all(isinstance(c, str) and len(c) == 17 and c[0] == "C" and set(c[1:]) <= set("0123456789abcdef") for c in codes), "bad or repeated codes"),
+    ):
+        if fault:
+            raise ValueError(f"the contract {path} has {what}")
+    return spark.createDataFrame([(n, c, k) for k, (n, c) in enumerate(zip(names, codes, strict=True))], "sample_name string, safe_code string, ord int")
 
 
 def read_log_values(spark: SparkSession, path: str, pattern: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Small hand-made cases of the operators, and differential tests against plain Python."""
 
+import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ def test_components_and_coverage_against_plain_python(spark):
     spans = [(i, s, s + random.randrange(1, 60)) for i, s in enumerate(random.randrange(4000) for _ in range(300))]
     d = spark.createDataFrame([("c", *s) for s in spans], "chrom string, id int, start long, end long")
     got = dict(rows(intervals.union_components(d, ["chrom"], ["end", "id"], segment_width=64), "id", "component"))
-    assert got == dict(rows(intervals.union_components(d, ["chrom"], ["end", "id"]), "id", "component"))
+    assert got == dict(rows(intervals.union_components(d, ["chrom"], ["end", "id"], segment_width=None), "id", "component"))
     top, n, want = None, 0, {}
     for i, s, e in sorted(spans, key=lambda x: (x[1], x[2], x[0])):
         if top is None or s > top:
@@ -203,12 +205,148 @@ def test_structures(spark):
     turn = np.linalg.qr(rng.normal(size=(3, 3)))[0]
     shapes = [base, base @ turn + 5, base * 1.0 + 0.01 * rng.normal(size=base.shape), base + rng.normal(size=base.shape)]
     d = spark.createDataFrame([("x", k, "c", i, *map(float, p)) for k, s in enumerate(shapes) for i, p in enumerate(s)], "cell string, structure int, chrom string, pos long, x double, y double, z double")
-    pairs = structure.pair_rmsd(d)
+    pairs = structure.pair_rmsd(structure.deviations(d))
     assert {(r.i, r.j): r.rmsd for r in pairs.collect()}[0, 1] < 1e-9
-    s = structure.structure_summary(pairs).first()
+    s = structure.structure_summary(d).first()
     assert s.structures == 4 and s.top3_rmsd < 0.1 < s.rmsd
-    few = structure.structure_summary(structure.pair_rmsd(d.where("structure < 2"))).first()
-    assert few.top3_rmsd is None
+    few = structure.structure_summary(d.where("structure < 2")).first()
+    assert few.top3_rmsd is None and few.rmsd < 1e-9
+    # A structure that shares no particle with the others leaves none to all; then there is nothing to say.
+    apart = d.withColumn("pos", F.when(F.col("structure") == 3, F.col("pos") + 100).otherwise(F.col("pos")))
+    assert tuple(structure.structure_summary(apart).first()) == ("x", 4, 0, None, None, None, None)
+    missing = d.withColumn("x", F.when((F.col("structure") == 2) & (F.col("pos") < 5), F.lit(float("nan"))).otherwise(F.col("x")))
+    assert structure.structure_summary(missing).first().particles == 25
+
+
+def test_rmsd_by_brute_force(spark):
+    """Deviations by numpy over all pairs: per locus, per pair, the best three, and every structure turned onto every other."""
+    rng = np.random.default_rng(1)
+    rows, shapes = [], {}
+    for cell in ("x", "y"):
+        base = rng.normal(size=(40, 3))
+        for k in range(5):
+            shape = base + rng.normal(size=base.shape) * 0.2 * (k + 1) + k
+            if k % 2:
+                shape = shape @ np.diag([1, 1, -1.0]) @ np.linalg.qr(rng.normal(size=(3, 3)))[0]
+            shapes[cell, k] = shape
+            rows += [(cell, k, f"c{i % 2}", i, *map(float, p)) for i, p in enumerate(shape) if (i, k) != (7, 3)]
+    d = spark.createDataFrame(rows, "cell string, structure int, chrom string, pos long, x double, y double, z double").repartition(3)
+    common = [i for i in range(40) if i != 7]
+    loci = {(r.cell, r.pos): r.rmsd for r in structure.locus_rmsd(structure.deviations(d)).collect()}
+    summary = {r.cell: r for r in structure.structure_summary(d).collect()}
+    turned = {(r.cell, r.structure, r.other, r.pos): (r.x, r.y, r.z) for r in structure.aligned(d).collect()}
+    for cell in ("x", "y"):
+        columns, medians = {}, {}
+        for i, j in itertools.permutations(range(5), 2):
+            a, b = shapes[cell, i][common], shapes[cell, j][common]
+            u, _, v = np.linalg.svd((b - b.mean(axis=0)).T @ (a - a.mean(axis=0)))
+            d2 = np.linalg.norm((b - b.mean(axis=0)) @ u @ v - (a - a.mean(axis=0)), axis=1)
+            if i < j:
+                columns[i, j], medians[i, j] = d2, np.median(d2)
+            moved = (shapes[cell, j] - b.mean(axis=0)) @ u @ v + a.mean(axis=0)
+            assert all(np.allclose(turned[cell, i, j, k], moved[k]) for k in range(40) if (k, j) != (7, 3))
+        per_locus = np.sqrt((np.stack(list(columns.values()), axis=1) ** 2).mean(axis=1))
+        assert np.allclose([loci[cell, k] for k in common], per_locus)
+        best = min(itertools.combinations(range(5), 3), key=lambda t: sum(medians[p] for p in itertools.combinations(t, 2)))
+        three = [np.sqrt((columns[p] ** 2).mean()) for p in itertools.combinations(best, 2)]
+        want = (5, 39, np.sqrt((per_locus**2).mean()), np.median(per_locus), np.sqrt(np.mean(np.square(three))), np.median(three))
+        assert np.allclose(tuple(summary[cell])[1:], want)
+
+
+def test_windows_of_sequence(spark):
+    r = random.Random(2)
+    text = "".join(r.choices("ACGTN", weights=[2, 3, 3, 2, 1], k=700))
+    lines = spark.createDataFrame([("c", k, text[i : i + 30], i) for k, i in enumerate(range(0, 700, 30))], "name string, ord int, line string, start long")
+    spans = [(0, 700), (10, 40), (29, 31), (300, 333), (650, 700)]
+    w = structure.padded_windows(spark.createDataFrame([("c", *x) for x in spans], "chrom string, start long, end long"), spark.createDataFrame([("c", 700)], "chrom string, size long"), 60)
+    assert {(x["start"], x["end"]): (x["from"], x["until"]) for x in w.collect()} == {(0, 700): (0, 700), (10, 40): (0, 55), (29, 31): (0, 60), (300, 333): (287, 346), (650, 700): (645, 700)}
+    for width in (64, 100_000):
+        for x in structure.window_cpg(lines, w, width).collect():
+            a, b = {(10, 40): (0, 55), (29, 31): (0, 60), (300, 333): (287, 346), (650, 700): (645, 700)}.get((x.start, x.end), (x.start, x.end))
+            part = text[a:b]
+            assert (x.cpg, x.valid) == (part.count("CG"), sum(part.count(c) for c in "ACGT")) and x.density == round(x.cpg / x.valid, 6)
+
+
+def test_adapters_of_many_reads(spark):
+    """The vectorised table gives the cuts of the plain one; short forms are written out."""
+    r = random.Random(3)
+    for adapter, rate, least in (("GGACGTTGCA", 0.1, 6), ("ACGNNTTTTT", 0.2, 4), ("ACGTACGTACGT", 0.25, 5), ("A", 0.1, 1)):
+        reads = ["", None]
+        for _ in range(300):
+            x = list(adapter.replace("N", r.choice("ACGT"))[r.randrange(len(adapter)) :] + "".join(r.choices("ACGT", k=r.randrange(8))))
+            for _ in range(r.randrange(3)):
+                k = r.randrange(len(x) + 1)
+                x[k : k + r.randrange(2)] = r.choice(["", "A", "T"])
+            reads.append("".join(x))
+        want = [adapters.prefix_errors(x, adapter, rate, least) if x else None for x in reads]
+        assert adapters.cuts_of(reads, adapter, rate, least).tolist() == [-1 if w is None else w for w in want]
+    assert adapters.written_out("XN{8}T{15};o=18") == ("N" * 8 + "T" * 15, 18) and adapters.written_out("ACGT") == ("ACGT", None)
+    tail = "T" * 15
+    d = spark.createDataFrame([(1, "ACGTACGT" + tail + "A"), (2, "CGT" + tail), (3, "T" + tail), (4, "ACGTACGTTTTATTTTTTTTTTTG"), (5, "ACGT"), (6, None)], "id int, seq string")
+    assert sorted(x.id for x in adapters.with_adapter(d, "XNNNNNNNNT{15};o=18").collect()) == [1, 2, 4]
+
+
+def test_adapter_counts_of_lines(spark):
+    d = spark.createDataFrame([(0, "AGATCGGAAGAGC"), (1, "CTGTCTCTTATA"), (2, "CTGTCTCTTATA")], "ord int, seq string")
+    assert qc.adapter_counts(d, "ord", lines=8).first().best == "illumina" and qc.adapter_counts(d, "ord", lines=9).first().nextera == 2
+    assert qc.adapter_counts(d, "ord").first().best == "nextera"
+    assert qc.adapter_counts(d.withColumn("seq", F.lit("AAAA")), "ord").first().best == ""
+
+
+def test_crowded_and_isolated_contacts(spark):
+    r = random.Random(4)
+    rows = [(i, r.randrange(2), "a", r.randrange(3000), "b", r.randrange(3000)) for i in range(150)] + [(1000 + i, 0, "a", 5000 + r.randrange(40), "b", 100 + r.randrange(40)) for i in range(60)] + [(2000, 0, "a", 5130, "b", 150), (2001, 0, "a", 9999, "b", 9999)]
+    d = spark.createDataFrame(rows, "id int, cell int, chr1 string, pos1 long, chr2 string, pos2 long")
+    for support in (1, 2, 5):
+        want = {a[0] for a in rows if sum(a[1] == b[1] and a[0] != b[0] and abs(a[3] - b[3]) <= 100 and abs(a[5] - b[5]) <= 100 for b in rows) >= support}
+        assert {x.id for x in contacts.clean_isolated(d, ["id", "cell"], 100, support).collect()} == want
+    legs = [(a[0], a[1], c, p) for a in rows for c, p in ((a[2], a[3]), (a[4], a[5]))]
+    bad = {a[0] for a in legs if sum(a[1] == b[1] and a[2] == b[2] and abs(a[3] - b[3]) <= 50 for b in legs) - 1 > 4}
+    for width in (60, 1_000_000):
+        assert {x.id for x in contacts.clean_legs(d, ["id", "cell"], 50, 4, width).collect()} == {a[0] for a in rows} - bad
+
+
+def test_reads_that_are_annotated(spark):
+    rows = [(1, "q", 0x40 | 16, "c", 10, 60, "2S3M1I2M4H", "TTACGTAC", "IIIIIIII"), (2, "q", 0x80 | 16, "c", 10, 60, "2S3M1D2M", "TTACGAC", "*"), (3, "q", 0, "c", 10, 5, "4M", "ACGT", "IIII"), (4, "r", 0x80, "c", 10, 60, "4M", "ACGT", "II!I")]
+    d = spark.createDataFrame(rows, "id int, qname string, flag int, chrom string, start long, mapq int, cigar string, seq string, qual string")
+    snps = spark.createDataFrame([("c", 11, "C", "A"), ("c", 12, "A", "G"), ("c", 14, "A", "T")], "chrom string, pos long, a0 string, a1 string")
+    got = {x.flag: tuple(x)[4:] for x in phasing.annotated(d, snps).collect()}
+    assert got == {
+        0x40 | 16: (10, 15, "-", 60, 4, 10, 6, ".", 1, 1, 1),
+        0x80 | 16: (10, 16, "+", 60, 0, 5, 5, ".", 2, 1, 0),
+        0x80: (10, 14, "-", 60, 0, 4, 4, "0", 1, 0, 0),
+    }
+
+
+def test_small_functions(spark):
+    from cytoflux.functions import alignment, names
+
+    one = spark.createDataFrame([("a/b/c.bed.gz", "chr1_x y", 1.5, 100.0, None)], "path string, chrom string, v double, w double, n double")
+    r = one.select(
+        names.path_part(F.col("path"), -1, r"\.bed\.gz$"), names.path_part(F.col("path"), 1), names.safe_name(F.lit(7), F.col("chrom")), names.plain_number(F.col("v")), names.plain_number(F.col("w")), names.plain_number(F.lit(0.0)), names.plain_number(F.col("n")), names.plain_number(F.lit(1e-12)),
+        alignment.query_start(alignment.cigar_ops(F.lit("3S4M2H")), F.lit(True)), alignment.query_start(alignment.cigar_ops(F.lit("3S4M2H")), F.lit(False)),
+    ).first()
+    assert tuple(r) == ("c", "a", "0007_chr1_x_y", "1.5", "100", "0", None, "0", 2, 3)
+    flags = spark.createDataFrame([(1, 3, 30), (2, 3, 29), (3, 1, 60), (4, 3 | 0x400, 60), (5, 3 | 0x100, 60)], "id int, flag int, mapq int")
+    assert [x.id for x in flags.where(fragments.proper_primary()).collect()] == [1]
+    status = spark.createDataFrame([(0, 1.0), (5, 1.0), (5, None), (5, float("nan"))], "n int, v double").select(qc.tss_status(F.col("n"), F.col("v"))).collect()
+    assert [x[0] for x in status] == [None, "ok", "insufficient_data", "insufficient_data"]
+    targets = spark.createDataFrame([("a", True), ("b", True), ("c", True), ("d", False)], "path string, enabled boolean")
+    assert sorted(x.path for x in cohort.missing_targets(targets, spark.createDataFrame([("a", 5), ("b", 0)], "path string, length long")).collect()) == ["b", "c"]
+
+
+def test_cohort_checks(spark):
+    cells = spark.createDataFrame([(k, f"s{k}", f"C{k}") for k in range(40)], "ord int, sample_name string, safe_code string")
+    first = qc.contract_hash(cells, 4).first().sha256
+    assert first == qc.contract_hash(cells.orderBy(F.desc("ord")).repartition(5), 4).first().sha256 and len(first) == 64
+    assert first != qc.contract_hash(cells.withColumn("safe_code", F.when(F.col("ord") == 9, "Cx").otherwise(F.col("safe_code"))), 4).first().sha256
+    stats = cells.where("ord < 4").select("ord", "sample_name", F.lit(3.0).alias("n"))
+    few = cells.where("ord < 4")
+    assert qc.exact_cohort(stats, few).count() == 0
+    bad = stats.where("ord <> 0").withColumn("n", F.when(F.col("ord") == 1, -1.0).otherwise(2.0)).withColumn("sample_name", F.when(F.col("ord") == 2, "s9").otherwise(F.col("sample_name")))
+    assert {(x.ord, x.fault) for x in qc.exact_cohort(bad.union(spark.createDataFrame([(7, "z", 1.0)], bad.schema)), few).collect()} == {(0, "missing"), (1, "bad count"), (2, "out of order"), (7, "unexpected")}
+    table = qc.audit({"cohort": qc.exact_cohort(stats, few), "bad": qc.exact_cohort(bad, few)})
+    assert {tuple(x) for x in table.collect()} == {("cohort", 0, "pass"), ("bad", 3, "fail")}
 
 
 def test_checks(spark):

@@ -14,6 +14,25 @@ def test_settings():
     assert P.overlaid({"a": {"b": 1, "c": 2}}, {"a": {"b": 3}, "d": 4}) == {"a": {"b": 3, "c": 2}, "d": 4}
 
 
+def test_settings_from_dictionaries():
+    s = P.settings_of({"min_mapq": 20, "resolutions": ["1k"]}, {"min_mapq": 30}, entries=["experiment=hic", "bin_width=10", "sex_threshold=abc"])
+    assert (s.min_mapq, s.resolutions, s.experiment, s.bin_width, s.sex_threshold) == (30, ("1k",), "hic", 10, "abc")
+    assert P.with_values({}, ["a={\"b\": 1}", "c=x=y"]) == {"a": {"b": 1}, "c": "x=y"}
+    for entries, fault in ((["novalue"], "KEY=VALUE"), (["1a=2"], "KEY=VALUE"), (["other=2"], "unknown")):
+        with pytest.raises(ValueError, match=fault):
+            P.settings_of({}, entries=entries)
+
+
+def test_alignments_that_differ_in_cigar_alone(spark):
+    """Votes of two alignments of a read stay apart, and no row is multiplied."""
+    schema = "qname string, origin string, flag int, mapq int, q_start int, chrom string, start long, end long, strand string, cell string, cigar string, seq string, qual string"
+    row = lambda cigar, seq: ("a", "R2", 0, 60, 0, "c", 100, 104, "+", "x", cigar, seq, "I" * len(seq))
+    d = spark.createDataFrame([row("4M", "ACGT"), row("2M1I2M", "ACTAT"), row("4M", "ACGT")], schema)
+    snps = spark.createDataFrame([("c", 102, "G", "A")], "chrom string, pos long, a0 string, a1 string")
+    out = P.fragment_plan(d, snps, P.Settings(), ties=("cigar",))
+    assert [(r.qname, r.final_phase) for r in out["phase_table"].collect()] == [("a", "1")]
+
+
 def test_fragments(spark):
     schema = "qname string, origin string, flag int, mapq int, q_start int, chrom string, start long, end long, strand string, cell string, cigar string, seq string, qual string"
     rows = [
