@@ -114,16 +114,20 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield rest
 
 
-def per_salt(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
-    """One row per group of ``keys`` and salt in it, with the number of the group's rows ``n`` and ``more`` of it, each a greatest value; groups of two or more.
+def per_salt(rows: DataFrame, keys: list[str], *more: Column, salts: int = 64) -> DataFrame:
+    """One row per group of ``keys`` and salt in it, with the number of the group's rows ``n`` and ``more`` of it; groups of two or more.
 
-    ``rows`` have a column ``salt`` of few values.  Parts of a group are summed up before the group is.  Joined by keys and salt,
+    ``rows`` have a column ``salt`` below ``salts``, which is 64 at most.  Tasks send one row a group, with its salts as bits.  Joined by keys and salt,
     no task gets a whole group.
     """
-    parts = rows.groupBy(*keys, "salt").agg(F.count("*").alias("n"), *more)
-    most = [F.max(c).alias(c) for c in parts.columns if c not in (*keys, "salt", "n")]
-    whole = parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts"), *most)
-    return whole.where("n > 1").withColumn("salt", F.explode("salts")).drop("salts")
+    whole = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("bits"), *more).where("n > 1")
+    there = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda k: F.getbit("bits", k) == 1)
+    return whole.withColumn("salt", F.explode(there)).drop("bits")
+
+
+def small_side(keys: DataFrame, most: int) -> DataFrame:
+    """``keys``, marked for broadcast if a count finds no more than ``most`` rows of a few numbers each; else as they are."""
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
 
 
 _KEPT: dict[str, object] = {}

@@ -230,7 +230,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, miss: floa
     group = ["label", "level", "cell"]
     spots = nodes.select("label", "id", "k", F.posexplode("cells").alias("level", "cell")).withColumn("salt", F.pmod(F.xxhash64("id", "k"), F.lit(SALTS)).cast("int"))
     blocks = F.when(F.col("n") > MOST, F.ceil(F.col("n") / (MOST // 2))).otherwise(1).cast("int")
-    crowded = stored(per_salt(spots, group).withColumn("blocks", blocks))
+    crowded = stored(per_salt(spots, group, salts=SALTS).withColumn("blocks", blocks))
     # Ids alone meet the table of groups; vectors follow once it is known which groups they go to.
     places = spots.join(crowded, [*group, "salt"]).groupBy("id", "k").agg(F.collect_list(F.struct("level", "cell", "blocks")).alias("groups"))
     each = nodes.join(places, ["id", "k"]).select("label", "id", "k", "copies", "cells", "places", "v", F.explode("groups").alias("g")).select("*", "g.level", "g.cell", "g.blocks").drop("g")

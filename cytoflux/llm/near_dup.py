@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import group_starts, kept, per_salt, stored, table, unused, whole_groups, with_columns_from
+from .common import group_starts, kept, per_salt, small_side, stored, table, unused, whole_groups, with_columns_from
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -36,6 +36,8 @@ K = BANDS * ROWS
 LIKELY = 0.6
 #: Texts that are hashed together (at most 512: their number takes 9 bits of a key), rows of a block of a bucket, parts of a bucket in joins.
 BLOCK, MEMBERS, SALTS = 512, 128, 64
+#: Rows of one or two numbers that are broadcast at most, about 50 MB and 100 MB; beyond, texts are shuffled.
+ONE_KEY, TWO_KEYS = 2_000_000, 1_000_000
 _U = np.uint64
 
 
@@ -193,8 +195,7 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             keep = pa.array((left == right).mean(axis=1) >= LIKELY) if batch.num_rows else pa.array([], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    node = nodes.schema["node"].dataType.simpleString()
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(check, f"a {node}, b {node}")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -209,19 +210,18 @@ def _salted(rows: DataFrame) -> DataFrame:
 
 
 def _with_centres(members: DataFrame) -> DataFrame:
-    """Members with their bucket's centre, the one with the most bucket-mates (of equals the least node), and its component ``other``."""
-    first = F.max(F.struct("mates", F.bitwise_not("node.id").alias("id"), F.bitwise_not("node.k").alias("k"), "component")).alias("best")
-    centre = F.struct(F.bitwise_not("best.id").alias("id"), F.bitwise_not("best.k").alias("k"))
-    best = stored(per_salt(members, ["bucket"], first).select("bucket", "salt", centre.alias("centre"), F.col("best.component").alias("other")))
-    return members.join(best, ["bucket", "salt"])
+    """Members with their bucket's centre, the one with the most bucket-mates, and its component ``other``."""
+    best = stored(per_salt(members, ["bucket"], F.max(F.struct("mates", "node", "component")).alias("best"), salts=SALTS))
+    return members.join(best.select("bucket", "salt", F.col("best.node").alias("centre"), F.col("best.component").alias("other")), ["bucket", "salt"])
 
 
-def _links_of_pair(a: dict, b: dict, band: int, threshold: float) -> list[tuple[int, int]]:
+def _links_of_pair(a: dict, b: dict, bucket: int, threshold: float) -> list[tuple[int, int]]:
     """Linked rows of a block of queries and a block of members in other components; a pair counts in its first common bucket."""
+    band = int(np.argmax(a["bands"][0] == bucket))
     sizes, links = np.array([len(s) for s in b["s"]]), []
     for q in range(len(a["s"])):
         near = (b["signature"] == a["signature"][q]).mean(axis=1) >= LIKELY
-        near &= (b["component"] != a["component"][q]).any(axis=1) & ~(b["bands"][:, :band] == a["bands"][q, :band]).any(axis=1)
+        near &= (b["component"] != a["component"][q]) & ~(b["bands"][:, :band] == a["bands"][q, :band]).any(axis=1)
         hits = np.flatnonzero(near)
         if not len(hits):
             continue
@@ -239,7 +239,7 @@ def _block_links(threshold: float):
 
     def run(batches):
         for t in whole_groups(batches, keys):
-            number = {c: t.column(c).to_numpy() for c in ("id", "k", "c_id", "c_k", "query", "band", *keys)}
+            number = {c: t.column(c).to_numpy() for c in ("node", "component", "query", *keys)}
             cuts = group_starts(t, keys)
             raw, lists, sets = t.column("signature").to_pylist(), t.column("bands"), t.column("s")
             out = []
@@ -250,16 +250,16 @@ def _block_links(threshold: float):
                     sides.append(
                         {
                             "at": at,
-                            "component": np.stack([number["c_id"][at], number["c_k"][at]], axis=1),
+                            "component": number["component"][at],
                             "signature": np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(len(at), -1),
                             "bands": np.array(lists.take(pa.array(at)).to_pylist(), dtype=np.int64).reshape(len(at), -1),
                             "s": [np.asarray(sets[i].values) for i in at],
                         }
                     )
                 if all(len(x["at"]) for x in sides):
-                    out += [(sides[0]["at"][i], sides[1]["at"][j]) for i, j in _links_of_pair(*sides, int(number["band"][start]), threshold)]
+                    out += [(sides[0]["at"][i], sides[1]["at"][j]) for i, j in _links_of_pair(*sides, int(number["bucket"][start]), threshold)]
             i, j = np.array(out, dtype=np.int64).reshape(-1, 2).T
-            yield pa.RecordBatch.from_arrays([pa.array(number[c][x]) for x in (i, j) for c in ("id", "k")], names=["a_id", "a_k", "b_id", "b_k"])
+            yield pa.RecordBatch.from_arrays([pa.array(number["node"][x]) for x in (i, j)], names=["a", "b"])
 
     return run
 
@@ -272,63 +272,65 @@ def _links_across(members: DataFrame, nodes: DataFrame, sets: DataFrame, thresho
     whatever the size of a bucket; members of the centre's component are never compared with each other.
     """
     placed = _with_centres(members).withColumn("query", F.col("component") != F.col("other"))
-    asked = F.count_if("query").alias("asked")
-    parts = placed.groupBy("bucket", "salt").agg(F.count("*").alias("n"), asked)
-    whole = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"), F.collect_list("salt").alias("salts")).where("asked > 0")
+    whole = per_salt(placed, ["bucket"], F.count_if("query").alias("asked"), salts=SALTS).where("asked > 0")
     blocks = lambda c: F.ceil(F.col(c) / MEMBERS).cast("int")
-    whole = stored(whole.select("bucket", F.explode("salts").alias("salt"), blocks("n").alias("blocks"), blocks("asked").alias("query_blocks")))
-    placed = stored(placed.join(whole, ["bucket", "salt"]).select("node", "component", "bucket", "band", "query", "blocks", "query_blocks"))
+    whole = stored(whole.select("bucket", "salt", blocks("n").alias("blocks"), blocks("asked").alias("query_blocks")))
+    placed = stored(placed.join(whole, ["bucket", "salt"]).select("node", "component", "bucket", "query", "blocks", "query_blocks"))
     payload = nodes.select("node", "bands", "signature").join(sets, "node").join(placed.select("node").distinct(), "node", "left_semi")
     full = placed.join(stored(payload), "node")
     own = lambda c, seed: F.pmod(F.xxhash64("node", "bucket", F.lit(seed)), F.col(c)).cast("int")
     all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     as_member = full.withColumn("query", F.lit(False)).withColumn("block", own("blocks", 1)).withColumn("queries", all_of("query_blocks"))
     as_query = full.where("query").withColumn("queries", own("query_blocks", 2)).withColumn("block", all_of("blocks"))
-    rows = as_member.unionByName(as_query).select("node.*", F.col("component.id").alias("c_id"), F.col("component.k").alias("c_k"), "query", "band", "bands", "signature", "s", "bucket", "block", "queries")
     key = ["bucket", "block", "queries"]
-    found = rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_block_links(threshold), "a_id long, a_k long, b_id long, b_k long")
-    pair = lambda x: F.struct(F.col(f"{x}_id").alias("id"), F.col(f"{x}_k").alias("k")).alias(x)
-    return stored(found.select(pair("a"), pair("b")))
+    rows = as_member.unionByName(as_query).select("node", "component", "query", "bands", "signature", "s", *key)
+    return stored(rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_block_links(threshold), "a long, b long"))
 
 
 def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """Members (``doc_id``, ``copy_key``, ``node``) and links (``a``, ``b``) between nodes.
+    """Members (``doc_id``, ``k``, ``text_node``; no node for a null id or text) and links (``a``, ``b``) between nodes.
 
-    A node is a group of equal texts, see ``node_of``.
+    A node is a group of equal texts, see ``node_of``; until links are known, a number stands for it.
     """
     signed = stored(signatures(docs, bands, rows))
     first = signed.where("copy_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("copy_key")
     nodes = first.agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-    nodes = stored(nodes.select("copy_key", node_of(F.col("least"), F.col("copy_key")).alias("node"), "bands", "signature"))
-    members = signed.select("doc_id", "copy_key").join(nodes.select("copy_key", "node"), "copy_key", "left")
+    nodes = stored(nodes.select("copy_key", node_of(F.col("least"), F.col("copy_key")).alias("text_node"), "bands", "signature").withColumn("node", F.monotonically_increasing_id()))
+    members = signed.select("doc_id", "copy_key").join(nodes.select("copy_key", "text_node"), "copy_key", "left").select("doc_id", F.xxhash64("copy_key").alias("k"), F.when(F.col("doc_id").isNotNull(), F.col("text_node")).alias("text_node"))
 
-    each = _salted(nodes.select("node", F.posexplode("bands").alias("band", "bucket")))
-    buckets = stored(each.join(stored(per_salt(each, ["bucket"])), ["bucket", "salt"]))
+    each = _salted(nodes.select("node", F.explode("bands").alias("bucket")))
+    buckets = stored(each.join(stored(per_salt(each, ["bucket"], salts=SALTS)), ["bucket", "salt"]))
     mates = stored(buckets.groupBy("node").agg(F.sum("n").alias("mates")))
-    buckets = stored(buckets.join(mates, "node").select("node", "band", "bucket", "salt", "mates", F.col("node").alias("component")))
-    signed_nodes = nodes.where("signature IS NOT NULL")
+    buckets = stored(buckets.join(mates, "node").select("node", "bucket", "salt", "mates", F.col("node").alias("component")))
+    nodes = stored(nodes.join(mates, "node").select("node", "text_node", "bands", "signature"))
     # Only texts with a bucket-mate are moved, once; afterwards their shingles are.
-    wanted = mates.select("node", F.col("node.id").alias("id"), F.col("node.k").alias("k"))
-    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(copy_key()).alias("k"), "text").join(wanted, ["id", "k"]).groupBy("node").agg(F.first("text").alias("text"))
+    wanted = nodes.select("node", F.col("text_node.id").alias("id"), F.col("text_node.k").alias("k"))
+    some = stored(wanted.select(F.xxhash64("id", "k").alias("h")))
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(copy_key()).alias("k"), "text").withColumn("h", F.xxhash64("id", "k"))
+    texts = texts.join(small_side(some, ONE_KEY), "h", "left_semi").join(wanted, ["id", "k"]).groupBy("node").agg(F.first("text").alias("text"))
     sets = stored(with_columns_from(texts, ["text"], {"s": "array<long>"}, _shingle_sets).select("node", "s"))
 
     # Most members of a large group are linked by one comparison with a centre.
     central = _with_centres(buckets).where("component <> other").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    links = _verified(_alike(central, signed_nodes), sets, threshold)
+    links = _verified(_alike(central, nodes), sets, threshold)
     found = stored(components(links))
     buckets = stored(buckets.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
     # What is still apart is compared with all of its buckets.
-    return members, links.union(_links_across(buckets, signed_nodes, sets, threshold))
+    links = links.union(_links_across(buckets, nodes, sets, threshold))
+    for end in ("a", "b"):
+        links = links.join(nodes.select(F.col("node").alias(end), F.col("text_node").alias(f"{end}_text")), end)
+    return members, links.select(F.col("a_text").alias("a"), F.col("b_text").alias("b"))
 
 
 def labelled(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``copy_key``, ``component_id`` and ``kept``; see ``near_duplicates``."""
+    """Per row of ``docs``: ``doc_id``, ``k`` (the text's hash), ``component_id`` and ``kept``; see ``near_duplicates``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members, links = link(docs, threshold)
     found = stored(components(links)).withColumnRenamed("node", "own")
-    label = members.join(found, members["node"] == found["own"], "left").withColumn("component", F.coalesce("component", "node"))
-    kept_row = (F.col("node") == F.col("component")) & (F.col("doc_id") == F.col("component.id"))
-    return stored(label.select("doc_id", "copy_key", F.coalesce("component.id", "doc_id").alias("component_id"), F.coalesce(kept_row, F.lit(True)).alias("kept")))
+    label = members.join(found, members["text_node"] == found["own"], "left").withColumn("component", F.coalesce("component", "text_node"))
+    kept_row = (F.col("text_node") == F.col("component")) & (F.col("doc_id") == F.col("component.id"))
+    k = F.when(F.col("text_node").isNotNull(), F.col("k"))
+    return stored(label.select("doc_id", k.alias("k"), F.coalesce("component.id", "doc_id").alias("component_id"), F.coalesce(kept_row, F.lit(True)).alias("kept")))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -348,12 +350,13 @@ def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> Da
     Rows to drop are fewer than rows to keep, so texts are joined with ids and hashes to drop; only rows that repeat id and text are ranked, and
     the first by all columns that can be ordered stays.
     """
-    label = labelled(docs, threshold).where("doc_id IS NOT NULL AND copy_key IS NOT NULL")
-    key, row = unused(docs, "copy_key"), unused(docs, "row")
-    label = label.withColumnRenamed("copy_key", key)
+    label = labelled(docs, threshold).where("k IS NOT NULL")
+    key, row = unused(docs, "text_hash"), unused(docs, "row")
+    label = label.withColumnRenamed("k", key)
     dropped = stored(label.where("NOT kept").select("doc_id", key).distinct())
     repeated = stored(label.where("kept").groupBy("doc_id", key).agg(F.count("*").alias("n")).where("n > 1").select("doc_id", key))
-    left = docs.withColumn(key, copy_key()).join(dropped, ["doc_id", key], "left_anti")
+    left = docs.withColumn(key, F.xxhash64(copy_key())).join(small_side(dropped, TWO_KEYS), ["doc_id", key], "left_anti")
+    repeated = small_side(repeated, TWO_KEYS)
     order = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in ("doc_id", "text") and not f.dataType.typeName().startswith(("map", "variant"))]
     ranked = left.join(repeated, ["doc_id", key], "left_semi").withColumn(row, F.row_number().over(W.partitionBy("doc_id", key).orderBy(*(order or [F.lit(1)]))))
     names = [F.col(f"`{c}`") for c in docs.columns]
