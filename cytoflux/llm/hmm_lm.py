@@ -25,7 +25,7 @@ from .common import id_class, slices, stored, table
 #: Hidden states, rounds of Baum-Welch, symbols of frequent tokens and of classes, and tokens whose counts every task holds.
 STATES, ROUNDS, SYMBOLS, CLASSES, LOOKUP = 6, 4, 16_384, 16_384, 131_072
 #: Tokens of a piece, and pieces of one matrix.
-PIECE, TOGETHER = 256, 1024
+PIECE, TOGETHER = 2048, 256
 #: How much likelier than another state the same state follows at the start.
 STAY = 16.0
 #: Tokens that count as one emission of each state's unigram prior.
@@ -56,6 +56,11 @@ def _count(batches):
         yield rows()
 
 
+class _Numbers(dict):
+    def __missing__(self, token: bytes) -> int:
+        return -1
+
+
 def _encoder(shared):
     """Symbols of each text, what its known tokens add to the sums, and the other tokens.
 
@@ -65,7 +70,7 @@ def _encoder(shared):
     def run(batches):
         m = shared.value
         n_symbols, n_classes, n_known = m["symbols"], m["classes"], len(m["tokens"])
-        number = dict(zip(m["tokens"], range(n_known), strict=True))
+        number = _Numbers(zip(m["tokens"], range(n_known), strict=True))
         end = n_symbols + n_classes
         symbol_of = np.array([k if k < n_symbols else n_symbols + zlib.crc32(t) % n_classes for k, t in enumerate(m["tokens"])], np.int64)
         for batch in batches:
@@ -76,7 +81,7 @@ def _encoder(shared):
                 words = [words_of(t) for t in text.slice(a, b - a).to_pylist()]
                 sizes = np.array([len(w) for w in words], np.int64)
                 flat = [w for ws in words for w in ws]
-                ids = np.fromiter((number.get(w, -1) for w in flat), np.int64, len(flat))
+                ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
                 row = np.repeat(np.arange(len(words)), sizes)
                 total = lambda x: np.bincount(row, weights=x, minlength=len(words)).astype(np.float64)  # noqa: E731, B023
                 unknown = np.flatnonzero(ids < 0)
@@ -187,7 +192,7 @@ def _ends(texts: list[np.ndarray], model: dict, piece: int) -> tuple[list[list[n
     return vectors, matrices, logs
 
 
-def log_likelihoods(texts: list[np.ndarray], model: dict, piece: int = 2 * PIECE) -> np.ndarray:
+def log_likelihoods(texts: list[np.ndarray], model: dict, piece: int = PIECE) -> np.ndarray:
     """log10 of the model's probability of each symbol sequence; exact for any length."""
     return _ends(texts, model, piece)[2]
 
@@ -195,10 +200,11 @@ def log_likelihoods(texts: list[np.ndarray], model: dict, piece: int = 2 * PIECE
 def text_counts(texts: list[np.ndarray], model: dict, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, moves and emissions of whole texts, each of any length."""
     s = len(model["moves"])
-    vectors, matrices, _ = _ends(texts, model, piece)
     start, moves, emissions = np.zeros(s), np.zeros((s, s)), np.zeros_like(model["emissions"])
-    rows: list[tuple[np.ndarray, np.ndarray, bool, np.ndarray]] = []
-    for k, text in enumerate(texts):
+    rows: list[tuple[np.ndarray, np.ndarray, bool, np.ndarray]] = [(t, np.ones(s), True, np.ones(s)) for t in texts if len(t) <= piece]
+    long = [t for t in texts if len(t) > piece]
+    vectors, matrices, _ = _ends(long, model, piece)
+    for k, text in enumerate(long):
         after = np.ones(s)
         for p in range(len(vectors[k]) - 1, -1, -1):
             rows.append((text[p * piece : (p + 1) * piece], vectors[k][p - 1] if p else after, p == 0, after))
