@@ -124,22 +124,24 @@ def expected_counts(pieces: list[np.ndarray], before: np.ndarray, first: np.ndar
     pieces, before, first, after = [pieces[k] for k in order], before[order], first[order], after[order]
     x, n, live = _by_time(pieces)
     steps, many, s = len(x), len(pieces), len(a)
-    alpha, scale = np.zeros((steps, many, s)), np.ones((steps, many))
+    alpha, scale, ones = np.zeros((steps, many, s)), np.ones((steps, many)), np.ones(s)
     for t in range(steps):
         k = live[t]
         v = np.where(first[:, None], model["start"], before @ a) if t == 0 else alpha[t - 1, :k] @ a
-        v = v * e[x[t, :k]]
-        scale[t, :k] = v.sum(axis=1)
-        alpha[t, :k] = v / scale[t, :k, None]
-    moves = np.zeros((s, s))
+        v *= np.take(e, x[t, :k], axis=0)
+        scale[t, :k] = v @ ones
+        np.divide(v, scale[t, :k, None], out=alpha[t, :k])
+    moves, back = np.zeros((s, s)), np.ascontiguousarray(a.T)
     beta = after / (alpha[n - 1, np.arange(many)] * after).sum(axis=1, keepdims=True)  # posteriors at the ends add up to 1
     for t in range(steps - 1, -1, -1):
         k = live[t]
         if t + 1 < steps:
             j = live[t + 1]
-            seen = e[x[t + 1, :j]] * beta[:j] / scale[t + 1, :j, None]
+            seen = np.take(e, x[t + 1, :j], axis=0)
+            seen *= beta[:j]
+            seen /= scale[t + 1, :j, None]
             moves += alpha[t, :j].T @ seen
-            beta[:j] = seen @ a.T
+            np.matmul(seen, back, out=beta[:j])
         if t == 0:
             seen = e[x[0]] * beta / scale[0][:, None]
             moves += before[~first].T @ seen[~first]
@@ -154,12 +156,13 @@ def _forward(pieces: list[np.ndarray], v: np.ndarray, model: dict, started: bool
     """Scaled forward vectors after each piece and their log10 scales, from start vectors ``v``; pieces by decreasing length."""
     a, e = model["moves"], model["emissions"]
     x, _, live = _by_time(pieces)
-    out, log = v.copy(), np.zeros(len(pieces))
+    out, log, ones = v.copy(), np.zeros(len(pieces)), np.ones(len(a))
     for t in range(len(x)):
         k = live[t]
-        w = (out[:k] if t == 0 and not started else out[:k] @ a) * e[x[t, :k]]
-        z = w.sum(axis=1)
-        out[:k] = w / z[:, None]
+        w = np.take(e, x[t, :k], axis=0)
+        w *= out[:k] if t == 0 and not started else out[:k] @ a
+        z = w @ ones
+        np.divide(w, z[:, None], out=out[:k])
         log[:k] += np.log10(z)
     return out, log
 
