@@ -64,7 +64,7 @@ def adapter_counts(reads: DataFrame, order: str, lines: int | None = 1_000_000,
 def tss_pileup(sites: DataFrame, tss: DataFrame, flank: int = 1000) -> DataFrame:
     """Insertions per cell and offset within ``flank`` bases of transcription starts (chrom, pos, strand); minus strands flip."""
     windows = tss.select("chrom", (F.col("pos") - flank).alias("start"), (F.col("pos") + flank + 1).alias("end"), F.col("pos").alias("tss"), "strand")
-    hits = point_join(windows, sites.select("cell", "chrom", F.col("site").alias("pos")), ["chrom"])
+    hits = point_join(windows, sites.select("cell", "chrom", F.col("site").alias("pos")), ["chrom"], width=max(512, 2 * flank))
     offset = F.col("r_pos") - F.col("l_tss")
     offset = F.when(F.col("l_strand") == "-", -offset).otherwise(offset)
     return hits.groupBy(F.col("r_cell").alias("cell"), offset.alias("offset")).agg(F.count("*").alias("n"))
