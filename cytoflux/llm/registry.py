@@ -10,6 +10,7 @@ from .license_scan import OP6_SQL, op6_license_scan
 from .near_dup import op5_dart_minhash
 from .packing import op10_best_fit_packing
 from .piece_codec import op4_piece_codec
+from .prefix_trie import OP11_SQL, op11_prefix_trie
 from .pseudonyms import op2_feistel_pseudonyms
 from .quality_rules_model import op3_rule_ensemble
 
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_host_rules": op8_host_rules,
     "op9_collision_counting": op9_collision_counting,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLES = {
     "op6_license_scan": OP6_SQL,
     "op8_host_rules": OP8_SQL,
+    "op11_prefix_trie": OP11_SQL,
 }
