@@ -13,6 +13,8 @@ from .piece_codec import op4_piece_codec
 from .prefix_trie import OP11_SQL, op11_prefix_trie
 from .pseudonyms import op2_feistel_pseudonyms
 from .quality_rules_model import op3_rule_ensemble
+from .token_alignment import op13_token_alignment
+from .toxicity import op12_toxicity
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -26,6 +28,8 @@ QUERIES = {
     "op9_collision_counting": op9_collision_counting,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_toxicity": op12_toxicity,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
