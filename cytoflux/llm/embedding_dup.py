@@ -107,11 +107,12 @@ def _projections(p: dict, element: np.dtype):
             for d in np.unique(sizes):
                 own = np.flatnonzero(sizes == d)
                 x = flat[(ends[own] - d)[:, None] + np.arange(d)].astype(np.float64)
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                if element.itemsize < 8:  # as exact as they came
-                    raw_rows = flat[(ends[own] - d)[:, None] + np.arange(d)].astype(element)
-                else:
-                    raw_rows = x
+                largest = np.abs(x).max(axis=1, keepdims=True)
+                # As exact as they came, unless squares of float64 numbers would overflow or vanish.
+                raw_rows = flat[(ends[own] - d)[:, None] + np.arange(d)].astype(element)
+                x /= largest
+                if element.itemsize == 8:
+                    raw_rows = np.where((largest > 1e-140) & (largest < 1e140), raw_rows, x)
                 line = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ _lines(int(d), p["lines"])
                 unit = np.floor(line * (UNITS / p["window"])).astype(p["places"])
                 strip = np.floor((line + shift) / p["width"]).astype(np.int64)[:, tables : tables * (1 + depth)].reshape(len(own), tables, depth)
@@ -245,7 +246,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, miss: floa
     groups = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     summary = nodes.select(F.struct("id", "k").alias("node"), "k", "copies").join(sums, "node", "left").join(groups, "node", "left")
     summary = stored(summary.select("k", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component.id", "node.id").alias("component_id")))
-    out = keyed.select("vec_id", F.when(F.col("copy").isNotNull(), F.xxhash64("label", "copy")).alias("k")).join(summary, "k", "left")
+    # Vectors that link with nothing have no key, and are no row of the join.
+    alone = keyed.where("copy IS NULL").select("vec_id", *[F.lit(None).cast(summary.schema[c].dataType).alias(c) for c in ("n_links", "component_id")])
+    out = keyed.where("copy IS NOT NULL").select("vec_id", F.xxhash64("label", "copy").alias("k")).join(summary, "k", "left").select("vec_id", "n_links", "component_id").unionByName(alone)
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import id_class, slices, stored, table
 
-#: Hidden states, rounds of Baum-Welch, symbols of frequent tokens and of classes, and tokens whose counts every task holds.
-STATES, ROUNDS, SYMBOLS, CLASSES, LOOKUP = 6, 4, 16_384, 16_384, 131_072
+#: Hidden states, rounds of Baum-Welch, symbols of frequent tokens and of classes, and tokens whose counts every task holds, of so many bytes each at most.
+STATES, ROUNDS, SYMBOLS, CLASSES, LOOKUP, TOKEN_BYTES = 6, 4, 16_384, 16_384, 131_072, 256
 #: Tokens of a piece, and pieces of one matrix.
 PIECE, TOGETHER = 2048, 256
 #: How much likelier than another state the same state follows at the start.
@@ -94,7 +94,7 @@ def _encoder(shared):
                 rare[in_class] = -m["log_class"][symbol[in_class] - n_symbols]
                 rare[in_class & known] += m["log_count"][ids[in_class & known]]
                 ends = np.cumsum(sizes)
-                coded = [np.append(symbol[e - n : e], end).astype("<u2").tobytes() for e, n in zip(ends, sizes, strict=True)]
+                coded = [np.append(symbol[e - n : e], end).astype(m.get("code", "<u2")).tobytes() for e, n in zip(ends, sizes, strict=True)]
                 tail = pa.array([flat[i] for i in unknown], pa.binary()).cast(pa.string())
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row[unknown], minlength=len(words)))])
                 yield pa.RecordBatch.from_arrays(
@@ -241,7 +241,7 @@ def _expectation(shared, most: int = 1 << 19):
 
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                texts.append(np.frombuffer(raw, "<u2"))
+                texts.append(np.frombuffer(raw, shared.value.get("code", "<u2")))
                 held += len(texts[-1])
                 if held >= most:
                     flush()
@@ -260,7 +260,7 @@ def _scorer(shared):
         for batch in batches:
             names = batch.schema.names
             raw = batch.column(names.index("symbols")).to_pylist()
-            found = [log_likelihoods([np.frombuffer(r, "<u2") for r in raw[i : i + 1024]], shared.value) for i in range(0, len(raw), 1024)]
+            found = [log_likelihoods([np.frombuffer(r, shared.value.get("code", "<u2")) for r in raw[i : i + 1024]], shared.value) for i in range(0, len(raw), 1024)]
             kept = [k for k, n in enumerate(names) if n != "symbols"]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in kept], pa.array(np.concatenate(found) if found else [], pa.float64())], names=[*[names[k] for k in kept], "log"])
 
@@ -336,10 +336,9 @@ def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOL
 
     Learns from rows where ``held_out`` is false.  A null or empty text is the end token alone.  Repeated rows are scored one
     by one, a null id keeps its row, an empty table gives an empty result, other columns are not read.  Without a training row all scores
-    come from tokens that were never seen.
+    come from tokens that were never seen.  Tokens of more than ``TOKEN_BYTES`` bytes are never in the lookup, which bounds its bytes; their counts are joined.
     """
-    if symbols + classes >= 1 << 16:
-        raise ValueError("symbols are numbers of 16 bits")
+    code = "<u2" if symbols + classes < 1 << 16 else "<u4"
     spark = docs.sparkSession
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     training = rows.where("NOT held_out")
@@ -347,7 +346,7 @@ def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOL
     ends = training.count()
     whole = counts.agg(F.sum("c"), F.count("*")).first()
     n, v = (whole[0] or 0) + ends, whole[1] + (1 if ends else 0)
-    head = most_frequent(counts, lookup)
+    head = most_frequent(counts.where(F.octet_length("token") <= TOKEN_BYTES), lookup)
     c = np.array([r["c"] for r in head], dtype=np.float64)
     tokens = [r["token"].encode() for r in head]
     k = min(symbols, len(head))
@@ -363,6 +362,7 @@ def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOL
         "tokens": tokens,
         "symbols": k,
         "classes": classes,
+        "code": code,
         "log_count": np.log10(c + 1),
         "log_below": float(np.log10(below)),
         "log_class": np.log10(in_class.sum(axis=1) + 1),
@@ -373,7 +373,7 @@ def score(docs: DataFrame, held_out, rounds: int = ROUNDS, symbols: int = SYMBOL
     coded = stored(numbered.mapInArrow(_encoder(spark.sparkContext.broadcast(shared)), schema))
 
     seen = np.concatenate([c[:k], in_class[:, 0], [float(ends)]])
-    model = baum_welch(coded.where("NOT held_out"), first_model(seen), rounds)
+    model = baum_welch(coded.where("NOT held_out"), first_model(seen) | {"code": code}, rounds)
 
     tail = coded.select("row", F.explode("tail").alias("token")).join(counts, "token", "left")
     more = tail.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("more"), F.count("c").alias("more_known"))

@@ -94,6 +94,10 @@ def _make():
     return compute
 
 
+#: Hosts that are broadcast at most, after a count, and parts of the rows that more hosts go out to.
+HOSTS, SALTS = 1_000_000, 32
+
+
 def _base_failed() -> Column:
     return F.expr(" OR ".join(f"({RULES[r]})" for r in BASE_RULES))
 
@@ -128,6 +132,20 @@ def host_verdicts(counted: DataFrame, host: str = "source") -> DataFrame:
     return out.withColumn("host_rules", F.concat_ws(",", *[F.when(F.col(f"{r}_failed"), r) for r in RULES]))
 
 
+def _with_hosts(rows: DataFrame, hosts: DataFrame, host: str, how: str) -> DataFrame:
+    """``rows`` joined with a table of hosts (its first column, null or not); a host's rows may be a third of all.
+
+    The table is broadcast if a count finds it small; else it goes out once to each of ``SALTS`` parts of the rows.
+    """
+    name = hosts.columns[0]
+    if hosts.limit(HOSTS + 1).count() <= HOSTS:
+        return rows.join(F.broadcast(hosts), rows[host].eqNullSafe(hosts[name]), how)
+    salt, copy = unused(rows, "salt"), unused(rows, "salt_of_host")
+    salted = rows.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    many = hosts.withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(many, salted[host].eqNullSafe(many[name]) & (salted[salt] == many[copy]), how).drop(salt, copy)
+
+
 def judge(docs: DataFrame, host: str = "source", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Verdicts for all rows of ``docs``: keys, counts, ``base_failed``, ``host_failed``, ``host_rules``, ``kept``.
 
@@ -138,7 +156,7 @@ def judge(docs: DataFrame, host: str = "source", keys: tuple[str, ...] = ("doc_i
     names = list(dict.fromkeys([*keys, host]))
     counted = stored(document_counts(docs.select(*names, "text")).select(*names, *COUNTS, "base_failed"))
     hosts = host_verdicts(counted, host).select("host", "host_rules")
-    joined = counted.join(hosts, counted[host].eqNullSafe(hosts["host"]), "left")
+    joined = _with_hosts(counted, stored(hosts.withColumnRenamed("host", unused(counted, "host_key"))), host, "left")
     failed = F.col("host_rules") != ""
     return joined.select(*keys, *COUNTS, "base_failed", failed.alias("host_failed"), "host_rules", (~F.col("base_failed") & ~failed).alias("kept"))
 
@@ -153,7 +171,7 @@ def kept_documents(docs: DataFrame, host: str = "source") -> DataFrame:
     counted = stored(document_counts(docs.withColumnsRenamed(aside)))
     host = aside.get(host, host)
     failed = host_verdicts(counted, host).where("host_rules <> ''").select(F.col("host").alias(unused(counted, "failed_host")))
-    fine = counted.where("NOT base_failed").join(failed, counted[host].eqNullSafe(failed[failed.columns[0]]), "left_anti")
+    fine = _with_hosts(counted.where("NOT base_failed"), stored(failed), host, "left_anti")
     return fine.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 

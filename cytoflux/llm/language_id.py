@@ -22,8 +22,8 @@ from .common import hash_share, id_class, rows_where, slices, table, with_column
 DIMENSIONS, CENTROIDS, ROUNDS, BLOCK = 4096, 4, 8, 256
 #: Labelled texts per language that centroids are fitted to; document frequencies use all.
 SAMPLE = 1500
-#: Texts are rejected under this share of the least cosine seen in training, by size class.
-SLACK, SIZE_CLASSES = 0.6, 12
+#: Texts are rejected under this share of a low quantile of the cosines seen in training, by size class; cosines are counted in so many bins.
+SLACK, SIZE_CLASSES, TAIL, COSINE_BINS = 0.6, 12, 0.001, 2000
 #: Size classes with fewer training texts are judged together with their neighbours.
 THIN = 20
 UNKNOWN = "und"
@@ -117,13 +117,13 @@ def _fit_language(idf: np.ndarray):
     return fit
 
 
-def _least_cosines(shared):
-    """Per task: of each language and size class, the number of training texts with a letter and their least cosine with the language's centroids."""
+def _cosine_counts(shared):
+    """Per task: of each language and size class, how many training texts with a letter have a cosine with the language's centroids in each bin."""
 
     def run(batches):
         m = shared.value
         at = {lang: i for i, lang in enumerate(m["langs"])}
-        least, n = np.full((len(at), SIZE_CLASSES), np.inf), np.zeros((len(at), SIZE_CLASSES), np.int64)
+        seen = np.zeros((len(at), SIZE_CLASSES, COSINE_BINS), np.int64)
         for batch in batches:
             for start, stop in slices(batch.column(1), 1 << 20):
                 part = batch.slice(start, stop - start)
@@ -134,30 +134,37 @@ def _least_cosines(shared):
                     cos = vectors(counts, m["idf"]) @ m["centroids"].T
                     best = np.where(m["owner"] == own[:, None], cos, -1).max(axis=1)
                     ok = some & (own >= 0)
-                    key = own[ok], _size_class(counts)[ok]
-                    np.minimum.at(least, key, best[ok])
-                    np.add.at(n, key, 1)
-        i, s = np.nonzero(n)
+                    place = np.clip((best[ok] * COSINE_BINS).astype(np.int64), 0, COSINE_BINS - 1)
+                    np.add.at(seen, (own[ok], _size_class(counts)[ok], place), 1)
+        i, s, b = np.nonzero(seen)
         if len(i):
-            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(s), pa.array(n[i, s]), pa.array(least[i, s])], names=["lang", "size", "n", "least"])
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(s), pa.array(b), pa.array(seen[i, s, b])], names=["lang", "size", "bin", "n"])
 
     return run
 
 
-def floors(n: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """The rejection floor of each (language, size class) from the number of training texts and their least cosine.
+def _low(seen: np.ndarray) -> float:
+    """The cosine that the share ``TAIL`` of texts, by bins, lies below; the least of fewer texts than would make one."""
+    total = np.cumsum(seen)
+    return int(np.searchsorted(total, TAIL * total[-1], side="right")) / COSINE_BINS
 
+
+def floors(seen: np.ndarray) -> np.ndarray:
+    """The rejection floor of each (language, size class) from training texts counted by bins of their cosine.
+
+    It follows a low quantile, so it neither sinks with the number of texts nor hangs on a few odd ones.
     From the longest class down, classes are pooled until ``THIN`` texts are together; a rest at the short end joins the last
     pool.  An unseen class takes the floor of the next shorter one; classes shorter than any seen lose a factor of the square root
     of 2 a class, as cosines of so few n-grams do.  No class has a higher floor than a longer one.  A language with fewer than ``THIN`` texts takes the
     least floor of the others, or 0.
     """
+    n = seen.sum(axis=2)
     found = np.zeros(n.shape)
     judged = n.sum(axis=1) >= THIN
     for i in np.flatnonzero(judged):
-        seen = np.flatnonzero(n[i])[::-1]
+        classes = np.flatnonzero(n[i])[::-1]
         pools, open_ = [], []
-        for s in seen:
+        for s in classes:
             open_.append(s)
             if n[i, open_].sum() >= THIN:
                 pools.append(open_)
@@ -165,11 +172,11 @@ def floors(n: np.ndarray, least: np.ndarray) -> np.ndarray:
         pools[-1] = pools[-1] + open_
         row = np.full(SIZE_CLASSES, np.nan)
         for pool in pools:
-            row[min(pool) : max(pool) + 1] = SLACK * least[i, pool].min()
-        for k in range(seen[-1] + 1, SIZE_CLASSES):
+            row[min(pool) : max(pool) + 1] = SLACK * _low(seen[i, pool].sum(axis=0))
+        for k in range(classes[-1] + 1, SIZE_CLASSES):
             row[k] = row[k - 1] if np.isnan(row[k]) else row[k]
-        row[seen[-1] :] = np.minimum.accumulate(row[seen[-1] :][::-1])[::-1]
-        for k in range(seen[-1] - 1, -1, -1):
+        row[classes[-1] :] = np.minimum.accumulate(row[classes[-1] :][::-1])[::-1]
+        for k in range(classes[-1] - 1, -1, -1):
             row[k] = row[k + 1] * 0.5**0.5
         found[i] = np.maximum(row, 0)
     if judged.any():
@@ -202,13 +209,13 @@ def fit(docs: DataFrame, training: Column, sample: int = SAMPLE) -> dict:
         "centroids": np.concatenate(c) if c else np.zeros((0, DIMENSIONS), np.float32),
         "owner": np.repeat(np.arange(len(c)), [len(x) for x in c]),
     }
-    n, least = np.zeros((len(c), SIZE_CLASSES), np.int64), np.full((len(c), SIZE_CLASSES), np.inf)
+    seen = np.zeros((len(c), SIZE_CLASSES, COSINE_BINS), np.int64)
     if c:
         shared = docs.sparkSession.sparkContext.broadcast(model)
-        parts = rows.select("lang", "text").mapInArrow(_least_cosines(shared), "lang long, size long, n long, least double")
-        for r in parts.groupBy("lang", "size").agg(F.sum("n").alias("n"), F.min("least").alias("least")).collect():
-            n[r["lang"], r["size"]], least[r["lang"], r["size"]] = r["n"], r["least"]
-    return {**model, "floor": floors(n, least)}
+        parts = rows.select("lang", "text").mapInArrow(_cosine_counts(shared), "lang long, size long, bin long, n long")
+        for r in parts.groupBy("lang", "size", "bin").agg(F.sum("n").alias("n")).collect():  # a row per language, size class and bin
+            seen[r["lang"], r["size"], r["bin"]] = r["n"]
+    return {**model, "floor": floors(seen)}
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:

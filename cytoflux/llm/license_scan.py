@@ -127,9 +127,11 @@ def _scanner(base: dict[str, str], templates: dict[str, str]):
         def one(text: bytes):
             words = _WORD.findall(text.lower())
             line = b" " + b" ".join(words) + b" "
-            places, labels = [], set()
+            places, labels, at, n = [], set(), 0, -1
             for m in phrase.finditer(line):
-                places.append(line.count(b" ", 0, m.start()) - 1)
+                n += line.count(b" ", at, m.start())  # blanks since the phrase before
+                at = m.start()
+                places.append(n)
                 labels.add(base[m.group().decode()])
             more = {label for label, a in automata if a.anchor in line and a.accepts(words)}
             longest = max([weight[label] for label in more] + [phrase_words[label] for label in labels], default=0)

@@ -296,7 +296,11 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows
     first = signed.where("copy_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("copy_key")
     nodes = first.agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
     nodes = stored(nodes.select("copy_key", node_of(F.col("least"), F.col("copy_key")).alias("text_node"), "bands", "signature").withColumn("node", F.monotonically_increasing_id()))
-    members = signed.select("doc_id", "copy_key").join(nodes.select("copy_key", "text_node"), "copy_key", "left").select("doc_id", F.xxhash64("copy_key").alias("k"), F.when(F.col("doc_id").isNotNull(), F.col("text_node")).alias("text_node"))
+    # Rows without id or text are nobody's member, and no row of a join: they may be many.
+    outside = F.col("copy_key").isNull() | F.col("doc_id").isNull()
+    kind = nodes.schema["text_node"].dataType
+    members = signed.where(~outside).select("doc_id", "copy_key").join(nodes.select("copy_key", "text_node"), "copy_key").select("doc_id", F.xxhash64("copy_key").alias("k"), "text_node")
+    members = members.unionByName(signed.where(outside).select("doc_id", F.xxhash64("copy_key").alias("k"), F.lit(None).cast(kind).alias("text_node")))
 
     each = _salted(nodes.select("node", F.explode("bands").alias("bucket")))
     buckets = stored(each.join(stored(per_salt(each, ["bucket"], salts=SALTS)), ["bucket", "salt"]))
@@ -327,7 +331,8 @@ def labelled(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members, links = link(docs, threshold)
     found = stored(components(links)).withColumnRenamed("node", "own")
-    label = members.join(found, members["text_node"] == found["own"], "left").withColumn("component", F.coalesce("component", "text_node"))
+    inside, outside = members.where("text_node IS NOT NULL"), members.where("text_node IS NULL").withColumn("component", F.col("text_node"))
+    label = inside.join(found, inside["text_node"] == found["own"], "left").select("doc_id", "k", "text_node", F.coalesce("component", "text_node").alias("component")).unionByName(outside)
     kept_row = (F.col("text_node") == F.col("component")) & (F.col("doc_id") == F.col("component.id"))
     k = F.when(F.col("text_node").isNotNull(), F.col("k"))
     return stored(label.select("doc_id", k.alias("k"), F.coalesce("component.id", "doc_id").alias("component_id"), F.coalesce(kept_row, F.lit(True)).alias("kept")))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -69,7 +70,7 @@ class PartIds:
         cut, whole = {}, set()
         for p in new:
             head = p.rstrip(tail_marks) if tail_marks and p[-1] in tail_marks else p
-            if len(head) < len(p) and head and (chr(head[-1]).isalnum() if head[-1] < 128 else head.decode()[-1].isalpha()):
+            if len(head) < len(p) and head and (chr(head[-1]).isalnum() if head[-1] < 128 else _ends_in_letter(head.decode())):
                 cut[p] = (head, p[len(head) :])
                 whole.update(x for x in cut[p] if x not in keep)
             else:
@@ -87,6 +88,11 @@ class PartIds:
         return [b"".join(v) for v in values]
 
 
+def _ends_in_letter(head: str) -> bool:
+    """Is the last character a letter once it is normalised and in lower case?  Some letters become a letter and a mark, which joins the punctuation behind it."""
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", head).lower())[-1].isalpha()
+
+
 def cuts(rules: dict) -> tuple[bool, bool]:
     """What a tokenizer's file lets us do with ASCII white space: encode parts alone, and parts in lower case with their tails apart.
 

@@ -50,6 +50,16 @@ def test_bad_host_takes_its_documents(spark):
     assert host_rules.kept_documents(d).count() == 300
 
 
+def test_many_hosts_go_out_salted(spark, monkeypatch):
+    """Beyond the bound of a broadcast the same verdicts come from salted rows, null hosts among them."""
+    good = "a b c d e f g h i j k l m"
+    d = spark.createDataFrame([(i, good if i % 5 == 0 else "x", (None, "bad", "good")[i % 3] if i % 5 else "good") for i in range(900)], "doc_id long, text string, source string")
+    want = sorted(map(tuple, host_rules.judge(d).collect()))
+    kept = sorted(map(str, host_rules.kept_documents(d).collect()))
+    monkeypatch.setattr(host_rules, "HOSTS", 0)
+    assert sorted(map(tuple, host_rules.judge(d).collect())) == want and sorted(map(str, host_rules.kept_documents(d).collect())) == kept
+
+
 def test_hosts_of_each_rule(spark):
     """Good documents of a host go with it, whichever rule it is bad under; a small host and hosts like all others stay."""
     r = random.Random(17)
@@ -100,16 +110,23 @@ def test_language(docs, no_docs):
 
 
 def test_language_floors():
-    n, least = np.zeros((3, language_id.SIZE_CLASSES), int), np.full((3, language_id.SIZE_CLASSES), np.inf)
-    n[0, [4, 6, 8, 9]], least[0, [4, 6, 8, 9]] = [1, 30, 40, 5], [1.0, 0.4, 0.7, 0.9]
-    n[1, [5, 7]], least[1, [5, 7]] = [3, 4], [1.0, 1.0]
-    n[2, [3, 5]], least[2, [3, 5]] = [40, 40], [0.3, 0.2]
-    f = language_id.floors(n, least) / language_id.SLACK
+    bins = language_id.COSINE_BINS
+    seen = np.zeros((3, language_id.SIZE_CLASSES, bins), int)
+    for i, texts in enumerate([{4: (1, 0.9995), 6: (30, 0.4), 8: (40, 0.7), 9: (5, 0.9)}, {5: (3, 0.9995), 7: (4, 0.9995)}, {3: (40, 0.3), 5: (40, 0.2)}]):
+        for size, (n, cosine) in texts.items():
+            seen[i, size, round(cosine * bins)] = n
+    f = language_id.floors(seen) / language_id.SLACK
     assert f[0, 4:].round(6).tolist() == [0.4] * 4 + [0.7] * 4  # the one text of class 4 is its own centroid; 11 is empty
     assert (f[0, :4].round(6) == [round(0.4 * 0.5 ** (k / 2), 6) for k in (4, 3, 2, 1)]).all()
     assert f[2, 3:].round(6).tolist() == [0.2] * 9  # monotone
     assert (f[1] == np.minimum(f[0], f[2])).all() and (np.diff(f, axis=1) >= 0).all()
-    assert not language_id.floors(n[1:2], least[1:2]).any()
+    assert not language_id.floors(seen[1:2]).any()
+    # One odd text among thousands moves no floor; one among dozens is the least.
+    many = np.zeros((1, language_id.SIZE_CLASSES, bins), int)
+    many[0, 6, [20, 800, 1400]] = [4, 5000, 5000]
+    assert language_id.floors(many)[0, 6] == pytest.approx(language_id.SLACK * 0.4)
+    many[0, 6, [20, 800, 1400]] = [1, 20, 20]
+    assert language_id.floors(many)[0, 6] == pytest.approx(language_id.SLACK * 0.01)
 
 
 def test_language_rejects_long_noise(spark, docs, no_docs):
@@ -232,6 +249,47 @@ def test_whole_licences(spark):
     assert r[0].score > 0.9 > r[2].score > r[5].score > 0.2 and r[3].base_labels == "gpl"
 
 
+def plain_words(markup):
+    """A text that a template accepts, without its optional regions, as (word, is it mandatory)."""
+    out, depth = [], 0
+    for token in re.sub(r"(\[\[|\]\]|\{\{\d+,\d+\}\})", r" \1 ", markup).split():
+        depth += (token == "[[") - (token == "]]")
+        if depth or token == "]]":
+            continue
+        places = re.fullmatch(r"\{\{(\d+),\d+\}\}", token)
+        out += [("someone", False)] * max(int(places.group(1)), 1) if places else [(token, True)]
+    return out
+
+
+@pytest.mark.parametrize("label", sorted(license_scan.TEMPLATES))
+def test_templates_reach_their_last_words(label):
+    """Each template accepts its text; with any of its last mandatory words altered, or left out, it does not."""
+    markup = license_scan.TEMPLATES[label]
+    a, words = license_scan.TokenAutomaton(markup), plain_words(markup)
+    assert a.accepts([w.encode() for w, _ in words]) and a.accepts([b"before", *[w.encode() for w, _ in words], b"after"])
+    last = [i for i, (_, mandatory) in enumerate(words) if mandatory][-4:]
+    for i in last:
+        for new in ([b"altered"], []):
+            assert not a.accepts([w.encode() for w, _ in words[:i]] + new + [w.encode() for w, _ in words[i + 1 :]])
+
+
+def test_licence_parts_are_no_licence(spark):
+    zlib = " ".join(w for w, _ in plain_words(license_scan.TEMPLATES["zlib"]))
+    texts = [zlib, zlib[: zlib.index("the origin")] + " you must pay us", " ".join(w for w, _ in plain_words(license_scan.TEMPLATES["bsl-1.0"])[:64]) + " no commercial use"]
+    r = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()
+    assert [x.labels for x in r] == ["zlib", "", ""]
+
+
+def test_many_phrases_in_one_text():
+    import time
+
+    make = license_scan._scanner(license_scan.BASE, {})()
+    began = time.perf_counter()
+    found = make(pa.array(["cc by x " * 400_000]))
+    assert time.perf_counter() - began < 20
+    assert [x[0] for x in found[:4]] == [1_200_000, 400_000, 0, 1_199_997]
+
+
 def test_automata_equal_regular_expressions():
     import random
     import re
@@ -325,6 +383,17 @@ def check_sequences(rows):
     return len(by)
 
 
+def test_ids_of_every_letter_before_marks():
+    """A letter may become a letter and a mark, which the splitting pattern joins to what follows."""
+    import unicodedata
+
+    letters = [chr(i) for i in range(0x80, 0x110000) if unicodedata.category(chr(i))[0] in "LMN" and not 0xD800 <= i < 0xE000]
+    texts = [f"a{c}. b{c}!!" for c in letters] + ["EVLİ.", "हिंदी\u095c.", "क\u0958, x"]
+    tk = __import__("tokenizers").Tokenizer.from_file(packing.model_path())
+    want = [e.ids for e in tk.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "u4").tolist() for x in packing.PartIds(packing.model_path())(texts)] == want
+
+
 def test_packing_is_tight(spark):
     r = packing.op10_best_fit_packing(spark, "/root/testdata/sf0.01").collect()
     total = sum(x.length for x in r)
