@@ -18,13 +18,14 @@ NO_Y = r"^(chr)?([0-9]+|X)$"
 def merge_hits(hits: DataFrame, ties: tuple[str, ...] = (), gap: int = 500) -> DataFrame:
     """Segments of a read: adjacent hits of one strand and chromosome, nearer than ``gap``, become one.
 
-    Hits (qname, read_num, q_start, chrom, start, end, strand, phase, mapq) are in the order of the read; a hit is compared
-    with the hit before it, not with the merged segment.  A segment runs from its first hit to its last, has the
-    phase of the first, the greatest mapq and the number of hits.
+    Hits (qname, read_num, q_start, chrom, start, end, strand, phase, mapq) are in the order of the read; ``read_num`` is 1 for R1 and 2 for R2.  A
+    hit is compared with the hit before it, not with the merged segment: its start less the other's end, on the reverse strand its end less the other's
+    start, from -``gap`` up to but without ``gap``.  A segment runs from its first hit to its last, has the phase of the first, the greatest mapq and the
+    number of hits.
     """
     order = W.partitionBy("qname").orderBy("read_num", "q_start", *ties)
     before = lambda c: F.lag(c).over(order)
-    distance = F.when(F.col("strand") == "+", F.col("start") - before("end")).otherwise(before("start") - F.col("end"))
+    distance = F.when(F.col("strand") == "+", F.col("start") - before("end")).otherwise(F.col("end") - before("start"))
     joins = (F.col("strand") == before("strand")) & (F.col("chrom") == before("chrom")) & (distance >= -gap) & (distance < gap)
     h = hits.withColumn("opens", F.when(joins, 0).otherwise(1)).withColumn("place", F.row_number().over(order))
     h = h.withColumn("segment", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
@@ -67,7 +68,7 @@ def resolve_reads(hits: DataFrame, ties: tuple[str, ...] = (), gap: int = 500) -
 
 
 def adjacent_pairs(reads: DataFrame) -> DataFrame:
-    """Contacts between neighbouring segments: the 3' end of the left one and the 5' start of the right one."""
+    """Contacts between neighbouring segments: the end of the left one and the start of the right one, whatever their strands."""
     n = F.size("segs")
     pairs = reads.where(n >= 2).select("qname", F.posexplode(F.arrays_zip(F.slice("segs", F.lit(1), n - 1).alias("l"), F.slice("segs", F.lit(2), n - 1).alias("r"))).alias("i", "p"))
     l, r = F.col("p.l"), F.col("p.r")  # noqa: E741
@@ -75,9 +76,9 @@ def adjacent_pairs(reads: DataFrame) -> DataFrame:
         "qname",
         "i",
         l["chrom"].alias("chr1"),
-        F.when(l["strand"] == "+", l["end"]).otherwise(l["start"]).alias("pos1"),
+        l["end"].alias("pos1"),
         r["chrom"].alias("chr2"),
-        F.when(r["strand"] == "+", r["start"]).otherwise(r["end"]).alias("pos2"),
+        r["start"].alias("pos2"),
         l["strand"].alias("strand1"),
         r["strand"].alias("strand2"),
         l["phase"].alias("phase1"),
@@ -110,14 +111,15 @@ def collapsed_strands(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def segment_lines(reads: DataFrame) -> DataFrame:
-    """Reads as lines of segments, ``chrom!start!end!strand!phase!mapq!hits!read`` each."""
-    item = lambda s: F.concat_ws("!", *[s[c].cast("string") for c in ("chrom", "start", "end", "strand", "phase", "mapq", "n_hits", "read_num")])
+    """Reads as lines of segments, ``chrom!start!end!strand!phase!mapq!hits!read`` each, where the read is ``R1``, ``R2`` or ``.``."""
+    read = lambda s: F.when(s["read_num"] == 1, "R1").when(s["read_num"] == 2, "R2").otherwise(".")
+    item = lambda s: F.concat_ws("!", *[s[c].cast("string") for c in ("chrom", "start", "end", "strand", "phase", "mapq", "n_hits")], read(s))
     return reads.select(F.concat_ws("\t", F.col("qname").cast("string"), F.array_join(F.transform("segs", item), "\t")).alias("value"))
 
 
-def segments_to_bed(reads: DataFrame, origin: int = 1) -> DataFrame:
+def segments_to_bed(reads: DataFrame, origin: int = 2) -> DataFrame:
     """R2 segments as BED rows; an unphased one takes the first phase of an R1 segment of the read."""
-    r1 = F.filter("segs", lambda s: (s["read_num"] != origin) & (s["phase"] != "."))
+    r1 = F.filter("segs", lambda s: (s["read_num"] == 3 - origin) & (s["phase"] != "."))
     fallback = F.coalesce(F.get(r1, F.lit(0))["phase"], F.lit("."))
     items = reads.select("qname", fallback.alias("fallback"), F.explode(F.filter("segs", lambda s: s["read_num"] == origin)).alias("s"))
     return items.select("s.chrom", "s.start", "s.end", "qname", "s.mapq", "s.strand", F.when(F.col("s.phase") == ".", F.col("fallback")).otherwise(F.col("s.phase")).alias("phase"))

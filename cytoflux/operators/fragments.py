@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import first_of_islands
+from ..functions.alignment import cigar_ops, query_length
+from .intervals import first_of_islands, union_components
 
 #: FLAG bits of an alignment (fixed values of the SAM format).
 UNMAPPED, REVERSE, FIRST, SECOND, SECONDARY, DUPLICATE, SUPPLEMENTARY = 0x4, 0x10, 0x40, 0x80, 0x100, 0x400, 0x800
@@ -27,18 +28,25 @@ def proper_primary(min_mapq: int = 30) -> Column:
     return (F.col("flag").bitwiseAND(F.lit(1804)) == 0) & has_flag(0x2) & (F.col("mapq") >= min_mapq)
 
 
-def candidate_order(length: str = "length", ties: tuple[str, ...] = ()) -> list[Column]:
-    """Least clipped 5' end first, primary before supplementary, then quality, length, place."""
+def candidate_order(length: str = "aligned_length", ties: tuple[str, ...] = ()) -> list[Column]:
+    """Least clipped 5' end first, primary before supplementary, then quality, aligned bases of the read, place."""
     return [F.col("q_start"), has_flag(SUPPLEMENTARY).cast("int"), F.col("mapq").desc(), F.col(length).desc(), F.col("chrom"), F.col("start"), F.col("end"), F.col("strand"), F.col("flag"), *[F.col(c) for c in ties]]
 
 
 def select_best(alignments: DataFrame, origin: str = "R2", ties: tuple[str, ...] = ()) -> DataFrame:
-    """The first non-secondary alignment of ``origin`` for each qname."""
-    own = alignments.where((F.col("origin") == origin) & ~has_flag(SECONDARY)).withColumn("length", F.col("end") - F.col("start"))
+    """The first non-secondary alignment of ``origin`` for each qname.
+
+    ``aligned_length`` is the number of the read's bases in aligned and inserted blocks; see ``with_aligned_length``.
+    """
+    own = alignments.where((F.col("origin") == origin) & ~has_flag(SECONDARY))
     w = W.partitionBy("qname").orderBy(*candidate_order(ties=ties))
     return own.withColumn("rank", F.row_number().over(w)).where("rank = 1").drop("rank")
 
 
+def with_aligned_length(alignments: DataFrame, cigar: str = "cigar") -> DataFrame:
+    return alignments.withColumn("aligned_length", query_length(cigar_ops(F.col(cigar))).cast("long"))
+
+
 def unclipped(selected: DataFrame) -> DataFrame:
     return selected.where(F.col("q_start") == 0)
 
@@ -46,16 +54,17 @@ def unclipped(selected: DataFrame) -> DataFrame:
 def with_fallback_phase(selected: DataFrame, alignments: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
     """Phase of the selected alignment, else of the first phased R1, with conflict flags.
 
-    ``phase`` is 0, 1 or ``.``.  ``r1_conflict``: phased R1 alignments disagree; ``conflict``: R1 and R2 disagree.
+    ``phase`` is 0, 1 or ``.``.  Secondary alignments of R1 say nothing.  ``r1_conflict``: phased R1 alignments disagree; ``conflict``: R1 and R2
+    disagree.
     """
-    r1 = alignments.where((F.col("origin") == "R1") & (F.col("phase") != ".")).withColumn("length", F.col("end") - F.col("start"))
+    r1 = alignments.where((F.col("origin") == "R1") & ~has_flag(SECONDARY) & (F.col("phase") != "."))
     rank = F.row_number().over(W.partitionBy("qname").orderBy(*candidate_order(ties=ties)))
     summary = r1.withColumn("rank", rank).groupBy("qname").agg(F.max(F.when(F.col("rank") == 1, F.col("phase"))).alias("r1_phase"), F.count("*").alias("r1_informative"), (F.min("phase") != F.max("phase")).alias("r1_conflict"))
     own = F.when(F.col("phase") != ".", F.col("phase"))
     return selected.join(summary, "qname", "left").select(
         *selected.columns,
         F.coalesce(own, "r1_phase", F.lit(".")).alias("final_phase"),
-        F.when(own.isNotNull(), "R2").when(F.col("r1_phase").isNotNull(), "R1").otherwise("none").alias("phase_source"),
+        F.when(own.isNotNull(), "R2").when(F.col("r1_phase").isNotNull(), "R1").otherwise("unphased").alias("phase_source"),
         F.coalesce("r1_informative", F.lit(0)).alias("r1_informative"),
         F.coalesce("r1_conflict", F.lit(False)).alias("r1_conflict"),
         F.coalesce(own != F.col("r1_phase"), F.lit(False)).alias("conflict"),
@@ -82,6 +91,24 @@ def dedup_endpoints(fragments: DataFrame, keys: list[str], order: list[str], gap
     return first_of_islands(once, keys, other_end(), ["pos1", *order], gap).drop("pos", "pos1")
 
 
+def point_clusters(fragments: DataFrame, keys: list[str], distance: int, order: list[str]) -> DataFrame:
+    """Append ``point`` (the start of a forward fragment, the end of a reverse one) and ``component``: clusters of such points, each a base long, with at most
+    ``distance`` bases between neighbours."""
+    points = fragments.withColumn("point", F.when(F.col("strand") == "+", F.col("start")).otherwise(F.col("end"))).withColumn("point_end", F.col("point") + 1)
+    return union_components(points, keys, order, distance, "point", "point_end").drop("point_end")
+
+
+def best_of_clusters(clustered: DataFrame, keys: list[str], best: list[Column]) -> DataFrame:
+    """The first row of each cluster by ``best``."""
+    w = W.partitionBy(*keys, "component").orderBy(*best)
+    return clustered.withColumn("rank", F.row_number().over(w)).where("rank = 1").drop("rank", "component")
+
+
+def extended_points(clustered: DataFrame, extension: int = 75) -> DataFrame:
+    """Points as fragments of ``extension`` bases on both sides."""
+    return clustered.withColumn("start", F.col("point") - extension).withColumn("end", F.col("point") + 1 + extension).drop("point")
+
+
 def duplication_rate(raw: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     """Per ``key``: rows before and after, and 1 - after / before (null without rows before)."""
     a, b = raw.groupBy(key).agg(F.count("*").alias("raw")), kept.groupBy(key).agg(F.count("*").alias("kept"))
@@ -113,6 +140,11 @@ def insertion_sites(fragments: DataFrame, forward: int = 4, reverse: int = -5, e
     return fragments.withColumn("site", site).withColumn("start", F.greatest(F.col("site") - extension, F.lit(0))).withColumn("end", F.col("site") + 1 + extension)
 
 
+def cut_sites(fragments: DataFrame) -> DataFrame:
+    """Both cut ends of each fragment, its first and its last base, as ``site``."""
+    return fragments.withColumn("site", F.explode(F.array(F.col("start"), F.col("end") - 1)))
+
+
 def mark_duplicates(alignments: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """Append ``duplicate``: true for all but the first of equal coordinates."""
     return alignments.withColumn("duplicate", F.row_number().over(W.partitionBy(*key).orderBy(*order)) > 1)
@@ -141,7 +173,7 @@ def selection_counters(alignments: DataFrame, keys: list[str], min_mapq: int, ti
         F.count_if(written).alias("written"),
         source("R2").alias("phased_by_r2"),
         source("R1").alias("phased_by_r1"),
-        source("none").alias("unphased"),
+        source("unphased").alias("unphased"),
         F.count_if(written & F.col("r1_conflict")).alias("r1_conflicts"),
         F.count_if(written & F.col("conflict")).alias("r1_r2_conflicts"),
     )

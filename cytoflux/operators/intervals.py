@@ -10,12 +10,21 @@ them scalable however long a chromosome's share of the rows is:
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 BIN = 16_384
 SEGMENT = 1_000_000
+#: Segments of the sweep.
+SWEEP = 1 << 18
 
 
 def bins(start: Column, end: Column, width: int) -> Column:
@@ -51,6 +60,56 @@ def point_join(intervals: DataFrame, points: DataFrame, keys: list[str], pos: st
     return joined.select(*[c for c in joined.columns if c != "bin"])
 
 
+def _open_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Events sorted by (group, at, point) to pairs (l, r): each point with the intervals that are open there."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        point = t.column("point")
+        p, new = t.filter(point), t.filter(pc.invert(point))
+        iv = pa.concat_tables([held, new]) if held is not None else new
+        names = pc.unique(pa.chunked_array([*(held.column("group").chunks if held is not None else []), *t.column("group").chunks]))
+        number = lambda d: pc.index_in(d.column("group"), names).to_numpy().astype(np.int64) << 44
+        places = number(p) + p.column("at").to_numpy()
+        begin, stop = (np.searchsorted(places, number(iv) + iv.column(c).to_numpy()) for c in ("at", "stop"))
+        many = np.maximum(stop - begin, 0)
+        for lo, hi in _even(many, 1 << 16):
+            i = np.repeat(np.arange(lo, hi), many[lo:hi])
+            j = np.arange(len(i)) - np.repeat(np.cumsum(many[lo:hi]) - many[lo:hi], many[lo:hi]) + np.repeat(begin[lo:hi], many[lo:hi])
+            if len(i):
+                yield from pa.table({"l": iv.column("l").take(pa.array(i)), "r": p.column("r").take(pa.array(j))}).combine_chunks().to_batches()
+        still = pc.and_(pc.equal(iv.column("group"), t.column("group")[-1]), pc.greater(iv.column("stop"), t.column("at")[-1]))
+        held = iv.filter(still).combine_chunks()
+
+
+def _even(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to about ``most``."""
+    total = np.cumsum(sizes)
+    cuts = [0, *np.searchsorted(total, np.arange(most, int(total[-1]), most) if len(total) else []).tolist(), len(sizes)]
+    return ((a, b) for a, b in itertools.pairwise(cuts) if b > a)
+
+
+def sweep_point_join(intervals: DataFrame, points: DataFrame, keys: list[str], pos: str = "pos", width: int = SWEEP, start: str = "start", end: str = "end") -> DataFrame:
+    """As ``point_join``, by one pass over both sides in order of place.
+
+    Both sides are dealt by keys and segment of ``width`` bases (an interval goes to each segment that it touches, so a long one has few copies), sorted by place and
+    streamed: a task holds the intervals that are open where it stands, and no bin's rows are compared pair by pair.  Rows with a null key or place meet
+    nothing; places are not negative and below 2**44.
+    """
+    left, right = intervals.na.drop(subset=[*keys, start, end]).where(F.col(start) < F.col(end)), points.na.drop(subset=[*keys, pos])
+    kind = {"l": StructType(left.schema.fields), "r": StructType(right.schema.fields)}
+    group = lambda segment: F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)], segment.alias("segment"))).alias("group")
+    row = lambda d, side: [(F.struct(*[F.col(f"`{c}`") for c in d.columns]) if t == side else F.lit(None).cast(kind[t])).alias(t) for t in "lr"]
+    each = left.select(F.explode(bins(F.col(start), F.col(end), width)).alias("_segment"), "*")
+    opened = each.select(group(F.col("_segment")), F.col(start).cast("long").alias("at"), F.col(end).cast("long").alias("stop"), F.lit(False).alias("point"), *row(left, "l"))
+    seen = right.select(group(F.floor(F.col(pos) / width)), F.col(pos).cast("long").alias("at"), F.col(pos).cast("long").alias("stop"), F.lit(True).alias("point"), *row(right, "r"))
+    events = opened.unionByName(seen).repartition("group").sortWithinPartitions("group", "at", "point")
+    pairs = events.mapInArrow(_open_intervals, StructType([StructField(t, kind[t]) for t in "lr"]))
+    return pairs.select(*[F.col(f"{t}.`{f.name}`").alias(f"{t}_{f.name}") for t in "lr" for f in kind[t]])
+
+
 def _any_overlap(left: DataFrame, right: DataFrame, keys: list[str], ids: list[str], width: int, start: str, end: str) -> DataFrame:
     hits = overlap_join(left.select(*ids, *[c for c in (*keys, start, end) if c not in ids]), right.select(*keys, start, end), keys, width, start, end)
     return hits.select(*[F.col(f"l_{c}").alias(c) for c in ids]).distinct()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.alignment import aligned_blocks, base_at, cigar_ops, leading_clip, phase_verdict, quality_at, query_length, query_start, reference_length, trailing_clip
 from .fragments import FIRST, REVERSE, SECOND, has_flag, mapped
-from .intervals import point_join
+from .intervals import point_join, sweep_point_join
 
 #: Bins of the range join: a few reads long.
 WIDTH = 512
@@ -30,28 +32,35 @@ def votes(observed: DataFrame, ids: list[str], base: str = "base") -> DataFrame:
     return counted.withColumn("phase", phase_verdict(F.col("n0"), F.col("n1")))
 
 
-def phase_alignments(alignments: DataFrame, snps: DataFrame, min_quality: int = 20, width: int = WIDTH) -> DataFrame:
+def swept_join(intervals: DataFrame, points: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
+    """A second way to find the SNPs of blocks, which has nothing in common with the bins of the first but its result."""
+    return sweep_point_join(intervals, points, keys)
+
+
+def phase_alignments(alignments: DataFrame, snps: DataFrame, min_quality: int = 20, width: int = WIDTH, join: Callable[..., DataFrame] = point_join) -> DataFrame:
     """Phase of each alignment (id, chrom, start, cigar, seq, qual) from the bases in its aligned blocks.
 
-    A base counts from ``min_quality`` on, or if the read does not have a quality for each base (``*``).  Alignments without a vote are unphased.
+    A base counts from ``min_quality`` on, or if the read does not have a quality for each base (``*``).  An aligned base beyond the sequence is an error.
+    Alignments without a vote are unphased.  ``join`` finds the SNPs of blocks.
     """
     blocks = alignments.select("id", "chrom", "seq", "qual", F.explode(aligned_blocks(cigar_ops(F.col("cigar")), F.col("start"))).alias("b"))
     blocks = blocks.select("id", "chrom", "seq", "qual", F.col("b.ref_start").alias("start"), (F.col("b.ref_start") + F.col("b.n")).alias("end"), F.col("b.query_start").alias("q"))
-    hits = point_join(blocks, snps, ["chrom"], width=width)
+    hits = join(blocks, snps, ["chrom"], width=width)
     at = (F.col("l_q") + F.col("r_pos") - F.col("l_start")).cast("int")
+    at = F.when(at < F.length("l_seq"), at).otherwise(F.raise_error(F.concat(F.lit("the CIGAR goes beyond the sequence of "), F.col("l_id").cast("string"))).cast("int"))
     good = (F.length("l_qual") != F.length("l_seq")) | (quality_at(F.col("l_qual"), at) >= min_quality)
     seen = hits.where(good).select(F.col("l_id").alias("id"), base_at(F.col("l_seq"), at).alias("base"), F.col("r_a0").alias("a0"), F.col("r_a1").alias("a1"))
     zero = F.lit(0).cast("long")
     return alignments.join(votes(seen, ["id"]), "id", "left").select(*alignments.columns, *[F.coalesce(c, zero).alias(c) for c in ("n0", "n1", "other")], F.coalesce("phase", F.lit(".")).alias("phase"))
 
 
-def annotated(alignments: DataFrame, snps: DataFrame, min_mapq: int = 20, min_quality: int = 20) -> DataFrame:
+def annotated(alignments: DataFrame, snps: DataFrame, min_mapq: int = 20, min_quality: int = 20, join: Callable[..., DataFrame] = point_join) -> DataFrame:
     """One row of 15 columns per mapped alignment (id, qname, flag, chrom, start, mapq, cigar, seq, qual) that is good enough: place, geometry on the read and SNP votes.
 
     ``strand`` is that of the DNA strand that was read, so it turns for second reads; ``q_start`` and ``q_end`` count from the read's 5' end.
     """
     good = alignments.where(mapped(min_mapq))
-    t = phase_alignments(good, snps, min_quality).withColumn("ops", cigar_ops(F.col("cigar")))
+    t = phase_alignments(good, snps, min_quality, join=join).withColumn("ops", cigar_ops(F.col("cigar")))
     reverse, origin = has_flag(REVERSE), F.when(has_flag(FIRST), "R1").when(has_flag(SECOND), "R2").otherwise(".")
     ops = F.col("ops")
     begin, used = query_start(ops, reverse), query_length(ops)

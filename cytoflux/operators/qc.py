@@ -12,14 +12,16 @@ from .intervals import point_join
 
 #: Poly-T, one base that is not T, any base, then the restriction site (fixed value).
 CONTAMINATION = "TTTTTTTT[ACG][ACGT]GATC"
+#: Names of the mitochondrion (fixed values).
+MITOCHONDRION = ("chrM", "Mt", "MT")
 #: Adapter sequences by kit (fixed values).
 ADAPTERS = {"illumina": "AGATCGGAAGAGC", "nextera": "CTGTCTCTTATA", "small_rna": "TGGAATTCTCGG"}
 
 
 def flag_counts(alignments: DataFrame, key: list[str], contact_mapq: int, sex_mapq: int, x: str = "chrX", y: str = "chrY") -> DataFrame:
-    """Alignments in all, mapped, good enough for contacts, and on X and Y under the stricter bound."""
+    """Alignments in all, mapped, good enough for contacts, and on X and Y under the bound of their own."""
     mapped = F.col("flag").bitwiseAND(F.lit(4)) == 0
-    strict = mapped & (F.col("mapq") >= max(contact_mapq, sex_mapq))
+    strict = mapped & (F.col("mapq") >= sex_mapq)
     return alignments.groupBy(*key).agg(
         F.count("*").alias("total"),
         F.count_if(mapped).alias("mapped"),
@@ -30,17 +32,36 @@ def flag_counts(alignments: DataFrame, key: list[str], contact_mapq: int, sex_ma
 
 
 def sex_call(counts: DataFrame, threshold: str = "0.015", fallback: str = "XX") -> DataFrame:
-    """State and call of each row of ``flag_counts``.
+    """States and call of each row of ``flag_counts``.
 
-    The ratio is Y / X as a decimal rounded to six places and compared strictly; without X, any Y is XY (the ratio is then Y
-    itself), and without either the fallback stands.
+    A cell without alignments, without mapped ones or without good ones has no call (empty, ``not_applicable``), so it passes neither as female nor as male.  The
+    ratio is Y / X rounded to six places and compared strictly.  Without X, any Y is XY, and the effective ratio is Y itself, which is not
+    measured; without either the fallback stands, with an effective ratio of 0, or of the threshold and 1 for XY.
     """
-    ratio = F.round((F.col("y").cast("decimal(18,0)") / F.greatest("x", F.lit(1)).cast("decimal(18,0)")).cast("decimal(38,12)"), 6)
-    state = F.when(F.col("total") == 0, "header_only").when(F.col("mapped") == 0, "unmapped_only").when(F.col("qualifying") == 0, "low_mapq_only").otherwise("ready")
-    over = ratio > F.lit(threshold).cast("decimal(38,6)")
-    sex = F.when((F.col("x") == 0) & (F.col("y") == 0), "fallback").when(F.col("x") == 0, "only_y").otherwise("ratio")
-    call = F.when(sex == "fallback", fallback).when((sex == "only_y") | over, "XY").otherwise("XX")
-    return counts.select("*", state.alias("state"), sex.alias("sex_state"), F.when(sex != "fallback", ratio.cast("decimal(38,6)")).alias("ratio"), call.alias("sex"))
+    if fallback not in ("XX", "XY"):
+        raise ValueError("the fallback is XX or XY")
+    x, y, bound = F.col("x"), F.col("y"), F.lit(threshold).cast("decimal(38,6)")
+    ratio = F.round((y.cast("decimal(18,0)") / F.greatest(x, F.lit(1)).cast("decimal(18,0)")).cast("decimal(38,12)"), 6).cast("decimal(38,6)")
+    state = F.when(F.col("total") == 0, "header_only").when(F.col("mapped") == 0, "unmapped_only").when(F.col("qualifying") == 0, "low_mapq_only").otherwise("qualifying_mapped_records")
+    known = state == "qualifying_mapped_records"
+    neither, only_y = (x == 0) & (y == 0), (x == 0) & (y > 0)
+    male = only_y | (~neither & (ratio > bound))
+    sex = F.when(~known, "not_applicable").when(neither, "undetermined_no_xy").when(only_y, "xy_y_only").when(y == 0, F.when(male, "xy_ratio").otherwise("xx_x_only")).when(male, "xy_ratio").otherwise("xx_ratio")
+    call = F.when(~known, "").when(neither, fallback).when(male, "XY").otherwise("XX")
+    kind = F.when(~known, "not_applicable").when(neither, "undefined_zero_zero").when(only_y, "positive_infinity").otherwise("finite")
+    measured = known & (x > 0)
+    effective = F.when(known, F.when(neither, F.lit(0) if fallback == "XX" else bound + 1).otherwise(ratio)).cast("decimal(38,6)")
+    return counts.select(
+        "*",
+        state.alias("input_state"),
+        sex.alias("sex_state"),
+        call.alias("sex_call"),
+        (known & neither).alias("fallback_applied"),
+        kind.alias("ratio_state"),
+        measured.alias("measured"),
+        F.when(measured, ratio).alias("measured_yperx"),
+        effective.alias("effective_yperx"),
+    )
 
 
 def contamination(reads: DataFrame, key: list[str], seq: str = "seq", pattern: str = CONTAMINATION) -> DataFrame:
@@ -61,41 +82,48 @@ def adapter_counts(reads: DataFrame, order: str, lines: int | None = 1_000_000,
     return counts.select(*adapters, F.when(most == 0, "").otherwise(best).alias("best"))
 
 
-def tss_pileup(sites: DataFrame, tss: DataFrame, flank: int = 1000) -> DataFrame:
-    """Insertions per cell and offset within ``flank`` bases of transcription starts (chrom, pos, strand); minus strands flip."""
-    windows = tss.select("chrom", (F.col("pos") - flank).alias("start"), (F.col("pos") + flank + 1).alias("end"), F.col("pos").alias("tss"), "strand")
-    hits = point_join(windows, sites.select("cell", "chrom", F.col("site").alias("pos")), ["chrom"], width=max(512, 2 * flank))
+def tss_pileup(sites: DataFrame, tss: DataFrame, flank: int = 1000, exclude: tuple[str, ...] = MITOCHONDRION) -> DataFrame:
+    """Insertions per cell and offset within ``flank`` bases of transcription starts (chrom, pos, strand); minus strands flip.
+
+    Insertions are summed per cell and place before the range join, so its work follows distinct places.  Starts on chromosomes named in ``exclude`` do not count.
+    """
+    windows = tss.where(~F.col("chrom").cast("string").isin(*exclude)) if exclude else tss
+    windows = windows.select("chrom", (F.col("pos") - flank).alias("start"), (F.col("pos") + flank + 1).alias("end"), F.col("pos").alias("tss"), "strand")
+    places = sites.groupBy("cell", "chrom", F.col("site").alias("pos")).agg(F.count("*").alias("n"))
+    hits = point_join(windows, places, ["chrom"], width=max(512, 2 * flank))
     offset = F.col("r_pos") - F.col("l_tss")
     offset = F.when(F.col("l_strand") == "-", -offset).otherwise(offset)
-    return hits.groupBy(F.col("r_cell").alias("cell"), offset.alias("offset")).agg(F.count("*").alias("n"))
+    return hits.groupBy(F.col("r_cell").alias("cell"), offset.alias("offset")).agg(F.sum("r_n").alias("n"))
 
 
-def tss_score(pileup: DataFrame, cells: DataFrame, flank: int = 1000, edge: int = 100, core: int = 500) -> DataFrame:
-    """Mean of the core over the mean of the flanks per cell; an empty flank takes the mean over cells.
+def tss_score(pileup: DataFrame, cells: DataFrame, flank: int = 1000, edge: int = 100, core: tuple[int, int] = (-501, 499)) -> DataFrame:
+    """Mean of the core offsets (both bounds included) over the mean of the flanks per cell; an empty flank takes the mean over cells.
 
     All offsets count, those without an insertion as zero.  The score is null for a cell without insertions.
     """
     low, high = F.col("offset") < -flank + edge, F.col("offset") > flank - edge
-    middle = F.col("offset").between(-core, core)
+    middle = F.col("offset").between(*core)
     per = pileup.groupBy("cell").agg(F.sum(F.when(low | high, F.col("n")).otherwise(0)).alias("edge_n"), F.sum(F.when(middle, F.col("n")).otherwise(0)).alias("core_n"), F.sum("n").alias("all_n"))
     t = cells.join(per, "cell", "left").na.fill(0, ["edge_n", "core_n", "all_n"])
     t = t.withColumn("flank_mean", F.col("edge_n") / (2 * edge))
     mean = t.agg(F.avg("flank_mean").alias("cohort_mean"))
     t = t.join(F.broadcast(mean))  # one row
     base = F.when(F.col("flank_mean") == 0, F.col("cohort_mean")).otherwise(F.col("flank_mean"))
-    score = F.try_divide(F.col("core_n") / (2 * core + 1), base)
+    score = F.try_divide(F.col("core_n") / (core[1] - core[0] + 1), base)
     return t.select("cell", F.col("all_n").alias("insertions"), F.when(F.col("all_n") > 0, score).alias("tss_score"))
 
 
 def tss_status(bin_count: Column, score: Column) -> Column:
-    return F.when(bin_count == 0, F.lit(None).cast("string")).when(score.isNotNull() & ~F.isnan(score), "ok").otherwise("insufficient_data")
+    """``ok`` for a finite score of a cell with counts; without counts, or with another score, ``insufficient_data``."""
+    finite = score.isNotNull() & ~F.isnan(score) & (F.abs(score) != float("inf"))
+    return F.when((bin_count > 0) & finite, "ok").otherwise("insufficient_data")
 
 
 def bulk_tss_profile(sites: DataFrame, tss: DataFrame, edge: int = 2000, bins: int = 400) -> DataFrame:
     """Mean insertions per bin around starts over the mean of the outer bins."""
     width = 2 * edge // bins
     outer = int(100 / (2 * edge / bins))
-    pile = tss_pileup(sites.withColumn("cell", F.lit(0)), tss, edge).where(F.col("offset") < edge)
+    pile = tss_pileup(sites.withColumn("cell", F.lit(0)), tss, edge, ()).where(F.col("offset") < edge)
     t = pile.groupBy(F.floor((F.col("offset") + edge) / width).alias("bin")).agg(F.sum("n").alias("n"))
     noise = t.agg((F.sum(F.when((F.col("bin") < outer) | (F.col("bin") >= bins - outer), F.col("n")).otherwise(0)) / (2 * outer)).alias("noise"))
     return t.join(F.broadcast(noise)).select("bin", "n", F.try_divide("n", "noise").alias("signal"))  # one row

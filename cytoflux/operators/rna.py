@@ -41,12 +41,11 @@ def assign_features(reads: DataFrame, features: DataFrame, ids: list[str], stran
 
 
 def compatibility() -> Column:
-    """The class of a read pair from g1, g2 (gene arrays), t1, t2 (component tokens) and r2_mapped."""
+    """The class of a read pair from g1, g2 (gene arrays), t1, t2 (component tokens) and r2_mapped, which is looked at where R2 has no gene."""
     shared = F.arrays_overlap("g1", "g2") | F.arrays_overlap("t1", "t2")
     return (
         F.when(F.size("g1") == 0, CLASSES[0])
-        .when(~F.col("r2_mapped"), CLASSES[1])
-        .when(F.size("g2") == 0, CLASSES[2])
+        .when(F.size("g2") == 0, F.when(F.coalesce("r2_mapped", F.lit(False)), CLASSES[2]).otherwise(CLASSES[1]))
         .when(shared, CLASSES[3])
         .otherwise(CLASSES[4])
     )
@@ -55,12 +54,19 @@ def compatibility() -> Column:
 def compatibility_counts(classified: DataFrame, cell: str = "cell", category: str = "category") -> DataFrame:
     """Counts of the classes per cell and, under ``ALL``, in total, with shares that are null where there is nothing to share."""
     counts = [F.count_if(F.col(category) == c).alias(c) for c in CLASSES]
-    t = classified.rollup(cell).agg(F.grouping(cell).alias("whole"), F.count("*").alias("pairs"), *counts)
+    t = _with_total(classified.groupBy(cell).agg(F.count("*").alias("pairs"), *counts), cell)
     name = F.when(F.col("whole") == 1, "ALL").otherwise(F.col(cell).cast("string"))
     kept = F.col("pairs") - F.col("r2_genome_only") - F.col("incompatible")
     return t.select(name.alias("cell"), "pairs", *CLASSES, kept.alias("compatible"), F.try_divide(kept, F.col("pairs")).alias("compatible_share"), F.try_divide(F.col("concordant"), F.col("pairs")).alias("concordant_share"))
 
 
+def _with_total(per_cell: DataFrame, cell: str) -> DataFrame:
+    """Sums per cell and, from these, of all cells, with ``whole`` 1."""
+    sums = [c for c in per_cell.columns if c != cell]
+    t = per_cell.rollup(cell).agg(F.grouping(cell).alias("whole"), *[F.sum(c).alias(c) for c in sums])
+    return t.na.fill(0, sums)
+
+
 def unique_umis(reads: DataFrame, keys: list[str]) -> DataFrame:
     return reads.groupBy(*keys).agg(F.count_distinct("umi").alias("n"))
 
@@ -139,7 +145,7 @@ def compatibility_counters(classified: DataFrame, cell: str = "cell", category:
     Rows have gene sets ``g1`` and ``g2`` and the flag ``r2_mapped``.  A share without informative reads is null.
     """
     overlapping = [F.count("*").alias("reads"), F.count_if(F.size("g1") > 0).alias("r1_informative"), F.count_if(F.size("g2") > 0).alias("r2_informative"), F.count_if("r2_mapped").alias("r2_well_mapped")]
-    t = classified.rollup(cell).agg(F.grouping(cell).alias("whole"), *overlapping, *[F.count_if(F.col(category) == c).alias(c) for c in CLASSES])
+    t = _with_total(classified.groupBy(cell).agg(*overlapping, *[F.count_if(F.col(category) == c).alias(c) for c in CLASSES]), cell)
     share = lambda c: F.try_divide(F.col(c), F.col("r1_informative")).alias(f"{c}_share")
     name = F.when(F.col("whole") == 1, "ALL").otherwise(F.col(cell).cast("string"))
     kept = F.col("reads") - F.col("r2_genome_only") - F.col("incompatible")

@@ -25,9 +25,10 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         [
             ("qname", "l_orderkey"),
             ("origin", "case when l_linenumber % 2 = 0 then 'R2' else 'R1' end"),
-            ("flag", "case when l_linenumber > 5 then 2048 when l_linenumber = 5 then 4 else 0 end"),
+            ("flag", "case when l_linenumber > 5 then 2048 when l_linenumber = 5 then 4 when l_linenumber > 2 and l_orderkey % 4 = 1 then 256 else 0 end"),
             ("mapq", "cast(l_quantity as int)"),
             ("q_start", "cast(round(l_tax * 100) as int)"),
+            ("aligned_length", "40 + cast(l_quantity as bigint) - l_partkey % 3 + l_orderkey % 4"),
             ("chrom", "l_suppkey % 20"),
             ("start", "l_partkey * 7"),
             ("end", "l_partkey * 7 + 40 + cast(l_quantity as bigint)"),
@@ -39,6 +40,22 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("phase", "case when l_discount < 0.03 then '0' when l_discount < 0.06 then '1' else '.' end"),
         ],
     ),
+    # Records with clips, an insertion and a deletion: q_start S, 20 M, ins I, 15 M, del D, and what is left of 40 + mapq bases of the chromosome.
+    "records": (
+        "lineitem",
+        [
+            ("qname", "concat(cast(l_orderkey as varchar(20)), '.', cast(l_linenumber as varchar(20)), '.', cast(l_partkey as varchar(20)), '.', cast(cast(round(l_extendedprice * 100) as bigint) as varchar(20)))"),
+            ("flag", "cast((case when l_linenumber % 2 = 0 then 128 else 64 end) + (case when l_suppkey % 3 = 0 then 16 else 0 end) + (case when l_linenumber = 5 then 4 else 0 end) as int)"),
+            ("chrom", "l_suppkey % 20"),
+            ("start", "l_partkey * 7"),
+            ("mapq", "cast(l_quantity as int)"),
+            ("clip", "cast(round(l_tax * 100) as int)"),
+            ("ins", "cast(1 + l_orderkey % 3 as int)"),
+            ("del", "cast(1 + l_partkey % 3 as int)"),
+            ("letter", "cast(l_partkey % 4 as int)"),
+            ("grade", "cast(l_suppkey % 5 as int)"),
+        ],
+    ),
     "snps": (
         "part",
         [
@@ -76,7 +93,7 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         "lineitem",
         [
             ("qname", "l_orderkey"),
-            ("read_num", "cast(l_linenumber % 2 as int)"),
+            ("read_num", "cast(2 - l_linenumber % 2 as int)"),
             ("q_start", "cast(l_quantity as int)"),
             ("chrom", "concat('chr', cast(l_suppkey % 2 as varchar(9)))"),
             ("start", "l_partkey % 2000"),

@@ -8,14 +8,14 @@ _BEST = (
     cte("alignments")
     + """, a AS (SELECT * FROM alignments WHERE (flag & 4) = 0 AND mapq >= 10),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY qname ORDER BY q_start, CASE WHEN (flag & 2048) <> 0 THEN 1 ELSE 0 END, mapq DESC, ("end" - start) DESC, chrom, start, "end", strand, flag, price, ln, cell, base, phase) AS rk
+  SELECT *, row_number() OVER (PARTITION BY qname ORDER BY q_start, CASE WHEN (flag & 2048) <> 0 THEN 1 ELSE 0 END, mapq DESC, aligned_length DESC, chrom, start, "end", strand, flag, price, ln, cell, base, phase) AS rk
   FROM a WHERE origin = 'R2' AND (flag & 256) = 0
 ), chosen AS (SELECT * FROM ranked WHERE rk = 1), sel AS (SELECT * FROM chosen WHERE q_start = 0)"""
 )
 
 _R1 = """, r1 AS (
-  SELECT *, row_number() OVER (PARTITION BY qname ORDER BY q_start, CASE WHEN (flag & 2048) <> 0 THEN 1 ELSE 0 END, mapq DESC, ("end" - start) DESC, chrom, start, "end", strand, flag, price, ln, cell, base, phase) AS rk1
-  FROM a WHERE origin = 'R1' AND phase <> '.'
+  SELECT *, row_number() OVER (PARTITION BY qname ORDER BY q_start, CASE WHEN (flag & 2048) <> 0 THEN 1 ELSE 0 END, mapq DESC, aligned_length DESC, chrom, start, "end", strand, flag, price, ln, cell, base, phase) AS rk1
+  FROM a WHERE origin = 'R1' AND phase <> '.' AND (flag & 256) = 0
 ), s1 AS (SELECT qname, max(CASE WHEN rk1 = 1 THEN phase END) AS p1, count(*) AS n1, count(DISTINCT phase) > 1 AS c1 FROM r1 GROUP BY qname)"""
 
 
@@ -55,7 +55,7 @@ _HITS = (
   SELECT *, row_number() OVER w AS place, lag(strand) OVER w AS bs, lag(chrom) OVER w AS bc, lag(start) OVER w AS bst, lag("end") OVER w AS be
   FROM hits WINDOW w AS (PARTITION BY qname ORDER BY read_num, q_start, ln, price, start, chrom, strand, phase)
 ), d AS (
-  SELECT *, CASE WHEN strand = bs AND chrom = bc AND (CASE WHEN strand = '+' THEN start - be ELSE bst - "end" END) BETWEEN -500 AND 499 THEN 0 ELSE 1 END AS opens FROM o
+  SELECT *, CASE WHEN strand = bs AND chrom = bc AND (CASE WHEN strand = '+' THEN start - be ELSE "end" - bst END) BETWEEN -500 AND 499 THEN 0 ELSE 1 END AS opens FROM o
 ), g AS (SELECT *, sum(opens) OVER (PARTITION BY qname ORDER BY place) AS segment FROM d),
 m AS (
   SELECT qname, segment, arg_min(read_num, place) AS read_num, arg_min(chrom, place) AS chrom, arg_min(strand, place) AS strand,
@@ -103,6 +103,31 @@ def _union(keys: str, source: str, tie: str, distance: int) -> str:
 )"""
 
 
+_POINTS = """, f AS (
+  SELECT cell, chrom, q, ln, price, mapq, strand, start AS s0, "end" AS e0, CASE WHEN strand = '+' THEN start ELSE "end" END AS start, CASE WHEN strand = '+' THEN start ELSE "end" END + 1 AS "end" FROM fragments WHERE {}
+), """
+_POINT_TIES = "s0, e0, q, ln, price, strand"
+
+#: A record's bases by hand: where a SNP lies in the first 20 bases, in the next 15, in the deletion, or behind it.
+_RECORDS = (
+    cte("records", "snps")
+    + """, d AS (SELECT DISTINCT * FROM records WHERE (flag & 4) = 0 AND mapq >= 10),
+b AS (
+  SELECT d.*, s.a0, s.a1, s.pos - d.start AS o FROM d JOIN snps s ON s.chrom = d.chrom AND s.pos >= d.start AND s.pos < d.start + 40 + d.mapq
+), q AS (
+  SELECT *, clip + o + CASE WHEN o < 20 THEN 0 WHEN o < 35 THEN ins ELSE ins - del END AS spot FROM b WHERE o < 35 OR o >= 35 + del
+), seen AS (
+  SELECT qname, substr('ACGT', ((letter + spot) % 4 + 1)::INT, 1) AS base, [40, 10, 20, 41, 2][((grade + spot) % 5 + 1)::INT] AS quality, a0, a1 FROM q
+), n AS (
+  SELECT qname, count(*) FILTER (base = a0) AS n0, count(*) FILTER (base = a1) AS n1, count(*) FILTER (base <> a0 AND base <> a1) AS other FROM seen WHERE quality >= 20 GROUP BY qname
+)
+SELECT d.qname, CASE WHEN (flag & 64) <> 0 THEN 'R1' ELSE 'R2' END AS origin, flag, chrom, start, start + 40 + mapq AS "end",
+  CASE WHEN ((flag & 16) <> 0) <> ((flag & 128) <> 0) THEN '-' ELSE '+' END AS strand, mapq,
+  CASE WHEN (flag & 16) <> 0 THEN 0 ELSE clip END AS q_start, 40 + mapq - del + ins + CASE WHEN (flag & 16) <> 0 THEN 0 ELSE clip END AS q_end, 40 + mapq - del + ins AS aligned_query_length,
+  CASE WHEN n0 > 0 AND n1 = 0 THEN '0' WHEN n1 > 0 AND n0 = 0 THEN '1' ELSE '.' END AS phase, coalesce(n0, 0) AS phase0_count, coalesce(n1, 0) AS phase1_count, coalesce(other, 0) AS other_allele_count
+FROM d LEFT JOIN n USING (qname)"""
+)
+
 ORACLES: dict[str, str] = {
     "fragment_bin_counts": _BEST.replace("SELECT * FROM chosen WHERE q_start = 0", "SELECT *, qname AS q FROM chosen WHERE q_start = 0")
     + ", kept AS (WITH "
@@ -113,7 +138,7 @@ SELECT cell, chrom, bin, count(*) AS n FROM (SELECT cell, chrom, unnest(range(st
     "select_with_fallback_phase": _BEST
     + _R1
     + """ SELECT sel.qname, chrom, start, phase, CASE WHEN phase <> '.' THEN phase ELSE coalesce(p1, '.') END AS final_phase,
-CASE WHEN phase <> '.' THEN 'R2' WHEN p1 IS NOT NULL THEN 'R1' ELSE 'none' END AS phase_source, coalesce(n1, 0) AS r1_informative, coalesce(c1, false) AS r1_conflict,
+CASE WHEN phase <> '.' THEN 'R2' WHEN p1 IS NOT NULL THEN 'R1' ELSE 'unphased' END AS phase_source, coalesce(n1, 0) AS r1_informative, coalesce(c1, false) AS r1_conflict,
 coalesce(phase <> '.' AND phase <> p1, false) AS conflict FROM sel LEFT JOIN s1 USING (qname)""",
     "fragment_selection_counters": _BEST
     + _R1
@@ -143,13 +168,13 @@ c AS (SELECT f.q, f.ln, f.price, f.chrom, f.start, f."end", sum(least(f."end", r
 SELECT * FROM f ANTI JOIN (SELECT * FROM c WHERE n >= 30 AND n >= 0.5 * ("end" - start)) USING (q, ln, price, chrom, start, "end")""",
     "interval_union_components": cte("genes") + ", " + _union("chrom", "genes", '"end", gene', 0) + ' SELECT chrom, gene, start, "end", component::BIGINT AS component FROM v',
     "cluster_best_mapq": cte("fragments")
-    + ", f AS (SELECT * FROM fragments WHERE mapq > 20), "
-    + _union("cell, chrom", "f", '"end", q, ln, price', 10)
-    + ' SELECT cell, chrom, start, "end", mapq, q, ln, price FROM v QUALIFY row_number() OVER (PARTITION BY cell, chrom, component ORDER BY mapq DESC, start, "end", q, ln, price, strand) = 1',
+    + _POINTS.format("mapq > 20 AND chrom BETWEEN 1 AND 19")
+    + _union("cell, chrom", "f", _POINT_TIES, 10)
+    + f' SELECT cell, chrom, start - 75 AS start, "end" + 75 AS "end", mapq, q, ln, price FROM v QUALIFY row_number() OVER (PARTITION BY cell, chrom, component ORDER BY mapq DESC, start, {_POINT_TIES}) = 1',
     "cluster_then_filter": cte("fragments")
-    + ", "
-    + _union("cell, chrom", "fragments", '"end", q, ln, price', 10)
-    + ' SELECT DISTINCT q FROM (SELECT q FROM v WHERE mapq >= 20 QUALIFY row_number() OVER (PARTITION BY cell, chrom, component ORDER BY mapq DESC, start, "end", q, ln, price, strand) = 1)',
+    + _POINTS.format("true")
+    + _union("cell, chrom", "f", _POINT_TIES, 10)
+    + f" SELECT DISTINCT q FROM (SELECT q FROM v WHERE mapq >= 20 QUALIFY row_number() OVER (PARTITION BY cell, chrom, component ORDER BY mapq DESC, start, {_POINT_TIES}) = 1)",
     "coverage_steps": cte("fragments") + _COVERAGE + ' SELECT chrom, pos AS start, nxt AS "end", depth::BIGINT AS depth FROM run WHERE depth > 0',
     "coverage_cpm": cte("fragments") + _COVERAGE + ', t AS (SELECT chrom, count(*) AS n FROM fragments GROUP BY chrom) SELECT chrom, pos AS start, nxt AS "end", round(depth::DOUBLE * 1e6 / n, 6) AS cpm FROM run JOIN t USING (chrom) WHERE depth > 0',
     "binned_rpkm": cte("fragments")
@@ -160,16 +185,19 @@ t AS (SELECT cell, count(*) AS total FROM fragments GROUP BY cell) SELECT cell,
 v AS (SELECT a.qname, a.ln, a.price, a.chrom, a.start, a."end", a.base, count(*) FILTER (base = a0) AS n0, count(*) FILTER (base = a1) AS n1, count(*) FILTER (base <> a0 AND base <> a1) AS other
 FROM a JOIN snps s ON a.chrom = s.chrom AND s.pos >= a.start AND s.pos < a."end" GROUP BY ALL)
 SELECT *, CASE WHEN n0 > 0 AND n1 = 0 THEN '0' WHEN n1 > 0 AND n0 = 0 THEN '1' ELSE '.' END AS phase FROM v""",
+    "annotated_records": _RECORDS,
+    "annotated_records_by_sweep": _RECORDS,
     "flag_mapq_counts": cte("alignments")
     + """ SELECT cell, count(*) AS total, count(*) FILTER ((flag & 4) = 0) AS mapped, count(*) FILTER ((flag & 4) = 0 AND mapq >= 10) AS qualifying,
-count(*) FILTER ((flag & 4) = 0 AND mapq >= 20 AND chrom BETWEEN 1 AND 3) AS x, count(*) FILTER ((flag & 4) = 0 AND mapq >= 20 AND chrom = 0) AS y FROM alignments GROUP BY cell""",
+count(*) FILTER ((flag & 4) = 0 AND mapq >= 8 AND chrom BETWEEN 1 AND 3) AS x, count(*) FILTER ((flag & 4) = 0 AND mapq >= 8 AND chrom = 0) AS y FROM alignments GROUP BY cell""",
     "sex_call_state": cte("alignments")
-    + """, c AS (SELECT cell, count(*) AS total, count(*) FILTER ((flag & 4) = 0) AS mapped, count(*) FILTER ((flag & 4) = 0 AND mapq >= 10) AS qualifying,
-count(*) FILTER ((flag & 4) = 0 AND mapq >= 20 AND chrom BETWEEN 1 AND 3) AS x, count(*) FILTER ((flag & 4) = 0 AND mapq >= 20 AND chrom = 0) AS y FROM alignments GROUP BY cell),
+    + """, c AS (SELECT cell, count(*) FILTER ((flag & 4) = 0 AND mapq >= 10 AND cell <> 7) AS good,
+count(*) FILTER ((flag & 4) = 0 AND mapq >= 8 AND chrom BETWEEN 1 AND 3) AS x, count(*) FILTER ((flag & 4) = 0 AND mapq >= 8 AND chrom = 0) AS y FROM alignments GROUP BY cell),
 r AS (SELECT *, round(y / greatest(x, 1)::DOUBLE, 6) AS r FROM c)
-SELECT cell, CASE WHEN total = 0 THEN 'header_only' WHEN mapped = 0 THEN 'unmapped_only' WHEN qualifying = 0 THEN 'low_mapq_only' ELSE 'ready' END AS state,
-CASE WHEN x = 0 AND y = 0 THEN 'fallback' WHEN x = 0 THEN 'only_y' ELSE 'ratio' END AS sex_state, CASE WHEN x > 0 OR y > 0 THEN r END AS ratio,
-CASE WHEN x = 0 AND y = 0 THEN 'XX' WHEN x = 0 OR r > 0.3 THEN 'XY' ELSE 'XX' END AS sex FROM r""",
+SELECT cell, 'low_mapq_only' AS input_state, 'not_applicable' AS sex_state, '' AS sex_call, false AS fallback_applied, 'not_applicable' AS ratio_state, false AS measured, NULL::DOUBLE AS measured_yperx, NULL::DOUBLE AS effective_yperx FROM r WHERE good = 0
+UNION ALL SELECT cell, 'qualifying_mapped_records', 'undetermined_no_xy', 'XX', true, 'undefined_zero_zero', false, NULL, 0 FROM r WHERE good > 0 AND x = 0 AND y = 0
+UNION ALL SELECT cell, 'qualifying_mapped_records', 'xy_y_only', 'XY', false, 'positive_infinity', false, NULL, r FROM r WHERE good > 0 AND x = 0 AND y > 0
+UNION ALL SELECT cell, 'qualifying_mapped_records', CASE WHEN y = 0 THEN 'xx_x_only' WHEN r > 0.3 THEN 'xy_ratio' ELSE 'xx_ratio' END, CASE WHEN r > 0.3 THEN 'XY' ELSE 'XX' END, false, 'finite', true, r, r FROM r WHERE good > 0 AND x > 0""",
     "compat_classes_rollup": """WITH t AS (
   SELECT l_orderkey AS q, l_suppkey % 50 AS cell, l_linenumber % 2 AS mate, CASE WHEN l_returnflag <> 'R' THEN 'G' || (l_partkey % 40) END AS gene, l_partkey % 8 AS token, l_quantity AS mapq FROM lineitem
 ), p AS (
@@ -177,7 +205,7 @@ CASE WHEN x = 0 AND y = 0 THEN 'XX' WHEN x = 0 OR r > 0.3 THEN 'XY' ELSE 'XX' EN
     coalesce(list(DISTINCT token) FILTER (mate = 1 AND gene IS NOT NULL), []) AS t1, coalesce(list(DISTINCT token) FILTER (mate = 0 AND gene IS NOT NULL), []) AS t2,
     coalesce(max(mapq) FILTER (mate = 0) >= 25, false) AS r2 FROM t GROUP BY q
 ), c AS (
-  SELECT cell, CASE WHEN len(g1) = 0 THEN 'a' WHEN NOT r2 THEN 'b' WHEN len(g2) = 0 THEN 'c' WHEN list_has_any(g1, g2) OR list_has_any(t1, t2) THEN 'd' ELSE 'e' END AS k FROM p
+  SELECT cell, CASE WHEN len(g1) = 0 THEN 'a' WHEN len(g2) = 0 THEN CASE WHEN r2 THEN 'c' ELSE 'b' END WHEN list_has_any(g1, g2) OR list_has_any(t1, t2) THEN 'd' ELSE 'e' END AS k FROM p
 ), s AS (
   SELECT CASE WHEN grouping(cell) = 1 THEN 'ALL' ELSE cell::VARCHAR END AS cell, count(*) AS pairs, count(*) FILTER (k = 'a') AS r1_uninformative, count(*) FILTER (k = 'b') AS r2_uninformative,
     count(*) FILTER (k = 'c') AS r2_genome_only, count(*) FILTER (k = 'd') AS concordant, count(*) FILTER (k = 'e') AS incompatible FROM c GROUP BY ROLLUP (cell)
@@ -206,13 +234,13 @@ FROM supplier LEFT JOIN d ON d.cell = s_suppkey LEFT JOIN b ON b.cell = s_suppke
     + ", "
     + ", ".join(f"p{k} AS (SELECT q, count(*) AS reads_{k} FROM contacts WHERE ln % 3 = {k} GROUP BY q)" for k in range(3))
     + " SELECT q, reads_0, reads_1, reads_2 FROM p0 FULL JOIN p1 USING (q) FULL JOIN p2 USING (q)",
-    "cohort_set_diff": """WITH e AS (SELECT DISTINCT s_suppkey AS cell FROM supplier), f AS (SELECT DISTINCT l_suppkey + 3 AS cell FROM lineitem WHERE l_quantity > 49)
+    "cohort_set_diff": """WITH e AS (SELECT DISTINCT s_suppkey AS cell FROM supplier), f AS (SELECT DISTINCT l_suppkey + 3 AS cell FROM lineitem)
 SELECT cell, 'missing' AS status FROM (SELECT * FROM e EXCEPT SELECT * FROM f) UNION ALL SELECT cell, 'unexpected' FROM (SELECT * FROM f EXCEPT SELECT * FROM e)""",
     "contract_field_diff": """WITH a AS (SELECT s_suppkey AS cell, 'name' AS field, s_name AS v FROM supplier UNION ALL SELECT s_suppkey, 'nation', s_nationkey::VARCHAR FROM supplier),
 b AS (SELECT c_custkey AS cell, 'name' AS field, c_name AS v FROM customer UNION ALL SELECT c_custkey, 'nation', c_nationkey::VARCHAR FROM customer)
 SELECT cell, field, a.v AS stored, b.v AS live FROM a FULL JOIN b USING (cell, field) WHERE a.v IS DISTINCT FROM b.v""",
     "expected_missing": """WITH g AS (SELECT s_suppkey AS cell, resolution FROM supplier, (VALUES ('20k'), ('50k'), ('100k')) AS r(resolution)),
-t AS (SELECT DISTINCT l_suppkey AS cell, CASE WHEN l_linenumber < 3 THEN '20k' WHEN l_linenumber < 5 THEN '50k' ELSE '1m' END AS resolution FROM lineitem WHERE l_quantity > 45) SELECT * FROM g EXCEPT SELECT * FROM t""",
+t AS (SELECT DISTINCT o_custkey AS cell, CASE o_orderkey % 3 WHEN 0 THEN '20k' WHEN 1 THEN '50k' ELSE '1m' END AS resolution FROM orders) SELECT * FROM g EXCEPT SELECT * FROM t""",
     "cell_codes": "SELECT s_suppkey AS cell, s_name AS sample_name, 'C' || substr(sha256(s_name), 1, 16) AS code FROM supplier",
     "inter_chrom_counts": cte("contacts") + " SELECT cell, count(*) AS pairs, count(*) FILTER (chr1 <> chr2) AS inter FROM contacts GROUP BY cell",
     "pair_dedup": cte("contacts")
@@ -224,10 +252,10 @@ SELECT chr1, pos1, chr2, pos2, strand1, strand2, q, ln, price FROM c WHERE o2 =
     "segment_merge": _HITS + ' SELECT qname, segment::BIGINT AS segment, chrom, start, "end", strand, phase, mapq, n_hits FROM m',
     "adjacent_segment_pairs": _READS
     + """, l AS (SELECT *, lead(chrom) OVER w AS c2, lead(start) OVER w AS s2, lead("end") OVER w AS e2, lead(strand) OVER w AS d2, lead(phase) OVER w AS p2, row_number() OVER w - 1 AS i FROM segs WINDOW w AS (PARTITION BY qname ORDER BY segment))
-SELECT qname, i, chrom AS chr1, CASE WHEN strand = '+' THEN "end" ELSE start END AS pos1, c2 AS chr2, CASE WHEN d2 = '+' THEN s2 ELSE e2 END AS pos2, strand AS strand1, d2 AS strand2, phase AS phase1, p2 AS phase2 FROM l WHERE c2 IS NOT NULL""",
+SELECT qname, i, chrom AS chr1, "end" AS pos1, c2 AS chr2, s2 AS pos2, strand AS strand1, d2 AS strand2, phase AS phase1, p2 AS phase2 FROM l WHERE c2 IS NOT NULL""",
     "segments_to_bed": _READS
-    + """, f AS (SELECT qname, arg_min(phase, segment) FILTER (read_num <> 1 AND phase <> '.') AS fb FROM segs GROUP BY qname)
-SELECT chrom, start, "end", qname, mapq, strand, CASE WHEN phase = '.' THEN coalesce(fb, '.') ELSE phase END AS phase FROM segs JOIN f USING (qname) WHERE read_num = 1""",
+    + """, f AS (SELECT qname, arg_min(phase, segment) FILTER (read_num = 1 AND phase <> '.') AS fb FROM segs GROUP BY qname)
+SELECT chrom, start, "end", qname, mapq, strand, CASE WHEN phase = '.' THEN coalesce(fb, '.') ELSE phase END AS phase FROM segs JOIN f USING (qname) WHERE read_num = 2""",
     "clean_crowded_legs": _DISTINCT_CONTACTS
     + """, legs AS (SELECT cell, q, ln, price, chr1 AS chrom, pos1 AS pos FROM c UNION ALL SELECT cell, q, ln, price, chr2, pos2 FROM c),
 n AS (SELECT *, count(*) OVER (PARTITION BY cell, chrom ORDER BY pos RANGE BETWEEN 20000 PRECEDING AND 20000 FOLLOWING) - 1 AS near FROM legs)
@@ -252,10 +280,12 @@ SELECT 'x' AS split FROM d WHERE regexp_matches(s, '^[ACGTN][ACGTN]TH') OR regex
 SELECT 'y' FROM d WHERE regexp_matches(s, '^QUE[ACGTN]|^UE[ACGTN]|^E[ACGTN]') UNION ALL SELECT 'z' FROM d WHERE regexp_matches(s, '^LE[ACGTN]A|^E[ACGTN]A|^[ACGTN]A')) GROUP BY split""",
     "umi_extraction": "SELECT 'C' || substr(sha256(source), 1, 16) AS code, count(*) AS reads, count(DISTINCT substr(text, 1, 8)) AS umis FROM documents GROUP BY source",
     "tss_profile_score": cte("fragments", "tss")
-    + _pile(1000)
-    + """, p AS (SELECT cell, count(*) FILTER (off < -900 OR off > 900) AS e, count(*) FILTER (off BETWEEN -500 AND 500) AS k, count(*) AS n FROM pile GROUP BY cell),
-t AS (SELECT c.cell, coalesce(e, 0) / 200 AS flank, coalesce(k, 0) AS k, coalesce(n, 0) AS n FROM (SELECT DISTINCT cell FROM fragments) c LEFT JOIN p USING (cell)), a AS (SELECT avg(flank) AS m FROM t)
-SELECT cell, n AS insertions, CASE WHEN n > 0 THEN round(k / 1001 / nullif(CASE WHEN flank = 0 THEN m ELSE flank END, 0), 9) END AS tss_score FROM t, a""",
+    + """, cuts AS (SELECT cell, chrom, start AS site FROM fragments UNION ALL SELECT cell, chrom, "end" - 1 FROM fragments), pile AS (
+  SELECT s.cell, CASE WHEN t.strand = '-' THEN t.pos - s.site ELSE s.site - t.pos END AS off FROM tss t JOIN cuts s ON s.chrom = t.chrom AND s.site BETWEEN t.pos - 1000 AND t.pos + 1000
+), p AS (SELECT cell, count(*) FILTER (off BETWEEN -1000 AND -901 OR off BETWEEN 901 AND 1000) AS e, count(*) FILTER (off BETWEEN -501 AND 499) AS k, count(*) AS n FROM pile GROUP BY cell),
+t AS (SELECT c.cell, coalesce(e, 0) / 200 AS flank, coalesce(k, 0) AS k, coalesce(n, 0) AS n FROM (SELECT DISTINCT cell FROM fragments) c LEFT JOIN p USING (cell)), a AS (SELECT avg(flank) AS m FROM t),
+z AS (SELECT cell, n AS insertions, CASE WHEN n > 0 THEN round(k / 1001 / nullif(CASE WHEN flank = 0 THEN m ELSE flank END, 0), 9) END AS tss_score FROM t, a)
+SELECT *, CASE WHEN insertions > 0 AND isfinite(tss_score) THEN 'ok' ELSE 'insufficient_data' END AS status FROM z""",
     "bulk_tss_signal": cte("fragments", "tss")
     + _pile(2000)
     + """, b AS (SELECT floor((off + 2000) / 10)::BIGINT AS bin, count(*) AS n FROM pile WHERE off < 2000 GROUP BY 1), z AS (SELECT sum(CASE WHEN bin < 10 OR bin >= 390 THEN n ELSE 0 END) / 20 AS noise FROM b)
@@ -277,7 +307,7 @@ SELECT chrom, bin1, round(sum(coalesce(cpg, 0)) / (count(*) + 1), 9) AS score FR
     "cpg_windows": """WITH d AS (SELECT source AS chrom, doc_id AS start, upper(text) AS s FROM documents), c AS (SELECT chrom, start, ((length(s) - length(replace(s, 'CG', ''))) / 2)::BIGINT AS cpg, length(regexp_replace(s, '[^ACGT]', '', 'g'))::BIGINT AS valid FROM d)
 SELECT *, round(cpg / nullif(valid, 0), 9) AS density FROM c""",
     "next_positions": cte("particles") + " SELECT chrom, pos, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS next_pos FROM (SELECT DISTINCT chrom, pos FROM particles)",
-    "rmsd_pivot": """WITH t AS (SELECT o_custkey % 100 AS cell, o_orderkey % 3 AS r, max(o_totalprice) AS v FROM orders GROUP BY ALL) SELECT cell, max(v) FILTER (r = 0) AS rmsd_20k, max(v) FILTER (r = 1) AS rmsd_50k FROM t GROUP BY cell""",
+    "rmsd_pivot": """WITH t AS (SELECT o_custkey % 100 AS cell, o_orderkey % 3 AS r, max(o_totalprice) AS v FROM orders GROUP BY ALL) SELECT cell, max(v) FILTER (r = 0) AS rmsd_20k, max(v) FILTER (r = 1) AS rmsd_50k, max(v) FILTER (r = 2) AS rmsd_100k FROM t GROUP BY cell""",
     "one_hot_phases": cte("contacts") + " SELECT cell, " + ", ".join(f"(count(*) FILTER (q % 5 = {k}))::DOUBLE AS p{k}" for k in range(4)) + " FROM contacts GROUP BY cell",
     "merged_gene_spans": cte("genes") + ", g AS (SELECT chrom, start, \"end\" FROM genes), " + _union("chrom", "g", '"end"', 0) + ' SELECT chrom, min(start) AS start, max("end") AS "end" FROM v GROUP BY chrom, component',
     "genome_split_counts": cte("alignments") + " SELECT cell, CASE phase WHEN '0' THEN 'genome1' WHEN '1' THEN 'genome2' ELSE 'unassigned' END AS genome, count(*) AS n FROM alignments GROUP BY ALL",
@@ -302,7 +332,7 @@ SELECT cell, reads, reads_with_good, good_alignments, reads_with_good_r2, """
     + _dedup_sql("cell, chrom", "bed", "*", tie='read_id, ln, price, start, "end", strand')
     + ') SELECT chrom, start, "end", read_id, score, strand, cell, ln, price FROM kept WHERE score > 20',
     "strand_collapse": _READS
-    + """ SELECT replace(qname || chr(9) || string_agg(concat_ws('!', chrom, start, "end", strand, phase, mapq, n_hits, read_num), chr(9) ORDER BY segment), '-', '+') AS value FROM segs GROUP BY qname""",
+    + """ SELECT replace(qname || chr(9) || string_agg(concat_ws('!', chrom, start, "end", strand, phase, mapq, n_hits, 'R' || read_num), chr(9) ORDER BY segment), '-', '+') AS value FROM segs GROUP BY qname""",
     "chromosome_exclusions": cte("contacts") + " SELECT chr2 AS chrom, count(*) AS n FROM contacts WHERE NOT contains(chr2, 'chrUn') AND NOT contains(chr2, 'X') AND NOT contains(chr2, 'chr1') GROUP BY chr2",
     "compat_counters_rollup": """WITH t AS (
   SELECT l_orderkey AS q, l_suppkey % 50 AS cell, l_linenumber % 2 AS mate, CASE WHEN l_returnflag <> 'R' THEN 'G' || (l_partkey % 40) END AS gene, l_partkey % 8 AS token, l_quantity AS mapq FROM lineitem
@@ -311,7 +341,7 @@ SELECT cell, reads, reads_with_good, good_alignments, reads_with_good_r2, """
     coalesce(list(DISTINCT token) FILTER (mate = 1 AND gene IS NOT NULL), []) AS t1, coalesce(list(DISTINCT token) FILTER (mate = 0 AND gene IS NOT NULL), []) AS t2,
     coalesce(max(mapq) FILTER (mate = 0) >= 25, false) AS r2 FROM t GROUP BY q
 ), c AS (
-  SELECT *, CASE WHEN len(g1) = 0 THEN 'a' WHEN NOT r2 THEN 'b' WHEN len(g2) = 0 THEN 'c' WHEN list_has_any(g1, g2) OR list_has_any(t1, t2) THEN 'd' ELSE 'e' END AS k FROM p
+  SELECT *, CASE WHEN len(g1) = 0 THEN 'a' WHEN len(g2) = 0 THEN CASE WHEN r2 THEN 'c' ELSE 'b' END WHEN list_has_any(g1, g2) OR list_has_any(t1, t2) THEN 'd' ELSE 'e' END AS k FROM p
 ), s AS (
   SELECT CASE WHEN grouping(cell) = 1 THEN 'ALL' ELSE cell::VARCHAR END AS cell, count(*) AS reads, count(*) FILTER (len(g1) > 0) AS r1_informative, count(*) FILTER (len(g2) > 0) AS r2_informative, count(*) FILTER (r2) AS r2_well_mapped,
     count(*) FILTER (k = 'a') AS r1_uninformative, count(*) FILTER (k = 'b') AS r2_uninformative, count(*) FILTER (k = 'c') AS r2_genome_only, count(*) FILTER (k = 'd') AS concordant, count(*) FILTER (k = 'e') AS incompatible FROM c GROUP BY ROLLUP (cell)

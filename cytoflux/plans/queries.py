@@ -109,18 +109,21 @@ def interval_union_components(spark, sf_dir):
     return intervals.union_components(g, ["chrom"], ["end", "gene"], 0).select("chrom", "gene", "start", "end", "component")
 
 
+CLUSTER_TIES = ("start", "end", "q", "ln", "price", "strand")
+
+
 def cluster_best_mapq(spark, sf_dir):
-    f = view(spark, sf_dir, "fragments").where("mapq > 20")
-    best = [F.col("mapq").desc(), *[F.col(c) for c in ("start", "end", "q", "ln", "price", "strand")]]
-    return intervals.cluster_best(f, ["cell", "chrom"], 10, best, ["end", "q", "ln", "price"]).select("cell", "chrom", "start", "end", "mapq", "q", "ln", "price")
+    """Good fragments of wanted chromosomes by clusters of their 5' points: the best of each, widened by 75 bases."""
+    f = view(spark, sf_dir, "fragments").where("mapq > 20 AND chrom BETWEEN 1 AND 19")
+    c = fragments.point_clusters(f, ["cell", "chrom"], 10, list(CLUSTER_TIES))
+    best = fragments.best_of_clusters(c, ["cell", "chrom"], [F.col("mapq").desc(), "point", *[F.col(x) for x in CLUSTER_TIES]])
+    return fragments.extended_points(best).select("cell", "chrom", "start", "end", "mapq", "q", "ln", "price")
 
 
 def cluster_then_filter(spark, sf_dir):
-    """Clusters over all fragments first, quality after; distinct reads."""
-    f = view(spark, sf_dir, "fragments")
-    c = intervals.union_components(f, ["cell", "chrom"], ["end", "q", "ln", "price"], 10).where("mapq >= 20")
-    order = [F.col("mapq").desc(), *[F.col(x) for x in ("start", "end", "q", "ln", "price", "strand")]]
-    return rna.first_row(c, ["cell", "chrom", "component"], order).select("q").distinct()
+    """Clusters of the 5' points of all fragments first, quality after; distinct reads."""
+    c = fragments.point_clusters(view(spark, sf_dir, "fragments"), ["cell", "chrom"], 10, list(CLUSTER_TIES)).where("mapq >= 20")
+    return fragments.best_of_clusters(c, ["cell", "chrom"], [F.col("mapq").desc(), "point", *[F.col(x) for x in CLUSTER_TIES]]).select("q").distinct()
 
 
 def coverage_steps(spark, sf_dir):
@@ -148,14 +151,36 @@ def snp_vote_phase(spark, sf_dir):
     return phasing.snp_votes(a, view(spark, sf_dir, "snps"), [*ids, "base"])
 
 
+def _records(spark, sf_dir):
+    """Records of the test tables with CIGAR, sequence and qualities; rows that are equal in all count once."""
+    t = view(spark, sf_dir, "records").distinct()
+    n = lambda c, op: F.concat(F.col(c).cast("string"), F.lit(op))
+    rest = (F.col("mapq") + 5 - F.col("del")).cast("string")
+    length = F.col("clip") + 35 + F.col("ins") + F.col("mapq") + 5 - F.col("del")
+    cigar = F.concat(F.when(F.col("clip") > 0, n("clip", "S")).otherwise(""), F.lit("20M"), n("ins", "I"), F.lit("15M"), n("del", "D"), rest, F.lit("M"))
+    t = t.select("qname", F.col("qname").alias("id"), "flag", "chrom", "start", "mapq", cigar.alias("cigar"), F.substring(F.lit("ACGT" * 40), F.col("letter") + 1, length).alias("seq"), F.substring(F.lit("I+5J#" * 40), F.col("grade") + 1, length).alias("qual"))
+    return t
+
+
+def annotated_records(spark, sf_dir):
+    """Geometry and haplotype votes of each good record, its bases read along the CIGAR."""
+    return phasing.annotated(_records(spark, sf_dir), view(spark, sf_dir, "snps"), 10, 20)
+
+
+def annotated_records_by_sweep(spark, sf_dir):
+    """The same through the sweep over both tables in order of place."""
+    return phasing.annotated(_records(spark, sf_dir), view(spark, sf_dir, "snps"), 10, 20, join=phasing.swept_join)
+
+
 def flag_mapq_counts(spark, sf_dir):
     a = view(spark, sf_dir, "alignments").withColumn("chrom", F.when(F.col("chrom") == 0, "chrY").when(F.col("chrom") < 4, "chrX").otherwise("chr1"))
-    return qc.flag_counts(a, ["cell"], 10, 20)
+    return qc.flag_counts(a, ["cell"], 10, 8)
 
 
 def sex_call_state(spark, sf_dir):
-    t = qc.sex_call(flag_mapq_counts(spark, sf_dir), "0.3")
-    return t.select("cell", "state", "sex_state", F.col("ratio").cast("double").alias("ratio"), "sex")
+    counts = flag_mapq_counts(spark, sf_dir).withColumn("qualifying", F.when(F.col("cell") == 7, 0).otherwise(F.col("qualifying")))
+    t = qc.sex_call(counts, "0.3")
+    return t.select("cell", "input_state", "sex_state", "sex_call", "fallback_applied", "ratio_state", "measured", *[F.col(c).cast("double").alias(c) for c in ("measured_yperx", "effective_yperx")])
 
 
 def _classified(spark, sf_dir):
@@ -232,8 +257,8 @@ def split_read_totals(spark, sf_dir):
 
 
 def cohort_set_diff(spark, sf_dir):
-    """The cohort against the cells of large orders, under a shifted code."""
-    found = _read(spark, sf_dir, "lineitem").where("l_quantity > 49").select((F.col("l_suppkey") + 3).alias("cell"))
+    """The cohort against the cells of all reads, under a shifted code."""
+    found = _read(spark, sf_dir, "lineitem").select((F.col("l_suppkey") + 3).alias("cell"))
     return qc.set_differences(view(spark, sf_dir, "cells"), found, "cell")
 
 
@@ -245,8 +270,9 @@ def contract_field_diff(spark, sf_dir):
 
 
 def expected_missing(spark, sf_dir):
+    """Cells and resolutions that no order has, with a customer's number as cell."""
     grid = qc.expected_grid(view(spark, sf_dir, "cells").select("cell"), ["20k", "50k", "100k"], "resolution")
-    there = _read(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_suppkey").alias("cell"), F.when(F.col("l_linenumber") < 3, "20k").when(F.col("l_linenumber") < 5, "50k").otherwise("1m").alias("resolution")).distinct()
+    there = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("cell"), F.when(F.col("o_orderkey") % 3 == 0, "20k").when(F.col("o_orderkey") % 3 == 1, "50k").otherwise("1m").alias("resolution")).distinct()
     return grid.join(there, ["cell", "resolution"], "left_anti")
 
 
@@ -329,10 +355,11 @@ def umi_extraction(spark, sf_dir):
 
 
 def tss_profile_score(spark, sf_dir):
-    sites = fragments.insertion_sites(view(spark, sf_dir, "fragments"))
-    pile = qc.tss_pileup(sites, view(spark, sf_dir, "tss"), 1000)
-    cells = view(spark, sf_dir, "fragments").select("cell").distinct()
-    return qc.tss_score(pile, cells).select("cell", "insertions", F.round("tss_score", 9).alias("tss_score"))
+    """Scores and their status by cell over both cut ends of all fragments."""
+    f = view(spark, sf_dir, "fragments")
+    pile = qc.tss_pileup(fragments.cut_sites(f), view(spark, sf_dir, "tss"), 1000)
+    t = qc.tss_score(pile, f.groupBy("cell").agg(F.count("*").alias("fragments")))
+    return t.select("cell", "insertions", F.round("tss_score", 9).alias("tss_score"), qc.tss_status(F.col("insertions"), F.col("tss_score")).alias("status"))
 
 
 def bulk_tss_signal(spark, sf_dir):
@@ -403,7 +430,7 @@ def aligned_structures(spark, sf_dir):
 def rmsd_pivot(spark, sf_dir):
     t = _read(spark, sf_dir, "orders").select((F.col("o_custkey") % 100).alias("cell"), F.when(F.col("o_orderkey") % 3 == 0, "20k").when(F.col("o_orderkey") % 3 == 1, "50k").otherwise("100k").alias("resolution"), F.col("o_totalprice").alias("rmsd"))
     t = t.groupBy("cell", "resolution").agg(F.max("rmsd").alias("rmsd"))
-    return structure.pivot_resolutions(t, ["20k", "50k"])
+    return structure.pivot_resolutions(t, ["20k", "50k", "100k"])
 
 
 def one_hot_phases(spark, sf_dir):
@@ -516,6 +543,8 @@ QUERIES = {
     "coverage_cpm": coverage_cpm,
     "binned_rpkm": binned_rpkm,
     "snp_vote_phase": snp_vote_phase,
+    "annotated_records": annotated_records,
+    "annotated_records_by_sweep": annotated_records_by_sweep,
     "flag_mapq_counts": flag_mapq_counts,
     "sex_call_state": sex_call_state,
     "compat_classes_rollup": compat_classes_rollup,

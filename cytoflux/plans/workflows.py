@@ -74,7 +74,7 @@ def fragment_plan(alignments: DataFrame, snps: DataFrame, s: Settings, ties: tup
     Only alignments of reads whose chosen R2 is not clipped are phased, so the range join sees no others.  An alignment is known by all of
     its columns, so two that differ in any have votes of their own; rows that are equal in all have the same votes.
     """
-    good = alignments.where(fragments.mapped(s.min_mapq))
+    good = fragments.with_aligned_length(alignments.where(fragments.mapped(s.min_mapq)))
     good = good.withColumn("id", F.md5(F.to_json(F.struct(*alignments.columns)).cast("binary")))
     chosen = fragments.unclipped(fragments.select_best(good, ties=ties))
     wanted = good.join(chosen.select("qname"), "qname", "left_semi").dropDuplicates(["id"])

@@ -78,14 +78,14 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    """A read per line: name, then items ``chrom!start!end!strand!phase!mapq!n!origin``."""
+    """A read per line: name, then items ``chrom!start!end!strand!phase!mapq!n!origin``; the origin is ``R1`` or ``R2`` (``read_num`` 1 or 2), or else 0."""
     f = F.split("value", "\t")
 
     def item(x: Column) -> Column:
         p = F.split(x, "!")
         at = lambda n: F.element_at(p, n)
         return F.struct(
-            at(1).alias("chrom"), at(2).cast("bigint").alias("start"), at(3).cast("bigint").alias("end"), at(4).alias("strand"), at(5).alias("phase"), at(6).cast("int").alias("mapq"), at(7).cast("int").alias("n_hits"), F.get(p, F.lit(7)).cast("int").alias("read_num")
+            at(1).alias("chrom"), at(2).cast("bigint").alias("start"), at(3).cast("bigint").alias("end"), at(4).alias("strand"), at(5).alias("phase"), at(6).cast("int").alias("mapq"), at(7).cast("int").alias("n_hits"), F.when(F.get(p, F.lit(7)) == "R1", 1).when(F.get(p, F.lit(7)) == "R2", 2).otherwise(0).alias("read_num")
         )
 
     return _lines(spark, path).select(F.element_at(f, 1).alias("qname"), F.transform(F.filter(F.slice(f, F.lit(2), F.size(f)), lambda x: x != ""), item).alias("segs"))

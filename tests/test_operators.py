@@ -69,7 +69,7 @@ def test_overlap_join_finds_each_pair_once(spark):
 
 
 def test_candidate_order_prefers_less_clipping_then_primary(spark):
-    a = spark.createDataFrame([("q", "R2", 0x800, 60, 0, "c", 1, 50, "+"), ("q", "R2", 0, 60, 3, "c", 9, 70, "+")], "qname string, origin string, flag int, mapq int, q_start int, chrom string, start long, end long, strand string")
+    a = spark.createDataFrame([("q", "R2", 0x800, 60, 0, "c", 1, 50, "+", 49), ("q", "R2", 0, 60, 3, "c", 9, 70, "+", 61)], "qname string, origin string, flag int, mapq int, q_start int, chrom string, start long, end long, strand string, aligned_length long")
     assert rows(fragments.select_best(a), "q_start", "flag") == [(0, 0x800)]
     secondary = a.withColumn("flag", F.when(F.col("q_start") == 0, 0x100).otherwise(0))
     best = fragments.select_best(secondary)
@@ -77,6 +77,39 @@ def test_candidate_order_prefers_less_clipping_then_primary(spark):
     assert fragments.unclipped(best).count() == 0
 
 
+SELECTION = "qname string, origin string, flag int, mapq int, q_start int, chrom string, start long, end long, strand string, cigar string, phase string"
+
+
+def test_selection_counts_aligned_bases_of_the_read(spark):
+    """A deletion widens an alignment on the chromosome and adds no base of the read; an insertion does."""
+    a = spark.createDataFrame([("q", "R2", 0, 60, 0, "c", 1, 61, "+", "20M20D20M", "."), ("q", "R2", 0, 60, 0, "c", 5, 46, "+", "41M", "."), ("p", "R2", 0, 60, 0, "c", 1, 42, "+", "41M", "."), ("p", "R2", 0, 60, 0, "c", 5, 45, "+", "20M2I20M", ".")], SELECTION)
+    assert rows(fragments.select_best(fragments.with_aligned_length(a)), "qname", "start", "aligned_length") == [("p", 5, 42), ("q", 5, 41)]
+
+
+def test_secondary_r1_alignments_say_nothing(spark):
+    r2 = ("R2", 0, 60, 0, "c", 1, 11, "+", "10M", ".")
+    r1 = lambda flag, phase, start=50: ("R1", flag, 60, 0, "c", start, start + 10, "+", "10M", phase)
+    reads = {"a": [r2, r1(0x100, "1", 40), r1(0, "0")], "b": [r2, r1(0x100, "1")], "d": [r2, r1(0, "1"), r1(0x800, "0")], "e": [(*r2[:-1], "0"), r1(0, "1")]}
+    a = fragments.with_aligned_length(spark.createDataFrame([(q, *x) for q, v in reads.items() for x in v], SELECTION))
+    t = fragments.with_fallback_phase(fragments.select_best(a), a)
+    assert rows(t, "qname", "final_phase", "phase_source", "r1_informative", "r1_conflict", "conflict") == [
+        ("a", "0", "R1", 1, False, False),
+        ("b", ".", "unphased", 0, False, False),
+        ("d", "1", "R1", 2, True, False),
+        ("e", "0", "R2", 1, False, True),
+    ]
+
+
+def test_clusters_of_points(spark):
+    """Points of clusters are at most the distance apart, ends of reverse fragments count, and the best is widened around its point."""
+    f = spark.createDataFrame([("a", 100, 300, "+", 20), ("b", 50, 105, "-", 40), ("d", 117, 400, "+", 30), ("e", 106, 117, "-", 10)], "q string, start long, end long, strand string, mapq int").withColumn("chrom", F.lit("c"))
+    c = fragments.point_clusters(f, ["chrom"], 10, ["q"])
+    assert rows(c, "q", "point") == [("a", 100), ("b", 105), ("d", 117), ("e", 117)]
+    best = fragments.best_of_clusters(c, ["chrom"], [F.col("mapq").desc(), F.col("q")])
+    assert rows(fragments.extended_points(best), "q", "start", "end") == [("b", 30, 181), ("d", 42, 193)]
+    assert rows(fragments.best_of_clusters(fragments.point_clusters(f, ["chrom"], 11, ["q"]), ["chrom"], [F.col("mapq").desc()]), "q") == [("b",)]
+
+
 def test_phase_verdict(spark):
     d = spark.createDataFrame([(2, 0), (0, 1), (1, 1), (0, 0)], "a int, b int")
     assert [r[0] for r in d.select(A.phase_verdict(F.col("a"), F.col("b"))).collect()] == ["0", "1", ".", "."]
@@ -96,18 +129,72 @@ def test_phase_from_bases(spark):
     a = spark.createDataFrame([(1, "c", 100, "2S4M", "TTACGT", "IIIIII"), (2, "c", 100, "4M", "ACGT", "!!!!"), (3, "c", 100, "4M", "ACGT", "*")], "id int, chrom string, start long, cigar string, seq string, qual string")
     s = spark.createDataFrame([("c", 101, "C", "G"), ("c", 104, "A", "C")], "chrom string, pos long, a0 string, a1 string")
     assert rows(phasing.phase_alignments(a, s), "id", "n0", "phase") == [(1, 1, "0"), (2, 0, "."), (3, 1, "0")]
+    assert rows(phasing.phase_alignments(a, s, join=phasing.swept_join), "id", "n0", "phase") == [(1, 1, "0"), (2, 0, "."), (3, 1, "0")]
+    short = a.withColumn("seq", F.lit("A")).where("id = 1")
+    with pytest.raises(Exception, match="beyond the sequence"):
+        phasing.phase_alignments(short, s).collect()
+
+
+def test_sweep_join_finds_the_pairs_of_the_bin_join(spark):
+    """Long and short intervals, several segments and small batches; nulls and empty intervals meet nothing."""
+    random.seed(6)
+    iv = [(random.choice("ab"), i, s, s + random.choice([0, 1, 5, 60, 3000])) for i, s in enumerate(random.randrange(5000) for _ in range(300))] + [("a", 900, None, 5), (None, 901, 0, 9000)]
+    pt = [(random.choice("abz"), i, random.randrange(6000)) for i in range(400)] + [("a", 900, None), (None, 901, 5)]
+    x, y = spark.createDataFrame(iv, "chrom string, id int, start long, end long"), spark.createDataFrame(pt, "chrom string, id int, pos long")
+    want = sorted((i, j) for c, i, s, e in iv for d, j, p in pt if c and c == d and s is not None and p is not None and s <= p < e)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size, width in ((10_000, 1 << 18), (7, 512), (1, 64)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+            assert rows(intervals.sweep_point_join(x, y, ["chrom"], width=width), "l_id", "r_id") == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert intervals.sweep_point_join(x.where("false"), y, ["chrom"]).count() == 0
+    assert intervals.point_join(x.where("start < end"), y, ["chrom"], width=64).count() == len(want)
 
 
 def test_sex_calls(spark):
     cases = [("a", 0, 0), ("b", 0, 3), ("c", 100, 0), ("d", 100, 2), ("e", 2000, 30), ("f", 2_000_000, 1)]
     d = spark.createDataFrame([(k, 9, 9, 9, x, y) for k, x, y in cases], "cell string, total long, mapped long, qualifying long, x long, y long")
-    got = {r.cell: (r.sex_state, r.sex) for r in qc.sex_call(d, "0.015").collect()}
-    assert got == {"a": ("fallback", "XX"), "b": ("only_y", "XY"), "c": ("ratio", "XX"), "d": ("ratio", "XY"), "e": ("ratio", "XX"), "f": ("ratio", "XX")}
+    shown = lambda v: None if v is None else f"{v:.6f}"
+    got = {r.cell: (r.sex_state, r.sex_call, r.fallback_applied, r.ratio_state, r.measured, shown(r.measured_yperx), shown(r.effective_yperx)) for r in qc.sex_call(d, "0.015").collect()}
+    assert got == {
+        "a": ("undetermined_no_xy", "XX", True, "undefined_zero_zero", False, None, "0.000000"),
+        "b": ("xy_y_only", "XY", False, "positive_infinity", False, None, "3.000000"),
+        "c": ("xx_x_only", "XX", False, "finite", True, "0.000000", "0.000000"),
+        "d": ("xy_ratio", "XY", False, "finite", True, "0.020000", "0.020000"),
+        "e": ("xx_ratio", "XX", False, "finite", True, "0.015000", "0.015000"),
+        "f": ("xx_ratio", "XX", False, "finite", True, "0.000001", "0.000001"),
+    }
+    male = qc.sex_call(d.where("cell = 'a'"), "0.015", "XY").first()
+    assert (male.sex_call, shown(male.effective_yperx)) == ("XY", "1.015000")
 
 
 def test_states_of_empty_cells(spark):
-    d = spark.createDataFrame([("a", 0, 0, 0, 0, 0), ("b", 5, 0, 0, 0, 0), ("c", 5, 5, 0, 0, 0)], "cell string, total long, mapped long, qualifying long, x long, y long")
-    assert rows(qc.sex_call(d), "cell", "state", "sex") == [("a", "header_only", "XX"), ("b", "unmapped_only", "XX"), ("c", "low_mapq_only", "XX")]
+    """Cells without a good read have no call, whatever their counts on X and Y."""
+    d = spark.createDataFrame([("a", 0, 0, 0, 0, 0), ("b", 5, 0, 0, 0, 0), ("c", 5, 5, 0, 3, 1)], "cell string, total long, mapped long, qualifying long, x long, y long")
+    got = rows(qc.sex_call(d), "cell", "input_state", "sex_state", "sex_call", "ratio_state", "effective_yperx")
+    assert got == [(c, s, "not_applicable", "", "not_applicable", None) for c, s in (("a", "header_only"), ("b", "unmapped_only"), ("c", "low_mapq_only"))]
+
+
+def test_counts_on_x_and_y_have_a_bound_of_their_own(spark):
+    a = spark.createDataFrame([("k", 0, 15, "chrX"), ("k", 0, 25, "chrY"), ("k", 4, 60, "chrX"), ("k", 0, 5, "chrX")], "cell string, flag int, mapq int, chrom string")
+    assert rows(qc.flag_counts(a, ["cell"], 20, 10), "total", "mapped", "qualifying", "x", "y") == [(4, 3, 1, 1, 1)]
+    assert rows(qc.flag_counts(a, ["cell"], 10, 20), "qualifying", "x", "y") == [(2, 0, 1)]
+
+
+def test_tss_offsets(spark):
+    """The core runs from -501 to 499, flanks are the outer 100 offsets, the mitochondrion does not count."""
+    tss = spark.createDataFrame([("chr1", 5000, "+"), ("chrM", 5000, "+")], "chrom string, pos long, strand string")
+    def score(*offsets):
+        sites = spark.createDataFrame([("x", c, 5000 + o) for c in ("chr1", "chrM") for o in offsets], "cell string, chrom string, site long")
+        return qc.tss_score(qc.tss_pileup(sites, tss), spark.createDataFrame([("x",)], "cell string")).first()
+    for o, inside in ((-502, 0), (-501, 1), (0, 1), (499, 1), (500, 0)):
+        r = score(o, -1000, -901, 901, 1000)
+        assert r.insertions == 5 and r.tss_score == pytest.approx(inside / 1001 / (4 / 200))
+    assert score(-900, 900).tss_score is None and score(-900).insertions == 1
+    ends = fragments.cut_sites(spark.createDataFrame([(10, 20)], "start long, end long"))
+    assert sorted(x.site for x in ends.collect()) == [10, 19]
 
 
 def test_multigene_counts_are_shared_out(spark):
@@ -118,13 +205,13 @@ def test_multigene_counts_are_shared_out(spark):
 def test_compatibility_classes(spark):
     s = "array<string>"
     d = spark.createDataFrame(
-        [(1, [], ["a"], [], ["t"], True), (2, ["a"], [], ["t"], [], False), (3, ["a"], [], ["t"], [], True), (4, ["a"], ["a"], ["t"], ["u"], True), (5, ["a"], ["b"], ["t"], ["t"], True), (6, ["a"], ["b"], ["t"], ["u"], True)],
+        [(1, [], ["a"], [], ["t"], True), (2, ["a"], [], ["t"], [], False), (3, ["a"], [], ["t"], [], True), (4, ["a"], ["a"], ["t"], ["u"], True), (5, ["a"], ["b"], ["t"], ["t"], True), (6, ["a"], ["b"], ["t"], ["u"], True), (7, ["a"], ["a"], ["t"], ["t"], False), (8, ["a"], ["b"], ["t"], ["u"], False)],
         f"q int, g1 {s}, g2 {s}, t1 {s}, t2 {s}, r2_mapped boolean",
     ).withColumn("cell", F.lit("x"))
     c = d.withColumn("category", rna.compatibility())
-    assert [x for _, x in rows(c, "q", "category")] == ["r1_uninformative", "r2_uninformative", "r2_genome_only", "concordant", "concordant", "incompatible"]
+    assert [x for _, x in rows(c, "q", "category")] == ["r1_uninformative", "r2_uninformative", "r2_genome_only", "concordant", "concordant", "incompatible", "concordant", "incompatible"]
     total = rna.compatibility_counts(c).where("cell = 'ALL'").first()
-    assert total.pairs == sum(total[k] for k in rna.CLASSES) and total.compatible == 4
+    assert total.pairs == sum(total[k] for k in rna.CLASSES) and total.compatible == 5
 
 
 def test_matrix_has_all_cells_in_order(spark):
@@ -146,19 +233,37 @@ def test_directional_umis(spark):
     assert rows(rna.directional_umis(d, ["cell"]), "cell", "n") == [("c", 3)]
 
 
-def test_hits_merge_below_500_bases(spark):
-    def segments(second):
-        h = spark.createDataFrame([("q", 0, 0, "c", 100, 200, "+", ".", 10), ("q", 0, 5, "c", 200 + second, 900, "+", "1", 30)], "qname string, read_num int, q_start int, chrom string, start long, end long, strand string, phase string, mapq int")
-        return contacts.merge_hits(h).collect()
+HITS = "qname string, read_num int, q_start int, chrom string, start long, end long, strand string, phase string, mapq int"
+
+
+@pytest.mark.parametrize(("strand", "distance", "merges"), [(s, d, -500 <= d < 500) for s in "+-" for d in (-501, -500, -499, 499, 500)])
+def test_hits_merge_up_to_500_bases(spark, strand, distance, merges):
+    """On the forward strand the distance is from the end of the hit before to the start, on the reverse strand from its start to the end."""
+    second = (3000 + distance, 3900) if strand == "+" else (1000, 2000 + distance)
+    h = spark.createDataFrame([("q", 1, 0, "c", 2000, 3000, strand, ".", 10), ("q", 1, 5, "c", *second, strand, "1", 30)], HITS)
+    got = contacts.merge_hits(h).orderBy("segment").collect()
+    assert len(got) == (1 if merges else 2)
+    if merges:
+        ends = (2000, 3900) if strand == "+" else (1000, 3000)
+        assert (got[0].start, got[0].end, got[0].mapq, got[0].n_hits, got[0].phase) == (*ends, 30, 2, ".")
+
+
+def test_contacts_are_from_the_end_of_the_left_to_the_start_of_the_right(spark):
+    h = spark.createDataFrame([("q", 1, 0, "a", 100, 200, "-", ".", 10), ("q", 2, 0, "b", 300, 400, "-", "0", 30), ("q", 2, 9, "d", 500, 600, "+", "1", 30)], HITS)
+    assert rows(contacts.adjacent_pairs(contacts.resolve_reads(h)), "i", "chr1", "pos1", "chr2", "pos2", "strand1", "strand2") == [(0, "a", 200, "b", 300, "-", "-"), (1, "b", 400, "d", 500, "-", "+")]
+
 
-    merged = segments(499)
-    assert len(merged) == 1 and (merged[0].start, merged[0].end, merged[0].mapq, merged[0].n_hits, merged[0].phase) == (100, 900, 30, 2, ".")
-    assert len(segments(500)) == 2
+def test_r2_segments_become_bed(spark):
+    """R2 has read number 2; an unphased segment of it takes the first phase that R1 has."""
+    h = [("q", 1, 0, "a", 1, 9, "+", ".", 7), ("q", 1, 9, "b", 1, 9, "+", "1", 7), ("q", 1, 19, "d", 1, 9, "+", "0", 7), ("q", 2, 0, "e", 30, 40, "-", ".", 8), ("q", 2, 9, "f", 50, 60, "+", "0", 9), ("p", 1, 0, "a", 1, 9, "+", ".", 7), ("p", 2, 0, "e", 3, 4, "-", ".", 8)]
+    reads = contacts.resolve_reads(spark.createDataFrame(h, HITS))
+    assert rows(contacts.segments_to_bed(reads), "qname", "chrom", "start", "end", "phase", "mapq", "strand") == [("p", "e", 3, 4, ".", 8, "-"), ("q", "e", 30, 40, "1", 8, "-"), ("q", "f", 50, 60, "0", 9, "+")]
+    assert sorted(x.value for x in contacts.segment_lines(reads).collect())[0] == "p\ta!1!9!+!.!7!1!R1\te!3!4!-!.!8!1!R2"
 
 
 def test_reads_with_scaffold_or_covered_segment_go(spark):
     seg = "array<struct<chrom:string,start:bigint,end:bigint,strand:string,phase:string,mapq:int,n_hits:int,read_num:int>>"
-    d = spark.createDataFrame([("a", [("chr1", 0, 60, "+", ".", 1, 1, 0), ("chrUn", 0, 60, "+", ".", 1, 1, 1)]), ("b", [("chrX", 0, 60, "+", "0", 1, 1, 0), ("chrY", 100, 160, "+", ".", 1, 1, 1)])], f"qname string, segs {seg}")
+    d = spark.createDataFrame([("a", [("chr1", 0, 60, "+", ".", 1, 1, 1), ("chrUn", 0, 60, "+", ".", 1, 1, 2)]), ("b", [("chrX", 0, 60, "+", "0", 1, 1, 1), ("chrY", 100, 160, "+", ".", 1, 1, 2)])], f"qname string, segs {seg}")
     assert rows(contacts.standard_reads(d), "qname") == [("b",)]
     assert rows(contacts.standard_reads(d, contacts.NO_Y), "qname") == []
     for length, left in ((29, 1), (30, 0)):
@@ -330,7 +435,7 @@ def test_small_functions(spark):
     flags = spark.createDataFrame([(1, 3, 30), (2, 3, 29), (3, 1, 60), (4, 3 | 0x400, 60), (5, 3 | 0x100, 60)], "id int, flag int, mapq int")
     assert [x.id for x in flags.where(fragments.proper_primary()).collect()] == [1]
     status = spark.createDataFrame([(0, 1.0), (5, 1.0), (5, None), (5, float("nan"))], "n int, v double").select(qc.tss_status(F.col("n"), F.col("v"))).collect()
-    assert [x[0] for x in status] == [None, "ok", "insufficient_data", "insufficient_data"]
+    assert [x[0] for x in status] == ["insufficient_data", "ok", "insufficient_data", "insufficient_data"]
     targets = spark.createDataFrame([("a", True), ("b", True), ("c", True), ("d", False)], "path string, enabled boolean")
     assert sorted(x.path for x in cohort.missing_targets(targets, spark.createDataFrame([("a", 5), ("b", 0)], "path string, length long")).collect()) == ["b", "c"]
 

@@ -37,8 +37,8 @@ def test_tables(spark, tmp_path):
     pairs = put(tmp_path, "a.pairs", "## pairs\n#chromosome: chr1 9\nr\tchr1\t1\tchr2\t2\n\n")
     r = readers.read_pairs(spark, pairs).first()
     assert (r.read_id, r.pos2, r.strand1) == ("r", 2, None)
-    seg = put(tmp_path, "a.seg", "r\tchr1!1!9!+!.!60!1!0\tchr2!3!8!-!1!50!2!1\n")
-    assert [tuple(s) for s in readers.read_segments(spark, seg).first().segs] == [("chr1", 1, 9, "+", ".", 60, 1, 0), ("chr2", 3, 8, "-", "1", 50, 2, 1)]
+    seg = put(tmp_path, "a.seg", "r\tchr1!1!9!+!.!60!1!R1\tchr2!3!8!-!1!50!2!R2\tchr3!3!8!-!1!50!2!.\n")
+    assert [tuple(s) for s in readers.read_segments(spark, seg).first().segs] == [("chr1", 1, 9, "+", ".", 60, 1, 1), ("chr2", 3, 8, "-", "1", 50, 2, 2), ("chr3", 3, 8, "-", "1", 50, 2, 0)]
     con = put(tmp_path, "a.con", "chr1,5,0\tchr2,6,1\n")
     assert tuple(readers.read_con(spark, con).first()) == ("chr1", 5, "chr2", 6, "0", "1")
     matrix = put(tmp_path, "m.tsv", "gene\ta\tb\nG\t1\t2.5\n")
@@ -129,7 +129,7 @@ def test_long_lines_are_whole(spark, tmp_path):
     assert (r.n, r.long) == (len(tags), 1_500_000) and len(tags) > 1240
     plain = readers.read_sam(spark, put(tmp_path, "b.sam", "q\t0\tc\t1\t60\t4M\t*\t0\t0\tACGT\tIIII\n")).first()
     assert plain.tags == {}
-    seg = "r\t" + "\t".join(["c!1!9!+!.!60!1!0"] * 1_000_500)
+    seg = "r\t" + "\t".join(["c!1!9!+!.!60!1!R1"] * 1_000_500)
     assert readers.read_segments(spark, put(tmp_path, "a.seg", seg + "\n")).select(F.size("segs")).first()[0] == 1_000_500
 
 

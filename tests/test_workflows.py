@@ -45,7 +45,7 @@ def test_fragments(spark):
     snps = spark.createDataFrame([("c", 202, "A", "C")], "chrom string, pos long, a0 string, a1 string")
     out = P.fragment_plan(spark.createDataFrame(rows, schema), snps, P.Settings())
     table = {r.qname: (r.final_phase, r.phase_source) for r in out["phase_table"].collect()}
-    assert table == {"a": ("1", "R1"), "b": (".", "none")}
+    assert table == {"a": ("1", "R1"), "b": (".", "unphased")}
     assert [r.qname for r in out["fragments"].collect()] == ["a"]
     assert [tuple(r) for r in out["rates"].collect()] == [("x", 2, 1, 0.5)]
     assert out["cohort"].count() == 1 and out["bins"].first().n == 1
@@ -53,7 +53,7 @@ def test_fragments(spark):
 
 def test_contacts(spark):
     h = "qname string, read_num int, q_start int, chrom string, start long, end long, strand string, phase string, mapq int"
-    rows = [("a", 0, 0, "chr1", 100, 200, "+", ".", 9), ("a", 0, 5, "chr2", 900, 990, "+", "1", 9), ("b", 0, 0, "chr1", 120, 210, "+", ".", 9), ("b", 1, 5, "chr2", 910, 999, "+", "1", 9), ("c", 0, 0, "chr1", 1, 9, "+", ".", 9), ("c", 0, 1, "chrM", 1, 9, "+", ".", 9)]
+    rows = [("a", 1, 0, "chr1", 100, 200, "+", ".", 9), ("a", 1, 5, "chr2", 900, 990, "+", "1", 9), ("b", 0, 0, "chr1", 120, 210, "+", ".", 9), ("b", 1, 5, "chr2", 910, 999, "+", "1", 9), ("c", 0, 0, "chr1", 1, 9, "+", ".", 9), ("c", 0, 1, "chrM", 1, 9, "+", ".", 9)]
     out = P.contact_plan(spark.createDataFrame(rows, h), None, P.Settings())
     assert out["pairs"].count() == 2 and out["deduplicated"].count() == 1
     par = spark.createDataFrame([("chr2", 880, 995)], "chrom string, start long, end long")
@@ -73,5 +73,5 @@ def test_rna(spark):
 
 def test_sex(spark):
     a = spark.createDataFrame([("x", 0, 60, "chrX"), ("x", 0, 60, "chrY"), ("x", 4, 0, "chr1")], "cell string, flag int, mapq int, chrom string")
-    assert P.sex_plan(a, P.Settings()).first().sex == "XY"
+    assert P.sex_plan(a, P.Settings()).first().sex_call == "XY"
     assert P.sex_plan(a.where(F.lit(False)), P.Settings()).count() == 0
