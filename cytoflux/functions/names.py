@@ -62,3 +62,18 @@ def plain_number(value: Column, digits: int = 10) -> Column:
 
 def one_hot_phase(p: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(i == p, 1.0).otherwise(0.0))
+
+
+def natural_key(name: Column) -> Column:
+    """A text whose plain order is the natural order of names: runs of digits compare as numbers, all else by character, and a name before the names it begins.
+
+    A run becomes a ``0``, its length without leading zeros in six digits, and these digits, so it compares with other characters as a digit does.  Names that differ in leading zeros alone
+    have equal keys.
+    """
+    parts = F.regexp_extract_all(name, F.lit("([0-9]+|[^0-9]+)"), F.lit(1))
+
+    def shown(x: Column) -> Column:
+        number = F.regexp_replace(x, "^0+", "")
+        return F.when(x.rlike("^[0-9]"), F.concat(F.lit("0"), F.lpad(F.length(number).cast("string"), 6, "0"), number)).otherwise(x)
+
+    return F.array_join(F.transform(parts, shown), "")

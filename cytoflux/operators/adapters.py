@@ -106,6 +106,101 @@ def with_adapter(reads: DataFrame, adapter: str, rate: float = 0.1, seq: str = "
     return reads.where(there(F.substring(seq, 1, len(bases) + int(rate * len(bases)) + 1)))
 
 
+def end_cuts(reads: list[str | None], adapter: str, rate: float = 0.1, least: int = 3) -> np.ndarray:
+    """Where a 3' adapter begins in each read, -1 where it is not; all reads at once.
+
+    The adapter stands whole somewhere in the read, or its first ``least`` bases or more at the read's end.  Edits are substitutions, insertions and deletions, at most
+    ``rate`` for each covered base of the adapter that is not N; N fits any base.  To each end belongs the alignment with the fewest edits, of equals the
+    one that begins first; of all that are allowed, that with the greatest number of covered bases less two for each edit wins, and of equals the one that begins first.
+
+    A cell of the table holds edits and place of beginning as one number, so the least number is the alignment wanted.
+    """
+    texts = [r or "" for r in reads]
+    size = np.array([len(t) for t in texts], np.int64)
+    width, m = int(size.max(initial=0)), len(adapter)
+    codes = np.array(texts, dtype=f"U{max(width, 1)}").view(np.uint32).reshape(len(texts), max(width, 1)).T.copy()
+    unit = width + 1
+    allowed = [rate * (i - adapter[:i].count("N")) for i in range(m + 1)]
+    before = [np.full(len(texts), i * unit, np.int64) for i in range(m + 1)]  # before any base: the adapter's bases are all left out
+    best = np.full(len(texts), -1, np.int64)
+    cut = np.full(len(texts), -1, np.int64)
+
+    def judge(column: list[np.ndarray], i: int, here: np.ndarray) -> None:
+        edits, start = column[i] // unit, column[i] % unit
+        key = (i - 2 * edits + 4 * m) * unit + (width - start)
+        better = here & (edits <= allowed[i]) & (key > best)
+        best[better], cut[better] = key[better], start[better]
+
+    for j in range(1, width + 1):
+        base, column = codes[j - 1], [np.full(len(texts), j, np.int64)]
+        for i in range(1, m + 1):
+            wrong = 0 if adapter[i - 1] == "N" else (base != ord(adapter[i - 1])) * unit
+            column.append(np.minimum(np.minimum(before[i - 1] + wrong, before[i] + unit), column[i - 1] + unit))
+        judge(column, m, size >= j)
+        last = size == j
+        if last.any():
+            for i in range(max(least, 1), m):
+                judge(column, i, last)
+        before = column
+    return cut
+
+
+def trim_adapter_end(reads: DataFrame, adapter: str, rate: float = 0.1, least: int = 3, minimum: int = 0, seq: str = "seq", qual: str | None = None) -> DataFrame:
+    """Reads cut where a 3' adapter begins (see ``end_cuts``), with their qualities; reads shorter than ``minimum`` afterwards go.  A null read stays null, and goes if there is a minimum."""
+
+    @F.pandas_udf("int")
+    def at(s: pd.Series) -> pd.Series:
+        order = np.argsort(s.str.len().fillna(0).to_numpy(), kind="stable")  # reads of like length share a table
+        out = np.full(len(s), -1, np.int32)
+        texts = s.tolist()
+        for i in range(0, len(order), 2048):
+            rows = order[i : i + 2048]
+            out[rows] = end_cuts([texts[k] for k in rows], adapter, rate, least)
+        return pd.Series(out)
+
+    t = reads.withColumn("_cut", at(F.col(seq)))
+    for c in [seq, *([qual] if qual else [])]:
+        t = t.withColumn(c, F.when(F.col("_cut") < 0, F.col(c)).otherwise(F.substring(F.col(c), F.lit(1), F.col("_cut"))))
+    t = t.drop("_cut")
+    return t.where(F.length(seq) >= minimum) if minimum else t
+
+
+def tail_lengths(reads: list[str | None], base: str = "A", least: int = 3, rate: float = 0.2) -> np.ndarray:
+    """The length of each read's tail of ``base``: a base of it adds 1, another takes 2 away; the end of the read with the greatest sum above 0, of which others are at
+    most the share ``rate``, is the tail.  Of equals the shortest counts; tails below ``least`` are none."""
+    texts = [(r or "")[::-1] for r in reads]
+    size = np.array([len(t) for t in texts], np.int64)
+    width = int(size.max(initial=0))
+    if not width:
+        return np.zeros(len(texts), np.int64)
+    same = np.array(texts, dtype=f"U{width}").view(np.uint32).reshape(len(texts), width) == ord(base)
+    places = np.arange(1, width + 1)
+    there = places <= size[:, None]
+    total = np.cumsum(np.where(same, 1, -2), axis=1)
+    others = np.cumsum(~same, axis=1)
+    fine = there & (others <= rate * places) & (total > 0)
+    found = np.where(fine, total, 0)
+    at = found.argmax(axis=1)
+    n = np.where(found[np.arange(len(texts)), at] > 0, at + 1, 0)
+    return np.where(n >= least, n, 0)
+
+
+def trim_poly(reads: DataFrame, base: str = "A", head: bool = False, least: int = 3, minimum: int = 0, seq: str = "seq", qual: str | None = None) -> DataFrame:
+    """Reads without their tail of ``base``, or with ``head`` without such a beginning (as poly-T of second reads), with their qualities; see ``tail_lengths``."""
+
+    @F.pandas_udf("int")
+    def length(s: pd.Series) -> pd.Series:
+        texts = [x[::-1] if head and x else x for x in s.tolist()]
+        return pd.Series(np.concatenate([tail_lengths(texts[i : i + 2048], base, least) for i in range(0, len(texts), 2048)] or [np.zeros(0)]).astype(np.int32))
+
+    t = reads.withColumn("_n", length(F.col(seq)))
+    for c in [seq, *([qual] if qual else [])]:
+        rest = F.length(c) - F.col("_n")
+        t = t.withColumn(c, F.substring(F.col(c), F.col("_n") + 1, rest) if head else F.substring(F.col(c), F.lit(1), rest))
+    t = t.drop("_n")
+    return t.where(F.length(seq) >= minimum) if minimum else t
+
+
 def trim_tail(seq: Column, adapter: str, least: int = 3) -> Column:
     """Cut from the first whole adapter on, else a prefix of it (``least`` bases at least) at the end."""
     at = F.instr(seq, adapter)

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.names import cell_code
+from ..sources.scratch import written
 
 NAME = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
@@ -38,15 +39,13 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
     return with_order(cells.select(name.alias("sample_name"), "r1", "r2", "safe_code"))
 
 
-def with_order(cells: DataFrame) -> DataFrame:
-    """Append ``ord``, the place of a cell by name, from a range-partitioned sort with counts of earlier partitions."""
-
-
-    d = cells.repartitionByRange(F.col("sample_name")).withColumn("part", F.spark_partition_id())
+def with_order(cells: DataFrame, by: tuple[str, ...] = ("sample_name",), start: int = 0) -> DataFrame:
+    """Append ``ord``, the place of a row by ``by``, from ``start``: a range-partitioned table, stored so that each row keeps its part, and the counts of earlier parts."""
+    d = written(cells.repartitionByRange(*[F.col(c) for c in by]).withColumn("part", F.spark_partition_id()), "ranged")
     counts = d.groupBy("part").agg(F.count("*").alias("n"))
     before = counts.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    place = F.row_number().over(W.partitionBy("part").orderBy("sample_name"))
-    return d.withColumn("place", place).join(before, "part").withColumn("ord", (F.col("before") + F.col("place") - 1).cast("int")).drop("part", "place", "before")
+    place = F.row_number().over(W.partitionBy("part").orderBy(*by))
+    return d.withColumn("place", place).join(F.broadcast(before), "part").withColumn("ord", (F.col("before") + F.col("place") - 1 + start).cast("int")).drop("part", "place", "before")  # a row per part
 
 
 def named(counts: DataFrame, cells: DataFrame, code: str = "cell_code") -> DataFrame:
@@ -60,3 +59,18 @@ def missing_targets(targets: DataFrame, listing: DataFrame) -> DataFrame:
     """Enabled targets (path) whose file (path, length) is missing or empty."""
     there = listing.where("length > 0").select("path")
     return targets.where("enabled").join(there, "path", "left_anti")
+
+
+def matrix_receipt(cells: DataFrame, observed: DataFrame, rows: int, contract: str, code: str = "cell_code") -> DataFrame:
+    """The receipt of a matrix of the whole cohort, one row: expected and observed cells, those filled with zeros (codes and names, comma-joined, or ``none``), and its rows.
+
+    ``cells`` have sample_name, safe_code and ord; a column of ``observed`` that is no cell's is an error.
+    """
+    seen = observed.select(F.col(code).alias("safe_code")).distinct().withColumn("seen", F.lit(True))
+    both = cells.select("sample_name", "safe_code", "ord").join(seen, "safe_code", "full")
+    unknown = F.col("ord").isNull()
+    both = both.where(F.when(unknown, F.raise_error(F.concat(F.lit("a column of no cell: "), F.col("safe_code"))).cast("boolean")).otherwise(True))
+    gone = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("seen").isNull(), F.struct("ord", c)))), lambda x: x[c]), ",")
+    t = both.agg(F.count("*").alias("expected_cells"), F.count("seen").alias("observed_cells"), F.count_if(F.col("seen").isNull()).alias("missing_cells_filled_zero"), gone("safe_code").alias("codes"), gone("sample_name").alias("names"))
+    shown = lambda c: F.when(F.col(c) == "", "none").otherwise(F.col(c))
+    return t.select(F.lit(contract).alias("contract_sha256"), "expected_cells", "observed_cells", "missing_cells_filled_zero", F.lit(0).alias("unexpected_cells"), shown("codes").alias("missing_cell_codes"), shown("names").alias("missing_cell_names"), F.lit(rows).alias("feature_rows"), F.lit("PASS").alias("cell_column_contract"))

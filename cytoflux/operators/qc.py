@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.names import natural_key
 from .intervals import point_join
 
 #: Poly-T, one base that is not T, any base, then the restriction site (fixed value).
@@ -199,6 +203,51 @@ def contract_hash(cells: DataFrame, fan: int = 4096) -> DataFrame:
     return shown.agg(of(joined).alias("sha256"))
 
 
+def _hash_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of the texts of one sorted stream, comma-joined in brackets; a task holds one of them at a time."""
+    state, first = hashlib.sha256(b"["), True
+    for batch in batches:
+        for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
+            state.update(text.encode() if first else b"," + text.encode())
+            first = False
+    state.update(b"]")
+    yield pa.RecordBatch.from_arrays([pa.array([state.hexdigest()])], names=["sha256"])
+
+
+def normalized_contract_hash(cells: DataFrame, fan: int = 4096) -> DataFrame:
+    """The hash of a cohort's normalised contract: SHA-256 of the JSON list of its cells in order, keys sorted, no blanks.
+
+    ``cells`` have ord (from 0), sample_name, safe_code and, of both mates, ``r1_bytes`` and ``r1_first_record_sha256``.  Cells are put together by ``fan``; one
+    stream over these parts, sorted, is hashed, as its definition asks.  Names are ASCII.
+    """
+    fields = ["r1_bytes", "r1_first_record_sha256", "r2_bytes", "r2_first_record_sha256", "safe_code", "sample_name"]
+    shown = cells.select(F.col("ord").cast("long").alias("k"), F.to_json(F.struct(*fields)).alias("text"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "text"))), lambda x: x["text"]), ",")
+    parts = shown.groupBy(F.floor(F.col("k") / fan).alias("part")).agg(joined.alias("text"))
+    return parts.repartition(1).sortWithinPartitions("part").mapInArrow(_hash_stream, "sha256 string")
+
+
+def natural_order_faults(names: DataFrame, keys: list[str], order: str, name: str = "name") -> DataFrame:
+    """Rows whose name comes, in natural order, before that of the row before them (``order`` within ``keys``)."""
+    d = names.withColumn("_key", natural_key(F.col(name)))
+    return unsorted_rows(d, keys, order, "_key").drop("_key", "before")
+
+
+def in_natural_order(names: DataFrame, keys: list[str], order: str, name: str = "name") -> DataFrame:
+    """``names``, where a name out of natural order is an error when it is read."""
+    w = W.partitionBy(*keys).orderBy(order)
+    key = natural_key(F.col(name))
+    d = names.withColumn("_sorted", F.coalesce(key >= F.lag(key).over(w), F.lit(True)))
+    return checked(d, F.col("_sorted"), "names are not in natural order").drop("_sorted")
+
+
+def assigned_totals(reads: DataFrame, cells: DataFrame, cell: str = "cell", status: str = "xs") -> DataFrame:
+    """Per cell of the cohort: its reads and those assigned to a gene; zeros for a cell without reads.  Reads of no cell are an error."""
+    n = reads.groupBy(cell).agg(F.count("*").alias("total"), F.count_if(F.col(status) == "Assigned").alias("assigned"))
+    t = cells.select(cell, F.lit(True).alias("_known")).join(n, cell, "full").na.fill(0, ["total", "assigned"])
+    return checked(t, F.col("_known"), "reads of a cell that is not in the cohort").drop("_known")
+
+
 def exact_cohort(stats: DataFrame, cells: DataFrame, name: str = "sample_name", values: tuple[str, ...] = ("n",)) -> DataFrame:
     """Faults of a table of counts that must list the cohort in order (``ord`` on both sides), each cell once, with whole numbers that are not negative.
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .intervals import overlap_join
+from .intervals import SEGMENT, overlap_join
 
 
 def common_particles(particles: DataFrame, structures: int) -> DataFrame:
@@ -106,8 +110,107 @@ def aligned(particles: DataFrame, cell: str = "cell") -> DataFrame:
     return rows.select(cell, "structure", "other", "chrom", "pos", *[m.alias(c) for m, c in zip(moved, "xyz", strict=True)])
 
 
+def contact_blocks(contacts: DataFrame, width: int = 256) -> DataFrame:
+    """A symmetric 0/1 matrix of contacts (chrom, bin1, bin2, n > 0; in any order of bins) as sparse blocks of its upper triangle.
+
+    A row is a block of ``width`` by ``width`` bins that has a contact: chrom, block1 <= block2, and the places ``i`` and ``j`` of its contacts within it.
+    """
+    low, high = F.least("bin1", "bin2"), F.greatest("bin1", "bin2")
+    upper = contacts.where(F.col("n") > 0).select("chrom", low.alias("a"), high.alias("b")).distinct()
+    at = lambda c: F.floor(F.col(c) / width)
+    inside = F.struct((F.col("a") - at("a") * width).cast("int").alias("i"), (F.col("b") - at("b") * width).cast("int").alias("j"))
+    blocks = upper.groupBy("chrom", at("a").alias("block1"), at("b").alias("block2")).agg(F.sort_array(F.collect_list(inside)).alias("e"))
+    return blocks.select("chrom", "block1", "block2", F.col("e.i").alias("i"), F.col("e.j").alias("j"))
+
+
+def symmetric_product(blocks: DataFrame, vector: DataFrame, width: int = 256) -> DataFrame:
+    """The product of ``contact_blocks`` with a vector (chrom, bin, value) and with ones: chrom, bin, total, degree; bins of neither are left out.
+
+    Only the upper triangle is stored and moved: each block adds to the bins of its rows and, mirrored, to those of its columns, in one pass over it.  The vector comes in pieces
+    of ``width`` bins; a bin that it lacks is 0.
+    """
+    piece = lambda c: F.floor(F.col(c) / width)
+    entry = F.struct((F.col("bin") - piece("bin") * width).cast("int").alias("at"), F.col("value").cast("double").alias("value"))
+    pieces = vector.groupBy("chrom", piece("bin").alias("block")).agg(F.collect_list(entry).alias("x"))
+    of = lambda k: pieces.select("chrom", F.col("block").alias(f"block{k}"), F.col("x").alias(f"x{k}"))
+    t = blocks.join(of(1), ["chrom", "block1"], "left").join(of(2), ["chrom", "block2"], "left")
+    t = t.select("chrom", "block1", "block2", "i", "j", *[F.col(f"x{k}.{c}").alias(f"{c}{k}") for k in (1, 2) for c in ("at", "value")])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chroms, bins, totals, degrees = [], [], [], []
+            for chrom, b1, b2, i, j, at1, value1, at2, value2 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x = [np.zeros(width), np.zeros(width)]
+                for side, at, value in ((x[0], at1, value1), (x[1], at2, value2)):
+                    if at:
+                        np.add.at(side, at, np.array(value, float))
+                i, j = np.array(i), np.array(j)
+                off = np.flatnonzero((i != j) | (b1 != b2))  # the diagonal is its own mirror image
+                for block, place, other in ((b1, i, x[1][j]), (b2, j[off], x[0][i[off]])):
+                    total, degree = np.bincount(place, weights=other, minlength=width), np.bincount(place, minlength=width)
+                    some = np.flatnonzero(degree)
+                    chroms += [chrom] * len(some)
+                    bins += (some + block * width).tolist()
+                    totals += total[some].tolist()
+                    degrees += degree[some].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(chroms, chrom_type), pa.array(bins, pa.int64()), pa.array(totals, pa.float64()), pa.array(degrees, pa.int64())], names=["chrom", "bin", "total", "degree"])
+
+    chrom_kind = blocks.schema["chrom"].dataType
+    chrom_type = to_arrow_type(chrom_kind)
+    parts = t.mapInArrow(add, f"chrom {chrom_kind.simpleString()}, bin long, total double, degree long")
+    return parts.groupBy("chrom", "bin").agg(F.sum("total").alias("total"), F.sum("degree").alias("degree"))
+
+
+def symmetric_compartment_score(contacts: DataFrame, cpg: DataFrame, width: int = 256) -> DataFrame:
+    """Per bin of ``cpg`` (chrom, bin, cpg): the sum of the densities of the bins that it touches, in either order, over their number + 1; 0 for a bin without a contact."""
+    x = cpg.select("chrom", "bin", F.col("cpg").alias("value"))
+    y = symmetric_product(contact_blocks(contacts, width), x, width)
+    score = F.coalesce(F.col("total"), F.lit(0.0)) / (F.coalesce("degree", F.lit(0)) + 1)
+    return cpg.select("chrom", "bin").join(y, ["chrom", "bin"], "left").select("chrom", "bin", score.alias("score"))
+
+
+def leg_support(particles: DataFrame, legs: DataFrame, distance: int, keys: list[str], pos: str = "pos", segment_width: int = SEGMENT) -> DataFrame:
+    """Particles with ``support``: the number of contact legs (keys, pos) within ``distance`` of them.
+
+    Legs are summed per place first; a RANGE frame along segments of a chromosome counts them, with those near a border also in the next segment, so
+    no particle is paired with a leg.
+    """
+    width = max(segment_width, distance + 1)
+    at = lambda shift: F.floor((F.col("pos") + shift) / width)
+    places = particles.select(*keys, F.col(pos).alias("pos")).distinct().withColumn("n", F.lit(0).cast("long")).withColumn("own", F.lit(1))
+    counted = legs.groupBy(*keys, "pos").agg(F.count("*").alias("n")).withColumn("own", F.lit(0))
+    rows = places.withColumn("segment", at(0)).unionByName(counted.withColumn("segment", F.explode(F.sequence(at(-distance), at(distance)))))
+    near = W.partitionBy(*keys, "segment").orderBy("pos").rangeBetween(-distance, distance)
+    found = rows.withColumn("support", F.sum("n").over(near)).where("own = 1").select(*keys, F.col("pos").alias(pos), "support")
+    return particles.join(found, [*keys, pos], "left")
+
+
+def clean_particles(particles: DataFrame, contacts: DataFrame, distance: int = 500_000, quantile: float = 0.06, structure: str = "structure") -> DataFrame:
+    """Particles (structure, chrom, pos) that contacts (chr1, pos1, chr2, pos2) support, with ``support`` and ``kept``.
+
+    A particle goes if the legs within ``distance`` of it are no more than the given quantile of all particles' numbers, in its structure.
+    """
+    leg = lambda k: F.struct(F.col(f"chr{k}").alias("chrom"), F.col(f"pos{k}").alias("pos"))
+    legs = contacts.select(F.explode(F.array(leg(1), leg(2))).alias("l")).select("l.*")
+    t = leg_support(particles, legs, distance, ["chrom"])
+    bounds = t.groupBy(structure).agg(F.percentile("support", F.lit(quantile)).alias("bound"))
+    return t.join(bounds, structure).withColumn("kept", F.col("support") > F.col("bound")).drop("bound")
+
+
+def rmsd_table(cells: DataFrame, rmsd: DataFrame, resolutions: list[str], cell: str = "cell") -> DataFrame:
+    """Every cell of the cohort (``ord`` is its place) at every resolution, as text, in order of ``ord`` and ``at``: ``NA`` where there is no value.  A value of no cell or resolution is an error."""
+    grid = cells.select(cell, "ord").withColumn("r", F.explode(F.array(*[F.struct(F.lit(k).alias("at"), F.lit(r).alias("resolution")) for k, r in enumerate(resolutions)])))
+    grid = grid.select(cell, "ord", "r.at", "r.resolution")
+    t = grid.join(rmsd.select(cell, "resolution", "rmsd"), [cell, "resolution"], "full")
+    name = F.when(F.col("ord").isNotNull(), F.col(cell)).otherwise(F.raise_error(F.concat(F.lit("a value of no cell and resolution: "), F.col(cell).cast("string"))).cast(cells.schema[cell].dataType))
+    return t.select(name.alias(cell), "ord", "at", "resolution", F.coalesce(F.col("rmsd").cast("string"), F.lit("NA")).alias("rmsd"))
+
+
 def compartment_score(contacts: DataFrame, cpg: DataFrame) -> DataFrame:
-    """Per (chrom, bin1): sum of the CpG densities of the bins it touches, over their number + 1; contacts count once."""
+    """Per (chrom, bin1): sum of the CpG densities of the bins it touches, over their number + 1; contacts count once.
+
+    For a matrix that is given in both halves; ``symmetric_compartment_score`` takes either half.
+    """
     once = contacts.where(F.col("n") > 0).select("chrom", "bin1", "bin2").distinct()
     d = cpg.select("chrom", F.col("bin").alias("bin2"), "cpg")
     t = once.join(d, ["chrom", "bin2"], "left").groupBy("chrom", "bin1").agg(F.sum(F.coalesce("cpg", F.lit(0.0))).alias("total"), F.count("*").alias("n"))

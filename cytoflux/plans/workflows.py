@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import contacts, fragments, intervals, phasing, qc, rna
@@ -38,6 +38,78 @@ class Settings:
             raise ValueError("bounds are not negative and the bin width is positive")
 
 
+#: What a run's configuration must say where it says anything about these (fixed values).
+FROZEN = {
+    "cuttag_fragments": {
+        "definition": "r2_5prime_unclipped_v2_no_hickit_gate",
+        "min_mapq": 20,
+        "min_baseq": 20,
+        "require_original_r2_qstart_bp": 0,
+        "allow_opposite_end_clipping": True,
+        "phase_policy": "direct_r2_then_first_phased_r1",
+        "endpoint_dedup_eps_bp": 1,
+    },
+    "rna_gene_compatibility": {
+        "min_mapq": 30,
+        "feature_type": "gene",
+        "feature_id": "gene_id",
+        "allow_overlapping_gene_loci": True,
+        "overlap_connected_components": True,
+        "r1_strand": 1,
+        "r2_strand": 2,
+    },
+}
+#: Choices of a configuration (fixed values).
+RNA_OUTPUTS, ALIGN_ENDS = ("r1_all", "r1_compatible", "r1r2_concordant"), ("Local", "EndToEnd")
+
+
+def checked_config(config: dict) -> dict:
+    """The configuration of a run, with its choices without blanks around them; anything but the frozen values and the known choices is an error."""
+    for section, wanted in FROZEN.items():
+        found = config.get(section) or {}
+        for key, value in wanted.items():
+            if found.get(key) != value or type(found.get(key)) is not type(value):
+                raise ValueError(f"{section}.{key} must be {value!r}, not {found.get(key)!r}")
+    ends = str(config.get("rna_align_ends_type", "Local")).strip()
+    if ends not in ALIGN_ENDS:
+        raise ValueError(f"rna_align_ends_type is one of {', '.join(ALIGN_ENDS)}, not {ends!r}")
+    kinds = config.get("rna_output_types")
+    if not isinstance(kinds, list) or not kinds:
+        raise ValueError(f"rna_output_types is a list of some of {', '.join(RNA_OUTPUTS)}")
+    kinds = [str(k).strip() for k in kinds]
+    if len(set(kinds)) != len(kinds) or not set(kinds) <= set(RNA_OUTPUTS):
+        raise ValueError(f"rna_output_types are different ones of {', '.join(RNA_OUTPUTS)}, not {', '.join(kinds)}")
+    primary = str(config.get("rna_primary_output_type", "")).strip()
+    if primary not in kinds:
+        raise ValueError(f"rna_primary_output_type is one of the chosen rna_output_types, not {primary!r}")
+    return {**config, "rna_align_ends_type": ends, "rna_output_types": kinds, "rna_primary_output_type": primary}
+
+
+def read_config(spark: SparkSession, path: str) -> dict:
+    """A configuration file, JSON or (where a YAML reader is installed) YAML, from wherever Spark reads; anything but a mapping is an error."""
+    row = spark.read.text(path, wholetext=True).first()
+    text = row["value"] if row else ""
+    try:
+        found = json.loads(text)
+    except ValueError:
+        try:
+            import yaml
+        except ImportError as missing:
+            raise ValueError(f"{path} is no JSON, and no YAML reader is installed") from missing
+        found = yaml.safe_load(text)
+    if not isinstance(found, dict):
+        raise ValueError(f"{path} holds no mapping")
+    return found
+
+
+def config_of(spark: SparkSession, path: str, overlays: list[str] | None = None, entries: list[str] | None = None) -> dict:
+    """The configuration in ``path`` with the files of ``overlays`` laid over it in order, then ``KEY=VALUE`` entries, checked."""
+    config = read_config(spark, path)
+    for over in overlays or []:
+        config = overlaid(config, read_config(spark, over))
+    return checked_config(with_values(config, entries or []))
+
+
 def overlaid(base: dict, over: dict) -> dict:
     """Nested settings with values of ``over`` in place of those of ``base``."""
     return {k: overlaid(base[k], over[k]) if isinstance(base.get(k), dict) and isinstance(over.get(k), dict) else over.get(k, base.get(k)) for k in {**base, **over}}

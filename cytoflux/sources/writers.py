@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -52,3 +52,33 @@ def empty_like(df: DataFrame) -> DataFrame:
 def pairs_header(sizes: DataFrame) -> DataFrame:
     """``#chromosome:`` lines."""
     return sizes.select(F.concat_ws(" ", F.lit("#chromosome:"), "chrom", F.col("size").cast("string")).alias("value"))
+
+
+#: The layout of a SNP index (fixed value).
+SNP_INDEX_VERSION = "1"
+
+
+def snp_manifest(snps: DataFrame, skipped_rows: int = 0) -> DataFrame:
+    """One row per chromosome of a SNP index: its folder, number of SNPs, first and last place, and a digest of its rows that does not depend on their order."""
+    h = F.xxhash64("pos", "a0", "a1")
+    each = snps.groupBy("chrom").agg(F.count("*").alias("count"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"), F.hex(F.bit_xor(h)).alias("digest"))
+    return each.select(F.lit(SNP_INDEX_VERSION).alias("index_version"), "chrom", F.concat(F.lit("chrom="), F.col("chrom").cast("string")).alias("folder"), "count", "first_pos", "last_pos", "digest", F.lit(skipped_rows).alias("source_skipped_rows"))
+
+
+def write_snp_index(snps: DataFrame, path: str, skipped_rows: int = 0) -> None:
+    """A folder per chromosome below ``path``/snps, sorted by place, and then the manifest, which a reader needs; see ``read_snp_index``."""
+    write_by_chromosome(snps, f"{path}/snps")
+    snp_manifest(snps, skipped_rows).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")  # a row per chromosome
+
+
+def read_snp_index(spark: SparkSession, path: str) -> DataFrame:
+    """The SNPs of an index whose manifest fits them; another version, or a chromosome with other rows than the manifest has, is an error."""
+    told = spark.read.json(f"{path}/manifest")
+    snps = spark.read.parquet(f"{path}/snps").select(F.col("chrom").cast("string").alias("chrom"), "pos", "a0", "a1")
+    found = snp_manifest(snps)
+    both = told.select("chrom", *[F.col(c).alias(f"{c}_told") for c in ("index_version", "count", "digest")]).join(found, "chrom", "full")
+    same = F.col("index_version_told").eqNullSafe(F.lit(SNP_INDEX_VERSION)) & F.col("count").eqNullSafe(F.col("count_told")) & F.col("digest").eqNullSafe(F.col("digest_told"))
+    bad = [r["chrom"] for r in both.where(~same).select("chrom").limit(10).collect()]
+    if bad or told.isEmpty():
+        raise ValueError(f"the SNP index {path} does not fit its manifest: {', '.join(map(str, bad)) or 'it is empty'}")
+    return snps
