@@ -9,6 +9,7 @@ from ..functions import names as N
 from ..operators import adapters, contacts, fragments, intervals, phasing, qc, rna, structure
 from ..sources import writers
 from ..streaming import sessions
+from . import more
 from .fixtures import view
 from .oracle import ORACLES
 
@@ -608,3 +609,6 @@ QUERIES = {
     "session_gap_events": session_gap_events,
     "windowed_event_counts": windowed_event_counts,
 }
+
+QUERIES |= more.QUERIES
+ORACLES |= more.ORACLES

@@ -244,3 +244,21 @@ def read_log_values(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 def record_count(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).agg(F.count("*").alias("n"))
+
+
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """Records of FASTQ text (also compressed), wherever Spark reads: file, ord, read_id, comment, seq, qual.
+
+    Lines are numbered within a split, and splits by a small table of their lines, so a record may lie across a border.  A truncated record, one without ``@`` and ``+``, or one whose
+    sequence and quality differ in length is an error.
+    """
+    t = ordered_lines(spark, path).withColumn("n", F.row_number().over(W.partitionBy("file", "block").orderBy("ord")) - 1)
+    sizes = t.groupBy("file", "block").agg(F.count("*").alias("lines"))
+    before = sizes.select("file", "block", F.coalesce(F.sum("lines").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    t = t.join(before, ["file", "block"]).withColumn("n", F.col("n") + F.col("before"))
+    line = F.struct((F.col("n") % 4).alias("k"), F.regexp_replace("value", "\r$", "").alias("value"))
+    r = t.groupBy("file", F.floor(F.col("n") / 4).alias("ord")).agg(F.transform(F.sort_array(F.collect_list(line)), lambda x: x["value"]).alias("l"))
+    at = lambda k: F.get("l", F.lit(k))
+    fault = F.when(F.size("l") < 4, "truncated record in ").when(~at(0).startswith("@") | ~at(2).startswith("+") | (F.length(at(1)) != F.length(at(3))), "malformed record in ")
+    name = F.regexp_extract(at(0), r"^@(\S*)\s*(.*)$", 1)
+    return r.select("file", "ord", F.when(fault.isNotNull(), F.raise_error(F.concat(fault, F.col("file"))).cast("string")).otherwise(name).alias("read_id"), F.regexp_extract(at(0), r"^@(\S*)\s*(.*)$", 2).alias("comment"), at(1).alias("seq"), at(3).alias("qual"))

@@ -76,19 +76,22 @@ def stream_islands(events: DataFrame, keys: list[str], ts: str = "ts", gap_secon
     An island comes out when the watermark passes its last event and the gap.  Events later than the watermark are dropped by Spark before they get here; however events are
     split into micro-batches, the islands are those of the batch (``islands_of``).  The session needs the RocksDB state store.
     """
+    kind = events.schema[ts].dataType
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     us = F.unix_micros(F.col(ts))
     rows = events.withWatermark(ts, late).select(*keys, ts, us.alias("event_us"), (F.col(row_id).cast("string") if row_id else F.lit("")).alias("event_id"))
     schema = StructType([rows.schema[k] for k in keys]).add("n", "long").add("first_us", "long").add("last_us", "long").add("first_id", "string")
     found = rows.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_Chains(keys, int(gap_seconds * 1_000_000)), outputStructType=schema, outputMode="append", timeMode="eventtime")
-    return found.select(*keys, "n", F.timestamp_micros("first_us").alias("first_ts"), F.timestamp_micros("last_us").alias("last_ts"), "first_id")
+    return found.select(*keys, "n", F.timestamp_micros("first_us").cast(kind).alias("first_ts"), F.timestamp_micros("last_us").cast(kind).alias("last_ts"), "first_id")
 
 
 def islands_of(events: DataFrame, keys: list[str], ts: str = "ts", gap_seconds: float = 1800, row_id: str | None = None) -> DataFrame:
     """The same in a batch, by the segmented islands of ``operators.intervals``."""
     from ..operators.intervals import islands
 
-    d = events.select(*keys, F.unix_micros(F.col(ts)).alias("event_us"), (F.col(row_id).cast("string") if row_id else F.lit("")).alias("event_id"))
+    d = events.select(*keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("event_us"), (F.col(row_id).cast("string") if row_id else F.lit("")).alias("event_id"))
     gap = int(gap_seconds * 1_000_000)
     t = islands(d, keys, F.col("event_us"), ["event_id"], gap, segment_width=max(64 * gap, 1))
     g = t.groupBy(*keys, "island").agg(F.count("*").alias("n"), F.min("event_us").alias("a"), F.max("event_us").alias("b"), F.min_by("event_id", F.struct("event_us", "event_id")).alias("first_id"))
-    return g.select(*keys, "n", F.timestamp_micros("a").alias("first_ts"), F.timestamp_micros("b").alias("last_ts"), "first_id")
+    kind = events.schema[ts].dataType
+    return g.select(*keys, "n", F.timestamp_micros("a").cast(kind).alias("first_ts"), F.timestamp_micros("b").cast(kind).alias("last_ts"), "first_id")
