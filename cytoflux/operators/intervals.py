@@ -141,6 +141,14 @@ def _before(df: DataFrame, keys: list[str], segment: str, aggregate: Column, com
     return each.select(*keys, segment, combine("own").over(earlier).alias("carried"))
 
 
+def _opened(df: DataFrame, keys: list[str], pos: Column, order: list[str], gap: int, width: int) -> DataFrame:
+    """Rows in their segment and, near its end, in the next one too, with ``opens``; a row's own place is where ``segment`` is ``home``."""
+    place, last = F.floor(F.col("pos") / width), F.floor((F.col("pos") + gap) / width)
+    d = df.withColumn("pos", pos).withColumn("home", place).withColumn("segment", F.explode(F.sequence(place, last)))
+    before = F.lag("pos").over(W.partitionBy(*keys, "segment").orderBy("pos", *order))
+    return d.withColumn("opens", F.coalesce(F.col("pos") - before > gap, F.lit(True)))
+
+
 def island_starts(df: DataFrame, keys: list[str], pos: Column, order: list[str], gap: int, segment_width: int = SEGMENT) -> DataFrame:
     """Append ``pos`` and ``opens``: does a row open an island, that is, is the row before it more than ``gap`` away?
 
@@ -148,21 +156,22 @@ def island_starts(df: DataFrame, keys: list[str], pos: Column, order: list[str],
     rows that open one keeps the first of each cluster.  One shuffle by (keys, segment): rows within ``gap`` of a segment's
     end also go to the next one, where they only serve as neighbours.
     """
-    width = max(segment_width, gap + 1)
-    place, last = F.floor(F.col("pos") / width), F.floor((F.col("pos") + gap) / width)
-    d = df.withColumn("pos", pos).withColumn("home", place).withColumn("segment", F.explode(F.sequence(place, last)))
-    before = F.lag("pos").over(W.partitionBy(*keys, "segment").orderBy("pos", *order))
-    d = d.withColumn("opens", F.coalesce(F.col("pos") - before > gap, F.lit(True)))
+    d = _opened(df, keys, pos, order, gap, max(segment_width, gap + 1))
     return d.where("segment = home").drop("segment", "home")
 
 
 def islands(df: DataFrame, keys: list[str], pos: Column, order: list[str], gap: int, segment_width: int = SEGMENT) -> DataFrame:
-    """Append ``pos`` and ``island``, the number of a row's island along its key."""
-    d = island_starts(df, keys, pos, order, gap, segment_width).withColumn("opens", F.col("opens").cast("long")).withColumn("segment", F.floor(F.col("pos") / segment_width))
-    counted = _before(d, keys, "segment", F.sum("opens"), F.sum)
+    """Append ``pos`` and ``island``, the number of a row's island along its key.
+
+    Islands are counted in the windows that find where they open, so rows are shuffled and sorted once; what earlier segments have comes from the small table of segments.
+    """
+    d = _opened(df, keys, pos, order, gap, max(segment_width, gap + 1))
     within = W.partitionBy(*keys, "segment").orderBy("pos", *order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    d = d.withColumn("local", F.sum("opens").over(within)).join(counted, [*keys, "segment"])
-    return d.withColumn("island", F.col("local") + F.coalesce("carried", F.lit(0))).drop("opens", "segment", "local", "carried")
+    own = F.col("opens") & (F.col("segment") == F.col("home"))
+    d = d.withColumn("local", F.sum(own.cast("long")).over(within)).where("segment = home")
+    counted = _before(d, keys, "segment", F.max("local"), F.sum)
+    d = d.join(counted, [*keys, "segment"])
+    return d.withColumn("island", F.col("local") + F.coalesce("carried", F.lit(0))).drop("opens", "segment", "home", "local", "carried")
 
 
 def first_of_islands(df: DataFrame, keys: list[str], pos: Column, order: list[str], gap: int) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+from .graph import components
 from .intervals import overlap_join, union_components
 
 CLASSES = ("r1_uninformative", "r2_uninformative", "r2_genome_only", "concordant", "incompatible")
@@ -74,39 +75,25 @@ def unique_umis(reads: DataFrame, keys: list[str]) -> DataFrame:
 def directional_umis(reads: DataFrame, keys: list[str]) -> DataFrame:
     """UMIs per group after joining each UMI to one that differs in one base and has at least 2n - 1 of its n reads.
 
-    Counts per UMI are summed before the shuffle.  Neighbours are found by joining on the UMI with one base left out, so no
-    group is compared pair by pair; clusters follow the directed links outwards from the most frequent UMI, in a group's own task.
+    Clusters are followed outwards from the most frequent UMI.  That leaves one cluster for each UMI of several reads that none is above, and one for each component of UMIs
+    of one read (these are above each other) without a UMI above any of them.  Counts per UMI are summed before the shuffle; neighbours meet by the UMI with one base left
+    out, a few to each, so no group of reads, however large, is held or compared pair by pair.
     """
     counts = reads.groupBy(*keys, "umi").agg(F.count("*").alias("reads"))
-    schema = ", ".join(f"`{k}` {counts.schema[k].dataType.simpleString()}" for k in keys) + ", n bigint"
-
-    def clusters(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values(["reads", "umi"], ascending=[False, True])
-        number = dict(zip(rows["umi"], rows["reads"], strict=True))
-        masked: dict[tuple[int, str], list[str]] = {}
-        for u in number:
-            for i in range(len(u)):
-                masked.setdefault((i, u[:i] + u[i + 1 :]), []).append(u)
-        seen: set[str] = set()
-        n = 0
-        for u in number:
-            if u in seen:
-                continue
-            n += 1
-            seen.add(u)
-            todo = [u]
-            while todo:
-                a = todo.pop()
-                for i in range(len(a)):
-                    for b in masked[i, a[:i] + a[i + 1 :]]:
-                        if b not in seen and number[a] >= 2 * number[b] - 1:
-                            seen.add(b)
-                            todo.append(b)
-        first = group[keys].iloc[:1].copy()
-        first["n"] = n
-        return first
-
-    return counts.groupBy(*keys).applyInPandas(clusters, schema)
+    counts = written(counts.withColumn("u", F.monotonically_increasing_id()), "umis")
+    masked = counts.select(*keys, "u", "reads", F.explode(F.sequence(F.lit(1), F.length("umi"))).alias("i"), "umi")
+    masked = masked.select(*keys, "u", "reads", "i", F.concat(F.expr("substring(umi, 1, i - 1)"), F.lit("."), F.expr("substring(umi, i + 1)")).alias("mask"))
+    other = masked.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("u").alias("v"), F.col("reads").alias("less"), F.col("i").alias("_i"), F.col("mask").alias("_mask"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("i") == F.col("_i"), F.col("mask") == F.col("_mask")]
+    above = masked.join(other, same).where((F.col("u") != F.col("v")) & (F.col("reads") >= 2 * F.col("less") - 1)).select("u", "v", "reads", "less")
+    above = written(above, "above")
+    under = above.where("reads > 1").select(F.col("v").alias("u")).distinct()  # of one read or more, below a UMI of several
+    alone = components(above.where("reads = 1 AND less = 1").select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("node", "u")
+    ones = counts.where("reads = 1").select(*keys, "u").join(alone, "u", "left").withColumn("root", F.coalesce("root", "u"))
+    ones = ones.join(under.withColumn("taken", F.lit(True)), "u", "left").groupBy(*keys, "root").agg(F.max("taken").alias("taken"))
+    several = counts.where("reads > 1").select(*keys, "u").join(under, "u", "left_anti")
+    clusters = several.select(*keys, F.lit(1).alias("n")).unionByName(ones.select(*keys, F.when(F.col("taken"), 0).otherwise(1).alias("n")))
+    return clusters.unionByName(counts.select(*keys, F.lit(0).alias("n"))).groupBy(*keys).agg(F.sum("n").cast("long").alias("n"))
 
 
 def split_multigene(counts: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -27,10 +26,3 @@ def windowed_counts(events: DataFrame, keys: list[str], ts: str = "ts", width: s
     e = events.withWatermark(ts, late) if late else events
     t = e.groupBy(*keys, F.window(ts, width).alias("w")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))
     return t.select(*keys, F.col("w.start").alias("window_start"), "n", "total")
-
-
-def islands_by_lag(events: DataFrame, key: str, position, gap: int) -> DataFrame:
-    """The batch equivalent by a window: number of the island of each row within its key."""
-    w = W.partitionBy(key).orderBy(position)
-    opens = F.when(position - F.lag(position).over(w) <= gap, 0).otherwise(1)
-    return events.withColumn("opens", opens).withColumn("island", F.sum("opens").over(w.rangeBetween(W.unboundedPreceding, W.currentRow))).drop("opens")

@@ -330,3 +330,59 @@ def test_configuration_files(spark, tmp_path):
 def test_configurations_that_are_refused(change, fault):
     with pytest.raises(ValueError, match=fault):
         P.checked_config({**CONFIG, **change})
+
+
+# Components and UMIs
+
+
+def test_components_of_chains_and_stars(spark):
+    from cytoflux.operators.graph import components
+
+    r = random.Random(11)
+    links = [(k, k + 1) for k in range(500)] + [(1000, k) for k in range(1001, 1100)] + [(r.randrange(2000, 2400), r.randrange(2000, 2400)) for _ in range(150)] + [(7, 7)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    got = dict(rows(components(spark.createDataFrame(links, "a long, b long")), "node", "root"))
+    assert got == {x: find(x) for x in list(root)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def umis_plainly(counts):
+    order, seen, n = sorted(counts, key=lambda u: (-counts[u], u)), set(), 0
+    for u in order:
+        if u in seen:
+            continue
+        n += 1
+        todo = [u]
+        seen.add(u)
+        while todo:
+            a = todo.pop()
+            for b in counts:
+                if b not in seen and len(a) == len(b) and sum(x != y for x, y in zip(a, b, strict=True)) == 1 and counts[a] >= 2 * counts[b] - 1:
+                    seen.add(b)
+                    todo.append(b)
+    return n
+
+
+def test_directional_clusters_by_brute_force(spark):
+    from cytoflux.operators import rna
+
+    r, reads, want = random.Random(12), [], {}
+    for g in range(40):
+        counts = {}
+        for _ in range(r.randrange(1, 60)):
+            counts["".join(r.choices("AC" if g % 2 else "ACGT", k=5))] = r.choice((1, 1, 1, 2, 3, 5, 9))
+        want[g % 7 if g > 35 else g + 10, None if g == 3 else "x"] = umis_plainly(counts)
+        reads += [(g % 7 if g > 35 else g + 10, None if g == 3 else "x", u) for u, n in counts.items() for _ in range(n)]
+    got = rna.directional_umis(spark.createDataFrame(reads, "cell int, gene string, umi string"), ["cell", "gene"])
+    assert {(x.cell, x.gene): x.n for x in got.collect()} == want
