@@ -292,3 +292,49 @@ SELECT user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, arg_min(
 def event_islands(spark, sf_dir):
     """Islands of events in time with their first event: the batch form of the stream with its own state."""
     return islands.islands_of(_read(spark, sf_dir, "events"), ["user_id"], row_id="event_id")
+
+
+# Peaks
+
+from ..operators import intervals, peaks  # noqa: E402
+from .oracle import _COVERAGE, _union  # noqa: E402
+
+_PEAKED = (
+    cte("fragments")
+    + """, fragments_ AS (SELECT chrom, start - m AS start, "end" - m AS "end" FROM (SELECT *, CASE WHEN start % 7000 < 350 THEN start % 350 ELSE 0 END AS m FROM fragments) WHERE q % 3 = 0 OR m > 0)"""
+    + _COVERAGE.replace("FROM fragments", "FROM fragments_")
+    + """, st AS (SELECT chrom, pos AS start, nxt AS "end", depth::BIGINT AS depth, depth * (nxt - pos) AS mass FROM run WHERE depth > 0),
+b AS (SELECT *, greatest((SELECT sum(mass) FROM st) / 4000000, sum(mass) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING) / 200, sum(mass) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 500 PRECEDING AND 500 FOLLOWING) / 1000,
+  sum(mass) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 5000 PRECEDING AND 5000 FOLLOWING) / 10000) AS background FROM st),
+s AS (SELECT *, greatest(round(-log10(list_sum(list_transform(range(depth, depth + 250), lambda i: exp(-background + i * ln(background) - lgamma(i + 1))))), 2), 0) AS score FROM b),
+e AS (SELECT score, sum("end" - start) AS bases FROM s GROUP BY score), r AS (SELECT score, sum(bases) OVER (ORDER BY score DESC) AS rank, sum(bases) OVER () AS whole FROM e),
+q AS (SELECT score, greatest(max(score + log10(rank) - log10(whole)) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING), 0) AS q_score FROM r)"""
+)
+
+
+def _peaked(spark, sf_dir) -> DataFrame:
+    """Fragments that crowd in some places, where they are put together, and a third of the others."""
+    moved = F.when(F.col("start") % 7000 < 350, F.col("start") % 350).otherwise(0)
+    f = view(spark, sf_dir, "fragments").withColumn("m", moved).where("q % 3 = 0 OR m > 0")
+    return f.select("chrom", (F.col("start") - F.col("m")).alias("start"), (F.col("end") - F.col("m")).alias("end"))
+
+
+@_query(_PEAKED + ' SELECT chrom, start, "end", depth, round(background, 6)::DOUBLE AS background, score::DOUBLE AS score, round(q_score, 6)::DOUBLE AS q_score FROM s JOIN q USING (score)')
+def scored_coverage(spark, sf_dir):
+    """Steps of coverage with their background, the score of their depth over it, and their false discovery rate."""
+    steps = intervals.coverage_steps(_peaked(spark, sf_dir), ["chrom"], segment_width=4096)
+    mass = steps.agg(F.sum(F.col("depth") * (F.col("end") - F.col("start")))).first()[0] or 0
+    t = peaks.scored_steps(peaks.local_background(steps, ["chrom"], (200, 1000, 10_000), max(mass / 4_000_000, 1e-9), 16_384))
+    return t.select("chrom", "start", "end", "depth", F.round("background", 6).alias("background"), "score", F.round("q_score", 6).alias("q_score"))
+
+
+@_query(
+    _PEAKED
+    + ', good AS (SELECT * FROM s JOIN q USING (score) WHERE q_score >= 1.3), '
+    + _union("chrom", "good", '"end"', 30)
+    + ' SELECT chrom, min(start) AS start, max("end") AS "end", max(depth) AS depth, arg_min(start, (-depth, start)) AS summit, max(score)::DOUBLE AS score, round(max(q_score), 6)::DOUBLE AS q_score FROM v GROUP BY chrom, component HAVING max("end") - min(start) >= 50'
+)
+def called_peaks(spark, sf_dir):
+    """Peaks of coverage over the local background."""
+    t = peaks.call_peaks(_peaked(spark, sf_dir), ["chrom"], 4_000_000, (200, 1000, 10_000), segment_width=16_384)
+    return t.withColumn("q_score", F.round("q_score", 6))

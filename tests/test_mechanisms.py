@@ -386,3 +386,53 @@ def test_directional_clusters_by_brute_force(spark):
         reads += [(g % 7 if g > 35 else g + 10, None if g == 3 else "x", u) for u, n in counts.items() for _ in range(n)]
     got = rna.directional_umis(spark.createDataFrame(reads, "cell int, gene string, umi string"), ["cell", "gene"])
     assert {(x.cell, x.gene): x.n for x in got.collect()} == want
+
+
+# Peaks
+
+
+def test_poisson_tails():
+    """By exact fractions for small rates, and by the sum from the other side for depths below the rate."""
+    from fractions import Fraction
+
+    from cytoflux.operators.peaks import tail_scores
+
+    for rate in (0.01, 0.5, 3.0, 40.0):
+        for k in (0, 1, 2, 5, 30, 41, 60):
+            term, below = Fraction(1), Fraction(0)
+            for i in range(k):
+                below += term
+                term = term * Fraction(rate) / (i + 1)
+            above, i = Fraction(0), k
+            while i < k + 400:
+                above += term
+                i += 1
+                term = term * Fraction(rate) / i
+            p = above / (above + below)
+            log_p = np.log10(p.numerator / p.denominator) if p > Fraction(1, 10**300) else 0
+            assert tail_scores(np.array([k]), np.array([rate]))[0] == pytest.approx(-log_p, rel=1e-9, abs=1e-9)
+
+
+def test_peaks_of_a_crowded_place(spark):
+    from cytoflux.operators import peaks
+
+    r = random.Random(13)
+    f = [("c", s, s + 50) for s in (r.randrange(200_000) for _ in range(4000))] + [("c", s, s + 50) for s in (r.randrange(120_000, 120_060) for _ in range(60))]
+    d = spark.createDataFrame(f, "chrom string, start long, end long")
+    got = peaks.call_peaks(d, ["chrom"], 200_000, cutoff=3.0, segment_width=10_000).collect()
+    assert len(got) == 1 and 119_990 <= got[0].start <= 120_030 and 120_060 <= got[0].end <= 120_130 and got[0].start <= got[0].summit < got[0].end
+    whole = peaks.call_peaks(d, ["chrom"], 200_000, cutoff=3.0, segment_width=1_000_000).collect()
+    assert [tuple(x) for x in got] == [tuple(x) for x in whole]
+    assert peaks.call_peaks(d.where("false"), ["chrom"], 200_000).count() == 0
+
+
+def test_discovery_rates_by_ranks(spark):
+    from cytoflux.operators import peaks
+
+    rates = [(k * 10, k * 10 + 1 + k % 3, k % 9, 0.5 + (k % 4)) for k in range(60)]
+    d = spark.createDataFrame(rates, "start long, end long, depth long, background double")
+    got = {x.start: (x.score, x.q_score) for x in peaks.scored_steps(d).collect()}
+    bases = sorted((got[s][0] for s, e, *_ in rates for _ in range(e - s)), reverse=True)
+    for s, *_ in rates:
+        q = min(10.0**-v * len(bases) / sum(b >= v for b in bases) for v in set(bases) if v <= got[s][0])
+        assert got[s][1] == pytest.approx(max(-np.log10(q), 0), abs=1e-9)
