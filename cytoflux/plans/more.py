@@ -338,3 +338,18 @@ def called_peaks(spark, sf_dir):
     """Peaks of coverage over the local background."""
     t = peaks.call_peaks(_peaked(spark, sf_dir), ["chrom"], 4_000_000, (200, 1000, 10_000), segment_width=16_384)
     return t.withColumn("q_score", F.round("q_score", 6))
+
+
+# Phases of contacts
+
+from ..operators import imputation  # noqa: E402
+
+
+@_query()
+def imputed_phases(spark, sf_dir):
+    """Contacts by cell with the phases that their neighbours suggest: how many are known, called and open."""
+    c = view(spark, sf_dir, "contacts").distinct()
+    phase = lambda k: F.when(F.col("q") % k == 0, "0").when(F.col("q") % k == 1, "1").otherwise(".")
+    t = imputation.called_phases(imputation.impute_phases(c.withColumn("phase1", phase(5)).withColumn("phase2", phase(7)), ["cell"], 500_000, 4))
+    known = (F.col("phase1") != ".") & (F.col("phase2") != ".")
+    return t.groupBy("cell").agg(F.count("*").alias("contacts"), F.count_if(known).alias("known"), F.count_if(~known & (F.col("called1") != ".")).alias("called"), F.count_if(F.col("called1") == ".").alias("open"))

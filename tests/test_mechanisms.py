@@ -436,3 +436,36 @@ def test_discovery_rates_by_ranks(spark):
     for s, *_ in rates:
         q = min(10.0**-v * len(bases) / sum(b >= v for b in bases) for v in set(bases) if v <= got[s][0])
         assert got[s][1] == pytest.approx(max(-np.log10(q), 0), abs=1e-9)
+
+
+# Imputed phases
+
+
+def test_imputed_phases_by_brute_force(spark):
+    from cytoflux.operators import imputation
+
+    r = random.Random(14)
+    data = [(r.choice("xy"), i, "a", r.randrange(400), r.choice("ab"), r.randrange(400), r.choice("01..."), r.choice("01...")) for i in range(160)] + [("x", 900, "a", 5000, "b", 5000, ".", "1"), ("x", 901, "a", None, "b", 3, "0", ".")]
+    d = spark.createDataFrame(data, "cell string, id int, chr1 string, pos1 long, chr2 string, pos2 long, phase1 string, phase2 string")
+    ways = [(a, b) for a in "01" for b in "01"]
+    fits = {x[1]: np.array([float(x[6] in (".", a) and x[7] in (".", b)) for a, b in ways]) for x in data}
+    p = {i: f / f.sum() for i, f in fits.items()}
+    for n in range(1, 4):
+        new = {}
+        for c, i, c1, p1, c2, p2, *_ in data:
+            v = np.zeros(4)
+            for e, j, d1, q1, d2, q2, *_ in data:
+                if i != j and (c, c1, c2) == (e, d1, d2) and p1 is not None and q1 is not None:
+                    dx, dy = abs(p1 // 50 - q1 // 50), abs(p2 // 50 - q2 // 50)
+                    if max(dx, dy) <= 1:
+                        v += imputation.WEIGHTS[dx + dy] * p[j]
+            v = fits[i] * (v + 0.1)
+            new[i] = v / v.sum()
+        p = new
+        got = imputation.impute_phases(d, ["cell"], 50, n, 0.0)
+        assert all(np.allclose([x.p00, x.p01, x.p10, x.p11], p[x.id]) for x in got.collect())
+    settled = imputation.impute_phases(d, ["cell"], 50, 60, 1e-3)
+    assert settled.first().rounds < 60
+    for x in imputation.called_phases(settled).collect():
+        assert x.phase1 in (".", x.called1) or x.called1 == "."
+    assert imputation.impute_phases(d.where("false"), ["cell"], 50).count() == 0
