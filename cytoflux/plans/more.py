@@ -353,3 +353,12 @@ def imputed_phases(spark, sf_dir):
     t = imputation.called_phases(imputation.impute_phases(c.withColumn("phase1", phase(5)).withColumn("phase2", phase(7)), ["cell"], 500_000, 4))
     known = (F.col("phase1") != ".") & (F.col("phase2") != ".")
     return t.groupBy("cell").agg(F.count("*").alias("contacts"), F.count_if(known).alias("known"), F.count_if(~known & (F.col("called1") != ".")).alias("called"), F.count_if(F.col("called1") == ".").alias("open"))
+
+
+@_query(cte("fragments") + """ SELECT q, ln, price, start, "end", chrom::INT AS chrom FROM (SELECT DISTINCT q, ln, price, chrom, start, "end" FROM fragments) WHERE chrom = 3 AND start < 9000 AND "end" > 2000""")
+def fragments_of_a_region(spark, sf_dir):
+    """All fragments written by chromosome and bin, and those of one region read back."""
+    f = view(spark, sf_dir, "fragments").select("q", "ln", "price", F.col("chrom").cast("int").alias("chrom"), "start", "end").distinct()
+    path = scratch.place(spark, "regions")
+    writers.write_regions(f, path, 4096)
+    return writers.read_region(spark, path, 3, 2000, 9000)

@@ -82,3 +82,25 @@ def read_snp_index(spark: SparkSession, path: str) -> DataFrame:
     if bad or told.isEmpty():
         raise ValueError(f"the SNP index {path} does not fit its manifest: {', '.join(map(str, bad)) or 'it is empty'}")
     return snps
+
+
+def write_regions(fragments: DataFrame, path: str, width: int = 1_000_000) -> None:
+    """Fragments (chrom, start, end, ...) in a folder per chromosome and bin of their starts, sorted, and the greatest length on each chromosome; see ``read_region``."""
+    placed = fragments.withColumn("bin", F.floor(F.col("start") / width))
+    placed.repartition("chrom", "bin").sortWithinPartitions("chrom", "bin", "start", "end").write.mode("overwrite").partitionBy("chrom", "bin").parquet(f"{path}/fragments")
+    longest = fragments.groupBy("chrom").agg(F.max(F.col("end") - F.col("start")).alias("longest"))
+    longest.withColumn("width", F.lit(width)).coalesce(1).write.mode("overwrite").parquet(f"{path}/lengths")  # a row per chromosome
+
+
+def read_region(spark: SparkSession, path: str, chrom: object, start: int, end: int) -> DataFrame:
+    """The fragments that overlap [start, end) of a chromosome.
+
+    Only bins where such a fragment can begin are opened: from the greatest length before ``start`` on up to ``end``.
+    """
+    t = spark.read.parquet(f"{path}/fragments")
+    told = spark.read.parquet(f"{path}/lengths").where(F.col("chrom") == F.lit(chrom)).first()
+    if told is None:
+        return t.where(F.lit(False)).drop("bin")
+    first, last = (start - told["longest"] + 1) // told["width"], (end - 1) // told["width"]
+    here = (F.col("chrom") == F.lit(chrom)) & F.col("bin").between(first, last)
+    return t.where(here & (F.col("start") < end) & (F.col("end") > start)).drop("bin")

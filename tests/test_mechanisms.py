@@ -469,3 +469,20 @@ def test_imputed_phases_by_brute_force(spark):
     for x in imputation.called_phases(settled).collect():
         assert x.phase1 in (".", x.called1) or x.called1 == "."
     assert imputation.impute_phases(d.where("false"), ["cell"], 50).count() == 0
+
+
+# Regions
+
+
+def test_regions_open_their_bins_only(spark, tmp_path):
+    r = random.Random(15)
+    f = [(r.choice("ab"), s, s + r.choice((1, 40, 900 if i % 50 == 0 else 60)), i) for i, s in enumerate(r.randrange(50_000) for _ in range(2000))]
+    path = str(tmp_path / "frags")
+    writers.write_regions(spark.createDataFrame(f, "chrom string, start long, end long, id int"), path, 1000)
+    for chrom, start, end in (("a", 20_000, 20_500), ("b", 0, 1), ("a", 49_990, 60_000), ("b", 999, 1001), ("a", 70_000, 80_000), ("z", 0, 9)):
+        got = writers.read_region(spark, path, chrom, start, end)
+        assert rows(got, "id") == sorted((i,) for c, s, e, i in f if c == chrom and s < end and e > start)
+    region = writers.read_region(spark, path, "a", 20_000, 20_500)
+    region.collect()
+    leaves = region._jdf.queryExecution().executedPlan().collectLeaves()
+    assert [leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())] == [2]  # of a hundred: where a fragment of 900 bases can begin
