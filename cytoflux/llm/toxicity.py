@@ -29,15 +29,15 @@ from .common import hash_share, id_class, kept, small_side, stored, table, with_
 SAMPLE = 20_000
 #: Terms counted and kept at most, the most frequent in toxic texts first and the best first.
 CANDIDATES, LEXICON = 65_536, 4096
-#: A term is judged if so many toxic texts, and this share of them, hold it; it enters the lexicon from these log odds.
-LEAST, LEAST_SHARE, ODDS = 3, 0.002, math.log(8)
+#: A term is judged if so many toxic texts, and this share of them, hold it; it enters the lexicon if its log odds, less so many of their standard deviations, reach a bound.
+LEAST, LEAST_SHARE, SURE, ODDS = 3, 0.002, 1.64, math.log(4)
 #: Labels broadcast at most, after a count; beyond, texts are joined by id.
 KEYS = 2_000_000
-TREES, DEPTH, STEP, SEED = 20, 3, 0.2, 7
+TREES, DEPTH, STEP, SEED = 30, 3, 0.3, 7
 #: One part in so many of the sample calibrates, the rest grows trees.
 FOLDS = 4
-#: The share of the trees' own probability in a score, which orders texts of one calibrated step.
-TIE = 0.01
+#: The share of the trees' own probability in a score: it orders texts of one calibrated step, and tells them apart where few rows calibrate.
+TIE = 0.25
 CUT = 0.3
 NEAR = 5
 
@@ -144,7 +144,7 @@ def _texts_with_term(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
-    """Terms and log odds from (text, label): how much more often toxic texts hold a term than the others, one half added to each count."""
+    """Terms and sure log odds from (text, label): how much more often toxic texts hold a term than the others, one half added to each count, less ``SURE`` standard deviations."""
     spark = rows.sparkSession
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
@@ -170,7 +170,10 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     clean = np.zeros(len(place), np.int64)
     for r in rows.where("label = 0").select("text").mapInArrow(others, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         clean[r["at"]] = r["n"]
-    odds = {r["term"]: math.log((r["n"] + 0.5) / (ones + 1)) - math.log((c + 0.5) / (zeros + 1)) for r, c in zip(often, clean.tolist(), strict=True)}
+    odds = {}
+    for r, c in zip(often, clean.tolist(), strict=True):
+        spread = math.sqrt(1 / (r["n"] + 0.5) + 1 / (c + 0.5))
+        odds[r["term"]] = math.log((r["n"] + 0.5) / (ones + 1)) - math.log((c + 0.5) / (zeros + 1)) - SURE * spread
     best = sorted((-w, t) for t, w in odds.items() if w >= ODDS)[:LEXICON]
     return {t: -w for w, t in best}
 
