@@ -60,7 +60,7 @@ def scored_steps(steps: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def score(depth: pd.Series, rate: pd.Series) -> pd.Series:
-        return pd.Series(np.round(np.minimum(tail_scores(depth.to_numpy(), rate.to_numpy()), MOST), DIGITS))
+        return pd.Series(np.round(np.minimum(tail_scores(depth.to_numpy(), rate.to_numpy()), MOST), DIGITS) + 0.0)  # no negative zero
 
     t = steps.withColumn("score", score(F.col("depth"), F.col("background")))
     each = t.groupBy("score").agg(F.sum(F.col("end") - F.col("start")).alias("bases"))

@@ -306,7 +306,7 @@ _PEAKED = (
     + """, st AS (SELECT chrom, pos AS start, nxt AS "end", depth::BIGINT AS depth, depth * (nxt - pos) AS mass FROM run WHERE depth > 0),
 b AS (SELECT *, greatest((SELECT sum(mass) FROM st) / 4000000, sum(mass) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING) / 200, sum(mass) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 500 PRECEDING AND 500 FOLLOWING) / 1000,
   sum(mass) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 5000 PRECEDING AND 5000 FOLLOWING) / 10000) AS background FROM st),
-s AS (SELECT *, greatest(round(-log10(list_sum(list_transform(range(depth, depth + 250), lambda i: exp(-background + i * ln(background) - lgamma(i + 1))))), 2), 0) AS score FROM b),
+s AS (SELECT *, greatest(round(-log10(list_sum(list_transform(range(depth, depth + 250), lambda i: exp(-background + i * ln(background) - lgamma(i + 1))))), 2), 0) + 0 AS score FROM b),
 e AS (SELECT score, sum("end" - start) AS bases FROM s GROUP BY score), r AS (SELECT score, sum(bases) OVER (ORDER BY score DESC) AS rank, sum(bases) OVER () AS whole FROM e),
 q AS (SELECT score, greatest(max(score + log10(rank) - log10(whole)) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING), 0) AS q_score FROM r)"""
 )
