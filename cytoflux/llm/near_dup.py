@@ -215,49 +215,68 @@ def _with_centres(members: DataFrame) -> DataFrame:
     return members.join(best.select("bucket", "salt", F.col("best.node").alias("centre"), F.col("best.component").alias("other")), ["bucket", "salt"])
 
 
-def _links_of_pair(a: dict, b: dict, bucket: int, threshold: float) -> list[tuple[int, int]]:
-    """Linked rows of a block of queries and a block of members in other components; a pair counts in its first common bucket."""
-    band = int(np.argmax(a["bands"][0] == bucket))
-    sizes, links = np.array([len(s) for s in b["s"]]), []
-    for q in range(len(a["s"])):
+def _likely_pairs(a: dict, b: dict, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a block of queries and of a block of members, in other components, whose signatures agree in the share LIKELY; a pair counts in its first common bucket."""
+    band, found = int(np.argmax(a["bands"][0] == bucket)), []
+    for q in range(len(a["at"])):
         near = (b["signature"] == a["signature"][q]).mean(axis=1) >= LIKELY
         near &= (b["component"] != a["component"][q]) & ~(b["bands"][:, :band] == a["bands"][q, :band]).any(axis=1)
         hits = np.flatnonzero(near)
-        if not len(hits):
-            continue
-        mine = np.sort(a["s"][q])
-        flat = np.concatenate([b["s"][k] for k in hits])
+        found.append(np.stack([np.full(len(hits), q), hits]))
+    return tuple(np.concatenate(found, axis=1)) if found else (np.zeros(0, np.int64),) * 2
+
+
+def _linked(a: list[np.ndarray], b: list[np.ndarray], pairs: tuple[np.ndarray, np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """The likely pairs whose shingles have the similarity."""
+    sizes, links = np.array([len(s) for s in b]), []
+    for q in np.unique(pairs[0]):
+        hits, mine = pairs[1][pairs[0] == q], np.sort(a[q])
+        flat = np.concatenate([b[k] for k in hits])
         place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
         common = np.bincount(np.repeat(np.arange(len(hits)), sizes[hits]), weights=mine[place] == flat, minlength=len(hits))
         found = common >= threshold * (sizes[hits] + len(mine) - common)
-        links += [(q, int(k)) for k in hits[found]]
+        links += [(int(q), int(k)) for k in hits[found]]
     return links
 
 
-def _block_links(threshold: float):
-    keys = ["bucket", "block", "queries"]
+PAIR_OF_BLOCKS = ["bucket", "block", "queries"]
+
+
+def _sides_of_blocks(batches):
+    """Of each pair of blocks: the table, its bucket, and its queries and members as numbers and arrays."""
+    for t in whole_groups(batches, PAIR_OF_BLOCKS):
+        number = {c: t.column(c).to_numpy() for c in ("node", "component", "query", *PAIR_OF_BLOCKS)}
+        raw, lists, sides = t.column("signature").to_pylist(), t.column("bands"), []
+        for start, stop in itertools.pairwise(group_starts(t, PAIR_OF_BLOCKS)):
+            both = []
+            for side in (True, False):
+                at = start + np.flatnonzero(number["query"][start:stop].astype(bool) == side)
+                signature = np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(len(at), -1)
+                both.append({"at": at, "component": number["component"][at], "signature": signature, "bands": np.array(lists.take(pa.array(at)).to_pylist(), dtype=np.int64).reshape(len(at), -1)})
+            if all(len(x["at"]) for x in both):
+                sides.append((int(number["bucket"][start]), *both))
+        yield t, number, sides
 
+
+def _likely_rows(batches):
+    """Rows of pairs of blocks that have a likely partner there."""
+    for t, _, sides in _sides_of_blocks(batches):
+        wanted = np.zeros(t.num_rows, bool)
+        for bucket, a, b in sides:
+            q, k = _likely_pairs(a, b, bucket)
+            wanted[a["at"][q]] = wanted[b["at"][k]] = True
+        yield from t.drop_columns(["bands", "signature"]).filter(pa.array(wanted)).combine_chunks().to_batches()
+
+
+def _block_links(threshold: float):
     def run(batches):
-        for t in whole_groups(batches, keys):
-            number = {c: t.column(c).to_numpy() for c in ("node", "component", "query", *keys)}
-            cuts = group_starts(t, keys)
-            raw, lists, sets = t.column("signature").to_pylist(), t.column("bands"), t.column("s")
-            out = []
-            for start, stop in itertools.pairwise(cuts):
-                sides = []
-                for side in (True, False):
-                    at = start + np.flatnonzero(number["query"][start:stop].astype(bool) == side)
-                    sides.append(
-                        {
-                            "at": at,
-                            "component": number["component"][at],
-                            "signature": np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(len(at), -1),
-                            "bands": np.array(lists.take(pa.array(at)).to_pylist(), dtype=np.int64).reshape(len(at), -1),
-                            "s": [np.asarray(sets[i].values) for i in at],
-                        }
-                    )
-                if all(len(x["at"]) for x in sides):
-                    out += [(sides[0]["at"][i], sides[1]["at"][j]) for i, j in _links_of_pair(*sides, int(number["bucket"][start]), threshold)]
+        for t, number, sides in _sides_of_blocks(batches):
+            sets, out = t.column("s"), []
+            own = lambda side, sets=sets: [np.asarray(sets[i].values) for i in side["at"].tolist()]
+            for bucket, a, b in sides:
+                pairs = _likely_pairs(a, b, bucket)
+                if len(pairs[0]):
+                    out += [(a["at"][i], b["at"][j]) for i, j in _linked(own(a), own(b), pairs, threshold)]
             i, j = np.array(out, dtype=np.int64).reshape(-1, 2).T
             yield pa.RecordBatch.from_arrays([pa.array(number["node"][x]) for x in (i, j)], names=["a", "b"])
 
@@ -269,22 +288,26 @@ def _links_across(members: DataFrame, nodes: DataFrame, sets: DataFrame, thresho
 
     In a bucket, members outside the centre's component are queries against all members.  Members and queries are each dealt out to blocks of
     about MEMBERS rows, and each block of queries meets each block of members in a group of its own, so a task holds two blocks
-    whatever the size of a bucket; members of the centre's component are never compared with each other.
+    whatever the size of a bucket; members of the centre's component are never compared with each other.  Signatures go to all pairs of blocks; shingles follow only for texts that
+    have a likely partner there, so texts that merely share a passage are not copied.
     """
     placed = _with_centres(members).withColumn("query", F.col("component") != F.col("other"))
     whole = per_salt(placed, ["bucket"], F.count_if("query").alias("asked"), salts=SALTS).where("asked > 0")
     blocks = lambda c: F.ceil(F.col(c) / MEMBERS).cast("int")
     whole = stored(whole.select("bucket", "salt", blocks("n").alias("blocks"), blocks("asked").alias("query_blocks")))
     placed = stored(placed.join(whole, ["bucket", "salt"]).select("node", "component", "bucket", "query", "blocks", "query_blocks"))
-    payload = nodes.select("node", "bands", "signature").join(sets, "node").join(placed.select("node").distinct(), "node", "left_semi")
-    full = placed.join(stored(payload), "node")
+    signed = nodes.select("node", "bands", "signature")
+    full = placed.join(signed, "node")
     own = lambda c, seed: F.pmod(F.xxhash64("node", "bucket", F.lit(seed)), F.col(c)).cast("int")
     all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     as_member = full.withColumn("query", F.lit(False)).withColumn("block", own("blocks", 1)).withColumn("queries", all_of("query_blocks"))
     as_query = full.where("query").withColumn("queries", own("query_blocks", 2)).withColumn("block", all_of("blocks"))
-    key = ["bucket", "block", "queries"]
-    rows = as_member.unionByName(as_query).select("node", "component", "query", "bands", "signature", "s", *key)
-    return stored(rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_block_links(threshold), "a long, b long"))
+    names = ["node", "component", "query", *PAIR_OF_BLOCKS]
+    dealt = lambda rows: rows.repartition(*PAIR_OF_BLOCKS).sortWithinPartitions(*PAIR_OF_BLOCKS)
+    rows = as_member.unionByName(as_query).select(*names, "bands", "signature")
+    likely = stored(dealt(rows).mapInArrow(_likely_rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in (rows.schema[c] for c in names))))
+    rows = likely.join(signed, "node").join(sets, "node").select(*names, "bands", "signature", "s")
+    return stored(dealt(rows).mapInArrow(_block_links(threshold), "a long, b long"))
 
 
 def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
