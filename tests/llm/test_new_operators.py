@@ -293,3 +293,51 @@ def test_toxicity_on_odd_tables(spark):
     some = spark.createDataFrame([(i + 100, y, "") for i, _, y in rows], known)
     got = toxicity.classify(more, some, F.lit(True)).collect()
     assert len(got) == len(rows) + 6 and len({r.score for r in got if r.doc_id in (1, 2)}) == 1 and all(r.predicted == 0 for r in got if r.doc_id in (1, 2, 3, 4))
+
+
+# Ties, and words of any length, for earlier operators
+
+
+def test_long_words_are_counted_by_the_join(spark):
+    """Words too long for the lookup, and a lookup of two tokens, give the base scores of the formula."""
+    from cytoflux.llm import hmm_lm
+
+    long_a, long_b = "x" * 300, "y" * 70_000
+    texts = [f"a b {long_a}", f"{long_a} {long_b} a", "a a b", f"{long_b}", f"z {long_a}", None]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    held_out = F.col("doc_id") >= 4
+    words = [(t or "").split() + ["</end>"] for t in texts]
+    count = Counter(w for ws in words[:4] for w in ws)
+    n, v = sum(count.values()), len(count)
+    want = {i: sum(np.log10((count[w] + 1) / (n + v + 1)) for w in ws) for i, ws in enumerate(words)}
+    for lookup in (131_072, 2):
+        got = {r.doc_id: r for r in hmm_lm.score(d, held_out, rounds=1, lookup=lookup).collect()}
+        assert all(got[i].base_score == pytest.approx(want[i]) and got[i].train_tokens == n for i in want)
+        assert [got[i].n_known for i in range(6)] == [sum(count[w] > 0 for w in ws) for ws in words]
+    wide = {r.doc_id: r.base_score for r in hmm_lm.score(d, held_out, rounds=1, classes=1 << 16).collect()}  # symbols of 32 bits
+    assert all(wide[i] == pytest.approx(want[i]) for i in want)
+
+
+def test_licence_ties(spark):
+    """Phrases of equal length all count; labels are sorted, whatever their order in the text."""
+    from cytoflux.llm import license_scan
+
+    texts = ["all rights reserved x general public license", "general public license y all rights reserved", "cc by cc by"]
+    r = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()
+    assert [(x.base_labels, x.n_base, x.first_word, x.last_word) for x in r] == [("gpl,reserved", 2, 0, 4), ("gpl,reserved", 2, 0, 4), ("cc-by", 2, 0, 2)]
+    assert r[0].score == r[1].score == 3 / 11
+
+
+def test_rule_ties(spark):
+    """Rows that repeat, and labels that disagree on equal texts, give equal scores however rows are ordered."""
+    from cytoflux.llm import quality_rules_model
+
+    texts = ["good words in a plain sentence here", "### $$$ ||| ###", "good words in a plain sentence here"]
+    rows = [(i, texts[i % 3]) for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 != 1)) for i in range(80)] + [(3, 0), (3, 1)], "doc_id long, quality int")
+    scores = []
+    for parts, order in ((1, rows), (3, rows[::-1])):
+        d = spark.createDataFrame(order, "doc_id long, text string").repartition(parts)
+        scores.append({r.doc_id: r.score for r in quality_rules_model.classify(d, labels, F.lit(True)).collect()})
+        assert len({scores[-1][i] for i, t in rows if t == texts[0]}) == 1 and scores[-1][0] > 0.5 > scores[-1][1]
+    assert all(scores[0][i] == pytest.approx(scores[1][i], abs=1e-6) for i, _ in rows)
