@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as N
-from ..operators import adapters, cohort, qc, rna, structure
+from ..operators import adapters, cohort, contacts, imputation, intervals, peaks, qc, rna, structure
 from ..sources import readers, scratch, writers
 from ..streaming import islands
 from .fixtures import cte, view
+from .oracle import _COVERAGE, _READS, _union
 
 QUERIES: dict[str, object] = {}
 ORACLES: dict[str, str] = {}
@@ -69,11 +70,9 @@ def pairs_rows(spark, sf_dir):
     return p.groupBy("chr1", "chr2").agg(F.count("*").alias("n"), F.sum("pos1").alias("pos1"), F.sum("pos2").alias("pos2"), F.count_if(F.col("strand1") == "+").alias("forward"))
 
 
-@_query()
+@_query(_READS + """ SELECT read_num, strand, phase, count(*) AS n, sum(start)::BIGINT AS starts, sum("end")::BIGINT AS ends, sum(n_hits)::BIGINT AS hits, count(DISTINCT qname) AS reads FROM segs GROUP BY ALL""")
 def segment_rows(spark, sf_dir):
     """Reads as lines of segments, written and read: sums per read number and strand."""
-    from ..operators import contacts
-
     reads = contacts.resolve_reads(view(spark, sf_dir, "hits"), ("ln", "price", "start", "chrom", "strand", "phase"))
     s = readers.read_segments(spark, scratch.text_lines(contacts.segment_lines(reads), "seg")).select("qname", F.explode("segs").alias("s")).select("qname", "s.*")
     return s.groupBy("read_num", "strand", "phase").agg(F.count("*").alias("n"), F.sum("start").alias("starts"), F.sum("end").alias("ends"), F.sum("n_hits").alias("hits"), F.count_distinct("qname").alias("reads"))
@@ -296,9 +295,6 @@ def event_islands(spark, sf_dir):
 
 # Peaks
 
-from ..operators import intervals, peaks  # noqa: E402
-from .oracle import _COVERAGE, _union  # noqa: E402
-
 _PEAKED = (
     cte("fragments")
     + """, fragments_ AS (SELECT chrom, start - m AS start, "end" - m AS "end" FROM (SELECT *, CASE WHEN start % 7000 < 350 THEN start % 350 ELSE 0 END AS m FROM fragments) WHERE q % 3 = 0 OR m > 0)"""
@@ -342,9 +338,6 @@ def called_peaks(spark, sf_dir):
 
 # Phases of contacts
 
-from ..operators import imputation  # noqa: E402
-
-
 @_query()
 def imputed_phases(spark, sf_dir):
     """Contacts by cell with the phases that their neighbours suggest: how many are known, called and open."""

@@ -66,6 +66,7 @@ def test_overlap_join_finds_each_pair_once(spark):
     assert rows(intervals.overlap_join(x, y, ["chrom"], 64), "l_id", "r_id") == want
     hit = {i for i, _ in want}
     assert {r.id for r in intervals.overlap_anti(x, y, ["chrom"], ["id"], 64).collect()} == {r[1] for r in a} - hit
+    assert {r.id for r in intervals.overlap_semi(x, y, ["chrom"], ["id"], 64).collect()} == hit
 
 
 def test_candidate_order_prefers_less_clipping_then_primary(spark):
