@@ -13,6 +13,8 @@ from .intervals import SEGMENT, island_starts, islands, overlap_join, point_join
 #: Wanted chromosomes (fixed values).
 STANDARD = r"^(chr)?([0-9]+|[XY])$"
 NO_Y = r"^(chr)?([0-9]+|X)$"
+#: Squares along a side of the tiles by which contacts are dealt.
+TILE = 16
 
 
 def merge_hits(hits: DataFrame, ties: tuple[str, ...] = (), gap: int = 500) -> DataFrame:
@@ -162,25 +164,37 @@ def clean_legs(pairs: DataFrame, ids: list[str], max_distance: int, max_count: i
 def clean_isolated(pairs: DataFrame, ids: list[str], distance: int, min_support: int) -> DataFrame:
     """Keep contacts with at least ``min_support`` others whose legs are both within ``distance``.
 
-    Contacts of one square of the grid with sides of ``distance`` support each other, so those of a square with enough contacts stay without a comparison.
+    Contacts are dealt once, by tiles of ``TILE`` by ``TILE`` squares with sides of ``distance``; those within ``distance`` of a border also go to the next tile, where they only count.
+    All else happens within a tile: contacts without another near by on both axes go, and those of a square with enough contacts stay without a comparison.
     Only the few of sparse squares are compared with their neighbourhood, ``min_support`` of a square at most.
     """
     cell = [c for c in ids if c == "cell"]
-    square = [*cell, "chr1", "chr2", "x", "y"]
+    others = [c for c in ids if c not in cell]
+    keys = [*cell, "chr1", "chr2"]
+    tile = [*keys, "_tx", "_ty"]
     names = list(dict.fromkeys([*ids, "chr1", "pos1", "chr2", "pos2"]))
-    placed = pairs.select(*names, F.floor(F.col("pos1") / distance).alias("x"), F.floor(F.col("pos2") / distance).alias("y"))
-    sizes = placed.groupBy(*square).agg(F.count("*").alias("n"))
-    sized = placed.join(sizes, square)
-    supported = sized.where(F.col("n") > min_support).select(*ids)
-    around = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    a = sized.where(F.col("n") <= min_support).withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
-    a = a.select(*[F.col(c).alias(f"a_{c}") for c in names], (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"))
-    b = placed.select(*[F.col(c).alias(f"b_{c}") for c in names], F.col("x").alias("bx"), F.col("y").alias("by"))
-    on = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in (*cell, "chr1", "chr2")] + [F.col("x") == F.col("bx"), F.col("y") == F.col("by")]
-    other = reduce(lambda p, q: p | q, [F.col(f"a_{c}") != F.col(f"b_{c}") for c in ids if c not in cell])
-    near = (F.abs(F.col("a_pos1") - F.col("b_pos1")) <= distance) & (F.abs(F.col("a_pos2") - F.col("b_pos2")) <= distance)
-    support = a.join(b, on).where(near & other).groupBy(*[F.col(f"a_{c}").alias(c) for c in ids]).agg(F.count("*").alias("support"))
-    return pairs.join(supported.union(support.where(F.col("support") >= min_support).select(*ids)), ids, "left_semi")
+    side = TILE * distance
+    tiles = lambda c: F.explode(F.sequence(F.floor((F.col(c) - distance) / side), F.floor((F.col(c) + distance) / side)))
+    d = pairs.select(*names).na.drop(subset=[*keys, "pos1", "pos2"]).withColumn("_tx", tiles("pos1")).withColumn("_ty", tiles("pos2")).repartition(*tile)
+    if min_support > 0:  # contacts of one square are near each other, so squares stay whole
+        for c in ("pos1", "pos2"):
+            along = W.partitionBy(*tile).orderBy(c)
+            gap = F.least(F.col(c) - F.lag(c).over(along), F.lead(c).over(along) - F.col(c))
+            d = d.withColumn("_gap", gap).where(F.col("_gap") <= distance).drop("_gap")
+    d = d.withColumn("_x", F.floor(F.col("pos1") / distance)).withColumn("_y", F.floor(F.col("pos2") / distance))
+    home = (F.floor(F.col("pos1") / side) == F.col("_tx")) & (F.floor(F.col("pos2") / side) == F.col("_ty"))
+    d = d.withColumn("_n", F.count("*").over(W.partitionBy(*tile, "_x", "_y")))
+    d = d.withColumn("_sure", home & (F.col("_n") > min_support)).withColumn("_asks", home & (F.col("_n") <= min_support))
+    at = lambda x, y, asks: F.struct((F.col("_x") + x).alias("x"), (F.col("_y") + y).alias("y"), F.lit(asks).alias("asks"))
+    around = [at(x, y, True) for x in (-1, 0, 1) for y in (-1, 0, 1)]
+    d = d.withColumn("_at", F.explode(F.when(F.col("_asks"), F.array(at(0, 0, False), *around)).otherwise(F.array(at(0, 0, False)))))
+    d = d.withColumn("_asking", F.collect_list(F.when(F.col("_at.asks"), F.struct(*names))).over(W.partitionBy(*tile, "_at.x", "_at.y"))).where("NOT _at.asks")
+    near = lambda a: (F.abs(a["pos1"] - F.col("pos1")) <= distance) & (F.abs(a["pos2"] - F.col("pos2")) <= distance) & reduce(lambda p, q: p | q, [a[c] != F.col(c) for c in others])
+    vote = lambda of, n: F.struct(*[of(c).alias(c) for c in ids], F.lit(n).alias("support"))
+    own = F.filter(F.array(vote(F.col, min_support)), lambda _: F.col("_sure"))
+    votes = F.concat(own, F.transform(F.filter("_asking", near), lambda a: vote(lambda c: a[c], 1)))
+    support = d.select(F.explode(votes).alias("v")).select("v.*").groupBy(*ids).agg(F.sum("support").alias("support"))
+    return pairs.join(support.where(F.col("support") >= min_support).select(*ids), ids, "left_semi")
 
 
 def clean_splicing(pairs: DataFrame, ids: list[str], exons: DataFrame) -> DataFrame:

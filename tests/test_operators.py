@@ -517,3 +517,21 @@ def test_demultiplex_with_errors(spark):
     exact = {(x.id, x.split) for x in adapters.demultiplex(d, splits, rate=0.0).collect()}
     assert len(got) == len(set(got)) and set(got) == want
     assert exact < want and len(exact) < 0.6 * len(want)
+
+
+def test_isolated_contacts_are_dealt_once(spark):
+    """Contacts at the borders of tiles, twins in their ids, and few rows shuffled: a contact goes to few tiles, not to nine squares."""
+    r = random.Random(31)
+    rows = [(i // 2 if i < 40 else i, i % 3, "a", 1600 * r.randrange(3) + r.randrange(-150, 150), r.choice("ab"), 1600 * r.randrange(3) + r.randrange(-150, 150)) for i in range(400)]
+    rows += [(1000 + i, 0, "a", 20_000 + 300 * i, "b", 20_000 + 300 * i) for i in range(300)] + [(5000, None, "a", 0, "b", 0), (5001, 0, "a", None, "b", 0)]
+    d = spark.createDataFrame(rows, "id int, cell int, chr1 string, pos1 long, chr2 string, pos2 long")
+    for support in (1, 2, 4):
+        n = {}
+        for a in rows:
+            for b in rows:
+                if None not in (*a, *b) and (a[1], a[2], a[4]) == (b[1], b[2], b[4]) and a[0] != b[0] and abs(a[3] - b[3]) <= 100 and abs(a[5] - b[5]) <= 100:
+                    n[a[:2]] = n.get(a[:2], 0) + 1
+        kept = contacts.clean_isolated(d, ["id", "cell"], 100, support)
+        assert sorted((x.id, x.cell) for x in kept.collect()) == sorted(a[:2] for a in rows if n.get(a[:2], 0) >= support)
+    plan = kept._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].split("+- == Initial Plan ==")[0].count("Exchange hashpartitioning") <= 4
