@@ -486,3 +486,26 @@ def test_regions_open_their_bins_only(spark, tmp_path):
     region.collect()
     leaves = region._jdf.queryExecution().executedPlan().collectLeaves()
     assert [leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())] == [2]  # of a hundred: where a fragment of 900 bases can begin
+
+
+def test_phases_across_tiles_and_legs(spark, monkeypatch):
+    """Small tiles and legs give what one tile gives, rows of many batches too; lone contacts are not part of the stored state."""
+    from cytoflux.operators import imputation
+
+    r = random.Random(32)
+    data = [(r.randrange(2), i, "a", r.randrange(-900, 900), "b", r.randrange(900), r.choice("01..."), r.choice("01...")) for i in range(700)] + [(0, 5000, "a", 90_000, "b", 90_000, ".", ".")]
+    d = spark.createDataFrame(data, "cell int, id int, chr1 string, pos1 long, chr2 string, pos2 long, phase1 string, phase2 string")
+    ids = lambda t: {x.id: ([round(x[w], 9) for w in imputation.WAYS], x.rounds) for x in t.collect()}
+    want = ids(imputation.impute_phases(d, ["cell"], 30, 12, 0.02))
+    assert len(want) == len(data) and want[5000][0] == [0.25] * 4
+    stored = []
+    monkeypatch.setattr(imputation, "written", lambda t, name: (w := imputation_written(t, name), stored.append((name, w.count())))[0])
+    monkeypatch.setattr(imputation, "LEG", 3)
+    assert ids(imputation.impute_phases(d, ["cell"], 30, 12, 0.02)) == want
+    assert all(n < len(data) for name, n in stored if name == "phases")
+
+
+def imputation_written(t, name):
+    from cytoflux.sources.scratch import written
+
+    return written(t, name)
