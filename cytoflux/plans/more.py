@@ -318,7 +318,7 @@ def _peaked(spark, sf_dir) -> DataFrame:
 @_query(_PEAKED + ' SELECT chrom, start, "end", depth, round(background, 6)::DOUBLE AS background, score::DOUBLE AS score, round(q_score, 6)::DOUBLE AS q_score FROM s JOIN q USING (score)')
 def scored_coverage(spark, sf_dir):
     """Steps of coverage with their background, the score of their depth over it, and their false discovery rate."""
-    steps = intervals.coverage_steps(_peaked(spark, sf_dir), ["chrom"], segment_width=4096)
+    steps = scratch.written(intervals.coverage_steps(_peaked(spark, sf_dir), ["chrom"], segment_width=4096), "steps")
     mass = steps.agg(F.sum(F.col("depth") * (F.col("end") - F.col("start")))).first()[0] or 0
     t = peaks.scored_steps(peaks.local_background(steps, ["chrom"], (200, 1000, 10_000), max(mass / 4_000_000, 1e-9), 16_384))
     return t.select("chrom", "start", "end", "depth", F.round("background", 6).alias("background"), "score", F.round("q_score", 6).alias("q_score"))
