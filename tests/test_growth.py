@@ -19,3 +19,25 @@ def test_background_by_brute_force_without_frames(spark):
     mass = lambda c, s, w: sum(n * (f - b) for k, b, f, n in rows if k == c and abs(b - s) <= w // 2) / w
     assert {(x.chrom, x.start): x.background for x in got.collect()} == {(c, s): max(2.5, *[mass(c, s, w) for w in (10, 60, 200)]) for c, s, *_ in rows}
     assert got.columns == ["chrom", "start", "end", "depth", "background"] and "Window" not in got._jdf.queryExecution().toString()  # a frame is summed anew for each row
+
+def test_peaks_find_their_coverage_once(spark, monkeypatch):
+    from cytoflux.operators import peaks
+
+    r, n, kept = random.Random(42), [], peaks.coverage_steps
+    f = [("c", s, s + 50) for s in (r.randrange(50_000) for _ in range(500))] + [("c", s, s + 50) for s in range(20_000, 20_060)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(*a, **k):
+        steps = kept(*a, **k)
+
+        def rows(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        n.append(steps.count())
+        return steps.mapInArrow(rows, steps.schema)
+
+    monkeypatch.setattr(peaks, "coverage_steps", counted)
+    assert peaks.call_peaks(spark.createDataFrame(f, "chrom string, start long, end long"), ["chrom"], 50_000, cutoff=3.0).count() >= 1
+    assert seen.value == n[0]
