@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import written
+
+#: The most folders of chromosome and bin.
+FOLDERS = 4096
+
 
 def write_sorted(fragments: DataFrame, path: str, partitions: int | None = None, keys: tuple[str, ...] = ("chrom", "start", "end", "cell")) -> None:
     """Range-partitioned and sorted Parquet, so scans of a place read few row groups."""
@@ -85,11 +90,20 @@ def read_snp_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_regions(fragments: DataFrame, path: str, width: int = 1_000_000) -> None:
-    """Fragments (chrom, start, end, ...) in a folder per chromosome and bin of their starts, sorted, and the greatest length on each chromosome; see ``read_region``."""
-    placed = fragments.withColumn("bin", F.floor(F.col("start") / width))
+    """Fragments (chrom, start, end, ...) in a folder per chromosome and bin of their starts, sorted, and the greatest length on each chromosome; see ``read_region``.
+
+    If there are more than ``FOLDERS`` such folders, bins are twice, four times ... as wide: a folder costs more than its rows if these are few.
+    """
+    each = written(fragments.groupBy("chrom", F.floor(F.col("start") / width).alias("bin")).agg(F.max(F.col("end") - F.col("start")).alias("longest")), "bins")
+    folders, times = each.count(), 1
+    reach = each.agg(F.max(F.abs("bin"))).first()[0] or 0
+    while folders > FOLDERS and times <= reach:  # beyond, a chromosome has one bin, or two around 0
+        times *= 2
+        folders = each.select("chrom", F.floor(F.col("bin") / times).alias("bin")).distinct().count()
+    placed = fragments.withColumn("bin", F.floor(F.col("start") / (width * times)))
     placed.repartition("chrom", "bin").sortWithinPartitions("chrom", "bin", "start", "end").write.mode("overwrite").partitionBy("chrom", "bin").parquet(f"{path}/fragments")
-    longest = fragments.groupBy("chrom").agg(F.max(F.col("end") - F.col("start")).alias("longest"))
-    longest.withColumn("width", F.lit(width)).coalesce(1).write.mode("overwrite").parquet(f"{path}/lengths")  # a row per chromosome
+    longest = each.groupBy("chrom").agg(F.max("longest").alias("longest"))
+    longest.withColumn("width", F.lit(width * times)).coalesce(1).write.mode("overwrite").parquet(f"{path}/lengths")  # a row per chromosome
 
 
 def read_region(spark: SparkSession, path: str, chrom: object, start: int, end: int) -> DataFrame:

@@ -41,3 +41,18 @@ def test_peaks_find_their_coverage_once(spark, monkeypatch):
     monkeypatch.setattr(peaks, "coverage_steps", counted)
     assert peaks.call_peaks(spark.createDataFrame(f, "chrom string, start long, end long"), ["chrom"], 50_000, cutoff=3.0).count() >= 1
     assert seen.value == n[0]
+
+def test_folders_of_regions_are_few(spark, tmp_path, monkeypatch):
+    from cytoflux.sources import writers
+
+    r = random.Random(43)
+    f = [(r.choice("ab"), s, s + r.choice((1, 40, 900)), i) for i, s in enumerate(r.randrange(-500, 50_000) for _ in range(400))]
+    d = spark.createDataFrame(f, "chrom string, start long, end long, id int")
+    for most, least in ((20, 5), (1, 1)):
+        monkeypatch.setattr(writers, "FOLDERS", most)
+        path = tmp_path / str(most)
+        writers.write_regions(d, str(path), 100)
+        assert least <= len(list(path.glob("fragments/chrom=*/bin=*"))) <= max(most, 2 * 2)  # starts below 0 have a bin of their own
+        for chrom, start, end in (("a", 20_000, 20_500), ("b", -600, 1), ("a", 49_990, 60_000), ("z", 0, 9)):
+            got = writers.read_region(spark, str(path), chrom, start, end)
+            assert sorted(x.id for x in got.collect()) == sorted(i for c, s, e, i in f if c == chrom and s < end and e > start)
