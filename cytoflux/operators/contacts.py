@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import SEGMENT, island_starts, islands, overlap_join, point_join
+from .intervals import BIN, SEGMENT, bins, island_starts, islands, overlap_join
 
 #: Wanted chromosomes (fixed values).
 STANDARD = r"^(chr)?([0-9]+|[XY])$"
@@ -198,7 +198,20 @@ def clean_isolated(pairs: DataFrame, ids: list[str], distance: int, min_support:
 
 
 def clean_splicing(pairs: DataFrame, ids: list[str], exons: DataFrame) -> DataFrame:
-    """Drop contacts whose two legs fall in exons (chrom, start, end, gene) of one gene."""
-    hits = point_join(exons, _legs(pairs, ids), ["chrom"])
-    genes = hits.groupBy(*[F.col(f"r_{c}").alias(c) for c in ids], F.col("l_gene").alias("gene")).agg(F.count_distinct("r_leg").alias("legs"))
-    return pairs.join(genes.where("legs = 2").select(*ids).distinct(), ids, "left_anti")
+    """Drop contacts whose two legs fall in exons (chrom, start, end, gene) of one gene.
+
+    A bin's exons are one row, so a contact meets them once for each leg and stays one row; rows of equal ``ids`` count as one contact.
+    """
+    each = exons.select("chrom", "start", "end", F.struct("gene").alias("gene"), F.explode(bins(F.col("start"), F.col("end"), BIN)).alias("bin"))
+    binned = each.where("start < end").groupBy("chrom", "bin").agg(F.collect_set(F.struct("start", "end", "gene")).alias("_exons"))
+    d = pairs
+    for k in (1, 2):
+        pos = F.col(f"pos{k}")
+        d = d.withColumn("_chrom", F.col(f"chr{k}")).withColumn("_bin", F.floor(pos / BIN))
+        d = d.join(binned.select(F.col("chrom").alias("_chrom"), F.col("bin").alias("_bin"), "_exons"), ["_chrom", "_bin"], "left")
+        here = F.transform(F.filter("_exons", lambda e: (e["start"] <= pos) & (pos < e["end"])), lambda e: e["gene"])  # noqa: B023
+        d = d.withColumn(f"_genes{k}", F.when(F.size(here) > 0, here)).drop("_chrom", "_bin", "_exons")
+    same = W.partitionBy(*ids)
+    genes = [F.flatten(F.collect_list(f"_genes{k}").over(same)) for k in (1, 2)]
+    named = reduce(lambda p, q: p & q, [F.col(c).isNotNull() for c in ids])
+    return d.withColumn("_bad", named & F.arrays_overlap(*genes)).where("NOT _bad").select(*pairs.columns)

@@ -56,3 +56,25 @@ def test_folders_of_regions_are_few(spark, tmp_path, monkeypatch):
         for chrom, start, end in (("a", 20_000, 20_500), ("b", -600, 1), ("a", 49_990, 60_000), ("z", 0, 9)):
             got = writers.read_region(spark, str(path), chrom, start, end)
             assert sorted(x.id for x in got.collect()) == sorted(i for c, s, e, i in f if c == chrom and s < end and e > start)
+
+def test_spliced_contacts_stay_one_row(spark):
+    """By brute force, with genes on two chromosomes, twins in their ids, nulls and long exons; contacts are not joined with exons row by row."""
+    from cytoflux.operators import contacts
+
+    r = random.Random(44)
+    exons = [(r.choice("ab"), s, s + r.choice((0, 50, 40_000)), r.choice((1, 2, 3, None))) for s in (r.randrange(200_000) for _ in range(12))]
+    rows = [(i // 2 if i < 60 else i, r.randrange(2), r.choice("abc"), r.randrange(250_000), r.choice("ab"), r.randrange(250_000)) for i in range(400)]
+    rows += [(None, 0, "a", exons[0][1], "a", exons[0][1]), (900, 0, None, 5, "a", 5), (901, 0, "a", None, "a", 5)]
+    legs = {}
+    for i, cell, c1, p1, c2, p2 in rows:
+        for k, c, p in ((1, c1, p1), (2, c2, p2)):
+            for x, s, e, g in exons:
+                if None not in (i, c, p) and x == c and s <= p < e:
+                    legs.setdefault((i, cell, g), set()).add(k)
+    bad = {k[:2] for k, v in legs.items() if len(v) == 2}
+    d = spark.createDataFrame(rows, "id int, cell int, chr1 string, pos1 long, chr2 string, pos2 long")
+    kept = contacts.clean_splicing(d, ["id", "cell"], spark.createDataFrame(exons, "chrom string, start long, end long, gene int"))
+    assert bad and kept.columns == d.columns
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(str(x) for x in rows if x[:2] not in bad)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and "LeftAnti" not in plan  # the contacts are not read again
