@@ -78,3 +78,13 @@ def test_spliced_contacts_stay_one_row(spark):
     assert sorted(map(str, map(tuple, kept.collect()))) == sorted(str(x) for x in rows if x[:2] not in bad)
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 2 and "LeftAnti" not in plan  # the contacts are not read again
+
+def test_text_lines_are_compressed(spark):
+    from pathlib import Path
+
+    from cytoflux.sources import scratch
+
+    lines = spark.range(20_000).select(F.concat(F.lit("ACGT" * 30), F.col("id").cast("string")).alias("value"))
+    path = scratch.text_lines(lines, "sam")
+    assert sum(p.stat().st_size for p in Path(path).glob("part-*")) < 20_000 * 120 / 5
+    assert spark.read.text(path).exceptAll(lines).count() == 0 and spark.read.text(path).count() == 20_000
