@@ -2,19 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
 
+#: Links that a task contracts at once.
+LINKS = 1 << 19
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) as ties of each node to the least node of its component among about ``LINKS`` links."""
+
+    def ties(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        nodes, at = np.unique(np.concatenate([t.column("a").to_numpy(), t.column("b").to_numpy()]), return_inverse=True)
+        a, b = at[: t.num_rows], at[t.num_rows :]
+        root = np.arange(len(nodes))
+        while True:
+            ra, rb = root[a], root[b]
+            if not (ra != rb).any():
+                break
+            np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+            while (root[root] != root).any():
+                root = root[root]
+        tied = np.flatnonzero(root != np.arange(len(nodes)))
+        yield from pa.table({"a": nodes[tied], "b": nodes[root[tied]]}).to_batches()
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= LINKS:
+            yield from ties(held)
+            held, n = [], 0
+    if n:
+        yield from ties(held)
+
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for all nodes of ``links`` (a, b: numbers).
 
     Stars: each node's larger neighbours, then its smaller ones, are tied to the least of them, until nothing changes, which takes few rounds even for long chains.  Each
-    round is stored, so a lost executor costs a round's tasks at most.
+    round is stored, so a lost executor costs a round's tasks at most.  Before the first, tasks contract the links that they have, so cycles and chains among these cost no rounds.
     """
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    known = links.where("a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    edges = written(known.mapInArrow(_forest, "a long, b long").distinct(), "links")
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -76,24 +78,30 @@ def directional_umis(reads: DataFrame, keys: list[str]) -> DataFrame:
     """UMIs per group after joining each UMI to one that differs in one base and has at least 2n - 1 of its n reads.
 
     Clusters are followed outwards from the most frequent UMI.  That leaves one cluster for each UMI of several reads that none is above, and one for each component of UMIs
-    of one read (these are above each other) without a UMI above any of them.  Counts per UMI are summed before the shuffle; neighbours meet by the UMI with one base left
-    out, a few to each, so no group of reads, however large, is held or compared pair by pair.
+    of one read (these are above each other) without a UMI above any of them.  Counts per UMI are summed before the shuffle.  UMIs one base apart share their first or their second
+    half, so each goes to two places only; there neighbours meet by the UMI with one base left out, a few to each, so no group of reads, however large, is held or compared pair by pair.
     """
     counts = reads.groupBy(*keys, "umi").agg(F.count("*").alias("reads"))
     counts = written(counts.withColumn("u", F.monotonically_increasing_id()), "umis")
-    masked = counts.select(*keys, "u", "reads", F.explode(F.sequence(F.lit(1), F.length("umi"))).alias("i"), "umi")
-    masked = masked.select(*keys, "u", "reads", "i", F.concat(F.expr("substring(umi, 1, i - 1)"), F.lit("."), F.expr("substring(umi, i + 1)")).alias("mask"))
-    other = masked.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("u").alias("v"), F.col("reads").alias("less"), F.col("i").alias("_i"), F.col("mask").alias("_mask"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("i") == F.col("_i"), F.col("mask") == F.col("_mask")]
-    above = masked.join(other, same).where((F.col("u") != F.col("v")) & (F.col("reads") >= 2 * F.col("less") - 1)).select("u", "v", "reads", "less")
-    above = written(above, "above")
-    under = above.where("reads > 1").select(F.col("v").alias("u")).distinct()  # of one read or more, below a UMI of several
-    alone = components(above.where("reads = 1 AND less = 1").select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("node", "u")
-    ones = counts.where("reads = 1").select(*keys, "u").join(alone, "u", "left").withColumn("root", F.coalesce("root", "u"))
-    ones = ones.join(under.withColumn("taken", F.lit(True)), "u", "left").groupBy(*keys, "root").agg(F.max("taken").alias("taken"))
-    several = counts.where("reads > 1").select(*keys, "u").join(under, "u", "left_anti")
-    clusters = several.select(*keys, F.lit(1).alias("n")).unionByName(ones.select(*keys, F.when(F.col("taken"), 0).otherwise(1).alias("n")))
-    return clusters.unionByName(counts.select(*keys, F.lit(0).alias("n"))).groupBy(*keys).agg(F.sum("n").cast("long").alias("n"))
+    middle = F.floor(F.length("umi") / 2).cast("int")
+    part = lambda side, half, first, last: F.struct(F.lit(side).alias("side"), half.alias("half"), first.alias("first"), last.alias("last"))
+    halves = F.array(part(1, F.substring(F.col("umi"), F.lit(1), middle), middle + 1, F.length("umi")), part(2, F.substring(F.col("umi"), middle + 1, F.length("umi")), F.lit(1), middle))
+    dealt = counts.where(F.length("umi") > 0).select(*keys, "u", "reads", "umi", F.explode(halves).alias("h")).select(*keys, "u", "reads", "umi", "h.*")
+    dealt = dealt.where("first <= last").repartition(*keys, "side", "half")
+    masked = dealt.withColumn("i", F.explode(F.sequence("first", "last")))
+    masked = masked.select(*keys, "u", "reads", "side", "half", "i", F.concat(F.expr("substring(umi, 1, i - 1)"), F.lit("."), F.expr("substring(umi, i + 1)")).alias("mask"))
+    met = W.partitionBy(*keys, "side", "half", "i", "mask")
+    one = F.col("reads") == 1
+    met = masked.withColumn("most", F.max("reads").over(met)).withColumn("ones", F.count_if(one).over(met)).withColumn("root", F.min(F.when(one, F.col("u"))).over(met))
+    # The greatest of a place is never above itself; UMIs of one read are tied to the least of them.
+    met = met.select(*keys, "u", one.alias("one"), ((F.col("most") > 1) & (F.col("most") >= 2 * F.col("reads") - 1)).alias("under"), F.when(one & (F.col("ones") > 1), F.col("root")).alias("root"))
+    met = written(met.where(F.col("under") | F.col("root").isNotNull()), "met")
+    each = met.groupBy(*keys, "u", "one").agg(F.max("under").alias("under"))
+    alone = components(met.where("root <> u").select(F.col("u").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "u")
+    tied = each.where("one").join(alone, "u", "left").groupBy(*keys, F.coalesce("root", "u").alias("root")).agg(F.max("under").alias("under"))
+    # All UMIs are clusters but those of one read that met another and those that one of several reads is above; then the components.
+    parts = [counts.groupBy(*keys).agg(F.count("*").alias("n")), each.where("one OR under").select(*keys, F.lit(-1).cast("long").alias("n")), tied.where("NOT under").select(*keys, F.lit(1).cast("long").alias("n"))]
+    return reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.sum("n").cast("long").alias("n"))
 
 
 def split_multigene(counts: DataFrame, keys: list[str]) -> DataFrame:

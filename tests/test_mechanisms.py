@@ -509,3 +509,31 @@ def imputation_written(t, name):
     from cytoflux.sources.scratch import written
 
     return written(t, name)
+
+
+def test_umis_meet_by_halves(spark, monkeypatch):
+    """Lengths of all kinds by brute force (an empty UMI is near none), and at most two rows are dealt for a UMI."""
+    from cytoflux.operators import rna
+
+    r, reads, want = random.Random(33), [], {}
+    for g in range(30):
+        counts = {"": 1, "A": 1} if g == 5 else {}
+        for _ in range(r.randrange(1, 50)):
+            counts["".join(r.choices("AC", k=r.randrange(1, 8)))] = r.choice((1, 1, 1, 2, 3, 5))
+        want[g] = umis_plainly(counts)
+        reads += [(g, u) for u, n in counts.items() for _ in range(n)]
+    d = spark.createDataFrame(reads, "gene int, umi string")
+    plans, kept = [], rna.written
+    monkeypatch.setattr(rna, "written", lambda t, name: (plans.append(t._jdf.queryExecution().executedPlan().toString()), kept(t, name))[1])
+    assert {x.gene: x.n for x in rna.directional_umis(d, ["gene"]).collect()} == want
+    assert all("Join" not in p for p in plans)  # masks are not joined with masks
+
+
+def test_links_are_contracted_before_the_rounds(spark):
+    from cytoflux.operators import graph
+
+    chain = [(i, i + 1) for i in range(500)] + [(1000 + i, 1000 + (i * 7) % 50) for i in range(50)] + [(3, 3)]
+    batches = list(graph._forest(iter(spark.createDataFrame(chain, "a long, b long").toArrow().to_batches())))
+    assert sum(b.num_rows for b in batches) <= 549 and all(y == 0 for b in batches for x, y in zip(b["a"].to_pylist(), b["b"].to_pylist(), strict=True) if x < 1000)
+    found = {x.node: x.root for x in graph.components(spark.createDataFrame(chain, "a long, b long").repartition(3)).collect()}
+    assert all(found[i] == 0 for i in range(501))
