@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import re
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+#: CIGARs whose parse a worker keeps.
+KEPT = 1 << 16
+LENGTHS = ("reference", "query", "leading", "trailing")
 
 
 def cigar_ops(cigar: Column) -> Column:
@@ -62,6 +72,46 @@ def aligned_blocks(ops: Column, start: Column) -> Column:
     return F.aggregate(ops, zero, step, lambda acc: acc["blocks"])
 
 
+@functools.lru_cache(KEPT)
+def parsed(cigar: str | None) -> tuple[tuple[int, int, int, int], tuple[tuple[int, int, int], ...]]:
+    """Bases on the reference, of the query, of leading and of trailing clips; and M blocks as (reference offset, query start, n)."""
+    if cigar is None or not re.fullmatch(r"([0-9]+[MIDSH])+", cigar):
+        raise ValueError(f"unsupported CIGAR {cigar}")
+    reference = query = leading = trailing = at = 0
+    inside, blocks = False, []
+    for digits, op in re.findall(r"([0-9]+)(.)", cigar):
+        n = int(digits)
+        if op in "SH":
+            leading, trailing = leading + (0 if inside else n), trailing + n
+            at += n if op == "S" else 0
+            continue
+        inside, trailing = True, 0
+        if op == "M":
+            blocks.append((reference, at, n))
+        reference += n if op in "MD" else 0
+        query, at = (query + n, at + n) if op in "MI" else (query, at)
+    return (reference, query, leading, trailing), tuple(blocks)
+
+
+@F.arrow_udf(StructType([StructField(c, IntegerType()) for c in LENGTHS]))
+def cigar_lengths(cigar: pa.Array) -> pa.Array:
+    """What ``reference_length``, ``query_length``, ``leading_clip`` and ``trailing_clip`` say, from one parse for each different CIGAR of a batch."""
+    each = cigar.dictionary_encode("encode")
+    lengths = np.array([parsed(c)[0] for c in each.dictionary.to_pylist()], np.int64).reshape(-1, 4).take(each.indices.to_numpy(), axis=0)
+    return pa.StructArray.from_arrays([pa.array(lengths[:, k]).cast(pa.int32()) for k in range(4)], list(LENGTHS))
+
+
+@F.arrow_udf(IntegerType())
+def query_index(cigar: pa.Array, offset: pa.Array) -> pa.Array:
+    """The place in the sequence of the base that is aligned ``offset`` bases after the start; null where none is."""
+    found = zip(cigar.to_pylist(), offset.to_pylist(), strict=True)
+    return pa.array([next((q + o - r for r, q, n in parsed(c)[1] if r <= o < r + n), None) for c, o in found], pa.int32())
+
+
+# So that neither is computed again for a filter, nor before rows are made distinct.
+cigar_lengths, query_index = cigar_lengths.asNondeterministic(), query_index.asNondeterministic()
+
+
 def base_at(seq: Column, query_index: Column) -> Column:
     return F.substring(seq, query_index + 1, F.lit(1))
 

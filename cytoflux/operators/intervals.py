@@ -61,17 +61,26 @@ def point_join(intervals: DataFrame, points: DataFrame, keys: list[str], pos: st
 
 
 def _open_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Events sorted by (group, at, point) to pairs (l, r): each point with the intervals that are open there."""
+    """Events sorted by (keys, at, point) to pairs (l, r): each point with the intervals that are open there."""
     held: pa.Table | None = None
+    last: list | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
         t = pa.Table.from_batches([batch])
+        keys = [batch.column(c) for c in batch.schema.names if c not in ("at", "stop", "point", "l", "r")]
+        fresh = np.zeros(batch.num_rows, bool)  # begins a group
+        for k in keys:
+            fresh[1:] |= pc.not_equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False)
+        if last is not None and last != [k[0].as_py() for k in keys]:
+            fresh[0], held = True, None
+        last = [k[-1].as_py() for k in keys]
+        group = np.cumsum(fresh)  # what is held is of group 0
+        t = t.append_column("group", pa.array(group))
         point = t.column("point")
         p, new = t.filter(point), t.filter(pc.invert(point))
-        iv = pa.concat_tables([held, new]) if held is not None else new
-        names = pc.unique(pa.chunked_array([*(held.column("group").chunks if held is not None else []), *t.column("group").chunks]))
-        number = lambda d: pc.index_in(d.column("group"), names).to_numpy().astype(np.int64) << 44
+        iv = pa.concat_tables([held.set_column(held.num_columns - 1, "group", pa.array(np.zeros(held.num_rows, group.dtype))), new]) if held is not None else new
+        number = lambda d: d.column("group").to_numpy() << 44
         places = number(p) + p.column("at").to_numpy()
         begin, stop = (np.searchsorted(places, number(iv) + iv.column(c).to_numpy()) for c in ("at", "stop"))
         many = np.maximum(stop - begin, 0)
@@ -80,7 +89,7 @@ def _open_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             j = np.arange(len(i)) - np.repeat(np.cumsum(many[lo:hi]) - many[lo:hi], many[lo:hi]) + np.repeat(begin[lo:hi], many[lo:hi])
             if len(i):
                 yield from pa.table({"l": iv.column("l").take(pa.array(i)), "r": p.column("r").take(pa.array(j))}).combine_chunks().to_batches()
-        still = pc.and_(pc.equal(iv.column("group"), t.column("group")[-1]), pc.greater(iv.column("stop"), t.column("at")[-1]))
+        still = pc.and_(pc.equal(iv.column("group"), pa.scalar(group[-1])), pc.greater(iv.column("stop"), t.column("at")[-1]))
         held = iv.filter(still).combine_chunks()
 
 
@@ -100,12 +109,13 @@ def sweep_point_join(intervals: DataFrame, points: DataFrame, keys: list[str], p
     """
     left, right = intervals.na.drop(subset=[*keys, start, end]).where(F.col(start) < F.col(end)), points.na.drop(subset=[*keys, pos])
     kind = {"l": StructType(left.schema.fields), "r": StructType(right.schema.fields)}
-    group = lambda segment: F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)], segment.alias("segment"))).alias("group")
+    names = [*[f"k{i}" for i in range(len(keys))], "segment"]
+    group = lambda segment: [c.alias(n) for c, n in zip([*[F.col(k).cast("string") for k in keys], segment], names, strict=True)]
     row = lambda d, side: [(F.struct(*[F.col(f"`{c}`") for c in d.columns]) if t == side else F.lit(None).cast(kind[t])).alias(t) for t in "lr"]
     each = left.select(F.explode(bins(F.col(start), F.col(end), width)).alias("_segment"), "*")
-    opened = each.select(group(F.col("_segment")), F.col(start).cast("long").alias("at"), F.col(end).cast("long").alias("stop"), F.lit(False).alias("point"), *row(left, "l"))
-    seen = right.select(group(F.floor(F.col(pos) / width)), F.col(pos).cast("long").alias("at"), F.col(pos).cast("long").alias("stop"), F.lit(True).alias("point"), *row(right, "r"))
-    events = opened.unionByName(seen).repartition("group").sortWithinPartitions("group", "at", "point")
+    opened = each.select(*group(F.col("_segment")), F.col(start).cast("long").alias("at"), F.col(end).cast("long").alias("stop"), F.lit(False).alias("point"), *row(left, "l"))
+    seen = right.select(*group(F.floor(F.col(pos) / width)), F.col(pos).cast("long").alias("at"), F.col(pos).cast("long").alias("stop"), F.lit(True).alias("point"), *row(right, "r"))
+    events = opened.unionByName(seen).repartition(*names).sortWithinPartitions(*names, "at", "point")
     pairs = events.mapInArrow(_open_intervals, StructType([StructField(t, kind[t]) for t in "lr"]))
     return pairs.select(*[F.col(f"{t}.`{f.name}`").alias(f"{t}_{f.name}") for t in "lr" for f in kind[t]])
 

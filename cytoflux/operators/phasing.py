@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.alignment import aligned_blocks, base_at, cigar_ops, leading_clip, phase_verdict, quality_at, query_length, query_start, reference_length, trailing_clip
+from ..functions.alignment import base_at, cigar_lengths, phase_verdict, quality_at, query_index
 from .fragments import FIRST, REVERSE, SECOND, has_flag, mapped
 from .intervals import point_join, sweep_point_join
 
@@ -33,7 +33,7 @@ def votes(observed: DataFrame, ids: list[str], base: str = "base") -> DataFrame:
 
 
 def swept_join(intervals: DataFrame, points: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
-    """A second way to find the SNPs of blocks, which has nothing in common with the bins of the first but its result."""
+    """A second way to find the SNPs of reads, which has nothing in common with the bins of the first but its result."""
     return sweep_point_join(intervals, points, keys)
 
 
@@ -41,12 +41,12 @@ def phase_alignments(alignments: DataFrame, snps: DataFrame, min_quality: int =
     """Phase of each alignment (id, chrom, start, cigar, seq, qual) from the bases in its aligned blocks.
 
     A base counts from ``min_quality`` on, or if the read does not have a quality for each base (``*``).  An aligned base beyond the sequence is an error.
-    Alignments without a vote are unphased.  ``join`` finds the SNPs of blocks.
+    Alignments without a vote are unphased.  ``join`` finds the SNPs between a read's first and last aligned base: a read is one row there, and its blocks are looked up for the SNPs found.
     """
-    blocks = alignments.select("id", "chrom", "seq", "qual", F.explode(aligned_blocks(cigar_ops(F.col("cigar")), F.col("start"))).alias("b"))
-    blocks = blocks.select("id", "chrom", "seq", "qual", F.col("b.ref_start").alias("start"), (F.col("b.ref_start") + F.col("b.n")).alias("end"), F.col("b.query_start").alias("q"))
-    hits = join(blocks, snps, ["chrom"], width=width)
-    at = (F.col("l_q") + F.col("r_pos") - F.col("l_start")).cast("int")
+    reads = alignments.withColumn("lengths", cigar_lengths("cigar")).select("id", "chrom", F.col("start").cast("long").alias("start"), (F.col("start").cast("long") + F.col("lengths.reference")).alias("end"), "cigar", "seq", "qual")
+    hits = join(reads, snps, ["chrom"], width=width)
+    hits = hits.withColumn("at", query_index("l_cigar", (F.col("r_pos") - F.col("l_start")).cast("long"))).where(F.col("at").isNotNull())
+    at = F.col("at")
     at = F.when(at < F.length("l_seq"), at).otherwise(F.raise_error(F.concat(F.lit("the CIGAR goes beyond the sequence of "), F.col("l_id").cast("string"))).cast("int"))
     good = (F.length("l_qual") != F.length("l_seq")) | (quality_at(F.col("l_qual"), at) >= min_quality)
     seen = hits.where(good).select(F.col("l_id").alias("id"), base_at(F.col("l_seq"), at).alias("base"), F.col("r_a0").alias("a0"), F.col("r_a1").alias("a1"))
@@ -60,19 +60,18 @@ def annotated(alignments: DataFrame, snps: DataFrame, min_mapq: int = 20, min_qu
     ``strand`` is that of the DNA strand that was read, so it turns for second reads; ``q_start`` and ``q_end`` count from the read's 5' end.
     """
     good = alignments.where(mapped(min_mapq))
-    t = phase_alignments(good, snps, min_quality, join=join).withColumn("ops", cigar_ops(F.col("cigar")))
+    t = phase_alignments(good, snps, min_quality, join=join).withColumn("lengths", cigar_lengths("cigar"))
     reverse, origin = has_flag(REVERSE), F.when(has_flag(FIRST), "R1").when(has_flag(SECOND), "R2").otherwise(".")
-    ops = F.col("ops")
-    begin, used = query_start(ops, reverse), query_length(ops)
-    whole = leading_clip(ops) + used + trailing_clip(ops)
-    end = whole - F.when(reverse, leading_clip(ops)).otherwise(trailing_clip(ops))
+    used, leading, trailing = (F.col(f"lengths.{c}") for c in ("query", "leading", "trailing"))
+    begin = F.when(reverse, trailing).otherwise(leading)
+    end = leading + used + trailing - F.when(reverse, leading).otherwise(trailing)
     return t.select(
         "qname",
         origin.alias("origin"),
         "flag",
         "chrom",
         "start",
-        (F.col("start") + reference_length(ops)).alias("end"),
+        (F.col("start") + F.col("lengths.reference")).alias("end"),
         F.when(reverse != (origin == "R2"), "-").otherwise("+").alias("strand"),
         "mapq",
         begin.alias("q_start"),

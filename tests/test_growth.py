@@ -88,3 +88,34 @@ def test_text_lines_are_compressed(spark):
     path = scratch.text_lines(lines, "sam")
     assert sum(p.stat().st_size for p in Path(path).glob("part-*")) < 20_000 * 120 / 5
     assert spark.read.text(path).exceptAll(lines).count() == 0 and spark.read.text(path).count() == 20_000
+
+
+def test_a_read_is_one_row_in_the_range_join(spark):
+    """Whatever its CIGAR has; the sweep's groups are columns, and several keys work over small batches."""
+    from cytoflux.operators import intervals, phasing
+
+    rows = [(i, "c", 100 + i, "2S3M1I2M1D4M", "TTACGTACGTAC", "*") for i in range(20)]
+    a = spark.createDataFrame(rows, "id int, chrom string, start long, cigar string, seq string, qual string")
+    s = spark.createDataFrame([("c", p, "A", "C") for p in range(100, 130)], "chrom string, pos long, a0 string, a1 string")
+    many, got = [], []
+    for join in (phasing.swept_join, intervals.point_join):
+
+        def counted(reads, *rest, join=join, **k):
+            many.append(reads.count())
+            return join(reads, *rest, **k)
+
+        got.append(sorted(tuple(x) for x in phasing.phase_alignments(a, s, join=counted).collect()))
+    assert many == [20, 20] and got[0] == got[1] and all(sum(x[6:9]) == 9 for x in got[0])
+    r = random.Random(45)
+    iv = [(r.choice("ab"), r.randrange(3), i, b, b + r.choice((1, 40, 700))) for i, b in enumerate(r.randrange(2000) for _ in range(150))]
+    pt = [(r.choice("ab"), r.randrange(3), i, r.randrange(2500)) for i in range(150)]
+    x, y = spark.createDataFrame(iv, "chrom string, cell int, id int, start long, end long"), spark.createDataFrame(pt, "chrom string, cell long, id int, pos long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (5, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+            swept = intervals.sweep_point_join(x, y, ["chrom", "cell"], width=256)
+            assert sorted((z.l_id, z.r_id) for z in swept.collect()) == sorted((i, j) for c, m, i, b, e in iv for d, n, j, p in pt if (c, m) == (d, n) and b <= p < e)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert "json" not in swept._jdf.queryExecution().toString()
