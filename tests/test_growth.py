@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 
@@ -119,3 +120,31 @@ def test_a_read_is_one_row_in_the_range_join(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert "json" not in swept._jdf.queryExecution().toString()
+
+
+def test_each_cigar_is_parsed_once(spark):
+    """As the column functions have it, and above the rows that are made distinct, once a branch."""
+    import pyarrow as pa
+
+    from cytoflux.functions import alignment as A
+    from cytoflux.operators import phasing
+
+    r = random.Random(46)
+    cigars = sorted({"".join(f"{r.randrange(12)}{r.choice('MIDSH')}" for _ in range(r.randrange(1, 8))) for _ in range(150)} | {"5S", "2H3S", "3S4M2S1H", "0M"})
+    d = spark.createDataFrame([(c,) for c in cigars], "cigar string").coalesce(1)
+    ops = A.cigar_ops(F.col("cigar"))
+    plain = d.select("cigar", A.reference_length(ops), A.query_length(ops), A.leading_clip(ops), A.trailing_clip(ops), A.aligned_blocks(ops, F.lit(0))).collect()
+    assert {x.cigar: tuple(x.v) for x in d.select("cigar", A.cigar_lengths("cigar").alias("v")).collect()} == {x[0]: tuple(x)[1:5] for x in plain}
+    assert {(x.cigar, x.o): x.at for x in d.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(60)))).withColumn("at", A.query_index("cigar", F.col("o").cast("long"))).where("at IS NOT NULL").collect()} == {
+        (x[0], o): b.query_start + o - b.ref_start for x in plain for b in x[5] for o in range(b.ref_start, min(b.ref_start + b.n, 61))
+    }
+    A.parsed.cache_clear()
+    assert len(A.cigar_lengths.func(pa.array(["3M", "1S2M"] * 500))) == 1000 and A.parsed.cache_info().hits + A.parsed.cache_info().misses == 2
+    a = spark.createDataFrame([(1, "q", 64, "c", 1, 60, "4M", "ACGT", "*")], "id int, qname string, flag int, chrom string, start long, mapq int, cigar string, seq string, qual string").distinct()
+    s = spark.createDataFrame([("c", 2, "C", "A")], "chrom string, pos long, a0 string, a1 string")
+    for join in (phasing.point_join, phasing.swept_join):
+        plan = phasing.annotated(a, s, join=join)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython [cigar_lengths") == 2 and plan.count("ArrowEvalPython [query_index") == 1
+    for bad in ("*", "", "4M1X", None):
+        with pytest.raises(Exception, match="unsupported CIGAR"):
+            phasing.annotated(a.withColumn("cigar", F.lit(bad).cast("string")), s).collect()
