@@ -94,6 +94,7 @@ def call_peaks(fragments: DataFrame, keys: list[str], genome_size: int, widths:
     steps = written(coverage_steps(fragments, keys, segment_width=segment_width), "steps")
     mass = steps.agg(F.sum(F.col("depth") * (F.col("end") - F.col("start")))).first()[0] or 0
     scored = scored_steps(local_background(steps, keys, widths, max(mass / genome_size, 1e-9), segment_width))
-    good = union_components(scored.where(F.col("q_score") >= cutoff), keys, ["end"], gap, segment_width=segment_width)
+    good = written(scored.where(F.col("q_score") >= cutoff), "good")  # components read their rows several times
+    good = union_components(good, keys, ["end"], gap, segment_width=segment_width)
     peaks = good.groupBy(*keys, "component").agg(F.min("start").alias("first"), F.max("end").alias("last"), F.max("depth").alias("depth"), F.min_by("start", F.struct(-F.col("depth"), "start")).alias("summit"), F.max("score").alias("score"), F.max("q_score").alias("q_score"))
     return peaks.where(F.col("last") - F.col("first") >= least_length).select(*keys, F.col("first").alias("start"), F.col("last").alias("end"), "depth", "summit", "score", "q_score")

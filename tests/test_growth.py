@@ -148,3 +148,26 @@ def test_each_cigar_is_parsed_once(spark):
     for bad in ("*", "", "4M1X", None):
         with pytest.raises(Exception, match="unsupported CIGAR"):
             phasing.annotated(a.withColumn("cigar", F.lit(bad).cast("string")), s).collect()
+
+
+def test_peaks_read_their_scores_once(spark, monkeypatch):
+    from cytoflux.operators import peaks
+
+    r, n, kept = random.Random(47), [], peaks.scored_steps
+    f = [("c", s, s + 50) for s in (r.randrange(50_000) for _ in range(500))] + [("c", s, s + 50) for s in range(20_000, 20_060)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(steps):
+        scored = kept(steps)
+
+        def rows(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        n.append(scored.count())
+        return scored.mapInArrow(rows, scored.schema)
+
+    monkeypatch.setattr(peaks, "scored_steps", counted)
+    assert peaks.call_peaks(spark.createDataFrame(f, "chrom string, start long, end long"), ["chrom"], 50_000, cutoff=3.0).count() >= 1
+    assert seen.value == n[0]
