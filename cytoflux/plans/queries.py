@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import names as N
@@ -152,9 +153,17 @@ def snp_vote_phase(spark, sf_dir):
     return phasing.snp_votes(a, view(spark, sf_dir, "snps"), [*ids, "base"])
 
 
-def _records(spark, sf_dir):
-    """Records of the test tables with CIGAR, sequence and qualities; rows that are equal in all count once."""
-    t = view(spark, sf_dir, "records").distinct()
+def _records(spark, sf_dir, dealt=None):
+    """Records of the test tables with CIGAR, sequence and qualities; rows that are equal in all count once.
+
+    ``dealt`` is a column by which they are dealt and sorted to be made distinct, so that a later join by it neither shuffles nor sorts them.
+    """
+    t = view(spark, sf_dir, "records")
+    if dealt:
+        same = W.partitionBy(dealt, *[c for c in t.columns if c != dealt]).orderBy(dealt)
+        t = t.repartition(dealt).withColumn("copy", F.lag(F.lit(True)).over(same)).where("copy IS NULL").drop("copy")
+    else:
+        t = t.distinct()
     n = lambda c, op: F.concat(F.col(c).cast("string"), F.lit(op))
     rest = (F.col("mapq") + 5 - F.col("del")).cast("string")
     length = F.col("clip") + 35 + F.col("ins") + F.col("mapq") + 5 - F.col("del")
@@ -165,12 +174,12 @@ def _records(spark, sf_dir):
 
 def annotated_records(spark, sf_dir):
     """Geometry and haplotype votes of each good record, its bases read along the CIGAR."""
-    return phasing.annotated(_records(spark, sf_dir), view(spark, sf_dir, "snps"), 10, 20)
+    return phasing.annotated(_records(spark, sf_dir, "qname"), view(spark, sf_dir, "snps"), 10, 20)
 
 
 def annotated_records_by_sweep(spark, sf_dir):
     """The same through the sweep over both tables in order of place."""
-    return phasing.annotated(_records(spark, sf_dir), view(spark, sf_dir, "snps"), 10, 20, join=phasing.swept_join)
+    return phasing.annotated(_records(spark, sf_dir, "qname"), view(spark, sf_dir, "snps"), 10, 20, join=phasing.swept_join)
 
 
 def flag_mapq_counts(spark, sf_dir):

@@ -171,3 +171,27 @@ def test_peaks_read_their_scores_once(spark, monkeypatch):
     monkeypatch.setattr(peaks, "scored_steps", counted)
     assert peaks.call_peaks(spark.createDataFrame(f, "chrom string, start long, end long"), ["chrom"], 50_000, cutoff=3.0).count() >= 1
     assert seen.value == n[0]
+
+
+@pytest.mark.parametrize("name", ["annotated_records", "annotated_records_by_sweep"])
+def test_records_are_dealt_by_name_once(spark, tmp_path, name):
+    """They are made distinct where the votes meet them; equal rows count once, and records of one name share their votes as in SQL."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.001"
+    t = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_quantity >= 10")
+    other = t.where("l_orderkey % 3 = 0").withColumn("l_suppkey", F.col("l_suppkey") + 60)
+    t.unionByName(t.where("l_orderkey % 2 = 0")).unionByName(other).unionByName(other.withColumn("l_suppkey", F.col("l_suppkey") + 1)).repartition(5).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{sf}/part.parquet").write.parquet(f"{tmp_path}/part.parquet")
+    got = entry.queries()[name](spark, str(tmp_path))
+    with duckdb.connect() as c:
+        for x in ("lineitem", "part"):
+            c.execute(f"CREATE VIEW {x} AS SELECT * FROM '{tmp_path}/{x}.parquet/*.parquet'")
+        cursor = c.execute(entry.oracle_sql()[name])
+        columns = [x[0] for x in cursor.description]
+        want = cursor.fetchall()
+    plain = lambda rows: sorted(tuple(map(str, x)) for x in rows)
+    assert plain(got.select(*columns).collect()) == plain(want) and len(want) > len({x[0] for x in want})
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(id#") == 1  # of the votes; records are there
