@@ -15,21 +15,27 @@ from ..sources.scratch import written
 LINKS = 1 << 19
 
 
+def join_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the components of each ``a`` and ``b`` in ``root``, where each node has the least one of its component, in place."""
+    while True:
+        a, b = root[a], root[b]
+        far = a != b
+        if not far.any():
+            return
+        a, b = a[far], b[far]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) as ties of each node to the least node of its component among about ``LINKS`` links."""
 
     def ties(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(held)
         nodes, at = np.unique(np.concatenate([t.column("a").to_numpy(), t.column("b").to_numpy()]), return_inverse=True)
-        a, b = at[: t.num_rows], at[t.num_rows :]
         root = np.arange(len(nodes))
-        while True:
-            ra, rb = root[a], root[b]
-            if not (ra != rb).any():
-                break
-            np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
-            while (root[root] != root).any():
-                root = root[root]
+        join_roots(root, at[: t.num_rows], at[t.num_rows :])
         tied = np.flatnonzero(root != np.arange(len(nodes)))
         yield from pa.table({"a": nodes[tied], "b": nodes[root[tied]]}).to_batches()
 

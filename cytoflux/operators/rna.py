@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import written
 from .graph import components
 from .intervals import overlap_join, union_components
+from .umis import PIECE, between_pieces, within_pieces
 
 CLASSES = ("r1_uninformative", "r2_uninformative", "r2_genome_only", "concordant", "incompatible")
 
@@ -74,36 +76,46 @@ def unique_umis(reads: DataFrame, keys: list[str]) -> DataFrame:
     return reads.groupBy(*keys).agg(F.count_distinct("umi").alias("n"))
 
 
-def directional_umis(reads: DataFrame, keys: list[str]) -> DataFrame:
+def directional_umis(reads: DataFrame, keys: list[str], piece: int = PIECE) -> DataFrame:
     """UMIs per group after joining each UMI to one that differs in one base and has at least 2n - 1 of its n reads.
 
     Clusters are followed outwards from the most frequent UMI.  That leaves one cluster for each UMI of several reads that none is above, and one for each component of UMIs
     of one read (these are above each other) without a UMI above any of them.  Counts per UMI are summed before the shuffle.  UMIs one base apart share their first or their second
-    half, so each goes to two places only; there neighbours meet by the UMI with one base left out, a few to each, so no group of reads, however large, is held or compared pair by pair.
+    half.  Sorted by group and first half, they are compared in pieces of bounded size; groups that a piece holds whole are done there.  The others' UMIs are dealt by their second
+    half, where clusters meet, and what is left are ties of clusters, whose components are found.  UMIs of a half that is too frequent for a piece meet by the UMI with one base left out.
     """
     counts = reads.groupBy(*keys, "umi").agg(F.count("*").alias("reads"))
     counts = written(counts.withColumn("u", F.monotonically_increasing_id()), "umis")
     middle = F.floor(F.length("umi") / 2).cast("int")
-    part = lambda side, half, first, last: F.struct(F.lit(side).alias("side"), half.alias("half"), first.alias("first"), last.alias("last"))
-    halves = F.array(part(1, F.substring(F.col("umi"), F.lit(1), middle), middle + 1, F.length("umi")), part(2, F.substring(F.col("umi"), middle + 1, F.length("umi")), F.lit(1), middle))
-    dealt = counts.where(F.length("umi") > 0).select(*keys, "u", "reads", "umi", F.explode(halves).alias("h")).select(*keys, "u", "reads", "umi", "h.*")
-    dealt = dealt.where("first <= last").repartition(*keys, "side", "half")
-    masked = dealt.withColumn("i", F.explode(F.sequence("first", "last")))
-    masked = masked.select(*keys, "u", "reads", "side", "half", "i", F.concat(F.expr("substring(umi, 1, i - 1)"), F.lit("."), F.expr("substring(umi, i + 1)")).alias("mask"))
-    met = W.partitionBy(*keys, "side", "half", "i", "mask")
-    one = F.col("reads") == 1
-    met = masked.withColumn("most", F.max("reads").over(met)).withColumn("ones", F.count_if(one).over(met)).withColumn("root", F.min(F.when(one, F.col("u"))).over(met))
-    # The greatest of a place is never above itself; UMIs of one read are tied to the least of them.
-    met = met.select(*keys, "u", one.alias("one"), ((F.col("most") > 1) & (F.col("most") >= 2 * F.col("reads") - 1)).alias("under"), F.when(one & (F.col("ones") > 1), F.col("root")).alias("root"))
-    met = written(met.where(F.col("under") | F.col("root").isNotNull()), "met")
-    each = met.groupBy(*keys, "u", "one").agg(F.max("under").alias("under"))
-    alone = components(met.where("root <> u").select(F.col("u").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "u")
-    tied = each.where("one").join(alone, "u", "left").groupBy(*keys, F.coalesce("root", "u").alias("root")).agg(F.max("under").alias("under"))
-    # All UMIs are clusters but those of one read that met another and those that one of several reads is above; then the components.
-    parts = [counts.groupBy(*keys).agg(F.count("*").alias("n")), each.where("one OR under").select(*keys, F.lit(-1).cast("long").alias("n")), tied.where("NOT under").select(*keys, F.lit(1).cast("long").alias("n"))]
+    first, second = F.substring(F.col("umi"), F.lit(1), middle), F.substring(F.col("umi"), middle + 1, F.length("umi"))
+    types = T.StructType([*counts.select(*keys).schema, *T.StructType.fromDDL("u long, umi string, reads long, below boolean, side int, n long")])
+    dealt = counts.withColumn("length", F.length("umi")).repartitionByRange(*keys, "length", first).sortWithinPartitions(*keys, "length", "umi")
+    dealt = dealt.select(*keys, "u", "umi", "reads", F.xxhash64(*keys, "length", first).alias("block"))
+    found = dealt.mapInArrow(within_pieces(keys, piece), types)
+    types = T.StructType([*types[: len(keys) + 1], T.StructField("root", T.LongType()), *types[len(keys) + 1 :]])
+    dealt = found.select("*", F.xxhash64(*keys, F.length("umi"), second).alias("block")).repartition("block").sortWithinPartitions("block")
+    met = written(dealt.mapInArrow(between_pieces(keys, piece), types), "met")
+    large = written(_met_by_masks(met.where("side > 0"), keys, middle), "large")
+    # Clusters that were counted but are below another or tied to others: the components of these that none is above count once.
+    part = met.where("n IS NULL AND side IS NULL").select(*keys, "u", "root", "below").unionByName(large)
+    each = part.groupBy(*keys, "u").agg(F.max("below").alias("below"))
+    alone = components(part.where("root <> u").select(F.col("u").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "u")
+    tied = each.join(alone, "u", "left").groupBy(*keys, F.coalesce("root", "u").alias("root")).agg(F.max("below").alias("below"))
+    parts = [met.where("n IS NOT NULL").select(*keys, "n"), each.select(*keys, F.lit(-1).cast("long").alias("n")), tied.where("NOT below").select(*keys, F.lit(1).cast("long").alias("n"))]
     return reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.sum("n").cast("long").alias("n"))
 
 
+def _met_by_masks(umis: DataFrame, keys: list[str], middle: Column) -> DataFrame:
+    """Clusters that are below another or tied to it by UMIs that share their first (``side`` 1) or second half, by the UMI with each base of the other half left out."""
+    other = F.when(F.col("side") == 1, F.sequence(middle + 1, F.length("umi"))).otherwise(F.sequence(F.lit(1), middle))
+    masked = umis.withColumn("i", F.explode(other)).withColumn("mask", F.concat(F.expr("substring(umi, 1, i - 1)"), F.lit("."), F.expr("substring(umi, i + 1)")))
+    met, one = W.partitionBy(*keys, "i", F.length("umi"), "mask", "side"), F.col("reads") == 1
+    masked = masked.withColumn("most", F.max("reads").over(met)).withColumn("least", F.min(F.when(one & ~F.col("below"), F.col("u"))).over(met)).withColumn("lost", F.coalesce(F.max(F.when(one, F.col("below"))).over(met), F.lit(False)))
+    lower = ((F.col("most") > 1) & (F.col("most") >= 2 * F.col("reads") - 1)) | (one & F.col("lost"))
+    masked = masked.where(~F.col("below")).select(*keys, "u", F.when(one, F.col("least")).otherwise(F.col("u")).alias("root"), lower.alias("below"), F.when(one, F.col("least") != F.col("u")).otherwise(False).alias("far"))
+    return masked.where("below OR far").drop("far")
+
+
 def split_multigene(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Counts of comma-joined genes shared out equally among them."""
     names = F.split("gene", ",")

@@ -529,6 +529,49 @@ def test_umis_meet_by_halves(spark, monkeypatch):
     assert all("Join" not in p for p in plans)  # masks are not joined with masks
 
 
+def test_umis_meet_in_pieces(spark, monkeypatch):
+    """Groups that a piece holds whole are done in it: no base is left out, and little is stored for the clusters to meet."""
+    from cytoflux.operators import rna
+
+    r, reads, want = random.Random(34), [], {}
+    for g in range(40):
+        counts = {"".join(r.choices("ACGT", k=5)): r.choice((1, 1, 1, 1, 2, 3, 9)) for _ in range(120)}
+        want[g] = umis_plainly(counts)
+        reads += [(g, u) for u, n in counts.items() for _ in range(n)]
+    d = spark.createDataFrame(reads, "gene int, umi string")
+    plans, tables, kept = {}, {}, rna.written
+
+    def written(t, name):
+        plans[name] = t._jdf.queryExecution().executedPlan().toString()
+        tables[name] = kept(t, name)
+        return tables[name]
+
+    monkeypatch.setattr(rna, "written", written)
+    assert {x.gene: x.n for x in rna.directional_umis(d, ["gene"]).collect()} == want
+    assert all("Generate" not in plans[name] for name in ("umis", "met"))
+    assert tables["met"].count() < tables["umis"].count() / 10
+
+
+@pytest.mark.parametrize("piece", [1, 60, 700, 9000])
+def test_umis_in_pieces_of_any_size(spark, piece):
+    """Groups cut anywhere, and halves too large for a piece, by brute force, with keys and letters of all kinds."""
+    from cytoflux.operators import rna
+
+    r, reads, want = random.Random(35), [], {}
+    letters = ("AC", "ACGT", "ACGTN", "AC\u00e9\U0001f600", "AB")
+    for g in range(25):
+        counts, seed = {}, "".join(r.choices("AB", k=70))
+        for _ in range(r.randrange(1, 70)):
+            i = r.randrange(70)
+            counts[seed[:i] + r.choice("AB") + seed[i + 1 :] if g % 5 == 4 else "".join(r.choices(letters[g % 5], k=r.randrange(1, 7)))] = r.choice((1, 1, 1, 1, 2, 3, 5))
+        key = (None if g == 3 else float("nan") if g == 4 else g / 2, None if g == 7 else (g, "x"))
+        want[str(key)] = umis_plainly(counts) + (g == 8) + (g == 9)
+        reads += [(*key, u) for u, n in {**counts, **{8: {None: 2}, 9: {"": 1}}.get(g, {})}.items() for _ in range(n)]
+    d = spark.createDataFrame(reads, "cell double, gene struct<a: int, b: string>, umi string").repartition(3)
+    got = rna.directional_umis(d, ["cell", "gene"], piece).collect()
+    assert {str((x.cell, x.gene and tuple(x.gene))): x.n for x in got} == want
+
+
 def test_links_are_contracted_before_the_rounds(spark):
     from cytoflux.operators import graph
 
